@@ -1,14 +1,16 @@
 """Exact medians of groups that may be too large for one task.
 
-Spark's `median` is exact but keeps every distinct value of a group in one buffer, so
-a borough with most of the trips does not scale. Here the middle ranks are located by
-counting in three narrow passes, each a map-side combined aggregate:
+Spark's `median` is exact but keeps every distinct value of a group in one buffer. That
+is used for tables known to be small. In any other table a borough may hold most of the
+trips, so the middle ranks are located by counting in three narrow passes, each a
+map-side combined aggregate:
 
 1. count per logarithmic bin of the value (a few hundred bins per group),
 2. inside the bin that holds a middle rank, count per linear sub-bin,
 3. inside that sub-bin, count per distinct value and read the ranks off.
 
-Only the located bins travel between passes; no group is ever collected.
+Only the located bins travel between passes; no group is ever collected. The input is
+read once per pass: give a table, not a plan that is expensive to repeat.
 """
 
 from __future__ import annotations
@@ -29,6 +31,9 @@ SUB_BINS = 4096
 # Located bins are broadcast up to this many rows (about 60 bytes each).
 BROADCAST_ROWS = 200_000
 
+# Up to this many rows in the whole table, any one group fits a buffer of one task.
+BUFFER_ROWS = 500_000
+
 
 def _log_bin(value: Column) -> Column:
     size = F.floor(F.log(F.abs(value)) * BINS_PER_E).cast("int") + BIN_SHIFT
@@ -58,21 +63,32 @@ def exact_medians(
     keys: Sequence[str],
     values: Sequence[str],
     max_groups: int | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """One row per group: the keys and the interpolated median of each value column,
     under the value column's name. Nulls and NaN are skipped; a null key is a group.
-    Groups without any value are absent.
 
-    `max_groups` is a proven bound on the number of groups. With it the located bins
-    are broadcast while they are few; without it Spark chooses the join.
+    `max_rows` is a proven bound on the rows of `df`; without it, or above BUFFER_ROWS,
+    the passes run. `max_groups` is a proven bound on the number of groups: with it the
+    located bins are broadcast while they are few, without it Spark chooses the join.
     """
-    keys = list(keys)
+    if max_rows is not None and max_rows <= BUFFER_ROWS:
+        number = {v: F.col(f"`{v}`").cast("double") for v in values}
+        return df.groupBy(*keys).agg(
+            *[F.median(F.nanvl(c, F.lit(None))).alias(v) for v, c in number.items()]
+        )
+    return _by_counting(df, list(keys), list(values), max_groups)
+
+
+def _by_counting(
+    df: DataFrame, keys: list[str], values: list[str], max_groups: int | None
+) -> DataFrame:
     group = [*keys, "_metric"]
-    number = [F.col(v).cast("double").alias(v) for v in values]
+    number = [F.col(f"`{v}`").cast("double").alias(v) for v in values]
     # Adding zero turns -0.0 into 0.0, so that both are one value.
     long = (
         df.select(*keys, *number)
-        .unpivot(keys, list(values), "_metric", "_value")
+        .unpivot(keys, values, "_metric", "_value")
         .where(F.col("_value").isNotNull() & ~F.isnan("_value"))
         .withColumn("_value", F.col("_value") + F.lit(0.0))
         .withColumn("_bin", _log_bin(F.col("_value")))

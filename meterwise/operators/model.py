@@ -62,11 +62,13 @@ def enrich(
 
     A repeated zone id would multiply trips. `on_duplicate` decides: `error` checks the
     dimension and raises, `first` keeps the alphabetically first zone of an id, `allow`
-    joins as is. Ask only for the roles a query reads: an outer join cannot be pruned.
-    The join carries no hint; see `rules._mark_known_zones`.
+    joins as is. Except for `allow`, the join key is visibly distinct, so Spark drops the
+    join of a role no query column comes from. The join carries no hint; see
+    `rules._mark_known_zones`.
     """
     if on_duplicate == "error":
         check_unique(zones, "location_id")
+        zones = zones.dropDuplicates(["location_id"])
     elif on_duplicate == "first":
         first = F.min(F.struct("zone_name", "borough")).alias("z")
         zones = zones.groupBy("location_id").agg(first).select("location_id", "z.*")

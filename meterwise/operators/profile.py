@@ -96,9 +96,12 @@ def profile_temporal(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
 
 
-def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def profile_numeric(
+    df: DataFrame, columns: Sequence[str] | None = None, max_rows: int | None = None
+) -> DataFrame:
     """Minimum, maximum, mean, sample deviation and exact median of numeric columns, at
-    four decimals. One row per column; all null where a column has no value."""
+    four decimals. One row per column; all null where a column has no value. `max_rows`
+    is as in `exact_medians`."""
     columns = list(columns or numeric_columns(df))
     df = nan_to_null(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]))
     wide = df.agg(
@@ -117,7 +120,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         ],
     )
     medians = _tall(
-        exact_medians(df, [], columns, max_groups=1),
+        exact_medians(df, [], columns, max_groups=1, max_rows=max_rows),
         [
             F.struct(F.lit(c).alias("column_name"),
                      decimals(F.col(f"`{c}`"), 4).alias("median"))
@@ -149,13 +152,16 @@ def value_counts(df: DataFrame, columns: Sequence[str], top: int = TOP) -> DataF
 
 
 def column_profile(
-    df: DataFrame, categories: Sequence[str] = TRIP_CATEGORIES, top: int = TOP
+    df: DataFrame,
+    categories: Sequence[str] = TRIP_CATEGORIES,
+    top: int = TOP,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """The whole profile, one row per column in table order. Statistics that do not
     apply to a column are null; `value_counts` is a map, most frequent first."""
     tall = profile_schema(df).join(profile_counts(df), "column_name")
     if numeric_columns(df):
-        tall = tall.join(profile_numeric(df), "column_name", "left")
+        tall = tall.join(profile_numeric(df, max_rows=max_rows), "column_name", "left")
     else:
         tall = tall.withColumns({s: F.lit(None).cast("double") for s in (*STATISTICS, "median")})
     if temporal_columns(df):

@@ -76,27 +76,35 @@ def next_time(
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per event: picked up when the event happened (a day earlier), dropped
     off at the user's next event. Every rule fires on some of them."""
-    events = next_time(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", "_next")
-    day = F.expr("INTERVAL 1 DAY")
-    event, user = F.col("event_id"), F.col("user_id")
-    pickup = F.col("ts") - day
-    backwards = pickup - F.expr("INTERVAL 10 MINUTES")
     kinds = {"purchase": 1, "view": 2, "click": 3, "signup": 6}
     payment = F.coalesce(
         *[F.when(F.col("event_type") == kind, F.lit(code)) for kind, code in kinds.items()]
     )
-    k = F.get_json_object("props", "$.k").cast("double")
+    # Narrow before the shuffle: the strings stay behind.
+    events = table(spark, sf_dir, "events").select(
+        "event_id",
+        "user_id",
+        "ts",
+        "value",
+        F.get_json_object("props", "$.k").cast("double").alias("k"),
+        payment.cast("double").alias("payment_type"),
+    )
+    events = next_time(events, "user_id", "ts", "event_id", "_next")
+    day = F.expr("INTERVAL 1 DAY")
+    event, user = F.col("event_id"), F.col("user_id")
+    pickup = F.col("ts") - day
+    backwards = pickup - F.expr("INTERVAL 10 MINUTES")
     return events.select(
-        event.alias("event_id"),
+        event,
         pickup.alias("tpep_pickup_datetime"),
         F.when(event % 97 == 0, backwards)
         .otherwise(F.col("_next") - day)
         .alias("tpep_dropoff_datetime"),
         F.when(event % 10 != 9, (event % 10).cast("double")).alias("passenger_count"),
-        (k * F.lit(1.05)).alias("trip_distance"),
+        (F.col("k") * F.lit(1.05)).alias("trip_distance"),
         ((user * 3 + event) % 28).cast("int").alias("PULocationID"),
         ((event * 5 + user) % 28).cast("int").alias("DOLocationID"),
-        payment.cast("double").alias("payment_type"),
+        "payment_type",
         F.when(event % 50 == 0, F.lit(0.0))
         .otherwise(F.col("value") * F.lit(1.1) - F.lit(5.0))
         .alias("fare_amount"),

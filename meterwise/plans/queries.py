@@ -52,6 +52,15 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return tempfile.mkdtemp(prefix="run-", dir="/tmp") + f"/{name}"
 
 
+def written(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`df` as a table of its own, and its row count from the footers. For operators that
+    read their input several times."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    table = df.sparkSession.read.parquet(path)
+    return table, table.count()
+
+
 # --- sources and manifest ---------------------------------------------------
 
 
@@ -163,7 +172,8 @@ def profile_temporal(spark, sf_dir):
 
 @query
 def profile_numeric(spark, sf_dir):
-    return profile.profile_numeric(src.event_trips(spark, sf_dir))
+    rows, n = written(src.event_trips(spark, sf_dir), "trips")
+    return profile.profile_numeric(rows, max_rows=n)
 
 
 @query
@@ -195,10 +205,9 @@ def value_counts_part(spark, sf_dir):
 
 @named("profile")
 def whole_profile(spark, sf_dir):
-    rows = src.event_trips(spark, sf_dir)
-    return profile.column_profile(rows, ("payment_type",)).withColumn(
-        "value_counts", F.to_json("value_counts")
-    )
+    rows, n = written(src.event_trips(spark, sf_dir), "trips")
+    columns = profile.column_profile(rows, ("payment_type",), max_rows=n)
+    return columns.withColumn("value_counts", F.to_json("value_counts"))
 
 
 # --- validation -------------------------------------------------------------
@@ -281,9 +290,12 @@ def rule_annotations(spark, sf_dir):
 
 @query
 def report_json(spark, sf_dir):
-    columns = profile.column_profile(src.event_trips(spark, sf_dir))
+    rows, n = written(src.event_trips(spark, sf_dir), "trips")
+    zones_of = src.nation_zones(spark, sf_dir)
+    flagged = rules.flag_rows(rows, zones_of, src.MONTH, limits=src.EVENT_LIMITS)
+    columns = profile.column_profile(rows, max_rows=n)
     return report.report_json(
-        _tally(spark, sf_dir), columns, src.MONTH, limits=src.EVENT_LIMITS
+        report.tally(flagged), columns, src.MONTH, limits=src.EVENT_LIMITS
     )
 
 
@@ -362,20 +374,25 @@ def borough_distribution(spark, sf_dir):
 # --- metrics ----------------------------------------------------------------
 
 
-def _groups(spark: SparkSession, sf_dir: str) -> int | None:
-    return metrics.zone_groups(src.nation_zones(spark, sf_dir))
+_MEASURES = (
+    "pu_borough", "pu_zone", "pickup_hour", "trip_distance", "duration_minutes", "speed_mph",
+    "fare_per_mile", rules.FLAGS,
+)
+
+
+def _measures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, metrics.Bounds]:
+    rows, n = written(_enriched(spark, sf_dir).select(*_MEASURES), "measures")
+    return rows, metrics.zone_bounds(src.nation_zones(spark, sf_dir), n)
 
 
 @query
 def duration_speed_by_borough_hour(spark, sf_dir):
-    return metrics.duration_speed_by_borough_hour(
-        _enriched(spark, sf_dir), _groups(spark, sf_dir)
-    )
+    return metrics.duration_speed_by_borough_hour(*_measures(spark, sf_dir))
 
 
 @query
 def duration_speed_by_zone_hour(spark, sf_dir):
-    return metrics.duration_speed_by_zone_hour(_enriched(spark, sf_dir), _groups(spark, sf_dir))
+    return metrics.duration_speed_by_zone_hour(*_measures(spark, sf_dir))
 
 
 @query
@@ -387,15 +404,13 @@ def low_sample_groups(spark, sf_dir):
 
 @query
 def peak_groups(spark, sf_dir):
-    by_hour = metrics.duration_speed_by_borough_hour(
-        _enriched(spark, sf_dir), _groups(spark, sf_dir)
-    )
+    by_hour = metrics.duration_speed_by_borough_hour(*_measures(spark, sf_dir))
     return metrics.peak_groups(by_hour, ["pu_borough", "pickup_hour"])
 
 
 @query
 def fare_consistency(spark, sf_dir):
-    return metrics.fare_consistency(_enriched(spark, sf_dir), _groups(spark, sf_dir))
+    return metrics.fare_consistency(*_measures(spark, sf_dir))
 
 
 @query
@@ -440,18 +455,26 @@ def order_flag_counts(spark, sf_dir):
 
 @query
 def order_duration_speed_by_region_month(spark, sf_dir):
-    """Months are not bounded beforehand, so the located median bins are not hinted."""
+    """Neither rows nor months are bounded beforehand: the medians run by counting, and
+    their bins are joined without a hint."""
     fact = _order_fact(spark, sf_dir)
     fact = fact.withColumn("pickup_month", F.date_format("pickup_at", "yyyy-MM"))
     rows = model.enrich(fact, src.nation_zones(spark, sf_dir), ("pu",))
+    rows, _ = written(
+        rows.select("pu_borough", "pickup_month", "trip_distance", "duration_minutes",
+                    "speed_mph"),
+        "measures",
+    )
     return metrics.duration_speed_by_borough_hour(rows, hour="pickup_month")
 
 
 @query
 def order_fare_consistency(spark, sf_dir):
+    """Boroughs are bounded, rows are not: medians by counting, bins broadcast."""
     dim = src.nation_zones(spark, sf_dir)
     rows = model.enrich(_order_fact(spark, sf_dir), dim, ("pu",))
-    return metrics.fare_consistency(rows, metrics.zone_groups(dim))
+    rows, _ = written(rows.select("pu_borough", "fare_per_mile", rules.FLAGS), "measures")
+    return metrics.fare_consistency(rows, metrics.zone_bounds(dim))
 
 
 @query

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from meterwise.sources.files import list_files
 
 
-def write_trips(trips: DataFrame, path: str, partitions: Sequence[str]) -> None:
-    """Publish a partitioned Parquet table. Only the partitions present in `trips` are
-    replaced, and they appear when the whole job has committed."""
-    trips.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+def write_month(trips: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
+    """Publish one month of a Parquet table at `path` (`.../month=2025-01`). The month is
+    replaced as a whole, sub-partitions that no longer occur included, and is complete
+    when `_SUCCESS` is there; a failed run leaves none."""
+    trips.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *partitions
     ).parquet(path)
 
