@@ -11,11 +11,19 @@ from meterwise.errors import DuplicateKeys
 
 
 def same_keys_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    never_null: Sequence[str] = (),
 ) -> DataFrame:
-    """Equi-join on equally named keys in which null equals null, as in GROUP BY."""
+    """Equi-join on equally named keys in which null equals null, as in GROUP BY. Keys
+    known to hold no null are compared plainly, which hashes faster."""
     right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    match = [left[k].eqNullSafe(right[f"_r_{k}"]) for k in keys]
+    match = [
+        left[k] == right[f"_r_{k}"] if k in never_null else left[k].eqNullSafe(right[f"_r_{k}"])
+        for k in keys
+    ]
     joined = left.join(right, reduce(lambda a, b: a & b, match), how)
     return joined.drop(*[f"_r_{k}" for k in keys])
 

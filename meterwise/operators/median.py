@@ -2,15 +2,15 @@
 
 Spark's `median` is exact but keeps every distinct value of a group in one buffer. That
 is used for tables known to be small. In any other table a borough may hold most of the
-trips, so the middle ranks are located by counting in three narrow passes, each a
-map-side combined aggregate:
+trips, so the middle ranks are closed in on by counting, in three passes that each end in
+a map-side combined aggregate:
 
 1. count per logarithmic bin of the value (a few hundred bins per group),
-2. inside the bin that holds a middle rank, count per linear sub-bin,
-3. inside that sub-bin, count per distinct value and read the ranks off.
+2. of the values in the bin around the middle, count per linear sub-bin,
+3. of the values in that sub-bin, count per distinct value and read the ranks off.
 
-Only the located bins travel between passes; no group is ever collected. The input is
-read once per pass: give a table, not a plan that is expensive to repeat.
+One row per group travels between passes; no group is ever collected. The input is read
+once per pass: give a table, not a plan that is expensive to repeat.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ SUB_BINS = 4096
 # Located bins are broadcast up to this many rows (about 60 bytes each).
 BROADCAST_ROWS = 200_000
 
+_RANKS = ("_low", "_high")
+
 # Up to this many rows in the whole table, any one group fits a buffer of one task.
 BUFFER_ROWS = 500_000
 
@@ -45,17 +47,22 @@ def _sub_bin(value: Column, low: Column, high: Column) -> Column:
     return F.coalesce(F.floor(share * SUB_BINS).cast("int"), F.lit(0))
 
 
-def _locate(counts: DataFrame, within: Sequence[str], order: str) -> DataFrame:
-    """Keep the counted cells that hold one of the two middle ranks. `_before` is the
-    number of values of the group ahead of the cell."""
-    run = Window.partitionBy(*within).orderBy(order).rowsBetween(
+def _close_in(counts: DataFrame, group: Sequence[str], order: str) -> DataFrame:
+    """One row per group: the span `_from`..`_to` of the counted cells that hold its two
+    middle ranks, and the number of values before it. Cells without rows do not exist, so
+    if the ranks fall in two cells nothing lies between them."""
+    run = Window.partitionBy(*group).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     cells = counts.withColumn("_upto", F.col("_before") + F.sum("_n").over(run))
     cells = cells.withColumn("_before", F.col("_upto") - F.col("_n"))
-    low = (F.col("_before") < F.col("_low")) & (F.col("_upto") >= F.col("_low"))
-    high = (F.col("_before") < F.col("_high")) & (F.col("_upto") >= F.col("_high"))
-    return cells.where(low | high)
+    middle = (F.col("_before") < F.col("_high")) & (F.col("_upto") >= F.col("_low"))
+    return cells.where(middle).groupBy(*group).agg(
+        F.min("_before").alias("_before"),
+        F.min("_from").alias("_from"),
+        F.max("_to").alias("_to"),
+        *[F.min(rank).alias(rank) for rank in _RANKS],
+    )
 
 
 def exact_medians(
@@ -84,28 +91,30 @@ def _by_counting(
     df: DataFrame, keys: list[str], values: list[str], max_groups: int | None
 ) -> DataFrame:
     group = [*keys, "_metric"]
-    number = [F.col(f"`{v}`").cast("double").alias(v) for v in values]
-    # Adding zero turns -0.0 into 0.0, so that both are one value.
+    # Columns go by number: a short key to hash for every value. Adding zero turns -0.0
+    # into 0.0, so that both are one value.
+    numbers = [str(i) for i in range(len(values))]
+    wide = [F.col(f"`{v}`").cast("double").alias(i) for i, v in zip(numbers, values)]
     long = (
-        df.select(*keys, *number)
-        .unpivot(keys, values, "_metric", "_value")
+        df.select(*keys, *wide)
+        .unpivot(keys, numbers, "_metric", "_value")
         .where(F.col("_value").isNotNull() & ~F.isnan("_value"))
+        .withColumn("_metric", F.col("_metric").cast("int"))
         .withColumn("_value", F.col("_value") + F.lit(0.0))
-        .withColumn("_bin", _log_bin(F.col("_value")))
     )
-    small = max_groups is not None and 2 * max_groups * len(values) <= BROADCAST_ROWS
+    small = max_groups is not None and max_groups * len(values) <= BROADCAST_ROWS
 
-    def inside(rows: DataFrame, cells: DataFrame, on: list[str]) -> DataFrame:
-        return same_keys_join(rows, F.broadcast(cells) if small else cells, on)
+    def between(spans: DataFrame) -> DataFrame:
+        """The values inside their group's span."""
+        spans = F.broadcast(spans) if small else spans
+        span = F.col("_value").between(F.col("_from"), F.col("_to"))
+        return same_keys_join(long, spans, group, never_null=["_metric"]).where(span)
 
-    # Pass 1
-    whole = Window.partitionBy(*group)
-    bins = long.groupBy(*group, "_bin").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_value").alias("_lo"),
-        F.max("_value").alias("_hi"),
-    )
-    total = F.sum("_n").over(whole)
+    count = F.count(F.lit(1)).alias("_n")
+    ends = [F.min("_value").alias("_from"), F.max("_value").alias("_to")]
+
+    bins = long.groupBy(*group, _log_bin(F.col("_value")).alias("_bin")).agg(count, *ends)
+    total = F.sum("_n").over(Window.partitionBy(*group))
     bins = bins.withColumns(
         {
             "_before": F.lit(0).cast("bigint"),
@@ -113,34 +122,18 @@ def _by_counting(
             "_high": F.floor(total / 2) + 1,
         }
     )
-    bins = _locate(bins, group, "_bin").drop("_n", "_upto")
-
-    # Pass 2
-    ranks = ["_before", "_low", "_high"]
-    near = inside(long, bins, [*group, "_bin"])
-    near = near.withColumn("_sub", _sub_bin(F.col("_value"), F.col("_lo"), F.col("_hi")))
-    subs = near.groupBy(*group, "_bin", *ranks, "_sub").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_value").alias("_from"),
-        F.max("_value").alias("_to"),
-    )
-    subs = _locate(subs, [*group, "_bin"], "_sub").drop("_n", "_upto")
+    spans = _close_in(bins, group, "_bin")
 
-    # Pass 3
-    rest = inside(long, subs, [*group, "_bin"])
-    rest = rest.where(F.col("_value").between(F.col("_from"), F.col("_to")))
-    found = rest.groupBy(*group, "_bin", "_sub", *ranks, "_value").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    found = _locate(found, [*group, "_bin", "_sub"], "_value")
-    holds = lambda rank: (F.col("_before") < F.col(rank)) & (F.col("_upto") >= F.col(rank))
-    middle = found.groupBy(*group).agg(
-        (
-            (F.max(F.when(holds("_low"), F.col("_value")))
-             + F.max(F.when(holds("_high"), F.col("_value"))))
-            / 2
-        ).alias("_median")
-    )
+    sub = _sub_bin(F.col("_value"), F.col("_from"), F.col("_to")).alias("_sub")
+    subs = between(spans).groupBy(*group, "_before", *_RANKS, sub).agg(count, *ends)
+    spans = _close_in(subs, group, "_sub")
+
+    found = between(spans).groupBy(*group, "_before", *_RANKS, "_value").agg(count)
+    found = found.withColumns({"_from": F.col("_value"), "_to": F.col("_value")})
+    middle = _close_in(found, group, "_value")
+    # One value holds both ranks, or two neighbours hold one each.
+    median = (F.col("_from") + F.col("_to")) / 2
     return middle.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_metric") == v, F.col("_median"))).alias(v) for v in values]
+        *[F.max(F.when(F.col("_metric") == int(i), median)).alias(v)
+          for i, v in zip(numbers, values)]
     )

@@ -119,7 +119,8 @@ def read_numbered(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A Parquet table with dense ids 1..n by position in its files, without moving any
     row: the id is the number of rows in earlier files plus the row's place in its file.
     Needs no key, so full copies of a row are no problem. The per-file counts come from
-    the footers; their running sum covers one row per file."""
+    the footers; their running sum covers one row per file. A query that does not read the
+    id does not pay for it: Spark drops an outer join whose columns are unused."""
     table = spark.read.parquet(path)
     place = table.select(
         "*", F.col("_metadata.file_path").alias("_file"),
@@ -128,7 +129,7 @@ def read_numbered(spark: SparkSession, path: str, name: str) -> DataFrame:
     sizes = table.groupBy(F.col("_metadata.file_path").alias("_file")).count()
     earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_ahead")
-    numbered = place.join(sizes.select("_file", ahead), "_file")
+    numbered = place.join(sizes.select("_file", ahead), "_file", "left")
     return numbered.select(
         (F.col("_ahead") + F.col("_place") + 1).cast("bigint").alias(name), *table.columns
     )

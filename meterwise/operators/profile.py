@@ -55,79 +55,83 @@ def profile_schema(df: DataFrame) -> DataFrame:
     return _tall(df.agg(F.lit(1)), rows)
 
 
-def _count_rows(columns: Sequence[str]) -> list[Column]:
-    n = F.col("_rows")
-    return [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            n.alias("row_count"),
-            (n - F.col(f"_n{i}")).alias("null_count"),
-            percent(n - F.col(f"_n{i}"), n).alias("null_pct"),
-        )
-        for i, c in enumerate(columns)
-    ]
+class _Columns:
+    """Aggregates over one pass and, for each column, the struct that shows its own."""
+
+    def __init__(self) -> None:
+        self.aggregates: list[Column] = []
+
+    def add(self, aggregate: Column) -> Column:
+        name = f"_a{len(self.aggregates)}"
+        self.aggregates.append(aggregate.alias(name))
+        return F.col(name)
+
+
+def _counts(columns: _Columns, names: Sequence[str]) -> dict[str, list[Column]]:
+    rows = columns.add(F.count(F.lit(1)))
+    out = {}
+    for c in names:
+        nulls = rows - columns.add(F.count(F.col(f"`{c}`")))
+        out[c] = [
+            rows.alias("row_count"), nulls.alias("null_count"),
+            percent(nulls, rows).alias("null_pct"),
+        ]
+    return out
+
+
+def _statistics(columns: _Columns, names: Sequence[str]) -> dict[str, list[Column]]:
+    return {
+        c: [
+            rounded(columns.add(aggregate(F.col(f"`{c}`").cast("double"))), 4).alias(s)
+            for s, (aggregate, rounded) in _STATISTICS.items()
+        ]
+        for c in names
+    }
+
+
+def _ranges(columns: _Columns, names: Sequence[str]) -> dict[str, list[Column]]:
+    def text(c: str, aggregate) -> Column:
+        return timestamp_text(columns.add(aggregate(F.col(f"`{c}`").cast("timestamp_ntz"))))
+
+    return {
+        c: [text(c, F.min).alias("min_text"), text(c, F.max).alias("max_text")] for c in names
+    }
+
+
+def _show(df: DataFrame, columns: _Columns, shown: dict[str, list[Column]]) -> DataFrame:
+    rows = [F.struct(F.lit(c).alias("column_name"), *cells) for c, cells in shown.items()]
+    return _tall(df.agg(*columns.aggregates), rows)
 
 
 def profile_counts(df: DataFrame) -> DataFrame:
     """Rows, nulls (NaN included) and null share of every column."""
-    df = nan_to_null(df)
-    counts = [F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(df.columns)]
-    wide = df.agg(F.count(F.lit(1)).alias("_rows"), *counts)
-    return _tall(wide, _count_rows(df.columns))
+    columns = _Columns()
+    return _show(nan_to_null(df), columns, _counts(columns, df.columns))
 
 
-def profile_temporal(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def profile_temporal(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Earliest and latest value of every date and time column, as text."""
-    columns = list(columns or temporal_columns(df))
-    stamp = [F.col(c).cast("timestamp_ntz").alias(c) for c in columns]
-    wide = df.select(*stamp).agg(
-        *[f(c).alias(f"_{f.__name__}{i}") for i, c in enumerate(columns) for f in (F.min, F.max)]
-    )
-    return _tall(
-        wide,
-        [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                timestamp_text(F.col(f"_min{i}")).alias("min_text"),
-                timestamp_text(F.col(f"_max{i}")).alias("max_text"),
-            )
-            for i, c in enumerate(columns)
-        ],
-    )
+    columns = _Columns()
+    return _show(df, columns, _ranges(columns, names or temporal_columns(df)))
+
+
+def _medians(df: DataFrame, names: Sequence[str], max_rows: int | None) -> DataFrame:
+    shown = [
+        F.struct(F.lit(c).alias("column_name"), decimals(F.col(f"`{c}`"), 4).alias("median"))
+        for c in names
+    ]
+    return _tall(exact_medians(df, [], names, max_groups=1, max_rows=max_rows), shown)
 
 
 def profile_numeric(
-    df: DataFrame, columns: Sequence[str] | None = None, max_rows: int | None = None
+    df: DataFrame, names: Sequence[str] | None = None, max_rows: int | None = None
 ) -> DataFrame:
     """Minimum, maximum, mean, sample deviation and exact median of numeric columns, at
     four decimals. One row per column; all null where a column has no value. `max_rows`
     is as in `exact_medians`."""
-    columns = list(columns or numeric_columns(df))
-    df = nan_to_null(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]))
-    wide = df.agg(
-        *[aggregate(f"`{c}`").alias(f"_{s}{i}")
-          for i, c in enumerate(columns) for s, (aggregate, _) in _STATISTICS.items()]
-    )
-    stats = _tall(
-        wide,
-        [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                *[rounded(F.col(f"_{s}{i}"), 4).alias(s)
-                  for s, (_, rounded) in _STATISTICS.items()],
-            )
-            for i, c in enumerate(columns)
-        ],
-    )
-    medians = _tall(
-        exact_medians(df, [], columns, max_groups=1, max_rows=max_rows),
-        [
-            F.struct(F.lit(c).alias("column_name"),
-                     decimals(F.col(f"`{c}`"), 4).alias("median"))
-            for c in columns
-        ],
-    )
-    return stats.join(medians, "column_name").select(
+    names, columns = list(names or numeric_columns(df)), _Columns()
+    stats = _show(nan_to_null(df), columns, _statistics(columns, names))
+    return stats.join(_medians(df, names, max_rows), "column_name").select(
         "column_name", "min", "max", "mean", "median", "std"
     )
 
@@ -158,16 +162,32 @@ def column_profile(
     max_rows: int | None = None,
 ) -> DataFrame:
     """The whole profile, one row per column in table order. Statistics that do not
-    apply to a column are null; `value_counts` is a map, most frequent first."""
-    tall = profile_schema(df).join(profile_counts(df), "column_name")
-    if numeric_columns(df):
-        tall = tall.join(profile_numeric(df, max_rows=max_rows), "column_name", "left")
-    else:
-        tall = tall.withColumns({s: F.lit(None).cast("double") for s in (*STATISTICS, "median")})
-    if temporal_columns(df):
-        tall = tall.join(profile_temporal(df), "column_name", "left")
+    apply to a column are null; `value_counts` is a map, most frequent first.
+
+    Counts, statistics and ranges of all columns are one aggregate over one scan.
+    """
+    columns = _Columns()
+    counts = _counts(columns, df.columns)
+    statistics = _statistics(columns, numeric_columns(df))
+    ranges = _ranges(columns, temporal_columns(df))
+    no_statistics = [F.lit(None).cast("double").alias(s) for s in STATISTICS]
+    no_range = [F.lit(None).cast("string").alias(c) for c in ("min_text", "max_text")]
+    shown = {
+        f.name: [
+            F.lit(i).alias("position"),
+            F.lit(f.dataType.simpleString()).alias("dtype"),
+            *counts[f.name],
+            *statistics.get(f.name, no_statistics),
+            *ranges.get(f.name, no_range),
+        ]
+        for i, f in enumerate(df.schema.fields, 1)
+    }
+    tall = _show(nan_to_null(df), columns, shown)
+    if statistics:
+        medians = _medians(df, list(statistics), max_rows)
+        tall = tall.join(medians, "column_name", "left")
     else:
-        tall = tall.withColumns({c: F.lit(None).cast("string") for c in ("min_text", "max_text")})
+        tall = tall.withColumn("median", F.lit(None).cast("double"))
     categories = [c for c in categories if c in df.columns]
     if categories:
         entry = F.struct((-F.col("n")).alias("order"), "value", "n")

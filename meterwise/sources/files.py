@@ -7,15 +7,20 @@ memory; only one row per file comes out.
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 from urllib.parse import quote
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.errors import EmptyInput, RejectedInput
 
+# The functions below travel with the job: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHUNK = 1 << 20
 
 FACTS = (
