@@ -16,6 +16,7 @@ once per pass: give a table, not a plan that is expensive to repeat.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,36 +66,34 @@ def _close_in(counts: DataFrame, group: Sequence[str], order: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Median:
+    """The median of a column per group of some keys, shown under a name."""
+
+    name: str
+    column: str
+    keys: tuple[str, ...] = ()
+
+
 def exact_medians(
     df: DataFrame,
-    keys: Sequence[str],
-    values: Sequence[str],
+    wanted: Sequence[Median],
     max_groups: int | None = None,
     max_rows: int | None = None,
 ) -> DataFrame:
-    """One row per group: the keys and the interpolated median of each value column,
-    under the value column's name. Nulls and NaN are skipped; a null key is a group.
+    """Interpolated medians in tall form: `name`, all keys that occur, `median`. Medians by
+    different keys share the passes; a key a median is not grouped by is null in its rows.
+    Nulls and NaN are skipped, a null key is a group, a group without values is absent.
 
     `max_rows` is a proven bound on the rows of `df`; without it, or above BUFFER_ROWS,
-    the passes run. `max_groups` is a proven bound on the number of groups: with it the
-    located bins are broadcast while they are few, without it Spark chooses the join.
+    the passes run. `max_groups` is a proven bound on the groups of each median: with it
+    the spans are broadcast while they are few, without it Spark chooses the join.
     """
-    if max_rows is not None and max_rows <= BUFFER_ROWS:
-        number = {v: F.col(f"`{v}`").cast("double") for v in values}
-        return df.groupBy(*keys).agg(
-            *[F.median(F.nanvl(c, F.lit(None))).alias(v) for v, c in number.items()]
-        )
-    return _by_counting(df, list(keys), list(values), max_groups)
-
-
-def _by_counting(
-    df: DataFrame, keys: list[str], values: list[str], max_groups: int | None
-) -> DataFrame:
-    group = [*keys, "_metric"]
-    # Columns go by number: a short key to hash for every value. Adding zero turns -0.0
+    keys = list(dict.fromkeys(k for m in wanted for k in m.keys))
+    # Medians go by number: a short key to hash for every value. Adding zero turns -0.0
     # into 0.0, so that both are one value.
-    numbers = [str(i) for i in range(len(values))]
-    wide = [F.col(f"`{v}`").cast("double").alias(i) for i, v in zip(numbers, values)]
+    numbers = [str(i) for i in range(len(wanted))]
+    wide = [F.col(f"`{m.column}`").cast("double").alias(i) for i, m in zip(numbers, wanted)]
     long = (
         df.select(*keys, *wide)
         .unpivot(keys, numbers, "_metric", "_value")
@@ -102,8 +101,21 @@ def _by_counting(
         .withColumn("_metric", F.col("_metric").cast("int"))
         .withColumn("_value", F.col("_value") + F.lit(0.0))
     )
-    small = max_groups is not None and max_groups * len(values) <= BROADCAST_ROWS
+    for key in keys:
+        grouped = [i for i, m in enumerate(wanted) if key in m.keys]
+        if len(grouped) < len(wanted):
+            long = long.withColumn(key, F.when(F.col("_metric").isin(grouped), F.col(key)))
+    group = [*keys, "_metric"]
+    if max_rows is not None and max_rows <= BUFFER_ROWS:
+        medians = long.groupBy(*group).agg(F.median("_value").alias("median"))
+    else:
+        small = max_groups is not None and max_groups * len(wanted) <= BROADCAST_ROWS
+        medians = _by_counting(long, group, small)
+    name = F.array(*[F.lit(m.name) for m in wanted])[F.col("_metric")]
+    return medians.select(name.alias("name"), *keys, "median")
+
 
+def _by_counting(long: DataFrame, group: list[str], small: bool) -> DataFrame:
     def between(spans: DataFrame) -> DataFrame:
         """The values inside their group's span."""
         spans = F.broadcast(spans) if small else spans
@@ -130,10 +142,6 @@ def _by_counting(
 
     found = between(spans).groupBy(*group, "_before", *_RANKS, "_value").agg(count)
     found = found.withColumns({"_from": F.col("_value"), "_to": F.col("_value")})
-    middle = _close_in(found, group, "_value")
     # One value holds both ranks, or two neighbours hold one each.
     median = (F.col("_from") + F.col("_to")) / 2
-    return middle.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_metric") == int(i), median)).alias(v)
-          for i, v in zip(numbers, values)]
-    )
+    return _close_in(found, group, "_value").select(*group, median.alias("median"))

@@ -27,6 +27,9 @@ _OPTIONAL = {
 
 ROLES = ("pu", "do")
 
+# File offsets (a path and a number) are broadcast up to this many files.
+BROADCAST_FILES = 200_000
+
 
 def fact_trips(valid: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Validated trips under model names, with the derived measures. Columns named in
@@ -94,33 +97,13 @@ def unmatched_zones(fact: DataFrame, zones: DataFrame, role: str) -> DataFrame:
     return ids.join(zones.select("location_id").distinct(), "location_id", "left_anti")
 
 
-def number_rows(df: DataFrame, key: Sequence[str], name: str, buckets: int = 16384) -> DataFrame:
-    """Dense surrogate ids 1..n, the same on every run for the same rows.
-
-    `key` must identify rows. Rows are spread over hash buckets of the key; a row's id
-    is the number of rows in earlier buckets plus its rank inside its bucket, so no
-    task sorts more than one bucket. The offsets are at most `buckets` rows, which
-    bounds both their running sum and their broadcast.
-    """
-    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).alias("_bucket")
-    sizes = df.select(bucket).groupBy("_bucket").count()
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_ahead")
-    offsets = sizes.select("_bucket", ahead)
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*key))
-    numbered = df.select("*", bucket).withColumn("_rank", rank)
-    numbered = numbered.join(F.broadcast(offsets), "_bucket", "left")
-    return numbered.select(
-        (F.col("_ahead") + F.col("_rank")).cast("bigint").alias(name), *df.columns
-    )
-
-
 def read_numbered(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A Parquet table with dense ids 1..n by position in its files, without moving any
     row: the id is the number of rows in earlier files plus the row's place in its file.
     Needs no key, so full copies of a row are no problem. The per-file counts come from
-    the footers; their running sum covers one row per file. A query that does not read the
-    id does not pay for it: Spark drops an outer join whose columns are unused."""
+    the footers; their running sum covers one row per file, and they are broadcast up to
+    BROADCAST_FILES. A query that does not read the id does not pay for it: Spark drops an
+    outer join whose columns are unused."""
     table = spark.read.parquet(path)
     place = table.select(
         "*", F.col("_metadata.file_path").alias("_file"),
@@ -129,7 +112,10 @@ def read_numbered(spark: SparkSession, path: str, name: str) -> DataFrame:
     sizes = table.groupBy(F.col("_metadata.file_path").alias("_file")).count()
     earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_ahead")
-    numbered = place.join(sizes.select("_file", ahead), "_file", "left")
+    offsets = sizes.select("_file", ahead)
+    if len(table.inputFiles()) <= BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
+    numbered = place.join(offsets, "_file", "left")
     return numbered.select(
         (F.col("_ahead") + F.col("_place") + 1).cast("bigint").alias(name), *table.columns
     )

@@ -15,7 +15,7 @@ from meterwise.functions.exprs import (
     percent,
     timestamp_text,
 )
-from meterwise.operators.median import exact_medians
+from meterwise.operators.median import Median, exact_medians
 
 TOP = 20
 
@@ -116,11 +116,10 @@ def profile_temporal(df: DataFrame, names: Sequence[str] | None = None) -> DataF
 
 
 def _medians(df: DataFrame, names: Sequence[str], max_rows: int | None) -> DataFrame:
-    shown = [
-        F.struct(F.lit(c).alias("column_name"), decimals(F.col(f"`{c}`"), 4).alias("median"))
-        for c in names
-    ]
-    return _tall(exact_medians(df, [], names, max_groups=1, max_rows=max_rows), shown)
+    medians = exact_medians(df, [Median(c, c) for c in names], max_groups=1, max_rows=max_rows)
+    return medians.select(
+        F.col("name").alias("column_name"), decimals(F.col("median"), 4).alias("median")
+    )
 
 
 def profile_numeric(
@@ -131,7 +130,7 @@ def profile_numeric(
     is as in `exact_medians`."""
     names, columns = list(names or numeric_columns(df)), _Columns()
     stats = _show(nan_to_null(df), columns, _statistics(columns, names))
-    return stats.join(_medians(df, names, max_rows), "column_name").select(
+    return stats.join(_medians(df, names, max_rows), "column_name", "left").select(
         "column_name", "min", "max", "mean", "median", "std"
     )
 

@@ -55,7 +55,7 @@ class Outputs:
     @property
     def published(self) -> dict[str, str]:
         """The outputs whose presence makes a month complete."""
-        names = ("zones", "report", "summary", "duration_speed_borough_hour",
+        names = ("zones", "report", "statistics", "summary", "duration_speed_borough_hour",
                  "duration_speed_zone_hour", "fare_consistency")
         return {"trips": self.trips, **{name: self._monthly(name) for name in names}}
 
@@ -135,20 +135,25 @@ def publish_metrics(
     bounds = metrics.zone_bounds(dim, None if on_duplicate == "allow" else rows)
     totals = report.tally_written(spark.read.parquet(out.trips), rule_set)
     counts = report.flag_counts(totals, rule_set)
+    # One row per group, shown in three tables: computed once.
+    metrics.group_statistics(enriched, bounds=bounds).repartition(1).write.mode(
+        "overwrite"
+    ).parquet(out.published["statistics"])
+    statistics = spark.read.parquet(out.published["statistics"])
     tables = {
         "summary": (
             metrics.scalar_kpis(totals).unionByName(metrics.flag_kpis(counts)),
             ["kpi_component", "group", "metric_name"],
         ),
         "duration_speed_borough_hour": (
-            metrics.duration_speed_by_borough_hour(enriched, bounds),
+            metrics.show_duration_speed(statistics, metrics.BOROUGH_HOUR),
             ["pu_borough", "pickup_hour"],
         ),
         "duration_speed_zone_hour": (
-            metrics.duration_speed_by_zone_hour(enriched, bounds),
+            metrics.show_duration_speed(statistics, metrics.ZONE_HOUR),
             ["pu_borough", "pu_zone", "pickup_hour"],
         ),
-        "fare_consistency": (metrics.fare_consistency(enriched, bounds), ["pu_borough"]),
+        "fare_consistency": (metrics.show_fare_consistency(statistics), ["pu_borough"]),
     }
     for name, (table, order) in tables.items():
         sinks.write_csv(table, out.published[name], order)

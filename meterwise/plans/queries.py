@@ -356,7 +356,10 @@ def unmatched_zones(spark, sf_dir):
 
 @query
 def surrogate_key(spark, sf_dir):
-    return model.number_rows(_fact(spark, sf_dir), ["event_id"], "trip_id").select("trip_id")
+    path = scratch_folder(spark, "validated")
+    rules.valid_rows(src.flagged_events(spark, sf_dir)).write.parquet(path)
+    numbered = model.read_numbered(spark, path, "trip_id")
+    return model.fact_trips(numbered, carry=["trip_id"]).select("trip_id")
 
 
 @query

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from meterwise.errors import DuplicateKeys, EmptyInput
 from meterwise.operators import metrics, model, profile, report, rules
-from meterwise.operators.median import BUFFER_ROWS, exact_medians
+from meterwise.operators.median import BUFFER_ROWS, Median, exact_medians
 from meterwise.plans.derived_trips import next_time
 from meterwise.sources.guards import guard_empty
 from trip_rows import at, frame, trip, zones
@@ -46,23 +46,41 @@ def _median_rows():
 def test_medians_are_exact(spark, bounds, keys):
     rows = _median_rows()
     df = spark.createDataFrame(rows, "k STRING, h INT, a DOUBLE, b DOUBLE")
+    expected = _expected(rows, keys, ["a", "b"])
+    wanted = [Median("A", "a", tuple(keys)), Median("B", "b", tuple(keys))]
+    out = exact_medians(df, wanted, **bounds).collect()
+    assert len(out) == len(expected)
+    assert {(r["name"].lower(), tuple(r[c] for c in keys)): r["median"] for r in out} == expected
+
+
+def _expected(rows, keys, names):
     values = defaultdict(list)
-    for k, h, a, b in rows:
-        key = tuple({"k": k, "h": h}[c] for c in keys)
-        for name, x in (("a", a), ("b", b)):
+    for row in rows:
+        named = dict(zip("khab", row))
+        for name in names:
+            x = named[name]
             if x is not None and not math.isnan(x):
-                values[key, name].append(x)
-    out = {tuple(r[c] for c in keys): r for r in exact_medians(df, keys, ["a", "b"], **bounds).collect()}
-    for key in {k for k, _ in values}:
-        for name in ("a", "b"):
-            expected = statistics.median(values[key, name]) if values[key, name] else None
-            assert out[key][name] == expected, (key, name)
+                values[name, tuple(named[c] for c in keys)].append(x)
+    return {group: statistics.median(xs) for group, xs in values.items()}
+
+
+@pytest.mark.parametrize("bounds", [{}, {"max_groups": 50}, {"max_rows": BUFFER_ROWS}])
+def test_medians_by_different_keys_share_passes(spark, bounds):
+    rows = _median_rows()
+    df = spark.createDataFrame(rows, "k STRING, h INT, a DOUBLE, b DOUBLE")
+    sets = {"kh": ("k", "h"), "k": ("k",), "all": ()}
+    wanted = [Median(name, "a", keys) for name, keys in sets.items()]
+    out = exact_medians(df, wanted, **bounds).collect()
+    for name, keys in sets.items():
+        got = {("a", tuple(r[c] for c in keys)): r["median"] for r in out if r["name"] == name}
+        assert got == _expected(rows, keys, ["a"])
+    assert all(r["h"] is None for r in out if r["name"] == "k")
 
 
 def test_medians_of_nothing(spark):
     empty = spark.createDataFrame([], "k STRING, a DOUBLE")
-    assert exact_medians(empty, ["k"], ["a"]).collect() == []
-    assert [tuple(r) for r in exact_medians(empty, [], ["a"]).collect()] == [(None,)]
+    assert exact_medians(empty, [Median("a", "a", ("k",))]).collect() == []
+    assert exact_medians(empty, [Median("a", "a")]).collect() == []
 
 
 @pytest.mark.parametrize("task_rows", [10, 100, 10_000])
@@ -87,14 +105,6 @@ def test_next_time_with_a_hot_key(spark, task_rows):
     assert len(out) == len(rows)
 
 
-def test_number_rows_is_dense_and_repeatable(spark):
-    df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
-    first = {r["k"]: r["n"] for r in model.number_rows(df, ["k"], "n", 64).collect()}
-    again = {r["k"]: r["n"] for r in model.number_rows(df.repartition(13), ["k"], "n", 64).collect()}
-    assert sorted(first.values()) == list(range(1, 5001))
-    assert first == again
-
-
 def test_read_numbered_counts_copies(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).select((F.col("id") * 0).alias("v")).repartition(7).write.parquet(path)
@@ -257,6 +267,18 @@ def test_metrics_against_pandas(enriched, bounds):
         assert r["fare_per_mile_outlier_pct"] == pytest.approx(100 * outliers / fpm.count(), abs=1e-3)
 
 
+def test_shared_statistics_show_the_same_tables(enriched):
+    shared = metrics.group_statistics(enriched).cache()
+    pairs = [
+        (metrics.show_duration_speed(shared, metrics.BOROUGH_HOUR), metrics.duration_speed_by_borough_hour(enriched)),
+        (metrics.show_duration_speed(shared, metrics.ZONE_HOUR), metrics.duration_speed_by_zone_hour(enriched)),
+        (metrics.show_fare_consistency(shared), metrics.fare_consistency(enriched)),
+    ]
+    for shown, alone in pairs:
+        assert shown.columns == alone.columns
+        assert sorted(map(str, shown.collect())) == sorted(map(str, alone.collect()))
+
+
 def test_null_hour_is_a_group_of_its_own(spark):
     rows = [trip(id=i, pickup=None, pu=1) for i in range(3)] + [trip(id=9, pu=1)]
     flagged = rules.flag_rows(frame(spark, rows), zones(spark), "2025-01")
