@@ -86,41 +86,102 @@ def exact_medians(
     Nulls and NaN are skipped, a null key is a group, a group without values is absent.
 
     `max_rows` is a proven bound on the rows of `df`; without it, or above BUFFER_ROWS,
-    the passes run. `max_groups` is a proven bound on the groups of each median: with it
-    the spans are broadcast while they are few, without it Spark chooses the join.
+    the passes run. `max_groups` is a proven bound on the distinct keys: while they are
+    few, they are numbered and broadcast, so that the passes hash numbers; otherwise the
+    passes hash the keys themselves and Spark chooses the joins.
     """
     keys = list(dict.fromkeys(k for m in wanted for k in m.keys))
-    # Medians go by number: a short key to hash for every value. Adding zero turns -0.0
-    # into 0.0, so that both are one value.
+    # Medians go by number too. Adding zero turns -0.0 into 0.0, one value with it.
     numbers = [str(i) for i in range(len(wanted))]
     wide = [F.col(f"`{m.column}`").cast("double").alias(i) for i, m in zip(numbers, wanted)]
-    long = (
-        df.select(*keys, *wide)
-        .unpivot(keys, numbers, "_metric", "_value")
-        .where(F.col("_value").isNotNull() & ~F.isnan("_value"))
-        .withColumn("_metric", F.col("_metric").cast("int"))
-        .withColumn("_value", F.col("_value") + F.lit(0.0))
-    )
+    rows = df.select(*keys, *wide)
+
+    def tall(rows: DataFrame, ids: list[str]) -> DataFrame:
+        return (
+            rows.unpivot(ids, numbers, "_metric", "_value")
+            .where(F.col("_value").isNotNull() & ~F.isnan("_value"))
+            .withColumn("_metric", F.col("_metric").cast("int"))
+            .withColumn("_value", F.col("_value") + F.lit(0.0))
+        )
+
+    buffered = max_rows is not None and max_rows <= BUFFER_ROWS
+    few = max_groups is not None and max_groups * len(wanted) <= BROADCAST_ROWS
+    name = F.array(*[F.lit(m.name) for m in wanted])[F.col("_metric")].alias("name")
+    if few and not buffered:
+        cells = _cells(df, wanted, keys)
+        codes = [c for c in cells.columns if c not in keys]
+        if keys:
+            rows = same_keys_join(rows, F.broadcast(cells), keys)
+        else:
+            rows = rows.withColumn(codes[0], F.lit(0))
+        long = tall(rows, codes).select(_cell(wanted).alias("_cell"), "_value")
+        medians = _by_counting(long, ["_cell"], few)
+        return _named(medians, cells, wanted, keys).select(name, *keys, "median")
+
+    long = tall(rows, keys)
     for key in keys:
         grouped = [i for i, m in enumerate(wanted) if key in m.keys]
         if len(grouped) < len(wanted):
             long = long.withColumn(key, F.when(F.col("_metric").isin(grouped), F.col(key)))
     group = [*keys, "_metric"]
-    if max_rows is not None and max_rows <= BUFFER_ROWS:
+    if buffered:
         medians = long.groupBy(*group).agg(F.median("_value").alias("median"))
     else:
-        small = max_groups is not None and max_groups * len(wanted) <= BROADCAST_ROWS
-        medians = _by_counting(long, group, small)
-    name = F.array(*[F.lit(m.name) for m in wanted])[F.col("_metric")]
-    return medians.select(name.alias("name"), *keys, "median")
+        medians = _by_counting(long, group, False)
+    return medians.select(name, *keys, "median")
+
+
+def _code(m: Median) -> str:
+    """The column that numbers the groups of a median's keys."""
+    return "_".join(["_group", *m.keys])
+
+
+def _cells(df: DataFrame, wanted: Sequence[Median], keys: list[str]) -> DataFrame:
+    """Every distinct combination of the keys, with the number of its group for each set
+    of keys. One task numbers them: their count is bounded by the caller."""
+    cells = df.select(*keys).distinct()
+    return cells.withColumns(
+        {
+            _code(m): F.dense_rank().over(Window.orderBy(*m.keys)) if m.keys else F.lit(0)
+            for m in wanted
+        }
+    )
+
+
+def _cell(wanted: Sequence[Median]) -> Column:
+    """One number for a group and a median: group number times medians plus median."""
+    metric = F.col("_metric")
+    by_code: dict[str, list[int]] = {}
+    for i, m in enumerate(wanted):
+        by_code.setdefault(_code(m), []).append(i)
+    *others, last = by_code
+    group = F.col(last)
+    for code in others:
+        group = F.when(metric.isin(by_code[code]), F.col(code)).otherwise(group)
+    return group.cast("bigint") * len(wanted) + metric
+
+
+def _named(
+    medians: DataFrame, cells: DataFrame, wanted: Sequence[Median], keys: list[str]
+) -> DataFrame:
+    """Cell numbers back to median numbers and keys."""
+    if not keys:
+        return medians.withColumn("_metric", F.col("_cell").cast("int"))
+    metric = F.explode(F.array(*[F.lit(i) for i in range(len(wanted))])).alias("_metric")
+    meaning = cells.select("*", metric).withColumn("_cell", _cell(wanted))
+    for key in keys:
+        grouped = [i for i, m in enumerate(wanted) if key in m.keys]
+        meaning = meaning.withColumn(key, F.when(F.col("_metric").isin(grouped), F.col(key)))
+    meaning = meaning.select("_cell", "_metric", *keys).distinct()
+    return medians.join(meaning, "_cell")
 
 
-def _by_counting(long: DataFrame, group: list[str], small: bool) -> DataFrame:
+def _by_counting(long: DataFrame, group: list[str], few: bool) -> DataFrame:
     def between(spans: DataFrame) -> DataFrame:
         """The values inside their group's span."""
-        spans = F.broadcast(spans) if small else spans
+        spans = F.broadcast(spans) if few else spans
         span = F.col("_value").between(F.col("_from"), F.col("_to"))
-        return same_keys_join(long, spans, group, never_null=["_metric"]).where(span)
+        return same_keys_join(long, spans, group, never_null=["_metric", "_cell"]).where(span)
 
     count = F.count(F.lit(1)).alias("_n")
     ends = [F.min("_value").alias("_from"), F.max("_value").alias("_to")]
