@@ -1,8 +1,13 @@
 """The monthly job: landed files to validated trips, report, star model and KPI tables.
 
-Stages hand over tables, so a lost executor costs the tasks it ran and nothing else:
-the raw files are evaluated once, into a table that holds both the valid and the
-excluded rows; report and KPIs read that table.
+Three steps hand over tables, so a lost executor costs the tasks it ran and nothing else:
+
+* ingest compares the landed files with the manifest and publishes the zone dimension,
+* validate evaluates the rules once, into a table that holds valid and excluded rows,
+* metrics reads that table.
+
+Each of the last two ends by noting the checksums of the files it was built from. It is
+skipped while its outputs are committed and the note equals the manifest.
 """
 
 from __future__ import annotations
@@ -25,6 +30,17 @@ from meterwise.sources.trips import scan_trips
 log = logging.getLogger("meterwise")
 
 
+# The steps in order, with what each publishes.
+STEPS = {
+    "ingest": ("zones",),
+    "validate": ("trips", "report"),
+    "metrics": (
+        "statistics", "summary", "duration_speed_borough_hour", "duration_speed_zone_hour",
+        "fare_consistency",
+    ),
+}
+
+
 @dataclass(frozen=True)
 class Outputs:
     """Where a job keeps its tables, all below one root."""
@@ -52,44 +68,98 @@ class Outputs:
     def _monthly(self, name: str) -> str:
         return f"{self.root}/{name}/{self.month}"
 
+    def built_from(self, step: str) -> str:
+        return self._monthly(f"built_from/{step}")
+
     @property
     def published(self) -> dict[str, str]:
-        """The outputs whose presence makes a month complete."""
-        names = ("zones", "report", "statistics", "summary", "duration_speed_borough_hour",
-                 "duration_speed_zone_hour", "fare_consistency")
+        """The outputs that make a month complete."""
+        names = [name for step in STEPS.values() for name in step if name != "trips"]
         return {"trips": self.trips, **{name: self._monthly(name) for name in names}}
 
 
 def ingest(
-    spark: SparkSession, month: str, facts: DataFrame, out: Outputs, force: bool
-) -> DataFrame:
-    """Compare the inspected files with the manifest and return the names of those to
-    load, none if nothing changed. Unreadable files go to the rejects and stop the job."""
-    files.require_readable(facts, out.rejects)
+    spark: SparkSession,
+    month: str,
+    trips_path: str,
+    zone_sources: Sequence[zones.Source],
+    out: Outputs,
+    force: bool = False,
+) -> None:
+    """Bring the manifest and the zone dimension up to date. Unreadable files go to the
+    rejects and stop the job."""
+    guard_inputs(spark, {"trips": trips_path})
+    started = time.time()
+    dim, (mode, kind, zone_path) = zones.read_zones(spark, zone_sources)
+    log.info("zones from %s", mode)
+    if kind == "json":
+        skipped = zones.skipped_zones_json(spark, zone_path).count()
+        if skipped:
+            log.warning("%d zone records without an integer id are left out", skipped)
+    # One small row per file, read several times; a lost block is inspected again.
+    trip_files = files.inspect_files(spark, trips_path).persist()
+    zone_files = zones.source_facts(spark, kind, zone_path).persist()
+    decisions = files.decide_loads(
+        trip_files.unionByName(zone_files), _inputs(spark, out), force
+    ).persist()
+    try:
+        files.require_readable(trip_files, out.rejects)
+        changed = decisions.where("decision = 'changed'").limit(10).collect()
+        if changed:
+            names = ", ".join(r["file_name"] for r in changed)
+            log.warning("content differs from the manifest, loading again: %s", names)
+        load = files.files_to_load(decisions).select("file_name")
+        gone = decisions.where("decision = 'missing'").select("file_name")
+        elapsed = round(time.time() - started, 1)
+        for facts, source, how, what in (
+            (trip_files, "S1", "bulk_parquet", "trip records"),
+            (zone_files, "S2" if kind == "json" else "S3", mode, "zone lookup"),
+        ):
+            new = facts.join(load, "file_name", "left_semi")
+            if not new.isEmpty():
+                entries = files.manifest_rows(new, source, how, what, month, elapsed)
+                files.record(entries, out.manifest)
+        if not gone.isEmpty():
+            files.forget(gone, out.manifest, month)
+    finally:
+        # Spark tells listings apart by path only: left cached, these would hide new files.
+        for cached in (decisions, trip_files, zone_files):
+            cached.unpersist()
+    dim.repartition(1).write.mode("overwrite").parquet(out.published["zones"])
+
+
+def _inputs(spark: SparkSession, out: Outputs) -> DataFrame:
+    """(filename, sha256) of the month's files in the manifest."""
     if path_exists(spark, out.manifest):
-        known = files.read_manifest(spark, out.manifest).where(F.col("month") == month)
+        entries = files.read_manifest(spark, out.manifest).where(F.col("month") == out.month)
     else:
-        known = spark.createDataFrame([], files.MANIFEST)
-    decisions = files.decide_loads(facts, known, force)
-    changed = decisions.where("decision = 'changed'").limit(10).collect()
-    if changed:
-        names = ", ".join(r["file_name"] for r in changed)
-        log.warning("content differs from the manifest, loading again: %s", names)
-    return files.files_to_load(decisions).select("file_name")
+        entries = spark.createDataFrame([], files.MANIFEST)
+    return entries.select("filename", "sha256")
+
+
+def _up_to_date(spark: SparkSession, out: Outputs, step: str) -> bool:
+    """Whether a step's outputs are committed and built from the manifest's files."""
+    note = out.built_from(step)
+    if not outputs_done(spark, [note, *[out.published[name] for name in STEPS[step]]]):
+        return False
+    built, now = spark.read.parquet(note), _inputs(spark, out)
+    return built.exceptAll(now).isEmpty() and now.exceptAll(built).isEmpty()
 
 
 def validate(
     spark: SparkSession,
     month: str,
-    trips: DataFrame,
-    dim: DataFrame,
+    trips_path: str,
     out: Outputs,
-    rule_set: Sequence[rules.Rule],
-    limits: rules.Limits,
+    rule_set: Sequence[rules.Rule] = rules.TRIP_RULES,
+    limits: rules.Limits = rules.Limits(),
 ) -> None:
     """Flag every row once and publish valid and excluded rows in one write; then
     profile the raw rows and write the report."""
+    guard_inputs(spark, {"trips": trips_path, "zones": out.published["zones"]})
     started = time.time()
+    trips = scan_trips(spark, trips_path)
+    dim = spark.read.parquet(out.published["zones"])
     flagged = rules.flag_rows(trips, dim, month, rule_set, limits)
     valid = ~rules.any_flag(rule_set, rules.HARD)
     marked = flagged.withColumn("valid", valid)
@@ -124,8 +194,12 @@ def register_model(
 
 
 def publish_metrics(
-    spark: SparkSession, out: Outputs, rule_set: Sequence[rules.Rule], on_duplicate: str
+    spark: SparkSession,
+    out: Outputs,
+    rule_set: Sequence[rules.Rule] = rules.TRIP_RULES,
+    on_duplicate: str = "error",
 ) -> None:
+    """Build the model and publish the KPI tables."""
     enriched, rows = register_model(spark, out, on_duplicate)
     dim = spark.table("dim_zones")
     unmatched = enriched.where(F.col("pu_borough").isNull()).count()
@@ -163,44 +237,37 @@ def run_month(
     spark: SparkSession,
     month: str,
     trips_path: str,
-    zone_sources: Sequence[tuple[str, str, str]],
+    zone_sources: Sequence[zones.Source],
     root: str,
     force: bool = False,
+    step: str | None = None,
     rule_set: Sequence[rules.Rule] = rules.TRIP_RULES,
     limits: rules.Limits = rules.Limits(),
     on_duplicate: str = "error",
 ) -> dict[str, str]:
-    """Run a month and return its output paths. A month whose outputs are all committed
-    and whose files match the manifest is left alone unless `force` is set; `force`
-    re-reads every source, the zones included.
-
-    `zone_sources` is the order of preference, `(mode, json|csv, path)` each.
-    """
+    """Run a month, or one step of it, and return the output paths. Steps that are up to
+    date are left alone unless `force` is set; `force` re-reads every source, the zones
+    included. `zone_sources` is in order of preference."""
     check_month(month)
+    if step is not None and step not in STEPS:
+        raise ValueError(f"step: one of {', '.join(STEPS)}, not {step!r}")
     apply_settings(spark)
     out = Outputs(root.rstrip("/"), month)
-    guard_inputs(spark, {"trips": trips_path})
-    started = time.time()
-    # One small row per file, read several times; a lost block is inspected again.
-    facts = files.inspect_files(spark, trips_path).persist()
-    try:
-        load = ingest(spark, month, facts, out, force)
-        if load.isEmpty() and outputs_done(spark, list(out.published.values())):
-            log.info("%s is complete and unchanged, nothing to do", month)
-            return out.published
-        trips = scan_trips(spark, trips_path)
-        dim, mode = zones.read_zones(spark, zone_sources)
-        log.info("zones from %s", mode)
-        dim.coalesce(1).write.mode("overwrite").parquet(out.published["zones"])
-        dim = spark.read.parquet(out.published["zones"])
-        validate(spark, month, trips, dim, out, rule_set, limits)
-        publish_metrics(spark, out, rule_set, on_duplicate)
-        # Last, so that a run that failed half-way is not taken for done.
-        entries = files.manifest_rows(
-            facts.join(load, "file_name", "left_semi"),
-            "S1", "bulk_parquet", "trip records", month, round(time.time() - started, 1),
-        )
-        files.record(entries, out.manifest)
-        return out.published
-    finally:
-        facts.unpersist()
+    work = {
+        "ingest": lambda: ingest(spark, month, trips_path, zone_sources, out, force),
+        "validate": lambda: validate(spark, month, trips_path, out, rule_set, limits),
+        "metrics": lambda: publish_metrics(spark, out, rule_set, on_duplicate),
+    }
+    for name in STEPS:
+        if step not in (None, name):
+            continue
+        if name != "ingest" and not force and _up_to_date(spark, out, name):
+            log.info("%s of %s is up to date", name, month)
+            continue
+        work[name]()
+        if name != "ingest":
+            note = _inputs(spark, out)
+            note.write.mode("overwrite").parquet(out.built_from(name))
+    for row in sinks.output_inventory(spark, out.root, list(out.published)).collect():
+        log.info("%s: %s", row["output"], f"{row['kb']} KB" if row["present"] else "missing")
+    return out.published

@@ -350,6 +350,8 @@ def statements() -> dict[str, str]:
         "dim_zones": zones + "SELECT * FROM zones",
         "dim_zones_csv": zones + "SELECT * FROM zones",
         "zone_source_mode": zones + "SELECT *, 'csv_fallback' AS zone_lookup_mode FROM zones",
+        "zone_manifest": zones + """SELECT 'S3' AS source, 'csv_fallback' AS retrieval_mode,
+  count(*) AS row_count, 'LocationID,Borough,Zone' AS columns FROM zones""",
         "profile_counts": TRIP + _counts("trips", _TRIP_COLUMNS),
         "profile_temporal": TRIP + times,
         "profile_numeric": TRIP + numbers,

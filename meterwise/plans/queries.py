@@ -148,10 +148,19 @@ def dim_zones_csv(spark, sf_dir):
 def zone_source_mode(spark, sf_dir):
     csv = _zones_as(spark, sf_dir, "csv")
     candidates = [("api_json", "json", f"{csv}-absent"), ("csv_fallback", "csv", csv)]
-    dim, mode = zones.read_zones(spark, candidates)
+    dim, (mode, _, _) = zones.read_zones(spark, candidates)
     return dim.withColumn("zone_lookup_mode", F.lit(mode))
 
 
+@query
+def zone_manifest(spark, sf_dir):
+    facts = zones.source_facts(spark, "csv", _zones_as(spark, sf_dir, "csv"))
+    entries = files.manifest_rows(facts, "S3", "csv_fallback", "zone lookup")
+    return entries.select(
+        "source", "retrieval_mode", "row_count", F.concat_ws(",", "columns").alias("columns")
+    ).distinct()
+
+
 # --- profile ----------------------------------------------------------------
 
 

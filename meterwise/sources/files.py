@@ -190,11 +190,28 @@ def record(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
+def forget(names: DataFrame, path: str, month: str | None = None) -> None:
+    """Add an entry without a checksum for each `file_name` that is gone."""
+    schema = [c.split() for c in MANIFEST.split(", ")]
+    known = {
+        "entry": F.col("file_name"),
+        "filename": F.col("file_name"),
+        "month": F.lit(month),
+        "downloaded_at": F.current_timestamp(),
+    }
+    record(
+        names.select(
+            *[known.get(c, F.lit(None)).cast(t).alias(c) for c, t in schema]
+        ),
+        path,
+    )
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest entry of every file."""
+    """The newest entry of every file that is not gone."""
     log = spark.read.schema(MANIFEST).json(path)
     newest = F.max_by(F.struct(*log.columns), "downloaded_at").alias("m")
-    return log.groupBy("entry").agg(newest).select("m.*")
+    return log.groupBy("entry").agg(newest).select("m.*").where(F.col("sha256").isNotNull())
 
 
 def decide_loads(current: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:

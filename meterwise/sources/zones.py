@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.errors import MeterwiseError, MissingInput
+from meterwise.sources.files import file_checksums
 from meterwise.sources.guards import guard_empty, path_exists
 
 UNKNOWN = "Unknown"
@@ -59,19 +60,41 @@ def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
 READERS = {"json": read_zones_json, "csv": read_zones_csv}
 
 
-def read_zones(
-    spark: SparkSession, candidates: Sequence[tuple[str, str, str]]
-) -> tuple[DataFrame, str]:
-    """The first usable of `(mode, format, path)` and its mode. A source that is missing,
-    unreadable or empty falls through to the next one; the model and the validation both
+Source = tuple[str, str, str]
+"""How a lookup was retrieved, its format (json or csv), and its path."""
+
+
+def read_zones(spark: SparkSession, sources: Sequence[Source]) -> tuple[DataFrame, Source]:
+    """The zones of the first usable source, and that source. One that is missing,
+    unreadable or empty falls through to the next; the model and the validation both
     read whatever was chosen."""
     reasons = []
-    for mode, kind, path in candidates:
+    for mode, kind, path in sources:
         if not path_exists(spark, path):
             reasons.append(f"{mode}: {path} does not exist")
             continue
         try:
-            return guard_empty(READERS[kind](spark, path), f"zone source {mode}"), mode
+            return guard_empty(READERS[kind](spark, path), f"zone source {mode}"), (
+                mode, kind, path,
+            )
         except (MeterwiseError, AnalysisException) as error:
             reasons.append(f"{mode}: {error}")
     raise MissingInput("no usable zone source; " + "; ".join(reasons))
+
+
+def source_facts(spark: SparkSession, kind: str, path: str) -> DataFrame:
+    """The files of a lookup in the shape of `files.FACTS`, with the number of records
+    and all columns of the source, read or not."""
+    reader = spark.read.option("header", True).option("multiLine", True)
+    raw = reader.csv(path) if kind == "csv" else reader.json(path)
+    return file_checksums(spark, path, "*").select(
+        F.lit(path).alias("file_path"),
+        "file_name",
+        "file_size_bytes",
+        F.lit(raw.count()).cast("bigint").alias("row_count"),
+        F.lit(None).cast("int").alias("num_row_groups"),
+        F.array(*[F.lit(c) for c in raw.columns]).alias("columns"),
+        *[F.lit(None).cast("string").alias(c) for c in ("range_min", "range_max")],
+        "sha256",
+        F.lit(None).cast("string").alias("error"),
+    )

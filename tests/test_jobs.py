@@ -63,8 +63,8 @@ def test_zone_fallback(spark, tmp_path):
     csv.write_text("LocationID,Borough,Zone\n1,East,A\n")
     empty = land_zones(tmp_path, [])
     for first in (empty, str(tmp_path / "absent.json")):
-        dim, mode = zones.read_zones(spark, [("api", "json", first), ("csv", "csv", str(csv))])
-        assert mode == "csv" and dim.count() == 1
+        dim, chosen = zones.read_zones(spark, [("api", "json", first), ("csv", "csv", str(csv))])
+        assert chosen == ("csv", "csv", str(csv)) and dim.count() == 1
     with pytest.raises(MissingInput, match="absent"):
         zones.read_zones(spark, [("api", "json", str(tmp_path / "absent.json"))])
 
@@ -209,11 +209,43 @@ def test_second_run_is_skipped_until_forced_or_changed(spark, month):
     forced = stamp(spark, out["trips"])
     assert forced > written
     manifest = str(month.root / "out" / "manifest")
-    assert spark.read.json(manifest).count() == 6 and files.read_manifest(spark, manifest).count() == 3
+    assert spark.read.json(manifest).count() == 8 and files.read_manifest(spark, manifest).count() == 4
     land_trips(spark, month.root / "raw", [trip()], 1)
     month()
-    assert stamp(spark, out["trips"]) > forced
+    added = stamp(spark, out["trips"])
+    assert added > forced
     assert spark.read.parquet(out["trips"]).count() == 46
+    # A file that goes away, and zones that change, count as changes too.
+    gone = next((month.root / "raw").glob("part-00000-*.parquet"))
+    gone.rename(month.root / gone.name)
+    month()
+    removed = stamp(spark, out["trips"])
+    assert removed > added and spark.read.parquet(out["trips"]).count() < 46
+    land_zones(month.root, RECORDS[:2])
+    month()
+    assert stamp(spark, out["trips"]) > removed
+
+
+def test_zone_source_in_the_manifest(spark, month):
+    month()
+    log = files.read_manifest(spark, str(month.root / "out" / "manifest"))
+    entry = log.where("source = 'S2'").head()
+    assert entry["retrieval_mode"] == "api_json" and entry["row_count"] == len(RECORDS)
+    assert set(entry["columns"]) == {"the_geom", "zone", "locationid", "borough"}
+
+
+def test_single_steps(spark, month):
+    with pytest.raises(MissingInput):
+        month(step="metrics")
+    with pytest.raises(ValueError, match="step"):
+        month(step="download")
+    month(step="ingest")
+    out = month(step="validate")
+    assert outputs_done(spark, [out["trips"], out["report"]])
+    assert not outputs_done(spark, [out["summary"]])
+    validated = stamp(spark, out["trips"])
+    month()
+    assert outputs_done(spark, list(out.values())) and stamp(spark, out["trips"]) == validated
 
 
 def test_month_without_excluded_rows_replaces_them(spark, month):
