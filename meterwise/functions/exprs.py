@@ -71,13 +71,16 @@ def timestamp_text(ts: Column) -> Column:
     )
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """NaN sorts above every number in Spark; the rules treat it as missing."""
+def without_nan(df: DataFrame) -> dict[str, Column]:
+    """The floating-point columns with NaN as null: NaN sorts above every number in Spark,
+    the rules and the profile treat it as missing."""
     floats = [
         f.name
         for f in df.schema.fields
         if isinstance(f.dataType, (T.DoubleType, T.FloatType))
     ]
-    return df.withColumns(
-        {c: F.nanvl(F.col(f"`{c}`"), F.lit(None).cast("double")) for c in floats}
-    )
+    return {c: F.nanvl(F.col(f"`{c}`"), F.lit(None).cast("double")) for c in floats}
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    return df.withColumns(without_nan(df))

@@ -67,7 +67,7 @@ def enrich(
     dimension and raises, `first` keeps the alphabetically first zone of an id, `allow`
     joins as is. Except for `allow`, the join key is visibly distinct, so Spark drops the
     join of a role no query column comes from. The join carries no hint; see
-    `rules._mark_known_zones`.
+    `rules._join_known_zones`.
     """
     if on_duplicate == "error":
         check_unique(zones, "location_id")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.errors import SchemaDrift
-from meterwise.functions.exprs import is_true, minutes_between, month_bounds, nan_to_null
+from meterwise.functions.exprs import is_true, minutes_between, month_bounds, without_nan
 
 HARD = "hard"
 SOFT = "soft"
@@ -107,7 +107,8 @@ TRIP_RULES: tuple[Rule, ...] = (
     Rule("location_unknown", HARD, lambda lim, *_: _unknown_zone(lim)),
     Rule(
         "location_invalid", HARD,
-        lambda lim, *_: ~(F.col(PU_KNOWN) & F.col(DO_KNOWN)) & ~_unknown_zone(lim),
+        lambda lim, *_: (F.col(PU_KNOWN).isNull() | F.col(DO_KNOWN).isNull())
+        & ~_unknown_zone(lim),
     ),
     Rule("fare_per_mile_outlier", SOFT, lambda lim, *_: _fare_per_mile_outlier(lim)),
     Rule(
@@ -129,8 +130,8 @@ def check_columns(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) ->
         raise SchemaDrift(f"schema drift: required columns missing: {', '.join(missing)}")
 
 
-def _mark_known_zones(trips: DataFrame, zones: DataFrame, limits: Limits) -> DataFrame:
-    """Add one boolean per role: is the id in the lookup or a documented unknown?
+def _join_known_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Look both zone ids up; the column of a role is null where its id is not known.
 
     The id set is distinct, so neither join can multiply rows. No hint is given: Spark
     broadcasts the ids while they are below its threshold, and beyond it shuffles both
@@ -138,12 +139,9 @@ def _mark_known_zones(trips: DataFrame, zones: DataFrame, limits: Limits) -> Dat
     """
     ids = zones.select(F.col("location_id").cast("int").alias("_id"))
     ids = ids.where(F.col("_id").isNotNull()).distinct()
-    documented = list(limits.unknown_zones)
     for zone, known in ((PU_ZONE, PU_KNOWN), (DO_ZONE, DO_KNOWN)):
-        side = ids.select(F.col("_id").alias(f"{known}_id"))
-        trips = trips.join(side, _code(zone) == F.col(f"{known}_id"), "left")
-        matched = F.col(f"{known}_id").isNotNull() | _code(zone).isin(documented)
-        trips = trips.withColumn(known, matched).drop(f"{known}_id")
+        side = ids.withColumnRenamed("_id", known)
+        trips = trips.join(side, _code(zone) == side[known], "left")
     return trips
 
 
@@ -163,12 +161,16 @@ def flag_rows(
     check_columns(trips)
     month = F.lit(month) if isinstance(month, str) else month
     start, end = month_bounds(month)
-    trips = nan_to_null(trips).withColumns(
-        {PICKUP: F.col(PICKUP).cast("timestamp_ntz"),
-         DROPOFF: F.col(DROPOFF).cast("timestamp_ntz")}
+    pickup, dropoff = (F.col(c).cast("timestamp_ntz") for c in (PICKUP, DROPOFF))
+    trips = trips.withColumns(
+        {
+            **without_nan(trips),
+            PICKUP: pickup,
+            DROPOFF: dropoff,
+            DURATION: minutes_between(pickup, dropoff),
+        }
     )
-    trips = trips.withColumn(DURATION, minutes_between(F.col(PICKUP), F.col(DROPOFF)))
-    trips = _mark_known_zones(trips, zones, limits)
+    trips = _join_known_zones(trips, zones)
     trips = trips.withColumns({r.column: is_true(r.test(limits, start, end)) for r in rules})
     names = [F.when(F.col(r.column), F.lit(r.name)) for r in rules]
     return trips.withColumn(FLAGS, F.concat_ws("|", *names)).drop(PU_KNOWN, DO_KNOWN)

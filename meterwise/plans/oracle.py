@@ -353,6 +353,11 @@ def statements() -> dict[str, str]:
         "zone_manifest": zones + """SELECT 'S3' AS source, 'csv_fallback' AS retrieval_mode,
   count(*) AS row_count, 'LocationID,Borough,Zone' AS columns FROM zones""",
         "profile_counts": TRIP + _counts("trips", _TRIP_COLUMNS),
+        "profile_schema": """
+SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name,
+  CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+    WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS dtype
+FROM (DESCRIBE """ + TRIP + """SELECT * FROM trips)""",
         "profile_temporal": TRIP + times,
         "profile_numeric": TRIP + numbers,
         "profile_lineitem": _numeric_of(
@@ -402,6 +407,19 @@ SELECT event_id, CASE WHEN hard THEN 'excluded' WHEN soft THEN 'flagged' ELSE 'c
 SELECT flag, severity, n, round(100.0::DOUBLE * n / raw, 3) AS pct_of_raw
 FROM ({_flag_counts()}) WHERE n > 0""",
         "rule_annotations": FLAG + _annotations(),
+        "report_document": FLAG + "SELECT " + ", ".join(
+            [
+                "CAST(count(*) AS DOUBLE) AS counts_rows_in_raw",
+                "CAST(count(*) FILTER (hard) AS DOUBLE) AS counts_rows_hard_flagged",
+                "CAST(count(*) FILTER (NOT hard) AS DOUBLE) AS counts_rows_valid_out",
+                *[f"CAST(count(*) FILTER (flag_{r}) AS DOUBLE) AS flag_counts_{r}"
+                  for r in _RULES],
+                "CAST(count(*) - count(passenger_count) AS DOUBLE) "
+                "AS profile_passenger_count_null_count",
+                "round(median(fare_amount), 4) AS profile_fare_amount_median",
+                f"CAST({len(annotation_texts())} AS BIGINT) AS annotations",
+            ]
+        ) + " FROM flags",
         "fact_trips": MODEL + _fact_columns(),
         "enriched": MODEL
         + "SELECT event_id, pu_zone, pu_borough, do_zone, do_borough FROM enriched",

@@ -308,6 +308,22 @@ def report_json(spark, sf_dir):
     )
 
 
+@query
+def report_document(spark, sf_dir):
+    """What the JSON report says, read back from it."""
+    paths = [f"counts.{c}" for c in ("rows_in_raw", "rows_hard_flagged", "rows_valid_out")]
+    paths += [f"flag_counts.{r.name}" for r in rules.TRIP_RULES]
+    paths += ["profile.passenger_count.null_count", "profile.fare_amount.median"]
+    document = report_json(spark, sf_dir)
+    value = lambda path: F.get_json_object("value", f"$.{path}").cast("double")
+    return document.select(
+        *[value(p).alias(p.replace(".", "_")) for p in paths],
+        F.json_array_length(
+            F.get_json_object("value", "$.known_unknown_assumption_limitation")
+        ).cast("bigint").alias("annotations"),
+    )
+
+
 # --- model ------------------------------------------------------------------
 
 
