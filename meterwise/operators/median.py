@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterwise.operators.joins import same_keys_join
+from meterwise.operators.joins import bounded_rows, same_keys_join
 
 # Bins per e-fold of the value, about 6 % wide; monotone since log and floor are.
 BINS_PER_E = 16
@@ -86,9 +86,10 @@ def exact_medians(
     Nulls and NaN are skipped, a null key is a group, a group without values is absent.
 
     `max_rows` is a proven bound on the rows of `df`; without it, or above BUFFER_ROWS,
-    the passes run. `max_groups` is a proven bound on the distinct keys: while they are
-    few, they are numbered and broadcast, so that the passes hash numbers; otherwise the
-    passes hash the keys themselves and Spark chooses the joins.
+    the passes run. `max_groups` is a proven bound on the distinct keys; without it they
+    are counted first, up to what can be broadcast. While they are few, they are numbered
+    and broadcast, so that the passes hash numbers and move no rows; otherwise the passes
+    hash the keys themselves and join the spans by shuffle.
     """
     keys = list(dict.fromkeys(k for m in wanted for k in m.keys))
     # Medians go by number too. Adding zero turns -0.0 into 0.0, one value with it.
@@ -105,7 +106,10 @@ def exact_medians(
         )
 
     buffered = max_rows is not None and max_rows <= BUFFER_ROWS
-    few = max_groups is not None and max_groups * len(wanted) <= BROADCAST_ROWS
+    limit = BROADCAST_ROWS // len(wanted)
+    if max_groups is None and not buffered:
+        max_groups = bounded_rows(df.select(*keys).distinct(), limit) if keys else 1
+    few = max_groups is not None and max_groups <= limit
     name = F.array(*[F.lit(m.name) for m in wanted])[F.col("_metric")].alias("name")
     if few and not buffered:
         cells = _cells(df, wanted, keys)

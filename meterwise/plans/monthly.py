@@ -216,8 +216,8 @@ def publish_metrics(
     statistics = spark.read.parquet(out.published["statistics"])
     tables = {
         "summary": (
-            metrics.scalar_kpis(totals).unionByName(metrics.flag_kpis(counts)),
-            ["kpi_component", "group", "metric_name"],
+            metrics.show_kpis(metrics.scalar_kpis(totals).unionByName(metrics.flag_kpis(counts))),
+            [metrics.kpi_order(rule_set)],
         ),
         "duration_speed_borough_hour": (
             metrics.show_duration_speed(statistics, metrics.BOROUGH_HOUR),

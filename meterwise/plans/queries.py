@@ -484,7 +484,7 @@ def order_flag_counts(spark, sf_dir):
 @query
 def order_duration_speed_by_region_month(spark, sf_dir):
     """Neither rows nor months are bounded beforehand: the medians run by counting, and
-    their bins are joined without a hint."""
+    their groups are counted first."""
     fact = _order_fact(spark, sf_dir)
     fact = fact.withColumn("pickup_month", F.date_format("pickup_at", "yyyy-MM"))
     rows = model.enrich(fact, src.nation_zones(spark, sf_dir), ("pu",))
@@ -498,7 +498,7 @@ def order_duration_speed_by_region_month(spark, sf_dir):
 
 @query
 def order_fare_consistency(spark, sf_dir):
-    """Boroughs are bounded, rows are not: medians by counting, bins broadcast."""
+    """Boroughs are bounded, rows are not: the medians run by counting."""
     dim = src.nation_zones(spark, sf_dir)
     rows = model.enrich(_order_fact(spark, sf_dir), dim, ("pu",))
     rows, _ = written(rows.select("pu_borough", "fare_per_mile", rules.FLAGS), "measures")

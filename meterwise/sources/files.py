@@ -52,6 +52,8 @@ def _open(path: str):
 
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    # Hadoop's names of object stores, in Arrow's terms.
+    path = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
     return fs.FileSystem.from_uri(quote(path, safe=":/@"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.sources.files import list_files
@@ -19,7 +19,7 @@ def write_month(trips: DataFrame, path: str, partitions: Sequence[str] = ()) ->
     ).parquet(path)
 
 
-def write_csv(table: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+def write_csv(table: DataFrame, path: str, order: Sequence[str | Column] = ()) -> None:
     """Publish a KPI table (one row per group) as one CSV file with a header. The
     aggregation stays parallel; its result moves to one task for the sorted write."""
     one = table.repartition(1)

@@ -186,7 +186,10 @@ def test_month_end_to_end(spark, month):
 
     summary = spark.read.option("header", True).csv(out["summary"])
     assert summary.columns == ["metric_name", "kpi_component", "group", "value", "unit", "description"]
-    assert summary.count() == 16
+    names = [r["metric_name"] for r in summary.collect()]
+    assert names[:2] == ["data_reliability_pct", "valid_trip_count"]
+    assert names[6:] == [f"flag_count_{r.name}" for r in rules.TRIP_RULES]
+    assert [r["value"] for r in summary.collect()][:3] == ["93.333", "42", "45"]
     hours = spark.read.option("header", True).csv(out["duration_speed_borough_hour"]).collect()
     assert [(r["pu_borough"], r["pickup_hour"]) for r in hours] == [("East", "10"), ("West", "10")]
     assert sum(int(r["trip_count"]) for r in hours) == 42

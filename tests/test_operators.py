@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterwise.errors import DuplicateKeys, EmptyInput
-from meterwise.operators import metrics, model, profile, report, rules
+from meterwise.operators import median, metrics, model, profile, report, rules
 from meterwise.operators.median import BUFFER_ROWS, Median, exact_medians
 from meterwise.plans.derived_trips import next_time
 from meterwise.sources.guards import guard_empty
@@ -39,8 +39,13 @@ def _median_rows():
     return rows
 
 
+MANY = median.BROADCAST_ROWS + 1
+
+
 @pytest.mark.parametrize(
-    "bounds", [{}, {"max_groups": 50}, {"max_rows": BUFFER_ROWS}], ids=["joined", "broadcast", "small"]
+    "bounds",
+    [{}, {"max_groups": MANY}, {"max_groups": 50}, {"max_rows": BUFFER_ROWS}],
+    ids=["counted", "many", "few", "small"],
 )
 @pytest.mark.parametrize("keys", [["k"], ["k", "h"], []])
 def test_medians_are_exact(spark, bounds, keys):
@@ -64,7 +69,7 @@ def _expected(rows, keys, names):
     return {group: statistics.median(xs) for group, xs in values.items()}
 
 
-@pytest.mark.parametrize("bounds", [{}, {"max_groups": 50}, {"max_rows": BUFFER_ROWS}])
+@pytest.mark.parametrize("bounds", [{}, {"max_groups": MANY}, {"max_rows": BUFFER_ROWS}])
 def test_medians_by_different_keys_share_passes(spark, bounds):
     rows = _median_rows()
     df = spark.createDataFrame(rows, "k STRING, h INT, a DOUBLE, b DOUBLE")
@@ -246,7 +251,7 @@ def test_zero_duration_and_distance_give_null(spark):
     assert out["speed_mph"] is None and out["fare_per_mile"] is None
 
 
-@pytest.mark.parametrize("bounds", [metrics.Bounds(), metrics.Bounds(groups=200), metrics.Bounds(rows=600)])
+@pytest.mark.parametrize("bounds", [metrics.Bounds(), metrics.Bounds(groups=MANY), metrics.Bounds(rows=600)])
 def test_metrics_against_pandas(enriched, bounds):
     rows = enriched.toPandas()
     for r in metrics.duration_speed_by_borough_hour(enriched, bounds).collect():
