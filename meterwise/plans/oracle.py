@@ -470,6 +470,8 @@ UNION ALL
         ).replace("pu_borough, pickup_hour", "ALL"),
         "order_fare_consistency": ORDER_MODEL + _FARE,
     }
+    out["monthly_kpi_summary"] = out["kpi_summary"]
+    out["landed_trips"] = out["validated_trips"]
     for name in _RULES:
         key = f"flag_{name}".replace("passenger_count_suspect", "passenger_suspect")
         out[key] = FLAG + f"SELECT event_id, flag_{name} FROM flags"

@@ -13,8 +13,10 @@ from meterwise.functions.exprs import month_bounds
 from meterwise.operators import metrics, model, profile, report, rules
 from meterwise.operators.joins import repeated_keys
 from meterwise.plans import derived_trips as src
+from meterwise.plans import monthly
 from meterwise.session import apply_settings
 from meterwise.sources import files, sinks, trips, zones
+from meterwise.streaming.landing import validate_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -120,33 +122,25 @@ def dim_zones(spark, sf_dir):
     return src.nation_zones(spark, sf_dir)
 
 
-def _zones_as(spark: SparkSession, sf_dir: str, kind: str) -> str:
+def _zones_csv(spark: SparkSession, sf_dir: str) -> str:
     """Write the dimension the way a publisher would and return the path."""
-    path = scratch_folder(spark, f"zones-{kind}")
-    dim = src.nation_zones(spark, sf_dir)
-    if kind == "csv":
-        dim.select(
-            F.col("location_id").alias("LocationID"),
-            F.col("borough").alias("Borough"),
-            F.col("zone_name").alias("Zone"),
-        ).write.option("header", True).csv(path)
-    else:
-        dim.select(
-            F.col("location_id").cast("string").alias("locationid"),
-            F.col("zone_name").alias("zone"),
-            "borough",
-        ).write.json(path)
+    path = scratch_folder(spark, "zones-csv")
+    src.nation_zones(spark, sf_dir).select(
+        F.col("location_id").alias("LocationID"),
+        F.col("borough").alias("Borough"),
+        F.col("zone_name").alias("Zone"),
+    ).write.option("header", True).csv(path)
     return path
 
 
 @query
 def dim_zones_csv(spark, sf_dir):
-    return zones.read_zones_csv(spark, _zones_as(spark, sf_dir, "csv"))
+    return zones.read_zones_csv(spark, _zones_csv(spark, sf_dir))
 
 
 @query
 def zone_source_mode(spark, sf_dir):
-    csv = _zones_as(spark, sf_dir, "csv")
+    csv = _zones_csv(spark, sf_dir)
     candidates = [("api_json", "json", f"{csv}-absent"), ("csv_fallback", "csv", csv)]
     dim, (mode, _, _) = zones.read_zones(spark, candidates)
     return dim.withColumn("zone_lookup_mode", F.lit(mode))
@@ -154,7 +148,7 @@ def zone_source_mode(spark, sf_dir):
 
 @query
 def zone_manifest(spark, sf_dir):
-    facts = zones.source_facts(spark, "csv", _zones_as(spark, sf_dir, "csv"))
+    facts = zones.source_facts(spark, "csv", _zones_csv(spark, sf_dir))
     entries = files.manifest_rows(facts, "S3", "csv_fallback", "zone lookup")
     return entries.select(
         "source", "retrieval_mode", "row_count", F.concat_ws(",", "columns").alias("columns")
@@ -461,6 +455,40 @@ def kpi_summary(spark, sf_dir):
     return metrics.kpi_summary(src.flagged_events(spark, sf_dir))
 
 
+# --- the job and the stream ---------------------------------------------------
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_folder(spark, "landed")
+    src.event_trips(spark, sf_dir).write.parquet(path)
+    return path
+
+
+@query
+def monthly_kpi_summary(spark, sf_dir):
+    """The published KPI table of a whole run of the monthly job."""
+    out = monthly.run_month(
+        spark, src.MONTH, _landed(spark, sf_dir),
+        [("csv_fallback", "csv", _zones_csv(spark, sf_dir))],
+        scratch_folder(spark, "month"), limits=src.EVENT_LIMITS,
+    )
+    kpis = spark.read.option("header", True).csv(out["summary"])
+    return kpis.withColumn("value", F.col("value").cast("double"))
+
+
+@query
+def landed_trips(spark, sf_dir):
+    """Valid trips, validated as a stream of files."""
+    landing = _landed(spark, sf_dir)
+    table = scratch_folder(spark, "stream")
+    validate_landed(
+        spark, landing, spark.read.parquet(landing).schema, src.nation_zones(spark, sf_dir),
+        src.MONTH, f"{table}/trips", f"{table}/checkpoint", limits=src.EVENT_LIMITS,
+    ).awaitTermination()
+    trips_table = spark.read.parquet(f"{table}/trips")
+    return trips_table.where(F.col("valid") == "true").drop("month", "valid")
+
+
 # --- the same operators on line items -----------------------------------------
 
 

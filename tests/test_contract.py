@@ -41,6 +41,16 @@ def test_golden_counts(spark, sf):
     assert report.tally(flagged).head().asDict() == GOLDEN[sf]
 
 
+# Zone and hour groups, and those with fewer than ten trips.
+GROUPS = {"sf0.001": (227, 227), "sf0.01": (592, 573), "sf0.1": (600, 0)}
+
+
+@pytest.mark.parametrize("sf", GROUPS)
+def test_golden_groups(spark, sf):
+    run = contract.queries()["low_sample_groups"]
+    assert tuple(run(spark, f"/root/testdata/{sf}").head()) == GROUPS[sf]
+
+
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
