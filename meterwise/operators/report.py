@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +31,10 @@ def tally_written(trips: DataFrame, rules: Sequence[Rule] = TRIP_RULES) -> DataF
     return tally(trips.select(*[m.alias(c) for c, m in marks.items()]), rules)
 
 
-def report_counts(totals: DataFrame) -> DataFrame:
-    """Counts that reconcile (hard + valid = raw) and their shares of all rows."""
+def _counts() -> list[Column]:
     raw, hard = F.col("rows_in_raw"), F.col("rows_hard_flagged")
     soft = F.col("rows_soft_only_flagged")
-    return totals.select(
+    return [
         raw,
         hard,
         percent(hard, raw).alias("rows_hard_flagged_pct"),
@@ -44,7 +42,12 @@ def report_counts(totals: DataFrame) -> DataFrame:
         percent(soft, raw).alias("rows_soft_only_flagged_pct"),
         (raw - hard).alias("rows_valid_out"),
         percent(raw - hard, raw).alias("rows_valid_pct"),
-    )
+    ]
+
+
+def report_counts(totals: DataFrame) -> DataFrame:
+    """Counts that reconcile (hard + valid = raw) and their shares of all rows."""
+    return totals.select(*_counts())
 
 
 def _flag_rows(rules: Sequence[Rule]) -> Column:
@@ -185,22 +188,24 @@ def report_json(
             F.lit(elapsed_seconds).cast("double").alias("elapsed_seconds"),
         )
     )
-    parts = {
-        "head": totals.select(F.regexp_replace(head, r"\}$", "").alias("json")),
-        "counts": report_counts(totals).select(F.to_json(F.struct("*")).alias("json")),
-        "flags": totals.select(F.to_json(flags).alias("json")),
-        "profile": profile,
-        "notes": totals.select(F.to_json(notes).alias("json")),
-    }
-    named = [df.withColumn("part", F.lit(name)) for name, df in parts.items()]
-    pick = {name: F.max(F.when(F.col("part") == name, F.col("json"))) for name in parts}
-    return reduce(DataFrame.unionByName, named).agg(
+    none = F.lit(None).cast("string")
+    # Everything that comes from the tally is read in one select, so its rows are
+    # counted once.
+    counted = totals.select(
+        F.concat(
+            F.regexp_replace(head, r"\}$", ""),
+            F.lit(',"counts":'), F.to_json(F.struct(*_counts())),
+            F.lit(',"flag_counts":'), F.to_json(flags),
+        ).alias("front"),
+        none.alias("profile"),
+        F.to_json(notes).alias("notes"),
+    )
+    profiled = profile.select(none.alias("front"), F.col("json").alias("profile"), none.alias("notes"))
+    return counted.unionByName(profiled).agg(
         F.concat(
-            pick["head"],
-            F.lit(',"counts":'), pick["counts"],
-            F.lit(',"flag_counts":'), pick["flags"],
-            F.lit(',"profile":'), pick["profile"],
-            F.lit(',"known_unknown_assumption_limitation":'), pick["notes"],
+            F.max("front"),
+            F.lit(',"profile":'), F.max("profile"),
+            F.lit(',"known_unknown_assumption_limitation":'), F.max("notes"),
             F.lit("}"),
         ).alias("value")
     )

@@ -208,7 +208,6 @@ def publish_metrics(
     # Repeated zones multiply trips, so then the trip count bounds nothing.
     bounds = metrics.zone_bounds(dim, None if on_duplicate == "allow" else rows)
     totals = report.tally_written(spark.read.parquet(out.trips), rule_set)
-    counts = report.flag_counts(totals, rule_set)
     # One row per group, shown in three tables: computed once.
     metrics.group_statistics(enriched, bounds=bounds).repartition(1).write.mode(
         "overwrite"
@@ -216,7 +215,7 @@ def publish_metrics(
     statistics = spark.read.parquet(out.published["statistics"])
     tables = {
         "summary": (
-            metrics.show_kpis(metrics.scalar_kpis(totals).unionByName(metrics.flag_kpis(counts))),
+            metrics.show_kpis(metrics.kpi_summary(totals, rule_set)),
             [metrics.kpi_order(rule_set)],
         ),
         "duration_speed_borough_hour": (

@@ -447,12 +447,12 @@ def kpi_anomaly(spark, sf_dir):
 
 @query
 def kpi_flag_breakdown(spark, sf_dir):
-    return metrics.flag_kpis(report.flag_counts(_tally(spark, sf_dir)))
+    return metrics.flag_kpis(_tally(spark, sf_dir))
 
 
 @query
 def kpi_summary(spark, sf_dir):
-    return metrics.kpi_summary(src.flagged_events(spark, sf_dir))
+    return metrics.kpi_summary(_tally(spark, sf_dir))
 
 
 # --- the job and the stream ---------------------------------------------------

@@ -307,12 +307,12 @@ def test_low_samples(spark):
 
 
 def test_kpi_table(flagged):
-    rows = {r["metric_name"]: r for r in metrics.kpi_summary(flagged).collect()}
+    rows = {r["metric_name"]: r for r in metrics.kpi_summary(report.tally(flagged)).collect()}
     assert len(rows) == 16
     assert rows["raw_trip_count"]["value"] == 600.0
     anomalies = rows["hard_flagged_count"]["value"] + rows["soft_only_flagged_count"]["value"]
     assert rows["anomaly_rate_pct"]["value"] == round(anomalies / 600 * 100, 3)
-    unlabelled = metrics.flag_kpis(report.flag_counts(report.tally(flagged)), {"fare_invalid": "F"})
+    unlabelled = metrics.flag_kpis(report.tally(flagged), labels={"fare_invalid": "F"})
     texts = {r["metric_name"]: r["description"] for r in unlabelled.collect()}
     assert texts["flag_count_fare_invalid"] == "F"
     assert texts["flag_count_out_of_month"] == "out_of_month"
