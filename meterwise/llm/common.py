@@ -71,6 +71,15 @@ def worker_state(key: object, make):
     return store[key]
 
 
+def worker_latest(name: str, version: str, make):
+    """The worker's object of that name, made anew when the version is another."""
+    kept = worker_state(name, dict)
+    if version not in kept:
+        kept.clear()
+        kept[version] = make()
+    return kept[version]
+
+
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 

@@ -9,8 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwise.llm import packing, sharding
-from meterwise.llm.common import table, tuned
+from meterwise.llm import (
+    decontamination, packing, quality, sharding, token_files, toxicity,
+)
+from meterwise.llm.common import shared_folder, table, tuned
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -33,6 +35,19 @@ def statements() -> dict[str, str]:
     return dict(_ORACLE)
 
 
+# --- 1: token files -----------------------------------------------------------
+
+
+@query
+def op1_token_files(spark, sf_dir):
+    path = shared_folder(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_token_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 # --- 2: best-fit packing ------------------------------------------------------
 
 
@@ -48,6 +63,22 @@ def op2_best_fit_packing(spark, sf_dir):
     )
 
 
+# --- 4: benchmark decontamination -----------------------------------------------
+
+
+def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark")
+    return decontamination.contamination(decontamination.find_matches(docs, benchmark))
+
+
+@query
+def op4_decontamination(spark, sf_dir):
+    return contaminated(spark, table(spark, sf_dir, "documents"), sf_dir).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 # --- 6: sharding ----------------------------------------------------------------
 
 
@@ -66,9 +97,9 @@ def op6_sharding(spark, sf_dir):
 # CRC-32 as a fold over the bytes, with the table of its 256 one-byte remainders.
 _CRC32 = """
 crc_table AS (
-    SELECT list_transform(range(256), i -> list_reduce(
+    SELECT list_transform(range(256), lambda i: list_reduce(
         list_prepend(i, range(8)),
-        (c, k) -> CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
     )) AS t
 )"""
 
@@ -89,11 +120,38 @@ SELECT doc_id, size,
        xor(4294967295, list_reduce(
            list_prepend(4294967295, list_transform(
                range(size - 1),
-               i -> ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::BIGINT)),
-           (c, b) -> xor(c >> 8, t[xor(c, b) % 256 + 1])
+               lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::BIGINT)),
+           lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])
        ))::BIGINT AS text_crc32,
        'bytes' AS law, shard,
        (n - min(n) OVER (PARTITION BY shard))::BIGINT AS slot,
        NULL::INTEGER AS grown_shard
 FROM cut, crc_table
 """
+
+
+# --- 8: quality rules -----------------------------------------------------------
+
+
+def quality_verdicts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    trusted = quality.trusted_sample(table(spark, sf_dir, "labels"))
+    return quality.verdicts(quality.quality_scores(docs, trusted))
+
+
+@query
+def op8_quality_rules(spark, sf_dir):
+    return quality_verdicts(spark, table(spark, sf_dir, "documents"), sf_dir)
+
+
+# --- 10: toxicity ---------------------------------------------------------------
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    labelled = toxicity.labelled_sample(labels.where(~held_out))
+    return toxicity.toxicity_scores(docs, labelled).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )

@@ -48,15 +48,14 @@ def assign_shards(
         "_part",
         F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_bytes_before"),
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
+        F.sum("_bytes").over(Window.partitionBy()).alias("_all"),
     )
-    whole = totals.agg(F.sum("_bytes").alias("_all"))
     within = Window.partitionBy("_part").orderBy(*order)
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
         ranged.withColumn("_upto", F.sum("size").over(running))
         .withColumn("_nth", F.row_number().over(within))
         .join(F.broadcast(bases), "_part")
-        .join(F.broadcast(whole))
         .withColumn("before", F.col("_bytes_before") + F.col("_upto") - F.col("size"))
     )
     # A row belongs where its middle byte falls.
