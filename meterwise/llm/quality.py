@@ -30,7 +30,7 @@ MAX_TRUSTED = 20_000
 # Occurrences, seen and expected, that every bucket starts with.
 PRIOR = 2.0
 # Mean log ratio per n-gram below which a document is rejected.
-THRESHOLD = -0.1
+THRESHOLD = -0.25
 
 MIN_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
@@ -77,13 +77,14 @@ def log_ratio(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
             [pa.array(slices, pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"]
         )
 
-    def add(key, batches):
-        total = np.zeros(2 * SLICE, np.int64)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part in batch.column("counts").to_pylist():
-                total += np.frombuffer(part, np.int64)
+            for s, part in zip(*(batch.column(c).to_pylist() for c in ("slice", "counts"))):
+                totals.setdefault(s, np.zeros(2 * SLICE, np.int64))
+                totals[s] += np.frombuffer(part, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+            [pa.array(totals, pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())],
             ["slice", "counts"],
         )
 
@@ -93,7 +94,7 @@ def log_ratio(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
         "text", F.coalesce("trusted", F.lit(False)).alias("trusted")
     )
     partial = marked.mapInArrow(count, form)
-    totals = partial.groupBy("slice").applyInArrow(add, form)
+    totals = partial.repartition("slice").mapInArrow(add, form)
     counts = np.zeros((2, BUCKETS))
     for row in totals.collect():  # one row per slice of a vector of fixed size
         part = np.frombuffer(row["counts"], np.int64).reshape(2, SLICE)

@@ -86,8 +86,8 @@ def fit(docs: DataFrame, labelled: DataFrame) -> dict[int, float]:
                 ["doc_id", "toxic", "features"],
             )
 
-    def train(key, batches):
-        rows = [r for b in batches for r in b.to_pylist()]
+    def train(key: tuple, sample: pa.Table) -> pa.Table:
+        rows = sample.to_pylist()
         rows.sort(key=lambda r: (r["doc_id"] * 0x9E3779B1 % (1 << 32), r["features"]))
         model = Ftrl()
         data = [
@@ -99,10 +99,7 @@ def fit(docs: DataFrame, labelled: DataFrame) -> dict[int, float]:
                 model.learn(at, label)
         at = np.flatnonzero(model.n > 0)
         w = model.weights(at)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at[w != 0], pa.int64()), pa.array(w[w != 0], pa.float64())],
-            ["bucket", "weight"],
-        )
+        return pa.table({"bucket": pa.array(at[w != 0]), "weight": pa.array(w[w != 0])})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), as_bytes().alias("text"))
     rows = rows.join(F.broadcast(labelled), "doc_id")
