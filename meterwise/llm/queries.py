@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.llm import (
-    decontamination, packing, quality, sharding, token_files, toxicity,
+    decontamination, minhash, packing, quality, sharding, token_files, toxicity,
 )
 from meterwise.llm.common import shared_folder, table, tuned
 
@@ -79,6 +79,18 @@ def op4_decontamination(spark, sf_dir):
     )
 
 
+# --- 5: MinHash near-dedup --------------------------------------------------------
+
+
+@query
+def op5_minhash_dedup(spark, sf_dir):
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+    return found.select(
+        "doc_id", "n_shingles", "component_id",
+        F.expr("doc_id <=> component_id").alias("kept"), "links",
+    )
+
+
 # --- 6: sharding ----------------------------------------------------------------
 
 
