@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.llm import (
-    decontamination, minhash, packing, quality, sharding, token_files, toxicity,
+    decontamination, lines, minhash, packing, quality, sharding, token_files, toxicity,
 )
 from meterwise.llm.common import shared_folder, table, tuned
 
@@ -155,6 +155,19 @@ def op8_quality_rules(spark, sf_dir):
     return quality_verdicts(spark, table(spark, sf_dir, "documents"), sf_dir)
 
 
+# --- 9: line dedup --------------------------------------------------------------
+
+
+@query
+def op9_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return lines.dedup_lines(docs).select(
+        "doc_id", "removed_lines", F.octet_length(kept).cast("bigint").alias("n_bytes"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
 # --- 10: toxicity ---------------------------------------------------------------
 
 
