@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.llm import (
-    decontamination, lines, minhash, packing, quality, sharding, token_files, toxicity,
+    decontamination, lines, minhash, packing, quality, repeats, sharding, token_files,
+    toxicity,
 )
 from meterwise.llm.common import shared_folder, table, tuned
 
@@ -142,6 +143,21 @@ FROM cut, crc_table
 """
 
 
+# --- 7: suffix-array dedup ------------------------------------------------------
+
+
+@query
+def op7_suffix_dedup(spark, sf_dir):
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"]
+    )
+    return repeats.dedup_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 # --- 8: quality rules -----------------------------------------------------------
 
 
