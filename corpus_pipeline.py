@@ -1,4 +1,83 @@
-"""Stub, see below."""
-STAGES=[]
-ORACLE_SQL=None
-def run(spark, sf_dir): raise NotImplementedError
+"""From raw documents to packed training sequences.
+
+Each stage reads what the one before has written, applies one operator to all of it, and
+returns the documents that stay, with the columns of `documents`; the last returns packed
+pieces. Between stages lies a Parquet table in the shared folder, so a lost executor costs
+the tasks of one stage.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meterwise.llm import bloom, decontamination, lines, minhash, packing, quality
+from meterwise.llm.common import shared_folder, table, tuned, written
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    trusted = quality.trusted_sample(table(tuned(spark), sf_dir, "labels"))
+    return quality.keep_good(docs, trusted)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go, and documents that lose their last word with them. `n_chars`
+    follows the text."""
+    tuned(spark)
+    struck = lines.dedup_lines(docs)
+    changed = F.col("removed_lines") > 0
+    left = struck.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in docs.columns:
+        size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        left = left.withColumn("n_chars", F.when(changed, size).otherwise(F.col("n_chars")))
+    return left.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    tuned(spark)
+    found = minhash.near_duplicates(docs, shingle=5, percent=80)
+    copies = written(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    return bloom.without(docs, copies, "doc_id")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages go."""
+    benchmark = table(tuned(spark), sf_dir, "benchmark")
+    # A number for every row, those without an id included.
+    marked = docs.withColumn("_uid", F.xxhash64("doc_id", "text"))
+    source = marked.select(F.col("_uid").alias("doc_id"), "text")
+    found = decontamination.contamination(decontamination.find_matches(source, benchmark))
+    bad = written(found.where("contaminated").select("doc_id").distinct(), "contaminated")
+    return bloom.without(marked, bad, "_uid").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents, placed in sequences of 1024 tokens."""
+    tuned(spark)
+    packed = packing.best_fit_pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("pack", pack),
+]
+
+# Tokens, likelihood ratios and edit distances are not SQL's: tested by brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of `documents` after all stages."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = shared_folder(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -87,6 +87,14 @@ def split(table: DataFrame, ids, column: str) -> tuple[DataFrame, DataFrame]:
     return passing(table, ids, column), table.mapInArrow(_sieve(ids, column, False), table.schema)
 
 
+def without(table: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of `table` whose `column` is not among the integers of `ids`: a join that
+    shuffles only the rows that the filter does not clear."""
+    gone = ids.select(F.col(ids.columns[0]).alias(column))
+    maybe, clear = split(table, bloom(ids), column)
+    return maybe.join(gone, column, "left_anti").select(*table.columns).unionByName(clear)
+
+
 def _sieve(ids, column: str, wanted: bool) -> Callable:
     def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -137,24 +137,12 @@ def quality_scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     ratio = docs.sparkSession.sparkContext.broadcast(log_ratio(docs, trusted))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ratios = word_hashes(), ratio.value
-        symbol, inner = re.compile(b"[" + re.escape(SYMBOLS) + b"]"), re.compile(rb"[\x80-\xbf]+")
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                words = text.split()
-                hashes = hashed_words(words, known)
-                at = buckets(hashes)
-                inside = 0 if text.isascii() else sum(map(len, inner.findall(text)))
-                rows.append((
-                    doc, len(words), sum(map(len, words)) - inside, len(symbol.findall(text)),
-                    duplicate_lines(text), repeated_words(hashes),
-                    float(ratios[at].sum(dtype=np.float64) / len(at)) if len(at) else 0.0,
-                ))
-            types = [pa.int64()] * 6 + [pa.float64()]
-            columns = list(zip(*rows)) or [()] * 7
+            rows = scored(batch.column("text").to_pylist(), ratio.value)
+            types = [pa.int64()] * 5 + [pa.float64()]
+            columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)],
+                [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))],
                 [c.split()[0] for c in SCORES.split(", ")],
             )
 
@@ -162,9 +150,46 @@ def quality_scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return source.mapInArrow(score, SCORES)
 
 
+def scored(texts: list[bytes], ratios: np.ndarray) -> list[tuple]:
+    """SCORES of texts, but for the id."""
+    known = word_hashes()
+    symbol, inner = re.compile(b"[" + re.escape(SYMBOLS) + b"]"), re.compile(rb"[\x80-\xbf]+")
+    rows = []
+    for text in texts:
+        words = text.split()
+        hashes = hashed_words(words, known)
+        at = buckets(hashes)
+        inside = 0 if text.isascii() else sum(map(len, inner.findall(text)))
+        rows.append((
+            len(words), sum(map(len, words)) - inside, len(symbol.findall(text)),
+            duplicate_lines(text), repeated_words(hashes),
+            float(ratios[at].sum(dtype=np.float64) / len(at)) if len(at) else 0.0,
+        ))
+    return rows
+
+
+def base_fails(n_words, n_repeat_words):
+    """Too short, or mostly repeated."""
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > 50 * n_words)
+
+
+def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` (doc_id, text, ...) that the rules and the ratio keep, with all
+    their columns; see quality_scores for odd rows."""
+    ratio = docs.sparkSession.sparkContext.broadcast(log_ratio(docs, trusted))
+
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
+            kept = [
+                not base_fails(r[0], r[4]) and r[5] >= threshold for r in scored(texts, ratio.value)
+            ]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(sieve, docs.schema)
+
+
 def verdicts(scores: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """`scores` with `base_failed` (too short, or mostly repeated) and `kept`."""
-    few = F.col("n_words") < MIN_WORDS
-    repeated = 100 * F.col("n_repeat_words") > 50 * F.col("n_words")
-    failed = scores.withColumn("base_failed", few | repeated)
+    failed = scores.withColumn("base_failed", base_fails(F.col("n_words"), F.col("n_repeat_words")))
     return failed.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))

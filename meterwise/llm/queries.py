@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.llm import (
-    decontamination, lines, minhash, packing, quality, repeats, sharding, token_files,
+    chat, decontamination, lines, minhash, packing, quality, repeats, sharding, token_files,
     toxicity,
 )
 from meterwise.llm.common import shared_folder, table, tuned
@@ -64,6 +64,85 @@ def op2_best_fit_packing(spark, sf_dir):
     )
 
 
+# --- 3: chat formatting -----------------------------------------------------------
+
+_TEXT = chat.Field("string", low=1, high=400)
+SCHEMAS = {
+    "answer": {"text": _TEXT, "limit": chat.Field("integer", low=0, high=40)},
+    "search": {
+        "text": _TEXT,
+        "limit": chat.Field("integer", low=0, high=40),
+        "exact": chat.Field("boolean", required=False),
+    },
+}
+
+
+def calls_and_results(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations as tool calls: each user turn calls a tool and depends on the user
+    turn two before, each assistant turn is the result of the turn before."""
+    ident = lambda back: F.format_string("c%d-%d", "conv_id", F.col("turn") - back)
+    quoted = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("text")))
+    arguments = F.concat(
+        F.substring(quoted, 1, 1), F.lit(' "limit" : '),
+        (F.length(F.coalesce("text", F.lit(""))) % 50).cast("string"), F.lit(", "),
+        F.when(F.col("turn") % 4 == 2, '"exact":true, ').otherwise(""), F.expr("substring(q, 2)"),
+    )
+    user = turns.where("role = 'user'").withColumn("q", quoted)
+    calls = user.select(
+        "conv_id", "turn", ident(0).alias("call_id"),
+        F.when(F.col("turn") % 4 == 3, "lookup").when(F.col("turn") % 4 == 2, "search")
+        .otherwise("answer").alias("name"),
+        arguments.alias("arguments"), F.array(ident(2)).alias("depends_on"),
+    )
+    results = turns.where("role = 'assistant'").select(
+        "conv_id", "turn", ident(1).alias("call_id"), F.col("text").alias("content")
+    )
+    return calls, results
+
+
+@query
+def op3_chat_formatting(spark, sf_dir):
+    calls, results = calls_and_results(table(spark, sf_dir, "conversations"))
+    return chat.format_calls(calls, results, SCHEMAS).select(
+        "conv_id", "call_id", "turn", "name", "position", "status",
+        F.coalesce("result_turn", F.lit(-1)).alias("result_turn"), F.array_join("errors", "; ").alias("errors"), "valid", F.sha2("json", 256).alias("json_sha256"),
+    )
+
+
+_ORACLE["op3_chat_formatting"] = """
+WITH calls AS (
+    SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, coalesce(text, '') AS text,
+           length(coalesce(text, '')) % 50 AS size_limit,
+           CASE turn % 4 WHEN 3 THEN 'lookup' WHEN 2 THEN 'search' ELSE 'answer' END AS name,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position
+    FROM conversations WHERE role = 'user'
+), results AS (
+    SELECT conv_id, turn, 'c' || conv_id || '-' || (turn - 1) AS call_id, text
+    FROM conversations WHERE role = 'assistant'
+)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
+       c.turn, c.name, c.position,
+       CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered'
+            ELSE 'linked' END AS status,
+       coalesce(r.turn, -1) AS result_turn,
+       CASE WHEN c.call_id IS NULL THEN NULL ELSE concat_ws('; ',
+           CASE WHEN name <> 'lookup' AND size_limit > 40 THEN 'limit: above 40' END,
+           CASE WHEN name = 'lookup' THEN 'name: unknown tool' END,
+           CASE WHEN name <> 'lookup' AND length(c.text) > 400 THEN 'text: above 400' END,
+           CASE WHEN name <> 'lookup' AND length(c.text) < 1 THEN 'text: below 1' END) END AS errors,
+       coalesce(c.call_id IS NOT NULL AND r.call_id IS NOT NULL AND name <> 'lookup'
+           AND size_limit <= 40 AND length(c.text) BETWEEN 1 AND 400, false) AS valid,
+       sha256('{"arguments":' || CASE WHEN c.call_id IS NULL THEN 'null' ELSE '{' ||
+                  CASE WHEN c.turn % 4 = 2 THEN '"exact":true,' ELSE '' END ||
+                  '"limit":' || size_limit || ',"text":' || to_json(c.text)::VARCHAR || '}' END ||
+              ',"id":' || to_json(coalesce(c.call_id, r.call_id))::VARCHAR ||
+              ',"name":' || coalesce(to_json(name)::VARCHAR, 'null') ||
+              ',"result":' || CASE WHEN r.text IS NULL THEN 'null' ELSE to_json(r.text)::VARCHAR END ||
+              '}') AS json_sha256
+FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+"""
+
+
 # --- 4: benchmark decontamination -----------------------------------------------
 
 
