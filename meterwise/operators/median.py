@@ -1,69 +1,41 @@
-"""Exact medians of groups that may be too large for one task.
-
-Spark's `median` is exact but keeps every distinct value of a group in one buffer. That
-is used for tables known to be small. In any other table a borough may hold most of the
-trips, so the middle ranks are closed in on by counting, in three passes that each end in
-a map-side combined aggregate:
-
-1. count per logarithmic bin of the value (a few hundred bins per group),
-2. of the values in the bin around the middle, count per linear sub-bin,
-3. of the values in that sub-bin, count per distinct value and read the ranks off.
-
-One row per group travels between passes; no group is ever collected. The input is read
-once per pass: give a table, not a plan that is expensive to repeat.
+"""Exact medians of groups of any size, by closing brackets around the middle rank.
+
+Spark's `median` keeps every distinct value of a group in one buffer. Here all medians of
+a set of keys share their passes, each a map-side combined aggregate without unpivot:
+
+1. count the values of every group,
+2. while a group's bracket holds more than GATHER values, take two quantiles close to the
+   middle rank from mergeable sketches of the values in it, and count the values below,
+   at, between and above them; the part that holds the rank is the new bracket, or the
+   quantile is the value itself. Every round leaves a small fraction of the values,
+3. gather the values of the brackets, at most GATHER per group, and read off the rank,
+4. for an even count, find the next larger value.
+
+The counts decide, so the result is exact whatever the sketches say, and every value,
+infinities included, takes part by comparison alone. One row per group goes from round to
+round. The input is read once per pass: give a table, not a plan that is expensive to
+repeat.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.operators.joins import bounded_rows, same_keys_join
-
-# Bins per e-fold of the value, about 6 % wide; monotone since log and floor are.
-BINS_PER_E = 16
-# Doubles span e**-745 .. e**710, so this keeps bins of positive values above zero.
-BIN_SHIFT = 760 * BINS_PER_E
-SUB_BINS = 4096
-
-# Located bins are broadcast up to this many rows (about 60 bytes each).
-BROADCAST_ROWS = 200_000
-
-_RANKS = ("_low", "_high")
+from meterwise.operators.joins import same_keys_join
+from meterwise.sources.scratch import written
 
-# Up to this many rows in the whole table, any one group fits a buffer of one task.
-BUFFER_ROWS = 500_000
+# Values of one group that a buffer may hold.
+GATHER = 20_000
+# The sketches err by one in so many ranks.
+ACCURACY = 1000
+GRID = 64
 
-
-def _log_bin(value: Column) -> Column:
-    size = F.floor(F.log(F.abs(value)) * BINS_PER_E).cast("int") + BIN_SHIFT
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0))
-
-
-def _sub_bin(value: Column, low: Column, high: Column) -> Column:
-    share = (value - low) / F.nullif(high - low, F.lit(0.0))
-    return F.coalesce(F.floor(share * SUB_BINS).cast("int"), F.lit(0))
-
-
-def _close_in(counts: DataFrame, group: Sequence[str], order: str) -> DataFrame:
-    """One row per group: the span `_from`..`_to` of the counted cells that hold its two
-    middle ranks, and the number of values before it. Cells without rows do not exist, so
-    if the ranks fall in two cells nothing lies between them."""
-    run = Window.partitionBy(*group).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    cells = counts.withColumn("_upto", F.col("_before") + F.sum("_n").over(run))
-    cells = cells.withColumn("_before", F.col("_upto") - F.col("_n"))
-    middle = (F.col("_before") < F.col("_high")) & (F.col("_upto") >= F.col("_low"))
-    return cells.where(middle).groupBy(*group).agg(
-        F.min("_before").alias("_before"),
-        F.min("_from").alias("_from"),
-        F.max("_to").alias("_to"),
-        *[F.min(rank).alias(rank) for rank in _RANKS],
-    )
+_ALL = "_all"
 
 
 @dataclass(frozen=True)
@@ -75,138 +47,165 @@ class Median:
     keys: tuple[str, ...] = ()
 
 
-def exact_medians(
-    df: DataFrame,
-    wanted: Sequence[Median],
-    max_groups: int | None = None,
-    max_rows: int | None = None,
-) -> DataFrame:
-    """Interpolated medians in tall form: `name`, all keys that occur, `median`. Medians by
-    different keys share the passes; a key a median is not grouped by is null in its rows.
-    Nulls and NaN are skipped, a null key is a group, a group without values is absent.
-
-    `max_rows` is a proven bound on the rows of `df`; without it, or above BUFFER_ROWS,
-    the passes run. `max_groups` is a proven bound on the distinct keys; without it they
-    are counted first, up to what can be broadcast. While they are few, they are numbered
-    and broadcast, so that the passes hash numbers and move no rows; otherwise the passes
-    hash the keys themselves and join the spans by shuffle.
-    """
+def exact_medians(df: DataFrame, wanted: Sequence[Median], gather: int | None = None) -> DataFrame:
+    """Interpolated medians in tall form: `name`, all keys that occur, `median`. A key a
+    median is not grouped by is null in its rows. Nulls and NaN are skipped, a null key is
+    a group, a group without values is absent. `gather` bounds the values of a group that
+    one buffer holds; results do not depend on it."""
+    gather = GATHER if gather is None else gather
     keys = list(dict.fromkeys(k for m in wanted for k in m.keys))
-    # Medians go by number too. Adding zero turns -0.0 into 0.0, one value with it.
-    numbers = [str(i) for i in range(len(wanted))]
-    wide = [F.col(f"`{m.column}`").cast("double").alias(i) for i, m in zip(numbers, wanted)]
-    rows = df.select(*keys, *wide)
-
-    def tall(rows: DataFrame, ids: list[str]) -> DataFrame:
-        return (
-            rows.unpivot(ids, numbers, "_metric", "_value")
-            .where(F.col("_value").isNotNull() & ~F.isnan("_value"))
-            .withColumn("_metric", F.col("_metric").cast("int"))
-            .withColumn("_value", F.col("_value") + F.lit(0.0))
+    by_keys: dict[tuple[str, ...], list[Median]] = {}
+    for m in wanted:
+        by_keys.setdefault(m.keys, []).append(m)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    parts = []
+    for group, medians in by_keys.items():
+        wide = _medians_by(df, group, list(dict.fromkeys(m.column for m in medians)), gather)
+        place = {c: i for i, c in enumerate(dict.fromkeys(m.column for m in medians))}
+        rows = F.explode(
+            F.array(*[
+                F.struct(F.lit(m.name).alias("name"), F.col(f"_median{place[m.column]}").alias("median"))
+                for m in medians
+            ])
+        ).alias("row")
+        shown = [
+            (F.col(k) if k in group else F.lit(None)).cast(types[k]).alias(k) for k in keys
+        ]
+        parts.append(
+            wide.select(*shown, rows).where(F.col("row.median").isNotNull())
+            .select("row.name", *keys, "row.median")
         )
+    return reduce(DataFrame.unionByName, parts)
 
-    buffered = max_rows is not None and max_rows <= BUFFER_ROWS
-    limit = BROADCAST_ROWS // len(wanted)
-    if max_groups is None and not buffered:
-        max_groups = bounded_rows(df.select(*keys).distinct(), limit) if keys else 1
-    few = max_groups is not None and max_groups <= limit
-    name = F.array(*[F.lit(m.name) for m in wanted])[F.col("_metric")].alias("name")
-    if few and not buffered:
-        cells = _cells(df, wanted, keys)
-        codes = [c for c in cells.columns if c not in keys]
-        if keys:
-            rows = same_keys_join(rows, F.broadcast(cells), keys)
-        else:
-            rows = rows.withColumn(codes[0], F.lit(0))
-        long = tall(rows, codes).select(_cell(wanted).alias("_cell"), "_value")
-        medians = _by_counting(long, ["_cell"], few)
-        return _named(medians, cells, wanted, keys).select(name, *keys, "median")
-
-    long = tall(rows, keys)
-    for key in keys:
-        grouped = [i for i, m in enumerate(wanted) if key in m.keys]
-        if len(grouped) < len(wanted):
-            long = long.withColumn(key, F.when(F.col("_metric").isin(grouped), F.col(key)))
-    group = [*keys, "_metric"]
-    if buffered:
-        medians = long.groupBy(*group).agg(F.median("_value").alias("median"))
-    else:
-        medians = _by_counting(long, group, False)
-    return medians.select(name, *keys, "median")
-
-
-def _code(m: Median) -> str:
-    """The column that numbers the groups of a median's keys."""
-    return "_".join(["_group", *m.keys])
-
-
-def _cells(df: DataFrame, wanted: Sequence[Median], keys: list[str]) -> DataFrame:
-    """Every distinct combination of the keys, with the number of its group for each set
-    of keys. One task numbers them: their count is bounded by the caller."""
-    cells = df.select(*keys).distinct()
-    return cells.withColumns(
-        {
-            _code(m): F.dense_rank().over(Window.orderBy(*m.keys)) if m.keys else F.lit(0)
-            for m in wanted
-        }
-    )
-
-
-def _cell(wanted: Sequence[Median]) -> Column:
-    """One number for a group and a median: group number times medians plus median."""
-    metric = F.col("_metric")
-    by_code: dict[str, list[int]] = {}
-    for i, m in enumerate(wanted):
-        by_code.setdefault(_code(m), []).append(i)
-    *others, last = by_code
-    group = F.col(last)
-    for code in others:
-        group = F.when(metric.isin(by_code[code]), F.col(code)).otherwise(group)
-    return group.cast("bigint") * len(wanted) + metric
 
-
-def _named(
-    medians: DataFrame, cells: DataFrame, wanted: Sequence[Median], keys: list[str]
-) -> DataFrame:
-    """Cell numbers back to median numbers and keys."""
+def _medians_by(df: DataFrame, keys: Sequence[str], columns: list[str], gather: int) -> DataFrame:
+    """One row per group: its keys and `_median0`, `_median1`, ..."""
+    ids = range(len(columns))
+    value = lambda c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))
+    # Adding zero turns -0.0 into 0.0, one value with it.
+    rows = df.select(*keys, *[(value(c) + F.lit(0.0)).alias(f"_x{i}") for i, c in enumerate(columns)])
+    group = list(keys) or [_ALL]
     if not keys:
-        return medians.withColumn("_metric", F.col("_cell").cast("int"))
-    metric = F.explode(F.array(*[F.lit(i) for i in range(len(wanted))])).alias("_metric")
-    meaning = cells.select("*", metric).withColumn("_cell", _cell(wanted))
-    for key in keys:
-        grouped = [i for i, m in enumerate(wanted) if key in m.keys]
-        meaning = meaning.withColumn(key, F.when(F.col("_metric").isin(grouped), F.col(key)))
-    meaning = meaning.select("_cell", "_metric", *keys).distinct()
-    return medians.join(meaning, "_cell")
-
-
-def _by_counting(long: DataFrame, group: list[str], few: bool) -> DataFrame:
-    def between(spans: DataFrame) -> DataFrame:
-        """The values inside their group's span."""
-        spans = F.broadcast(spans) if few else spans
-        span = F.col("_value").between(F.col("_from"), F.col("_to"))
-        return same_keys_join(long, spans, group, never_null=["_metric", "_cell"]).where(span)
-
-    count = F.count(F.lit(1)).alias("_n")
-    ends = [F.min("_value").alias("_from"), F.max("_value").alias("_to")]
-
-    bins = long.groupBy(*group, _log_bin(F.col("_value")).alias("_bin")).agg(count, *ends)
-    total = F.sum("_n").over(Window.partitionBy(*group))
-    bins = bins.withColumns(
-        {
-            "_before": F.lit(0).cast("bigint"),
-            "_low": F.floor((total + 1) / 2),
-            "_high": F.floor(total / 2) + 1,
-        }
+        rows = rows.withColumn(_ALL, F.lit(1))
+    none = F.lit(None).cast("double")
+    # Of each column: its count, the open bracket (null: no bound), the values before and
+    # in the bracket, and the median's lower half once it is known.
+    state = rows.groupBy(*group).agg(*[F.count(f"_x{i}").alias(f"_n{i}") for i in ids]).select(
+        *group,
+        *[c for i in ids for c in (
+            F.col(f"_n{i}"), none.alias(f"_from{i}"), none.alias(f"_to{i}"),
+            F.lit(0).cast("bigint").alias(f"_before{i}"), F.col(f"_n{i}").alias(f"_in{i}"), none.alias(f"_low{i}"),
+        )],
     )
-    spans = _close_in(bins, group, "_bin")
-
-    sub = _sub_bin(F.col("_value"), F.col("_from"), F.col("_to")).alias("_sub")
-    subs = between(spans).groupBy(*group, "_before", *_RANKS, sub).agg(count, *ends)
-    spans = _close_in(subs, group, "_sub")
-
-    found = between(spans).groupBy(*group, "_before", *_RANKS, "_value").agg(count)
-    found = found.withColumns({"_from": F.col("_value"), "_to": F.col("_value")})
-    # One value holds both ranks, or two neighbours hold one each.
-    median = (F.col("_from") + F.col("_to")) / 2
-    return _close_in(found, group, "_value").select(*group, median.alias("median"))
+    state = written(state, "medians")
+    while not state.where(reduce(lambda a, b: a | b, [_wide(i, gather) for i in ids])).isEmpty():
+        state = written(_narrowed(rows, state, group, ids, gather), "medians")
+    state = written(_read_off(rows, state, group, ids), "medians")
+    return _upper_halves(rows, state, group, ids).select(*keys, *[f"_median{i}" for i in ids])
+
+
+def _wide(i: int, gather: int) -> Column:
+    return F.col(f"_low{i}").isNull() & (F.col(f"_in{i}") > gather)
+
+
+def _rank(i: int) -> Column:
+    """The lower of the two middle ranks, from 1."""
+    return F.floor((F.col(f"_n{i}") + 1) / 2)
+
+
+def _inside(i: int) -> Column:
+    x, low, high = F.col(f"_x{i}"), F.col(f"_from{i}"), F.col(f"_to{i}")
+    return (low.isNull() | (x > low)) & (high.isNull() | (x < high))
+
+
+def _narrowed(rows: DataFrame, state: DataFrame, group: list[str], ids: range, gather: int) -> DataFrame:
+    fields = [c for c in state.columns if c not in group]
+    joined = same_keys_join(rows, state, group)
+    # Where in the bracket the rank is. The sketches take fixed shares, so each gets a grid
+    # to pick from, and two shares close to the middle for brackets that are still whole.
+    share = [
+        (_rank(i) - F.col(f"_before{i}")) / F.greatest(F.col(f"_in{i}"), F.lit(1)) for i in ids
+    ]
+    shares = [k / GRID for k in range(GRID + 1)] + [0.5 - 2 / ACCURACY, 0.5 + 2 / ACCURACY]
+    sketch = joined.groupBy(*group).agg(*[
+        F.percentile_approx(
+            F.when(_wide(i, gather) & _inside(i), F.col(f"_x{i}")), shares, ACCURACY
+        ).alias(f"_q{i}")
+        for i in ids
+    ])
+
+    def pick(i: int, upper: bool) -> Column:
+        on_grid = F.floor(share[i] * GRID).cast("int") + (2 if upper else -1)
+        on_grid = F.greatest(F.lit(0), F.least(F.lit(GRID), on_grid))
+        whole = F.col(f"_in{i}") == F.col(f"_n{i}")
+        return F.get(F.col(f"_q{i}"), F.when(whole, GRID + 1 + upper).otherwise(on_grid))
+
+    picked = same_keys_join(state, sketch, group).select(
+        *group, *fields,
+        *[c for i in ids for c in (pick(i, False).alias(f"_a{i}"), pick(i, True).alias(f"_b{i}"))],
+    )
+    joined = same_keys_join(rows, picked, group)
+    counts = []
+    for i in ids:
+        x, a, b = (F.col(f"_{c}{i}") for c in "xab")
+        here = _wide(i, gather) & _inside(i)
+        counts += [
+            F.count_if(here & (x < a)).alias(f"_below{i}"), F.count_if(here & (x == a)).alias(f"_at_a{i}"),
+            F.count_if(here & (x > a) & (x < b)).alias(f"_between{i}"),
+            F.count_if(here & (x == b) & (b > a)).alias(f"_at_b{i}"),
+        ]
+    counted = same_keys_join(picked, joined.groupBy(*group).agg(*counts), group)
+    out = []
+    for i in ids:
+        get = lambda c: F.col(f"_{c}{i}")
+        k = _rank(i) - get("before")
+        to_a = get("below")
+        at_a = to_a + get("at_a")
+        to_b = at_a + get("between")
+        at_b = to_b + get("at_b")
+        wide = _wide(i, gather)
+        case = lambda below, is_a, between, is_b, above, keep: (
+            F.when(~wide, keep).when(k <= to_a, below).when(k <= at_a, is_a).when(k <= to_b, between)
+            .when(k <= at_b, is_b).otherwise(above)
+        )
+        none = F.lit(None).cast("double")
+        low, high, a, b = get("from"), get("to"), get("a"), get("b")
+        before, inside = get("before"), get("in")
+        out += [
+            get("n"),
+            case(low, low, a, low, b, low).alias(f"_from{i}"),
+            case(a, high, b, high, high, high).alias(f"_to{i}"),
+            case(before, before, before + at_a, before, before + at_b, before).alias(f"_before{i}"),
+            case(to_a, inside, get("between"), inside, inside - at_b, inside).alias(f"_in{i}"),
+            case(none, a, none, b, none, get("low")).alias(f"_low{i}"),
+        ]
+    return counted.select(*group, *out)
+
+
+def _read_off(rows: DataFrame, state: DataFrame, group: list[str], ids: range) -> DataFrame:
+    """The state with `_low` of every column, from the values left in the brackets."""
+    fields = [c for c in state.columns if c not in group]
+    joined = same_keys_join(rows, state, group)
+    held = joined.groupBy(*group).agg(*[
+        F.sort_array(F.collect_list(F.when(F.col(f"_low{i}").isNull() & _inside(i), F.col(f"_x{i}")))).alias(f"_v{i}")
+        for i in ids
+    ])
+    both = same_keys_join(state, held, group)
+    value = lambda i: F.get(F.col(f"_v{i}"), (_rank(i) - F.col(f"_before{i}") - 1).cast("int"))
+    found = {f"_low{i}": F.coalesce(F.col(f"_low{i}"), value(i)) for i in ids}
+    return both.select(*group, *[found.get(c, F.col(c)).alias(c) for c in fields])
+
+
+def _upper_halves(rows: DataFrame, state: DataFrame, group: list[str], ids: range) -> DataFrame:
+    joined = same_keys_join(rows, state, group)
+    low = lambda i: F.col(f"_low{i}")
+    counts = joined.groupBy(*group).agg(*[c for i in ids for c in (
+        F.count_if(F.col(f"_x{i}") <= low(i)).alias(f"_upto{i}"),
+        F.min(F.when(F.col(f"_x{i}") > low(i), F.col(f"_x{i}"))).alias(f"_next{i}"),
+    )])
+    both = same_keys_join(state, counts, group)
+    return both.select(*group, *[
+        F.when(F.floor(F.col(f"_n{i}") / 2) + 1 <= F.col(f"_upto{i}"), low(i))
+        .otherwise((low(i) + F.col(f"_next{i}")) / 2).alias(f"_median{i}")
+        for i in ids
+    ])

@@ -115,22 +115,19 @@ def profile_temporal(df: DataFrame, names: Sequence[str] | None = None) -> DataF
     return _show(df, columns, _ranges(columns, names or temporal_columns(df)))
 
 
-def _medians(df: DataFrame, names: Sequence[str], max_rows: int | None) -> DataFrame:
-    medians = exact_medians(df, [Median(c, c) for c in names], max_groups=1, max_rows=max_rows)
+def _medians(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    medians = exact_medians(df, [Median(c, c) for c in names])
     return medians.select(
         F.col("name").alias("column_name"), decimals(F.col("median"), 4).alias("median")
     )
 
 
-def profile_numeric(
-    df: DataFrame, names: Sequence[str] | None = None, max_rows: int | None = None
-) -> DataFrame:
+def profile_numeric(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Minimum, maximum, mean, sample deviation and exact median of numeric columns, at
-    four decimals. One row per column; all null where a column has no value. `max_rows`
-    is as in `exact_medians`."""
+    four decimals. One row per column; all null where a column has no value."""
     names, columns = list(names or numeric_columns(df)), _Columns()
     stats = _show(nan_to_null(df), columns, _statistics(columns, names))
-    return stats.join(_medians(df, names, max_rows), "column_name", "left").select(
+    return stats.join(_medians(df, names), "column_name", "left").select(
         "column_name", "min", "max", "mean", "median", "std"
     )
 
@@ -158,7 +155,6 @@ def column_profile(
     df: DataFrame,
     categories: Sequence[str] = TRIP_CATEGORIES,
     top: int = TOP,
-    max_rows: int | None = None,
 ) -> DataFrame:
     """The whole profile, one row per column in table order. Statistics that do not
     apply to a column are null; `value_counts` is a map, most frequent first.
@@ -183,7 +179,7 @@ def column_profile(
     }
     tall = _show(nan_to_null(df), columns, shown)
     if statistics:
-        medians = _medians(df, list(statistics), max_rows)
+        medians = _medians(df, list(statistics))
         tall = tall.join(medians, "column_name", "left")
     else:
         tall = tall.withColumn("median", F.lit(None).cast("double"))

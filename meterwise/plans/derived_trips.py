@@ -19,58 +19,31 @@ ORDER_LIMITS = Limits(
     min_fare_per_mile=1000.0, max_fare_per_mile=2000.0, unknown_zones=(24,),
 )
 
-# One task may sort this many rows of one key.
-TASK_ROWS = 1_000_000
-# A key above this share of a table is cut up whatever its size, so that fewer than
-# 1 / HOT_SHARE keys are ever listed as hot.
-HOT_SHARE = 1e-5
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def next_time(
-    df: DataFrame, key: str, time: str, tie: str, name: str, task_rows: int = TASK_ROWS
-) -> DataFrame:
-    """Add the `time` of the following row of the same key, null on its last row.
+def next_time(df: DataFrame, key: str, time: str, tie: str, name: str, every: str = "hour") -> DataFrame:
+    """Add the `time` of the following row of the same key, null on its last row. Rows
+    without a time come first, null keys are one key.
 
-    A key may hold a third of all rows, and a window would sort it in one task. Keys
-    with too many rows are cut into time slices; the last row of a slice takes the first
-    time of the key's next slice. Both broadcast tables are bounded by construction:
-    hot keys by 1 / HOT_SHARE, slices by four times that plus one per hot key.
+    A key may hold a third of all rows, and a window by key would sort it in one task. So
+    windows cover a key's rows of one hour, whatever the size of the table, and the last
+    row of an hour takes the first time of the key's next hour; the window that finds that
+    has one row per hour.
     """
-    ahead = F.lead(time)
-    rows = df.count()  # from the Parquet footers
-    if rows <= task_rows:
-        in_key = Window.partitionBy(key).orderBy(time, tie)
-        return df.withColumn(name, ahead.over(in_key))
-    limit = max(task_rows, int(rows * HOT_SHARE))
-    per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(time).alias("_first"), F.max(time).alias("_last")
-    )
-    span = F.timestamp_diff("MICROSECOND", F.col("_first"), F.col("_last")) + 1
-    hot = per_key.where(F.col("_n") > limit).select(
-        F.col(key).alias("_key"), "_first",
-        (span / F.ceil(4 * F.col("_n") / limit)).alias("_width"),
-    )
-    into = F.timestamp_diff("MICROSECOND", F.col("_first"), F.col(time))
-    cut = (
-        df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_key")), "left")
-        .withColumn("_slice", F.floor(into / F.col("_width")))
-        .drop("_key", "_first", "_width")
-    )
-    starts = cut.where(F.col("_slice").isNotNull()).groupBy(key, "_slice").agg(
-        F.min(time).alias("_start")
-    )
+    cut = df.withColumn("_slice", F.date_trunc(every, F.col(time)).cast("timestamp_ntz"))
+    starts = cut.groupBy(key, "_slice").agg(F.min(time).alias("_start"))
     following = F.lead("_start").over(Window.partitionBy(key).orderBy("_slice"))
     follow = starts.select(
         F.col(key).alias("_key"), F.col("_slice").alias("_of"), following.alias("_follow")
     )
-    in_slice = Window.partitionBy(key, "_slice").orderBy(time, tie)
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of"))
-    joined = cut.withColumn(name, ahead.over(in_slice)).join(F.broadcast(follow), same, "left")
-    return joined.withColumn(name, F.coalesce(name, "_follow")).select(*df.columns, name)
+    ahead = F.lead(time).over(Window.partitionBy(key, "_slice").orderBy(time, tie))
+    last = F.lead(F.lit(True)).over(Window.partitionBy(key, "_slice").orderBy(time, tie)).isNull()
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_slice").eqNullSafe(F.col("_of"))
+    joined = cut.withColumn("_ahead", ahead).withColumn("_last", last).join(follow, same, "left")
+    value = F.when(F.col("_last"), F.col("_follow")).otherwise(F.col("_ahead"))
+    return joined.select(*df.columns, value.alias(name))
 
 
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

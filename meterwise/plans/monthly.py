@@ -167,8 +167,7 @@ def validate(
 
     published = spark.read.parquet(out.trips)
     totals = report.tally_written(published, rule_set)
-    rows = published.count()
-    columns = profile.column_profile(trips, max_rows=rows)
+    columns = profile.column_profile(trips)
     document = report.report_json(
         totals, columns, month, round(time.time() - started, 1), rule_set, limits
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterwise.operators.metrics import FLAG_LABELS, SCALAR_KPIS
+from meterwise.operators.metrics import SCALAR_KPIS
 from meterwise.operators.report import annotation_texts
 from meterwise.operators.rules import HARD, SOFT, TRIP_RULES, Rule
 from meterwise.plans.derived_trips import EVENT_LIMITS, ORDER_RULES
@@ -116,6 +116,21 @@ enriched AS (
 )"""
 
 
+# What the labels must read under the limits of the derived trips.
+_LABELS = {
+    "out_of_month": "Picked up outside the month of the file",
+    "temporal_invalid": "Dropped off at or before the pickup",
+    "duration_invalid": "Lasted under 1 or over 360 minutes",
+    "distance_invalid": "No distance, or over 100 miles",
+    "fare_invalid": "Negative fare, none for payment type 1, 2, or over 500 dollars",
+    "location_unknown": "Zone id 25, 26, which stands for no zone",
+    "location_invalid": "Zone id that the zone table lacks",
+    "fare_per_mile_outlier": "Fare per mile under 1.5 or over 50 dollars (kept)",
+    "passenger_count_suspect": "More than 6 passengers (kept)",
+    "zero_distance_with_fare": "A fare without a distance (kept, unless another rule excludes it)",
+}
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
@@ -177,7 +192,7 @@ def _scalar_kpis(component: str | None = None) -> str:
 
 
 def _flag_kpis() -> str:
-    labels = " ".join(f"WHEN '{flag}' THEN {_quoted(t)}" for flag, t in FLAG_LABELS.items())
+    labels = " ".join(f"WHEN '{flag}' THEN {_quoted(t)}" for flag, t in _LABELS.items())
     return (
         "SELECT 'flag_count_' || flag AS metric_name, 'M5_anomaly' AS kpi_component, "
         "'FLAG' AS \"group\", CAST(n AS DOUBLE) AS value, 'trips' AS unit, "
@@ -449,7 +464,8 @@ FROM enriched WHERE pu_borough IS NOT NULL AND pu_zone IS NOT NULL
 GROUP BY pu_borough, pu_zone, pickup_hour""",
         "low_sample_groups": MODEL + """
 SELECT count(*) AS groups, count(*) FILTER (n < 10) AS low_sample_groups
-FROM (SELECT count(*) AS n FROM enriched GROUP BY pu_borough, pu_zone, pickup_hour)""",
+FROM (SELECT count(*) AS n FROM enriched WHERE pu_borough IS NOT NULL AND pu_zone IS NOT NULL
+      GROUP BY pu_borough, pu_zone, pickup_hour)""",
         "peak_groups": MODEL + f""", by_hour AS ({_BOROUGH_HOUR})
 (SELECT 'slowest' AS peak, pu_borough, pickup_hour, median_duration_min AS value FROM by_hour
  WHERE median_duration_min IS NOT NULL

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +14,7 @@ from meterwise.plans import derived_trips as src
 from meterwise.plans import monthly
 from meterwise.session import apply_settings
 from meterwise.sources import files, sinks, trips, zones
+from meterwise.sources.scratch import scratch_folder, written
 from meterwise.streaming.landing import validate_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,24 +44,6 @@ def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared place the cluster names, or in /tmp where it names
-    none (tests, local runs)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{os.urandom(8).hex()}"
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp") + f"/{name}"
-
-
-def written(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """`df` as a table of its own, and its row count from the footers. For operators that
-    read their input several times."""
-    path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    table = df.sparkSession.read.parquet(path)
-    return table, table.count()
-
-
 # --- sources and manifest ---------------------------------------------------
 
 
@@ -175,8 +156,7 @@ def profile_temporal(spark, sf_dir):
 
 @query
 def profile_numeric(spark, sf_dir):
-    rows, n = written(src.event_trips(spark, sf_dir), "trips")
-    return profile.profile_numeric(rows, max_rows=n)
+    return profile.profile_numeric(written(src.event_trips(spark, sf_dir), "trips"))
 
 
 @query
@@ -208,8 +188,8 @@ def value_counts_part(spark, sf_dir):
 
 @named("profile")
 def whole_profile(spark, sf_dir):
-    rows, n = written(src.event_trips(spark, sf_dir), "trips")
-    columns = profile.column_profile(rows, ("payment_type",), max_rows=n)
+    rows = written(src.event_trips(spark, sf_dir), "trips")
+    columns = profile.column_profile(rows, ("payment_type",))
     return columns.withColumn("value_counts", F.to_json("value_counts"))
 
 
@@ -293,10 +273,10 @@ def rule_annotations(spark, sf_dir):
 
 @query
 def report_json(spark, sf_dir):
-    rows, n = written(src.event_trips(spark, sf_dir), "trips")
+    rows = written(src.event_trips(spark, sf_dir), "trips")
     zones_of = src.nation_zones(spark, sf_dir)
     flagged = rules.flag_rows(rows, zones_of, src.MONTH, limits=src.EVENT_LIMITS)
-    columns = profile.column_profile(rows, max_rows=n)
+    columns = profile.column_profile(rows)
     return report.report_json(
         report.tally(flagged), columns, src.MONTH, limits=src.EVENT_LIMITS
     )
@@ -402,37 +382,35 @@ _MEASURES = (
 )
 
 
-def _measures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, metrics.Bounds]:
-    rows, n = written(_enriched(spark, sf_dir).select(*_MEASURES), "measures")
-    return rows, metrics.zone_bounds(src.nation_zones(spark, sf_dir), n)
+def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(_enriched(spark, sf_dir).select(*_MEASURES), "measures")
 
 
 @query
 def duration_speed_by_borough_hour(spark, sf_dir):
-    return metrics.duration_speed_by_borough_hour(*_measures(spark, sf_dir))
+    return metrics.duration_speed_by_borough_hour(_measures(spark, sf_dir))
 
 
 @query
 def duration_speed_by_zone_hour(spark, sf_dir):
-    return metrics.duration_speed_by_zone_hour(*_measures(spark, sf_dir))
+    return metrics.duration_speed_by_zone_hour(_measures(spark, sf_dir))
 
 
 @query
 def low_sample_groups(spark, sf_dir):
-    return metrics.low_sample_groups(
-        _enriched(spark, sf_dir), ["pu_borough", "pu_zone", "pickup_hour"]
-    )
+    by_zone = metrics.duration_speed_by_zone_hour(_measures(spark, sf_dir))
+    return metrics.low_sample_groups(by_zone)
 
 
 @query
 def peak_groups(spark, sf_dir):
-    by_hour = metrics.duration_speed_by_borough_hour(*_measures(spark, sf_dir))
+    by_hour = metrics.duration_speed_by_borough_hour(_measures(spark, sf_dir))
     return metrics.peak_groups(by_hour, ["pu_borough", "pickup_hour"])
 
 
 @query
 def fare_consistency(spark, sf_dir):
-    return metrics.fare_consistency(*_measures(spark, sf_dir))
+    return metrics.fare_consistency(_measures(spark, sf_dir))
 
 
 @query
@@ -447,12 +425,12 @@ def kpi_anomaly(spark, sf_dir):
 
 @query
 def kpi_flag_breakdown(spark, sf_dir):
-    return metrics.flag_kpis(_tally(spark, sf_dir))
+    return metrics.flag_kpis(_tally(spark, sf_dir), limits=src.EVENT_LIMITS)
 
 
 @query
 def kpi_summary(spark, sf_dir):
-    return metrics.kpi_summary(_tally(spark, sf_dir))
+    return metrics.kpi_summary(_tally(spark, sf_dir), limits=src.EVENT_LIMITS)
 
 
 # --- the job and the stream ---------------------------------------------------
@@ -511,12 +489,10 @@ def order_flag_counts(spark, sf_dir):
 
 @query
 def order_duration_speed_by_region_month(spark, sf_dir):
-    """Neither rows nor months are bounded beforehand: the medians run by counting, and
-    their groups are counted first."""
     fact = _order_fact(spark, sf_dir)
     fact = fact.withColumn("pickup_month", F.date_format("pickup_at", "yyyy-MM"))
     rows = model.enrich(fact, src.nation_zones(spark, sf_dir), ("pu",))
-    rows, _ = written(
+    rows = written(
         rows.select("pu_borough", "pickup_month", "trip_distance", "duration_minutes",
                     "speed_mph"),
         "measures",
@@ -526,11 +502,10 @@ def order_duration_speed_by_region_month(spark, sf_dir):
 
 @query
 def order_fare_consistency(spark, sf_dir):
-    """Boroughs are bounded, rows are not: the medians run by counting."""
     dim = src.nation_zones(spark, sf_dir)
     rows = model.enrich(_order_fact(spark, sf_dir), dim, ("pu",))
-    rows, _ = written(rows.select("pu_borough", "fare_per_mile", rules.FLAGS), "measures")
-    return metrics.fare_consistency(rows, metrics.zone_bounds(dim))
+    rows = written(rows.select("pu_borough", "fare_per_mile", rules.FLAGS), "measures")
+    return metrics.fare_consistency(rows)
 
 
 @query

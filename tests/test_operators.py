@@ -12,8 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterwise.errors import DuplicateKeys, EmptyInput
-from meterwise.operators import median, metrics, model, profile, report, rules
-from meterwise.operators.median import BUFFER_ROWS, Median, exact_medians
+from meterwise.operators import metrics, model, profile, report, rules
+from meterwise.operators.median import Median, exact_medians
 from meterwise.plans.derived_trips import next_time
 from meterwise.sources.guards import guard_empty
 from trip_rows import at, frame, trip, zones
@@ -36,24 +36,25 @@ def _median_rows():
             rows.append((key, i % 3, x, None if i % 7 == 0 else round(x, 1)))
     rows += [("one", 0, 4.5, None), ("two", 0, 1.0, 3.0), ("two", 0, 2.0, math.nan)]
     rows.append(("none", 0, None, math.nan))
+    # Infinities, a burst of near-equal values with one far off, and two heavy values.
+    rows += [("inf", 0, x, x) for x in (1.0, math.inf, 3.0)] + [("-inf", 0, -math.inf, 1.0)] * 3
+    rows += [("burst", 0, 1.0 + i * 2**-52, 1.05) for i in range(3000)] + [("burst", 0, 1.05, None)]
+    rows += [("two heavy", 0, float(i < 500), 0.5 if i == 7 else float(i % 2)) for i in range(1000)]
     return rows
 
 
-MANY = median.BROADCAST_ROWS + 1
+# Values that a buffer may hold: none but the last, some groups, all groups.
+GATHER = [1, 50, 1_000_000]
 
 
-@pytest.mark.parametrize(
-    "bounds",
-    [{}, {"max_groups": MANY}, {"max_groups": 50}, {"max_rows": BUFFER_ROWS}],
-    ids=["counted", "many", "few", "small"],
-)
+@pytest.mark.parametrize("gather", GATHER)
 @pytest.mark.parametrize("keys", [["k"], ["k", "h"], []])
-def test_medians_are_exact(spark, bounds, keys):
+def test_medians_are_exact(spark, gather, keys):
     rows = _median_rows()
     df = spark.createDataFrame(rows, "k STRING, h INT, a DOUBLE, b DOUBLE")
     expected = _expected(rows, keys, ["a", "b"])
     wanted = [Median("A", "a", tuple(keys)), Median("B", "b", tuple(keys))]
-    out = exact_medians(df, wanted, **bounds).collect()
+    out = exact_medians(df, wanted, gather).collect()
     assert len(out) == len(expected)
     assert {(r["name"].lower(), tuple(r[c] for c in keys)): r["median"] for r in out} == expected
 
@@ -69,13 +70,13 @@ def _expected(rows, keys, names):
     return {group: statistics.median(xs) for group, xs in values.items()}
 
 
-@pytest.mark.parametrize("bounds", [{}, {"max_groups": MANY}, {"max_rows": BUFFER_ROWS}])
-def test_medians_by_different_keys_share_passes(spark, bounds):
+@pytest.mark.parametrize("gather", GATHER)
+def test_medians_by_different_keys(spark, gather):
     rows = _median_rows()
     df = spark.createDataFrame(rows, "k STRING, h INT, a DOUBLE, b DOUBLE")
     sets = {"kh": ("k", "h"), "k": ("k",), "all": ()}
     wanted = [Median(name, "a", keys) for name, keys in sets.items()]
-    out = exact_medians(df, wanted, **bounds).collect()
+    out = exact_medians(df, wanted, gather).collect()
     for name, keys in sets.items():
         got = {("a", tuple(r[c] for c in keys)): r["median"] for r in out if r["name"] == name}
         assert got == _expected(rows, keys, ["a"])
@@ -88,24 +89,25 @@ def test_medians_of_nothing(spark):
     assert exact_medians(empty, [Median("a", "a")]).collect() == []
 
 
-@pytest.mark.parametrize("task_rows", [10, 100, 10_000])
-def test_next_time_with_a_hot_key(spark, task_rows):
+@pytest.mark.parametrize("every", ["second", "minute", "hour", "year"])
+def test_next_time_with_a_hot_key(spark, every):
     start = datetime(2024, 1, 1)
     rows = []
     for i in range(3000):
         key = 0 if i % 3 == 0 else RNG.randrange(1, 40)
         rows.append((i, key, start + timedelta(seconds=RNG.randrange(5000) // 3)))
     rows += [(5000 + i, 99, start) for i in range(400)]  # a hot key without any span
+    rows += [(6000 + i, 0, None) for i in range(5)] + [(7000, None, start), (7001, None, None)]
     df = spark.createDataFrame(rows, "id INT, key INT, t TIMESTAMP_NTZ")
     expected = {}
     groups = defaultdict(list)
     for i, key, t in rows:
-        groups[key].append((t, i))
+        groups[key].append((t or datetime.min, i))
     for group in groups.values():
         group.sort()
         for (_, i), after in zip(group, [*group[1:], (None, None)]):
-            expected[i] = after[0]
-    out = next_time(df, "key", "t", "id", "next", task_rows).collect()
+            expected[i] = None if after[0] == datetime.min else after[0]
+    out = next_time(df, "key", "t", "id", "next", every).collect()
     assert {r["id"]: r["next"] for r in out} == expected
     assert len(out) == len(rows)
 
@@ -181,29 +183,28 @@ def test_annotations(flagged):
 def test_profile_against_pandas(spark, some_trips):
     df = frame(spark, some_trips).drop("id")
     pdf = pd.DataFrame(some_trips).drop(columns="id")
-    for bounds in ({}, {"max_rows": 600}):
-        tall = profile.column_profile(df, **bounds).withColumn("ordered", F.to_json("value_counts"))
-        for row in tall.collect():
-            column = pdf[row["column_name"]]
-            assert row["row_count"] == len(pdf)
-            assert row["null_count"] == column.isna().sum()
-            assert row["null_pct"] == round(column.isna().sum() / len(pdf) * 100, 3)
-            if row["column_name"].endswith("datetime"):
-                assert row["min_text"] == str(column.min()) and row["max_text"] == str(column.max())
-            elif pd.api.types.is_numeric_dtype(column):
-                for stat in ("min", "max", "mean", "median", "std"):
-                    assert row[stat] == pytest.approx(getattr(column, stat)(), abs=1e-4), stat
-            else:
-                assert row["mean"] is None and row["min_text"] is None
-            if row["column_name"] in profile.TRIP_CATEGORIES:
-                expected = column.value_counts(dropna=False)
-                total = {str(k): int(v) for k, v in expected.items()}
-                got = {k.replace("None", "nan"): v for k, v in row["value_counts"].items()}
-                if row["column_name"] != "payment_type":  # pandas turns nullable ints to float
-                    assert got == {k.replace("None", "nan"): v for k, v in total.items()}
-                assert sorted(row["value_counts"].values()) == sorted(expected)
-                ordered = json.loads(row["ordered"])
-                assert list(ordered.values()) == sorted(expected, reverse=True)
+    tall = profile.column_profile(df).withColumn("ordered", F.to_json("value_counts"))
+    for row in tall.collect():
+        column = pdf[row["column_name"]]
+        assert row["row_count"] == len(pdf)
+        assert row["null_count"] == column.isna().sum()
+        assert row["null_pct"] == round(column.isna().sum() / len(pdf) * 100, 3)
+        if row["column_name"].endswith("datetime"):
+            assert row["min_text"] == str(column.min()) and row["max_text"] == str(column.max())
+        elif pd.api.types.is_numeric_dtype(column):
+            for stat in ("min", "max", "mean", "median", "std"):
+                assert row[stat] == pytest.approx(getattr(column, stat)(), abs=1e-4), stat
+        else:
+            assert row["mean"] is None and row["min_text"] is None
+        if row["column_name"] in profile.TRIP_CATEGORIES:
+            expected = column.value_counts(dropna=False)
+            total = {str(k): int(v) for k, v in expected.items()}
+            got = {k.replace("None", "nan"): v for k, v in row["value_counts"].items()}
+            if row["column_name"] != "payment_type":  # pandas turns nullable ints to float
+                assert got == {k.replace("None", "nan"): v for k, v in total.items()}
+            assert sorted(row["value_counts"].values()) == sorted(expected)
+            ordered = json.loads(row["ordered"])
+            assert list(ordered.values()) == sorted(expected, reverse=True)
 
 
 def test_profile_edge_columns(spark):
@@ -251,17 +252,16 @@ def test_zero_duration_and_distance_give_null(spark):
     assert out["speed_mph"] is None and out["fare_per_mile"] is None
 
 
-@pytest.mark.parametrize("bounds", [metrics.Bounds(), metrics.Bounds(groups=MANY), metrics.Bounds(rows=600)])
-def test_metrics_against_pandas(enriched, bounds):
+def test_metrics_against_pandas(enriched):
     rows = enriched.toPandas()
-    for r in metrics.duration_speed_by_borough_hour(enriched, bounds).collect():
+    for r in metrics.duration_speed_by_borough_hour(enriched).collect():
         group = rows[(rows["pu_borough"] == r["pu_borough"]) & (rows["pickup_hour"] == r["pickup_hour"])]
         assert r["trip_count"] == len(group)
         assert r["median_duration_min"] == pytest.approx(group["duration_minutes"].median(), abs=0.0051)
         assert r["median_speed_mph"] == pytest.approx(group["speed_mph"].median(), abs=0.0051)
         assert r["avg_trip_distance_miles"] == pytest.approx(group["trip_distance"].mean(), abs=0.00051)
         assert r["avg_speed_mph"] == pytest.approx(group["speed_mph"].mean(), abs=0.0051)
-    for r in metrics.fare_consistency(enriched, bounds).collect():
+    for r in metrics.fare_consistency(enriched).collect():
         group = rows[rows["pu_borough"] == r["pu_borough"]]
         fpm, flags = group["fare_per_mile"], group["validation_flags"]
         assert r["trip_count"] == len(group) and r["fare_trips_with_distance"] == fpm.count()
@@ -288,10 +288,20 @@ def test_null_hour_is_a_group_of_its_own(spark):
     rows = [trip(id=i, pickup=None, pu=1) for i in range(3)] + [trip(id=9, pu=1)]
     flagged = rules.flag_rows(frame(spark, rows), zones(spark), "2025-01")
     fact = model.enrich(model.fact_trips(rules.valid_rows(flagged)), zones(spark))
-    for bounds in (metrics.Bounds(), metrics.Bounds(rows=4)):
-        out = {r["pickup_hour"]: r for r in metrics.duration_speed_by_borough_hour(fact, bounds).collect()}
-        assert out[None]["trip_count"] == 3 and out[None]["median_duration_min"] is None
-        assert out[10]["median_duration_min"] == 30.0
+    out = {r["pickup_hour"]: r for r in metrics.duration_speed_by_borough_hour(fact).collect()}
+    assert out[None]["trip_count"] == 3 and out[None]["median_duration_min"] is None
+    assert out[trip()["tpep_pickup_datetime"].hour]["trip_count"] == 1
+
+
+def test_tables_leave_out_trips_without_zone_or_borough(spark):
+    schema = "pu_borough STRING, pu_zone STRING, pickup_hour INT, trip_distance DOUBLE, duration_minutes DOUBLE, speed_mph DOUBLE, fare_per_mile DOUBLE, validation_flags STRING"
+    some = [("B", "Z", 1), ("B", "Z", 1), ("B", None, 1), (None, "Z", 1), (None, None, None), ("B", "Y", None)]
+    rows = spark.createDataFrame([(*k, 1.0, 2.0, 3.0, 4.0, "") for k in some], schema)
+    by_zone = metrics.duration_speed_by_zone_hour(rows)
+    assert {(r["pu_zone"], r["pickup_hour"], r["trip_count"]) for r in by_zone.collect()} == {("Z", 1, 2), ("Y", None, 1)}
+    assert tuple(metrics.low_sample_groups(by_zone, 2).head()) == (2, 1)
+    assert sum(r["trip_count"] for r in metrics.duration_speed_by_borough_hour(rows).collect()) == 4
+    assert [r["trip_count"] for r in metrics.fare_consistency(rows).collect()] == [4]
 
 
 def test_peaks_take_the_first_of_equals(spark):
@@ -302,8 +312,8 @@ def test_peaks_take_the_first_of_equals(spark):
 
 
 def test_low_samples(spark):
-    df = spark.createDataFrame([(1,)] * 10 + [(2,)] * 9, "k INT")
-    assert tuple(metrics.low_sample_groups(df, ["k"]).head()) == (2, 1)
+    df = spark.createDataFrame([(1, 10), (2, 9)], "k INT, trip_count BIGINT")
+    assert tuple(metrics.low_sample_groups(df).head()) == (2, 1)
 
 
 def test_kpi_table(flagged):
@@ -312,10 +322,13 @@ def test_kpi_table(flagged):
     assert rows["raw_trip_count"]["value"] == 600.0
     anomalies = rows["hard_flagged_count"]["value"] + rows["soft_only_flagged_count"]["value"]
     assert rows["anomaly_rate_pct"]["value"] == round(anomalies / 600 * 100, 3)
-    unlabelled = metrics.flag_kpis(report.tally(flagged), labels={"fare_invalid": "F"})
-    texts = {r["metric_name"]: r["description"] for r in unlabelled.collect()}
-    assert texts["flag_count_fare_invalid"] == "F"
-    assert texts["flag_count_out_of_month"] == "out_of_month"
+    limits = rules.Limits(max_minutes=90, unknown_zones=(7,))
+    own = (*rules.TRIP_RULES, rules.Rule("own_rule", rules.SOFT, lambda *_: F.lit(False)))
+    labelled = metrics.flag_kpis(report.tally(flagged.withColumn("flag_own_rule", F.lit(False)), own), own, limits)
+    texts = {r["metric_name"]: r["description"] for r in labelled.collect()}
+    assert texts["flag_count_duration_invalid"] == "Lasted under 1 or over 90 minutes"
+    assert texts["flag_count_location_unknown"] == "Zone id 7, which stands for no zone"
+    assert texts["flag_count_own_rule"] == "own_rule"
 
 
 def test_repeated_dimension_keys(spark, flagged):
