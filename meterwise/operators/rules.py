@@ -57,11 +57,13 @@ class Limits:
 @dataclass(frozen=True)
 class Rule:
     """A named predicate; `test(limits, start, end)` builds its column, where start
-    and end are the bounds of the row's month."""
+    and end are the bounds of the row's month. A published month notes name, severity and
+    version: give a changed test another version."""
 
     name: str
     severity: str
     test: Callable[[Limits, Column, Column], Column] = field(repr=False)
+    version: str = "1"
 
     @property
     def column(self) -> str:

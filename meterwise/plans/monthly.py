@@ -6,20 +6,25 @@ Three steps hand over tables, so a lost executor costs the tasks it ran and noth
 * validate evaluates the rules once, into a table that holds valid and excluded rows,
 * metrics reads that table.
 
-Each of the last two ends by noting the checksums of the files it was built from. It is
-skipped while its outputs are committed and the note equals the manifest.
+Each of the last two ends by noting what it was built from: the checksums of the files,
+the rules, limits and options, and the run of the step before. It is skipped while its
+outputs are committed and the note still holds.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterwise.errors import EmptyInput
 from meterwise.functions.exprs import check_month
 from meterwise.operators import metrics, model, profile, report, rules
 from meterwise.session import apply_settings
@@ -36,7 +41,7 @@ STEPS = {
     "validate": ("trips", "report"),
     "metrics": (
         "statistics", "summary", "duration_speed_borough_hour", "duration_speed_zone_hour",
-        "fare_consistency",
+        "fare_consistency", "peak_groups", "low_sample_groups",
     ),
 }
 
@@ -87,7 +92,7 @@ def ingest(
     force: bool = False,
 ) -> None:
     """Bring the manifest and the zone dimension up to date. Unreadable files go to the
-    rejects and stop the job."""
+    rejects and stop the job; the next run leaves them out unless they have changed."""
     guard_inputs(spark, {"trips": trips_path})
     started = time.time()
     dim, (mode, kind, zone_path) = zones.read_zones(spark, zone_sources)
@@ -97,25 +102,32 @@ def ingest(
         if skipped:
             log.warning("%d zone records without an integer id are left out", skipped)
     # One small row per file, read several times; a lost block is inspected again.
-    trip_files = files.inspect_files(spark, trips_path).persist()
-    zone_files = zones.source_facts(spark, kind, zone_path).persist()
+    zone_id = "S2" if kind == "json" else "S3"
+    inspected = files.inspect_files(spark, trips_path).persist()
+    trip_files = files.without_rejects(inspected, out.rejects).withColumn("source", F.lit("S1"))
+    zone_files = zones.source_facts(spark, kind, zone_path).withColumn("source", F.lit(zone_id)).persist()
     decisions = files.decide_loads(
         trip_files.unionByName(zone_files), _inputs(spark, out), force
     ).persist()
     try:
         files.require_readable(trip_files, out.rejects)
-        changed = decisions.where("decision = 'changed'").limit(10).collect()
-        if changed:
-            names = ", ".join(r["file_name"] for r in changed)
-            log.warning("content differs from the manifest, loading again: %s", names)
-        load = files.files_to_load(decisions).select("file_name")
-        gone = decisions.where("decision = 'missing'").select("file_name")
+        left_out = inspected.count() - trip_files.count()
+        if left_out:
+            log.warning("%d files that an earlier run rejected are left out", left_out)
+        changed = decisions.where("decision = 'changed'")
+        count = changed.count()
+        if count:
+            names = ", ".join(r["entry"] for r in changed.orderBy("entry").limit(10).collect())
+            log.warning("content of %d files differs from the manifest, loading again: %s%s",
+                        count, names, ", ..." if count > 10 else "")
+        load = files.files_to_load(decisions).select("source", "entry")
+        gone = decisions.where("decision = 'missing'").select("source", "entry")
         elapsed = round(time.time() - started, 1)
         for facts, source, how, what in (
             (trip_files, "S1", "bulk_parquet", "trip records"),
-            (zone_files, "S2" if kind == "json" else "S3", mode, "zone lookup"),
+            (zone_files, zone_id, mode, "zone lookup"),
         ):
-            new = facts.join(load, "file_name", "left_semi")
+            new = facts.join(load, ["source", "entry"], "left_semi")
             if not new.isEmpty():
                 entries = files.manifest_rows(new, source, how, what, month, elapsed)
                 files.record(entries, out.manifest)
@@ -123,26 +135,57 @@ def ingest(
             files.forget(gone, out.manifest, month)
     finally:
         # Spark tells listings apart by path only: left cached, these would hide new files.
-        for cached in (decisions, trip_files, zone_files):
+        for cached in (decisions, inspected, zone_files):
             cached.unpersist()
-    dim.repartition(1).write.mode("overwrite").parquet(out.published["zones"])
+    sinks.write_table(dim, out.published["zones"])
 
 
 def _inputs(spark: SparkSession, out: Outputs) -> DataFrame:
-    """(filename, sha256) of the month's files in the manifest."""
+    """(source, entry, sha256, local_path) of the month's files in the manifest."""
     if path_exists(spark, out.manifest):
         entries = files.read_manifest(spark, out.manifest).where(F.col("month") == out.month)
     else:
         entries = spark.createDataFrame([], files.MANIFEST)
-    return entries.select("filename", "sha256")
+    return entries.select("source", "entry", "sha256", "local_path")
 
 
-def _up_to_date(spark: SparkSession, out: Outputs, step: str) -> bool:
-    """Whether a step's outputs are committed and built from the manifest's files."""
-    note = out.built_from(step)
-    if not outputs_done(spark, [note, *[out.published[name] for name in STEPS[step]]]):
+# Names of the rows of a note that are no files.
+RUN, PARAMETERS, BEFORE = "#run", "#parameters", "#before"
+
+
+def _digest(
+    step: str, rule_set: Sequence[rules.Rule], limits: rules.Limits, on_duplicate: str
+) -> str:
+    """What a step's result depends on besides its inputs."""
+    of_rules = [(r.name, r.severity, r.version) for r in rule_set]
+    parts = [step, of_rules, repr(limits), on_duplicate if step == "metrics" else ""]
+    return hashlib.sha256(json.dumps(parts).encode()).hexdigest()
+
+
+def _run_of(spark: SparkSession, out: Outputs, step: str) -> str | None:
+    """The id of the run that made a step's outputs."""
+    if not path_exists(spark, out.built_from(step)):
+        return None
+    row = spark.read.parquet(out.built_from(step)).where(F.col("entry") == RUN).head()
+    return row["sha256"] if row else None
+
+
+def _note(spark: SparkSession, out: Outputs, step: str, digest: str) -> DataFrame:
+    """(entry, sha256) of all that a step is built from."""
+    facts = [(PARAMETERS, digest)]
+    if step == "metrics":
+        facts.append((BEFORE, _run_of(spark, out, "validate")))
+    inputs = _inputs(spark, out).select(F.concat_ws("/", "source", "entry").alias("entry"), "sha256")
+    return inputs.unionByName(spark.createDataFrame(facts, "entry STRING, sha256 STRING"))
+
+
+def _up_to_date(spark: SparkSession, out: Outputs, step: str, digest: str) -> bool:
+    """Whether a step's outputs are committed and built from what is there now."""
+    path = out.built_from(step)
+    if not outputs_done(spark, [path, *[out.published[name] for name in STEPS[step]]]):
         return False
-    built, now = spark.read.parquet(note), _inputs(spark, out)
+    built = spark.read.schema("entry STRING, sha256 STRING").parquet(path).where(F.col("entry") != RUN)
+    now = _note(spark, out, step, digest)
     return built.exceptAll(now).isEmpty() and now.exceptAll(built).isEmpty()
 
 
@@ -154,19 +197,22 @@ def validate(
     rule_set: Sequence[rules.Rule] = rules.TRIP_RULES,
     limits: rules.Limits = rules.Limits(),
 ) -> None:
-    """Flag every row once and publish valid and excluded rows in one write; then
-    profile the raw rows and write the report."""
+    """Flag every row of the files in the manifest once and publish valid and excluded
+    rows in one write; then profile the raw rows and write the report."""
     guard_inputs(spark, {"trips": trips_path, "zones": out.published["zones"]})
     started = time.time()
-    trips = scan_trips(spark, trips_path)
+    # A list of files, as Spark itself keeps one on the driver.
+    landed = _inputs(spark, out).where("source = 'S1'").select("local_path").collect()
+    if not landed:
+        raise EmptyInput(f"the manifest holds no trip files of {month}")
+    trips = scan_trips(spark, [r["local_path"] for r in landed])
     dim = spark.read.parquet(out.published["zones"])
     flagged = rules.flag_rows(trips, dim, month, rule_set, limits)
     valid = ~rules.any_flag(rule_set, rules.HARD)
     marked = flagged.withColumn("valid", valid)
     sinks.write_month(rules.drop_working_columns(marked), out.trips, ["valid"])
 
-    published = spark.read.parquet(out.trips)
-    totals = report.tally_written(published, rule_set)
+    totals = report.tally_written(spark.read.parquet(out.trips), rule_set)
     columns = profile.column_profile(trips)
     document = report.report_json(
         totals, columns, month, round(time.time() - started, 1), rule_set, limits
@@ -179,9 +225,9 @@ def register_model(
 ) -> tuple[DataFrame, int]:
     """Create the views dim_zones, fact_trips and fact_trips_enriched for a published
     month; return the last one and the number of trips."""
-    guard_inputs(
-        spark, {"validated trips": out.trips_of(True), "zones": out.published["zones"]}
-    )
+    guard_inputs(spark, {"validated trips": out.trips, "zones": out.published["zones"]})
+    if not path_exists(spark, out.trips_of(True)):
+        raise EmptyInput(f"no trip of {out.month} is valid")
     dim = spark.read.parquet(out.published["zones"])
     numbered = model.read_numbered(spark, out.trips_of(True), "trip_id")
     fact = model.fact_trips(numbered, carry=["trip_id"])
@@ -197,34 +243,28 @@ def publish_metrics(
     out: Outputs,
     rule_set: Sequence[rules.Rule] = rules.TRIP_RULES,
     on_duplicate: str = "error",
+    limits: rules.Limits = rules.Limits(),
 ) -> None:
     """Build the model and publish the KPI tables."""
-    enriched, rows = register_model(spark, out, on_duplicate)
-    dim = spark.table("dim_zones")
+    enriched, _ = register_model(spark, out, on_duplicate)
     unmatched = enriched.where(F.col("pu_borough").isNull()).count()
     if unmatched:
         log.warning("%d trips have no pickup borough and leave the borough metrics", unmatched)
-    # Repeated zones multiply trips, so then the trip count bounds nothing.
-    bounds = metrics.zone_bounds(dim, None if on_duplicate == "allow" else rows)
     totals = report.tally_written(spark.read.parquet(out.trips), rule_set)
     # One row per group, shown in three tables: computed once.
-    metrics.group_statistics(enriched, bounds=bounds).repartition(1).write.mode(
-        "overwrite"
-    ).parquet(out.published["statistics"])
+    sinks.write_table(metrics.group_statistics(enriched), out.published["statistics"])
     statistics = spark.read.parquet(out.published["statistics"])
+    by_hour = metrics.show_duration_speed(statistics, metrics.BOROUGH_HOUR)
+    by_zone = metrics.show_duration_speed(statistics, metrics.ZONE_HOUR)
     tables = {
         "summary": (
-            metrics.show_kpis(metrics.kpi_summary(totals, rule_set)),
+            metrics.show_kpis(metrics.kpi_summary(totals, rule_set, limits)),
             [metrics.kpi_order(rule_set)],
         ),
-        "duration_speed_borough_hour": (
-            metrics.show_duration_speed(statistics, metrics.BOROUGH_HOUR),
-            ["pu_borough", "pickup_hour"],
-        ),
-        "duration_speed_zone_hour": (
-            metrics.show_duration_speed(statistics, metrics.ZONE_HOUR),
-            ["pu_borough", "pu_zone", "pickup_hour"],
-        ),
+        "duration_speed_borough_hour": (by_hour, ["pu_borough", "pickup_hour"]),
+        "duration_speed_zone_hour": (by_zone, ["pu_borough", "pu_zone", "pickup_hour"]),
+        "peak_groups": (metrics.peak_groups(by_hour, ["pu_borough", "pickup_hour"]), ["peak"]),
+        "low_sample_groups": (metrics.low_sample_groups(by_zone), ["groups"]),
         "fare_consistency": (metrics.show_fare_consistency(statistics), ["pu_borough"]),
     }
     for name, (table, order) in tables.items():
@@ -254,18 +294,20 @@ def run_month(
     work = {
         "ingest": lambda: ingest(spark, month, trips_path, zone_sources, out, force),
         "validate": lambda: validate(spark, month, trips_path, out, rule_set, limits),
-        "metrics": lambda: publish_metrics(spark, out, rule_set, on_duplicate),
+        "metrics": lambda: publish_metrics(spark, out, rule_set, on_duplicate, limits),
     }
     for name in STEPS:
         if step not in (None, name):
             continue
-        if name != "ingest" and not force and _up_to_date(spark, out, name):
+        digest = _digest(name, rule_set, limits, on_duplicate)
+        if name != "ingest" and not force and _up_to_date(spark, out, name, digest):
             log.info("%s of %s is up to date", name, month)
             continue
         work[name]()
         if name != "ingest":
-            note = _inputs(spark, out)
-            note.write.mode("overwrite").parquet(out.built_from(name))
+            run = spark.createDataFrame([(RUN, uuid.uuid4().hex)], "entry STRING, sha256 STRING")
+            note = _note(spark, out, name, digest).unionByName(run)
+            sinks.write_table(note, out.built_from(name))
     for row in sinks.output_inventory(spark, out.root, list(out.published)).collect():
         log.info("%s: %s", row["output"], f"{row['kb']} KB" if row["present"] else "missing")
     return out.published

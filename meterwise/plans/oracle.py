@@ -349,7 +349,31 @@ def statements() -> dict[str, str]:
     numbers = _numeric_of("trips", *_TRIP_NUMBERS)
     times = _temporal("trips", *_TRIP_TIMES)
     out = {
-        "scan_trips": TRIP + "SELECT * FROM trips",
+        "scan_trips": TRIP + """
+SELECT *, CASE WHEN event_id % 2 = 1 THEN event_id * CAST(0.25 AS DOUBLE) END AS surcharge FROM trips""",
+        "manifest": " UNION ALL ".join(
+            f"SELECT '{t}.parquet' AS entry, 'S1' AS source, 'bulk_parquet' AS retrieval_mode, "
+            f"'driver tables' AS description, '{t}.parquet' AS filename, "
+            f"(SELECT count(*) FROM {t}) AS row_count, "
+            f"(SELECT string_agg(column_name, ',') FROM (DESCRIBE {t})) AS columns, "
+            + (
+                f"(SELECT {_stamp(f'min({_TIMES[t]})')} FROM {t}) AS pickup_date_min, "
+                f"(SELECT {_stamp(f'max({_TIMES[t]})')} FROM {t}) AS pickup_date_max, "
+                if t in _TIMES else "NULL::VARCHAR AS pickup_date_min, NULL::VARCHAR AS pickup_date_max, "
+            )
+            + "TRUE AS has_checksum, TRUE AS has_rows"
+            for t in _TABLES
+        ),
+        "incremental_files": "SELECT entry || '.parquet' AS entry, decision FROM (VALUES "
+        "('events', 'new'), ('region', 'new'), ('orders', 'changed'), ('gone', 'missing'), "
+        + ", ".join(
+            f"('{t}', 'unchanged')" for t in _TABLES if t not in ("events", "region", "orders")
+        ) + ") d(entry, decision)",
+        "rejected_files": "SELECT 'good' AS folder, FALSE AS rejected, count(*) AS row_count "
+        "FROM region UNION ALL SELECT 'bad', TRUE, 0",
+        "output_inventory": "SELECT output, output <> 'absent.parquet' AS present, "
+        "CASE WHEN output <> 'absent.parquet' THEN TRUE END AS has_bytes FROM (VALUES "
+        + ", ".join(f"('{t}.parquet')" for t in (*_TABLES, "absent")) + ") o(output)",
         "manifest_counts": " UNION ALL ".join(
             f"SELECT '{t}.parquet' AS filename, count(*) AS row_count, "
             f"CAST({n} AS BIGINT) AS n_columns FROM {t}"
@@ -364,6 +388,7 @@ def statements() -> dict[str, str]:
         ),
         "dim_zones": zones + "SELECT * FROM zones",
         "dim_zones_csv": zones + "SELECT * FROM zones",
+        "dim_zones_json": zones + "SELECT * FROM zones",
         "zone_source_mode": zones + "SELECT *, 'csv_fallback' AS zone_lookup_mode FROM zones",
         "zone_manifest": zones + """SELECT 'S3' AS source, 'csv_fallback' AS retrieval_mode,
   count(*) AS row_count, 'LocationID,Borough,Zone' AS columns FROM zones""",
@@ -487,6 +512,7 @@ UNION ALL
         "order_fare_consistency": ORDER_MODEL + _FARE,
     }
     out["monthly_kpi_summary"] = out["kpi_summary"]
+    out["monthly_duration_speed"] = out["duration_speed_by_zone_hour"]
     out["landed_trips"] = out["validated_trips"]
     for name in _RULES:
         key = f"flag_{name}".replace("passenger_count_suspect", "passenger_suspect")

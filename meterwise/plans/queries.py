@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,13 +50,25 @@ def registered() -> dict[str, Query]:
 
 @query
 def scan_trips(spark, sf_dir):
-    return src.event_trips(spark, sf_dir)
+    """Two landed files, one of which has a column more."""
+    path = scratch_folder(spark, "landed")
+    rows = src.event_trips(spark, sf_dir)
+    odd = F.col("event_id") % 2 == 1
+    rows.where(~odd).write.parquet(f"{path}/plain")
+    rows.where(odd).withColumn("surcharge", F.col("event_id") * 0.25).write.parquet(f"{path}/more")
+    return trips.scan_trips(spark, [f"{path}/plain", f"{path}/more"])
 
 
 @query
 def manifest(spark, sf_dir):
+    """All that does not change with the place and the time of the files."""
     facts = files.inspect_files(spark, sf_dir, TIME_COLUMNS)
-    return files.manifest_rows(facts, "S1", "bulk_parquet", "driver tables")
+    entries = files.manifest_rows(facts, "S1", "bulk_parquet", "driver tables")
+    return entries.select(
+        "entry", "source", "retrieval_mode", "description", "filename", "row_count",
+        F.concat_ws(",", "columns").alias("columns"), "pickup_date_min", "pickup_date_max",
+        (F.length("sha256") == 64).alias("has_checksum"), (F.col("num_row_groups") > 0).alias("has_rows"),
+    )
 
 
 @query
@@ -81,21 +94,33 @@ def file_checksums(spark, sf_dir):
 def incremental_files(spark, sf_dir):
     """Against a manifest that lacks events, has an older orders file and one file
     that is gone."""
-    current = files.file_checksums(spark, sf_dir, "*.parquet")
-    name = F.col("file_name")
-    known = current.where(name != "events.parquet").select(
-        F.when(name == "region.parquet", "gone.parquet").otherwise(name).alias("filename"),
-        F.when(name == "orders.parquet", F.sha2("sha256", 256))
+    current = files.file_checksums(spark, sf_dir, "*.parquet").withColumn("source", F.lit("S1"))
+    entry = F.col("entry")
+    known = current.where(entry != "events.parquet").select(
+        "source",
+        F.when(entry == "region.parquet", "gone.parquet").otherwise(entry).alias("entry"),
+        F.when(entry == "orders.parquet", F.sha2("sha256", 256))
         .otherwise(F.col("sha256"))
         .alias("sha256"),
     )
-    return files.decide_loads(current, known).select("file_name", "decision")
+    return files.decide_loads(current, known).select("entry", "decision")
 
 
 @query
 def rejected_files(spark, sf_dir):
-    facts = files.inspect_files(spark, sf_dir, checksum=False)
-    return facts.select("file_name", F.col("error").isNotNull().alias("rejected"))
+    """The region table, landed beside a file that is no Parquet."""
+    path = scratch_folder(spark, "landed")
+    src.table(spark, sf_dir, "region").coalesce(1).write.parquet(f"{path}/good")
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bad/broken.parquet")
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
+    stream.write(bytearray(b"no Parquet"))
+    stream.close()
+    facts = files.inspect_files(spark, path)
+    bad = F.col("error").isNotNull()
+    return facts.select(
+        F.substring_index("entry", "/", 1).alias("folder"), bad.alias("rejected"),
+        F.coalesce("row_count", F.lit(0)).alias("row_count"),
+    )
 
 
 @query
@@ -119,6 +144,19 @@ def dim_zones_csv(spark, sf_dir):
     return zones.read_zones_csv(spark, _zones_csv(spark, sf_dir))
 
 
+@query
+def dim_zones_json(spark, sf_dir):
+    """One JSON array, as the publisher's service sends it."""
+    path = scratch_folder(spark, "zones-json")
+    record = F.struct(
+        F.col("location_id").cast("string").alias("locationid"),
+        F.col("zone_name").alias("zone"), "borough", F.lit("ignored").alias("the_geom"),
+    )
+    zones_of = src.nation_zones(spark, sf_dir)
+    zones_of.agg(F.to_json(F.collect_list(record))).coalesce(1).write.text(path)
+    return zones.read_zones_json(spark, path)
+
+
 @query
 def zone_source_mode(spark, sf_dir):
     csv = _zones_csv(spark, sf_dir)
@@ -442,18 +480,36 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def _month(spark: SparkSession, sf_dir: str, *limits) -> dict[str, str]:
+    """The outputs of a month that was run once with each of the limits."""
+    landed, zones_csv = _landed(spark, sf_dir), _zones_csv(spark, sf_dir)
+    root = scratch_folder(spark, "month")
+    for limit in limits:
+        out = monthly.run_month(
+            spark, src.MONTH, landed, [("csv_fallback", "csv", zones_csv)], root, limits=limit
+        )
+    return out
+
+
 @query
 def monthly_kpi_summary(spark, sf_dir):
-    """The published KPI table of a whole run of the monthly job."""
-    out = monthly.run_month(
-        spark, src.MONTH, _landed(spark, sf_dir),
-        [("csv_fallback", "csv", _zones_csv(spark, sf_dir))],
-        scratch_folder(spark, "month"), limits=src.EVENT_LIMITS,
-    )
+    """The published KPI table of a month that was run with a lower fare limit before."""
+    lower = replace(src.EVENT_LIMITS, max_fare=50.0)
+    out = _month(spark, sf_dir, lower, src.EVENT_LIMITS)
     kpis = spark.read.option("header", True).csv(out["summary"])
     return kpis.withColumn("value", F.col("value").cast("double"))
 
 
+@query
+def monthly_duration_speed(spark, sf_dir):
+    """The published table by zone and hour, read back."""
+    out = _month(spark, sf_dir, src.EVENT_LIMITS)
+    schema = "pu_borough STRING, pu_zone STRING, pickup_hour INT, trip_count BIGINT, " + ", ".join(
+        f"{c} DOUBLE" for c in ("median_duration_min", "median_speed_mph", "avg_trip_distance_miles")
+    )
+    return spark.read.schema(schema).option("header", True).csv(out["duration_speed_zone_hour"])
+
+
 @query
 def landed_trips(spark, sf_dir):
     """Valid trips, validated as a stream of files."""
@@ -511,4 +567,5 @@ def order_fare_consistency(spark, sf_dir):
 @query
 def output_inventory(spark, sf_dir):
     names = [f"{t}.parquet" for t in (*TABLES, "absent")]
-    return sinks.output_inventory(spark, sf_dir, names)
+    found = sinks.output_inventory(spark, sf_dir, names)
+    return found.select("output", "present", (F.col("kb") > 0).alias("has_bytes"))

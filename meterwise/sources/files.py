@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.errors import EmptyInput, RejectedInput
+from meterwise.sources.guards import path_exists
 
 # The functions below travel with the job: executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -24,24 +25,30 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHUNK = 1 << 20
 
 FACTS = (
-    "file_path STRING, file_name STRING, file_size_bytes BIGINT, row_count BIGINT, "
+    "file_path STRING, entry STRING, file_name STRING, file_size_bytes BIGINT, row_count BIGINT, "
     "num_row_groups INT, columns ARRAY<STRING>, range_min STRING, range_max STRING, "
     "sha256 STRING, error STRING"
 )
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """(file_path, file_name, file_size_bytes, modified_at) of the files below a path.
-    The content column is not selected, so no file is opened."""
+    """(file_path, entry, file_name, file_size_bytes, modified_at) of the files below a
+    path; `entry` is the file's path relative to it. The content column is not selected,
+    so no file is opened."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .load(path)
     )
+    name = F.element_at(F.split("path", "/"), -1)
+    inside = F.regexp_extract("path", r"^(?:[A-Za-z0-9]+:/*)?/?(.*)$", 1)
+    root = path.split(":", 1)[-1].strip("/") + "/"
+    entry = F.when(F.contains(inside, F.lit(root)), F.substring_index(inside, root, -1)).otherwise(name)
     return files.select(
         F.col("path").alias("file_path"),
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        entry.alias("entry"),
+        name.alias("file_name"),
         F.col("length").alias("file_size_bytes"),
         F.col("modificationTime").alias("modified_at"),
     )
@@ -96,18 +103,21 @@ def inspect_files(
     checksum: bool = True,
 ) -> DataFrame:
     """One row of FACTS per Parquet file. Only footers are read, plus the bytes once if
-    the checksum is asked for. A file that is no Parquet gets an `error`, not a failure."""
+    the checksum is asked for. A file that is no Parquet gets an `error`, not a failure;
+    a file that cannot be reached fails the task, so that Spark tries again."""
     names = [column.split()[0] for column in FACTS.split(", ")]
 
     def inspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import ArrowInvalid
+
         for batch in batches:
             rows = []
             for file in batch.to_dict("records"):
                 row = {**dict.fromkeys(names), **file}
                 try:
                     row.update(_footer(file["file_path"], time_columns))
-                except Exception as error:  # any unreadable footer rejects the file
-                    row["error"] = f"{type(error).__name__}: {error}"[:500]
+                except ArrowInvalid as error:
+                    row["error"] = f"{type(error).__name__}: {error}"
                 if checksum:
                     row["sha256"] = _digest(file["file_path"])
                 rows.append(row)
@@ -119,7 +129,7 @@ def inspect_files(
 
 
 def file_checksums(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(file_name, file_size_bytes, sha256) of any files, in fixed memory per task."""
+    """(entry, file_name, file_size_bytes, sha256) of any files, in fixed memory per task."""
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -127,23 +137,39 @@ def file_checksums(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
                 columns="file_path"
             )
 
-    files = list_files(spark, path, pattern).select("file_path", "file_name", "file_size_bytes")
-    return files.mapInPandas(digest, "file_name STRING, file_size_bytes BIGINT, sha256 STRING")
+    files = list_files(spark, path, pattern).drop("modified_at")
+    return files.mapInPandas(
+        digest, "entry STRING, file_name STRING, file_size_bytes BIGINT, sha256 STRING"
+    )
 
 
 def rejected_files(facts: DataFrame) -> DataFrame:
-    return facts.where(F.col("error").isNotNull()).select("file_path", "file_name", "error")
+    return facts.where(F.col("error").isNotNull()).select(
+        "file_path", "entry", "file_name", "sha256", "error"
+    )
+
+
+def without_rejects(facts: DataFrame, rejects_path: str) -> DataFrame:
+    """The files but for those that an earlier run has rejected and that have not changed
+    since."""
+    spark = facts.sparkSession
+    if not path_exists(spark, rejects_path):
+        return facts
+    known = spark.read.schema("file_path STRING, sha256 STRING").json(rejects_path).distinct()
+    return facts.join(known, ["file_path", "sha256"], "left_anti")
 
 
 def require_readable(facts: DataFrame, rejects_path: str | None = None) -> None:
     """Raise if a file could not be opened or no file holds a row. The rejects are
-    written first, so that a later run can leave them out."""
+    written first, so that the next run leaves them out."""
     rejects = rejected_files(facts)
-    if rejects_path is not None:
-        rejects.write.mode("append").json(rejects_path)
-    names = [r["file_name"] for r in rejects.limit(10).collect()]
-    if names:
-        raise RejectedInput(f"unreadable Parquet files (first ones): {', '.join(names)}")
+    count = rejects.count()
+    if count:
+        if rejects_path is not None:
+            rejects.write.mode("append").json(rejects_path)
+        names = [r["entry"] for r in rejects.orderBy("entry").limit(10).collect()]
+        more = f" and {count - len(names)} more" if count > len(names) else ""
+        raise RejectedInput(f"unreadable Parquet files: {', '.join(names)}{more}")
     if not facts.agg(F.sum("row_count")).head()[0]:
         raise EmptyInput("the input files hold no rows")
 
@@ -158,7 +184,7 @@ def manifest_rows(
 ) -> DataFrame:
     """One manifest entry per inspected file."""
     return facts.where(F.col("error").isNull()).select(
-        F.col("file_name").alias("entry"),
+        "entry",
         F.lit(source).alias("source"),
         F.lit(mode).alias("retrieval_mode"),
         F.lit(description).alias("description"),
@@ -192,39 +218,38 @@ def record(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
-def forget(names: DataFrame, path: str, month: str | None = None) -> None:
-    """Add an entry without a checksum for each `file_name` that is gone."""
+def forget(gone: DataFrame, path: str, month: str | None = None) -> None:
+    """Add an entry without a checksum for each (source, entry) that is gone."""
     schema = [c.split() for c in MANIFEST.split(", ")]
     known = {
-        "entry": F.col("file_name"),
-        "filename": F.col("file_name"),
+        "entry": F.col("entry"),
+        "source": F.col("source"),
+        "filename": F.element_at(F.split("entry", "/"), -1),
         "month": F.lit(month),
         "downloaded_at": F.current_timestamp(),
     }
     record(
-        names.select(
-            *[known.get(c, F.lit(None)).cast(t).alias(c) for c, t in schema]
-        ),
-        path,
+        gone.select(*[known.get(c, F.lit(None)).cast(t).alias(c) for c, t in schema]), path
     )
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest entry of every file that is not gone."""
+    """The newest entry of every file of every month that is not gone. A file is known by
+    month, source and its path below the landing folder."""
     log = spark.read.schema(MANIFEST).json(path)
     newest = F.max_by(F.struct(*log.columns), "downloaded_at").alias("m")
-    return log.groupBy("entry").agg(newest).select("m.*").where(F.col("sha256").isNotNull())
+    entries = log.groupBy("month", "source", "entry").agg(newest)
+    return entries.select("m.*").where(F.col("sha256").isNotNull())
 
 
 def decide_loads(current: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:
-    """(file_name, sha256, recorded_sha256, decision) of every file on either side.
+    """(source, entry, sha256, recorded_sha256, decision) of every file on either side,
+    where both hold one month's (source, entry, sha256).
 
     `new` is not in the manifest, `changed` has other content than recorded, `unchanged`
     is skipped, `missing` is recorded but gone; with `force` present files are `reload`.
     """
-    known = manifest.select(
-        F.col("filename").alias("file_name"), F.col("sha256").alias("recorded_sha256")
-    )
+    known = manifest.select("source", "entry", F.col("sha256").alias("recorded_sha256"))
     here, recorded = F.col("sha256"), F.col("recorded_sha256")
     decision = (
         F.when(here.isNull(), "missing")
@@ -233,7 +258,7 @@ def decide_loads(current: DataFrame, manifest: DataFrame, force: bool = False) -
         .when(here == recorded, "unchanged")
         .otherwise("changed")
     )
-    both = current.select("file_name", "sha256").join(known, "file_name", "full_outer")
+    both = current.select("source", "entry", "sha256").join(known, ["source", "entry"], "full_outer")
     return both.withColumn("decision", decision)
 
 

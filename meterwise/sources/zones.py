@@ -89,6 +89,7 @@ def source_facts(spark: SparkSession, kind: str, path: str) -> DataFrame:
     raw = reader.csv(path) if kind == "csv" else reader.json(path)
     return file_checksums(spark, path, "*").select(
         F.lit(path).alias("file_path"),
+        "entry",
         "file_name",
         "file_size_bytes",
         F.lit(raw.count()).cast("bigint").alias("row_count"),

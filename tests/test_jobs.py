@@ -20,8 +20,8 @@ from trip_rows import at, frame, trip
 
 RECORDS = [
     {"the_geom": {"type": "Polygon", "coordinates": [[[0, 1]]]}, "zone": "Zone A",
-     "locationid": "161", "borough": "East"},
-    {"zone": "Zone B", "locationid": "132", "borough": "West"},
+     "locationid": "48", "borough": "East"},
+    {"zone": "Zone B", "locationid": "79", "borough": "West"},
     {"locationid": "7"},
     {"zone": "no id", "borough": "East"},
     {"zone": "bad id", "locationid": "x9", "borough": "East"},
@@ -39,7 +39,7 @@ def land_trips(spark, path, rows, copies=3):
 
 
 def some_rows():
-    rows = [trip(fare=20.0 + i, pu=161 if i % 3 else 132) for i in range(40)]
+    rows = [trip(fare=20.0 + i, pu=48 if i % 3 else 79) for i in range(40)]
     rows += [trip(fare=-1.0), trip(miles=0.0), trip(pu=264), trip(people=7.0), trip(dropoff=None)]
     return rows
 
@@ -47,15 +47,15 @@ def some_rows():
 def test_zones_json(spark, tmp_path):
     path = land_zones(tmp_path)
     rows = sorted(map(tuple, zones.read_zones_json(spark, path).collect()))
-    assert rows == [(7, "Unknown", "Unknown"), (132, "Zone B", "West"), (161, "Zone A", "East")]
+    assert rows == [(7, "Unknown", "Unknown"), (48, "Zone A", "East"), (79, "Zone B", "West")]
     assert [r[0] for r in zones.skipped_zones_json(spark, path).collect()] == ["x9"]
 
 
 def test_zones_csv(spark, tmp_path):
     path = tmp_path / "zones.csv"
-    path.write_text('"LocationID","Borough","Zone"\n161,"East","Zone A, north"\n,"West","no id"\n132,West,\n')
+    path.write_text('"LocationID","Borough","Zone"\n48,"East","Zone A, north"\n,"West","no id"\n79,West,\n')
     rows = sorted(map(tuple, zones.read_zones_csv(spark, str(path)).collect()))
-    assert rows == [(132, "Unknown", "West"), (161, "Zone A, north", "East")]
+    assert rows == [(48, "Zone A, north", "East"), (79, "Unknown", "West")]
 
 
 def test_zone_fallback(spark, tmp_path):
@@ -75,6 +75,29 @@ def test_scan_checks_columns(spark, tmp_path):
         trips.scan_trips(spark, str(tmp_path / "t"))
 
 
+def test_scan_takes_the_columns_of_all_files(spark, tmp_path):
+    rows = frame(spark, [trip(), trip()]).drop("id")
+    rows.write.parquet(str(tmp_path / "a"))
+    rows.withColumn("surcharge", F.lit(0.75)).write.parquet(str(tmp_path / "b"))
+    both = trips.scan_trips(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    assert sorted(str(r["surcharge"]) for r in both.collect()) == ["0.75", "0.75", "None", "None"]
+    rows.withColumn("surcharge", F.lit("x")).write.parquet(str(tmp_path / "c"))
+    with pytest.raises(SchemaDrift, match="disagree"):
+        trips.scan_trips(spark, [str(tmp_path / k) for k in "abc"])
+
+
+def test_failed_write_leaves_the_old_month(spark, tmp_path):
+    path = str(tmp_path / "trips" / "month=2025-01")
+    sinks.write_month(spark.range(5).withColumn("valid", F.lit(True)), path, ["valid"])
+    broken = spark.range(5).select((F.lit(1) / F.col("id")).alias("id"), F.lit(True).alias("valid"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        sinks.write_month(broken, path, ["valid"])
+    assert spark.read.parquet(path).count() == 5
+    sinks.write_month(spark.range(3).withColumn("valid", F.lit(False)), path, ["valid"])
+    assert spark.read.parquet(path).where("not valid").count() == spark.read.parquet(path).count() == 3
+    assert [p.name for p in (tmp_path / "trips").iterdir()] == ["month=2025-01"]
+
+
 def test_footers_and_checksums(spark, tmp_path):
     table = pa.table({"t": [at("2024-12-31 20:47:55"), at("2025-02-01 00:00:44.5")], "v": [1, 2]})
     pq.write_table(table, tmp_path / "a b.parquet", row_group_size=1)
@@ -107,13 +130,30 @@ def test_files_without_rows_are_refused(spark, tmp_path):
 
 
 def test_load_decisions(spark):
-    here = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "file_name STRING, sha256 STRING")
-    known = spark.createDataFrame([("a", "1"), ("b", "0"), ("d", "4")], "filename STRING, sha256 STRING")
-    out = {r["file_name"]: r["decision"] for r in files.decide_loads(here, known).collect()}
-    assert out == {"a": "unchanged", "b": "changed", "c": "new", "d": "missing"}
+    here = spark.createDataFrame([("S", "a", "1"), ("S", "b", "2"), ("S", "x/b", "3")], "source STRING, entry STRING, sha256 STRING")
+    known = spark.createDataFrame([("S", "a", "1"), ("S", "b", "0"), ("T", "a", "4")], "source STRING, entry STRING, sha256 STRING")
+    out = {(r["source"], r["entry"]): r["decision"] for r in files.decide_loads(here, known).collect()}
+    assert out == {("S", "a"): "unchanged", ("S", "b"): "changed", ("S", "x/b"): "new", ("T", "a"): "missing"}
     forced = files.decide_loads(here, known, force=True)
     assert {r["decision"] for r in forced.collect()} == {"reload", "missing"}
-    assert {r["file_name"] for r in files.files_to_load(forced).collect()} == {"a", "b", "c"}
+    assert {r["entry"] for r in files.files_to_load(forced).collect()} == {"a", "b", "x/b"}
+
+
+def test_manifest_knows_files_by_month_source_and_path(spark, tmp_path):
+    for sub in ("x", "y"):
+        (tmp_path / "in" / sub).mkdir(parents=True)
+        pq.write_table(pa.table({"v": [1] * (1 + ord(sub))}), tmp_path / "in" / sub / "p.parquet")
+    log = str(tmp_path / "manifest")
+    facts = files.inspect_files(spark, str(tmp_path / "in"))
+    assert sorted(r["entry"] for r in facts.collect()) == ["x/p.parquet", "y/p.parquet"]
+    for month in ("2025-01", "2025-02"):
+        files.record(files.manifest_rows(facts, "S1", "m", "d", month), log)
+    entries = files.read_manifest(spark, log)
+    assert entries.count() == 4 and entries.select("row_count").distinct().count() == 2
+    gone = spark.createDataFrame([("S1", "x/p.parquet")], "source STRING, entry STRING")
+    files.forget(gone, log, "2025-01")
+    left = {(r["month"], r["entry"]) for r in files.read_manifest(spark, log).collect()}
+    assert left == {("2025-01", "y/p.parquet"), ("2025-02", "x/p.parquet"), ("2025-02", "y/p.parquet")}
 
 
 def test_manifest_keeps_the_newest(spark, tmp_path):
@@ -178,7 +218,7 @@ def test_month_end_to_end(spark, month):
     assert document["flag_counts"]["location_unknown"] == 1
     assert list(document["flag_counts"]) == [r.name for r in rules.TRIP_RULES]
     assert document["profile"]["fare_amount"]["min"] == -1.0
-    assert document["profile"]["tpep_pickup_datetime"]["min"] == "2025-01-15 10:00:00"
+    assert document["profile"]["tpep_pickup_datetime"]["min"] == "2025-01-08 17:15:00"
     assert document["profile"]["tpep_dropoff_datetime"]["null_count"] == 1
     assert document["profile"]["store_and_fwd_flag"]["value_counts"] == {"N": 45}
     assert "mean" not in document["profile"]["store_and_fwd_flag"]
@@ -191,7 +231,7 @@ def test_month_end_to_end(spark, month):
     assert names[6:] == [f"flag_count_{r.name}" for r in rules.TRIP_RULES]
     assert [r["value"] for r in summary.collect()][:3] == ["93.333", "42", "45"]
     hours = spark.read.option("header", True).csv(out["duration_speed_borough_hour"]).collect()
-    assert [(r["pu_borough"], r["pickup_hour"]) for r in hours] == [("East", "10"), ("West", "10")]
+    assert [(r["pu_borough"], r["pickup_hour"]) for r in hours] == [("East", "17"), ("West", "17")]
     assert sum(int(r["trip_count"]) for r in hours) == 42
     assert spark.read.option("header", True).csv(out["fare_consistency"]).count() == 2
 
@@ -281,6 +321,47 @@ def test_month_refuses_bad_input(spark, month):
     (month.root / "raw" / "bad.parquet").write_bytes(b"junk")
     with pytest.raises(RejectedInput):
         month()
+    # The next run knows the file and does without it, until it changes.
+    out = month()
+    assert spark.read.parquet(out["trips"]).count() == 45
+    (month.root / "raw" / "bad.parquet").write_bytes(b"other junk")
+    with pytest.raises(RejectedInput):
+        month()
+
+
+def published(spark, out):
+    rows = spark.read.option("header", True).csv(out["summary"]).collect()
+    return {r["metric_name"]: r["value"] for r in rows}
+
+
+def test_metrics_follow_a_new_validation(spark, month):
+    out = month()
+    limits = rules.Limits(max_fare=25.0)
+    month(step="validate", limits=limits, force=True)
+    month(limits=limits)
+    strict = published(spark, out)
+    assert int(strict["valid_trip_count"]) < 42
+    raw = json.loads(spark.read.text(out["report"]).head()[0])["counts"]
+    assert strict["valid_trip_count"] == str(raw["rows_valid_out"])
+    month()
+    assert published(spark, out)["valid_trip_count"] == "42"
+    other = tuple(rules.Rule(r.name, r.severity, r.test, "2") if r.name == "fare_invalid" else r for r in rules.TRIP_RULES)
+    before = stamp(spark, out["trips"])
+    month(rule_set=other)
+    assert stamp(spark, out["trips"]) > before
+
+
+def test_month_without_valid_trips_is_empty(spark, month):
+    with pytest.raises(EmptyInput, match="valid"):
+        month(limits=rules.Limits(max_fare=1.0))
+
+
+def test_peaks_and_low_samples_are_published(spark, month):
+    out = month()
+    peaks = spark.read.option("header", True).csv(out["peak_groups"]).collect()
+    assert {r["peak"] for r in peaks} == {"slowest", "fastest"}
+    low = spark.read.option("header", True).csv(out["low_sample_groups"]).head()
+    assert (low["groups"], low["low_sample_groups"]) == ("2", "0")
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
