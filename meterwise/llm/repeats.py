@@ -37,9 +37,9 @@ GRAM = 32
 # Windows in a run at most.
 RUN = 128
 # Bytes that are hashed at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 # Windows in a suffix array, but for the rest of a gram; different runs of a gram in one.
-ARRAY = 150_000
+ARRAY = 30_000
 CHUNK = 400
 
 POWER = 0x9E3779B97F4A7C15 | 1
@@ -104,7 +104,7 @@ def runs(texts: Sequence[bytes], length: int, gram: int, longest: int) -> tuple[
     sizes = np.minimum(sizes, longest)
     # Content hash: a polynomial over the bytes of the run, shifted to its start.
     total = np.zeros(len(data) + 1, np.uint64)
-    room = 1 << max(22, len(data).bit_length())
+    room = 1 << max(19, len(data).bit_length())
     np.cumsum(values * _powers(room, POWER)[: len(data)], out=total[1:])
     back = _powers(room, pow(POWER, -1, 1 << 64))
     content = mixed((total[starts + sizes + length - 1] - total[starts]) * back[starts])

@@ -45,7 +45,7 @@ def corpus() -> list[tuple]:
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("chunk, array, block", [(400, 150_000, 1 << 20), (3, 50, 300)])
+@pytest.mark.parametrize("chunk, array, block", [(400, 30_000, 1 << 18), (3, 50, 300)])
 def test_against_brute_force(spark, monkeypatch, chunk, array, block):
     for name, value in dict(CHUNK=chunk, ARRAY=array, BLOCK=block).items():
         monkeypatch.setattr(repeats, name, value)
