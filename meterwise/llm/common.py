@@ -95,7 +95,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, computed once while the word is held."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
