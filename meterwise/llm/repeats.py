@@ -7,9 +7,9 @@
    grams with one run only are done. What is left are grams with different runs: the edges
    of repeats. Tasks stream through the sorted rows and hold one row.
 3. The texts of those runs are fetched, and blocks of whole grams become enhanced suffix
-   arrays. A scan with a stack walks their common-prefix intervals; an interval whose
-   occurrences do not all extend to the left by the same byte is a maximal repeat, with
-   all its occurrences. All but the earliest are repeats.
+   arrays. All but the earliest window of each outermost common-prefix interval are
+   repeats. `maximal_repeats` walks the same array with a stack and gives the intervals
+   whose occurrences do not all extend to the left by one byte, with all occurrences.
 4. A gram with very many different runs is dealt over several arrays, and the windows
    that come first in theirs are compared across arrays by an aggregation.
 """
@@ -190,12 +190,11 @@ def meeting(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(scan, MET)
 
 
-def maximal_repeats(
-    data: np.ndarray, starts: np.ndarray, left: np.ndarray, ends: np.ndarray, length: int, cap: int
-) -> Iterator[tuple[int, np.ndarray]]:
-    """(bytes, indexes into `starts`) of the maximal repeats of at least `length` bytes
-    among the suffixes that begin at `starts` and end at `ends`. `left`: the byte before
-    each suffix, or a number of its own where that is not known."""
+def suffix_array(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, cap: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(order, common): the suffixes that begin at `starts` and end at `ends` in the order
+    of their bytes, and the bytes that each has in common with the next, 0 below `length`."""
     padded = np.append(data, np.zeros(cap, np.uint8))
     heads = np.lib.stride_tricks.sliding_window_view(padded, cap)[starts]
     sizes = ends - starts
@@ -207,7 +206,17 @@ def maximal_repeats(
     differ = heads[1:] != heads[:-1]
     common = np.where(differ.any(1), differ.argmax(1), cap)
     common = np.minimum(common, np.minimum(sizes[order][1:], sizes[order][:-1]))
-    common = np.where(common >= length, common, 0).tolist()
+    return order, np.where(common >= length, common, 0)
+
+
+def maximal_repeats(
+    data: np.ndarray, starts: np.ndarray, left: np.ndarray, ends: np.ndarray, length: int, cap: int
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(bytes, indexes into `starts`) of the maximal repeats of at least `length` bytes
+    among the suffixes that begin at `starts` and end at `ends`. `left`: the byte before
+    each suffix, or a number of its own where that is not known."""
+    order, common = suffix_array(data, starts, ends, length, cap)
+    common = common.tolist()
     before = left[order].tolist()
     # Open intervals: (common prefix, first place, the byte before all, or None if diverse).
     stack: list[list] = []
@@ -241,27 +250,28 @@ def block_spans(rows: list[tuple], length: int, longest: int) -> tuple[list[tupl
     row = np.repeat(np.arange(len(rows)), windows)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
     starts = firsts[row] + nth
-    left = np.where(nth > 0, data[starts - 1], 0).astype(np.int64)
-    # A run may be the rest of a longer repeat: its first window always counts as diverse.
-    left[nth == 0] = -1 - np.arange(len(rows))
     # Places in the order of documents.
     at = np.array([r[1] for r in rows])[row] + nth
     doc = np.array([r[0] for r in rows])[row]
     rank = np.empty(len(row), np.int64)
     rank[np.lexsort((at, doc))] = np.arange(len(row))
-    spans, later = set(), np.zeros(len(row), bool)
-    for size, found in maximal_repeats(data, starts, left, ends[row], length, length + longest - 1):
-        first = found[np.argmin(rank[found])]
-        for k in found.tolist():
-            if k != first:
-                spans.add((int(doc[k]), int(at[k]), int(at[k]) + size))
-                later[k : k + size - length + 1] = True
+    # Outermost intervals of `length` bytes or more: in each the earliest window is the first,
+    # whatever deeper intervals there are.
+    order, common = suffix_array(data, starts, ends[row], length, length + longest - 1)
+    opens = np.flatnonzero(np.append(True, common == 0))
+    first = np.minimum.reduceat(rank[order], opens)
+    later = np.zeros(len(row), bool)
+    later[order] = rank[order] > np.repeat(first, np.diff(np.append(opens, len(order))))
+    hit = np.flatnonzero(later)
+    new = np.append(True, (np.diff(hit) != 1) | (np.diff(row[hit]) != 0))[: len(hit)]
+    low, high = hit[new], hit[np.append(new[1:], True)[: len(hit)]]
+    spans = list(zip(doc[low].tolist(), at[low].tolist(), (at[high] + length).tolist()))
     many = np.array([r[2] > 1 for r in rows])[row] & ~later
     heads = [
         (xxhash.xxh3_128_digest(data[starts[k] : starts[k] + length].tobytes()), int(doc[k]), int(at[k]))
         for k in np.flatnonzero(many).tolist()
     ]
-    return sorted(spans), heads
+    return spans, heads
 
 
 FOUND = "window BINARY, doc_id BIGINT, start INT, end INT"
