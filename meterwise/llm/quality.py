@@ -1,10 +1,12 @@
-"""Quality rules: text statistics, and a hashed n-gram likelihood ratio.
+"""Quality rules: text statistics, and an n-gram likelihood ratio.
 
 How much likelier are a document's words under a trusted target than under the raw
-corpus? Words and word pairs are hashed into a fixed number of buckets. The raw counts
-cover every document; the target counts cover a bounded sample of trusted ids. Each task
-adds up its counts in one vector and sends it in slices, so the shuffle is one vector per
-task, whatever a source's share; the summed ratio has a fixed size and is broadcast.
+corpus? Words and word pairs are counted by 64-bit hashes in a Spark table that grows with
+them. The raw counts cover every document; the target counts cover a bounded sample of
+trusted ids. A task counts what it has read before it sends it, so a common word is one
+row per few million n-grams. N-grams seen once, and not in the target, share one ratio and
+need no row. The commonest others, as many as a worker may hold, are broadcast; what the
+documents hold of the rest, which is rare and so even, is joined.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +22,19 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.llm.common import as_bytes, chained, hashed_words, word_hashes
+from meterwise.llm import bloom
+from meterwise.llm.common import as_bytes, chained, hashed_words, word_hashes, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BUCKETS = 1 << 18
-SLICE = 4096
+# N-grams whose ratios are broadcast at most; the others are joined.
+HELD = 1 << 23
+# N-grams that a task counts, or looks up, at a time.
+COUNTED = 1 << 22
+LOOKED_UP = 1 << 20
 # Trusted ids that the target is counted over; they are broadcast.
 MAX_TRUSTED = 20_000
-# Occurrences, seen and expected, that every bucket starts with.
+# Occurrences, seen and expected, that every n-gram starts with.
 PRIOR = 2.0
 # Mean log ratio per n-gram below which a document is rejected.
 THRESHOLD = -0.25
@@ -42,10 +49,9 @@ SCORES = (
 )
 
 
-def buckets(words: np.ndarray) -> np.ndarray:
-    """Buckets of a text's words and word pairs, in any order."""
-    grams = np.concatenate([chained(words, (0,)), chained(words, (0, 1))])
-    return (grams % np.uint64(BUCKETS)).astype(np.int64)
+def ngrams(words: np.ndarray) -> np.ndarray:
+    """Hashes of a text's words and word pairs, in any order."""
+    return np.concatenate([chained(words, (0,)), chained(words, (0, 1))]).view(np.int64)
 
 
 def trusted_sample(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
@@ -56,52 +62,92 @@ def trusted_sample(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
     return good.orderBy(mixed, "doc_id").limit(limit).withColumn("trusted", F.lit(True))
 
 
-def log_ratio(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
-    """Per bucket, the log of target over raw probability, drawn to 0 where little was
-    seen. `trusted` must be small: see trusted_sample."""
+class Ratios(NamedTuple):
+    """Log ratios by n-gram: `grams` is sorted; what is not there has the ratio `once`."""
+
+    grams: np.ndarray
+    values: np.ndarray
+    once: float
+
+    def of(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ratios, which n-grams are held) of sorted n-grams."""
+        if not len(self.grams):
+            return np.full(len(grams), self.once), np.zeros(len(grams), bool)
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        held = self.grams[at] == grams
+        return np.where(held, self.values[at], self.once), held
+
+
+def ngram_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(gram, n, good): occurrences in all documents and in trusted ones; the null n-gram
+    has the totals. `trusted` must be small: see trusted_sample."""
+
+    def counted(parts: list[np.ndarray], good_parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        grams, n = np.unique(np.concatenate(parts), return_counts=True)
+        good = np.zeros(len(grams), np.int64)
+        if good_parts:
+            found, times = np.unique(np.concatenate(good_parts), return_counts=True)
+            good[np.searchsorted(grams, found)] = times
+        columns = [pa.array(c.astype(np.int64)) for c in (grams, n, good)]
+        whole = pa.RecordBatch.from_arrays(columns, ["gram", "n", "good"])
+        for low in range(0, len(whole), 1 << 16):
+            yield whole.slice(low, 1 << 16)
+        columns = [pa.array([x], pa.int64()) for x in (None, int(n.sum()), int(good.sum()))]
+        yield pa.RecordBatch.from_arrays(columns, ["gram", "n", "good"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
-        counts = np.zeros((2, BUCKETS), np.int64)
+        parts, good_parts, size = [], [], 0
         for batch in batches:
             pairs = zip(batch.column("text").to_pylist(), batch.column("trusted").to_pylist())
             for text, good in pairs:
-                at = buckets(hashed_words(text.split(), known))
-                if len(at):
-                    np.add.at(counts[0], at, 1)
-                    if good:
-                        np.add.at(counts[1], at, 1)
-        slices = [s for s in range(0, BUCKETS, SLICE) if counts[0, s : s + SLICE].any()]
-        parts = [np.ascontiguousarray(counts[:, s : s + SLICE]).tobytes() for s in slices]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(slices, pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"]
-        )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for s, part in zip(*(batch.column(c).to_pylist() for c in ("slice", "counts"))):
-                totals.setdefault(s, np.zeros(2 * SLICE, np.int64))
-                totals[s] += np.frombuffer(part, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(totals, pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())],
-            ["slice", "counts"],
-        )
-
-    form = "slice INT, counts BINARY"
+                grams = ngrams(hashed_words(text.split(), known))
+                parts.append(grams)
+                if good:
+                    good_parts.append(grams)
+                size += len(grams)
+                if size >= COUNTED:
+                    yield from counted(parts, good_parts)
+                    parts, good_parts, size = [], [], 0
+        if size:
+            yield from counted(parts, good_parts)
+
     marked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), as_bytes().alias("text"))
     marked = marked.join(F.broadcast(trusted), "doc_id", "left").select(
         "text", F.coalesce("trusted", F.lit(False)).alias("trusted")
     )
-    partial = marked.mapInArrow(count, form)
-    totals = partial.repartition("slice").mapInArrow(add, form)
-    counts = np.zeros((2, BUCKETS))
-    for row in totals.collect():  # one row per slice of a vector of fixed size
-        part = np.frombuffer(row["counts"], np.int64).reshape(2, SLICE)
-        counts[:, row["slice"] : row["slice"] + SLICE] = part
-    raw, target = counts
-    expected = raw * (target.sum() / max(raw.sum(), 1.0))
-    return np.log((target + PRIOR) / (expected + PRIOR)).astype(np.float32)
+    partial = marked.mapInArrow(count, "gram BIGINT, n BIGINT, good BIGINT")
+    return partial.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+
+
+def log_ratio(docs: DataFrame, trusted: DataFrame, held: int = HELD) -> tuple[Ratios, DataFrame | None]:
+    """Per n-gram, the log of target over raw probability, drawn to 0 where little was
+    seen: of the `held` commonest n-grams at most, and (gram, more) of the others, by how
+    much their ratio is above that of an n-gram seen once; None if there are no others."""
+    counts = ngram_counts(docs, trusted).where("gram IS NULL OR n > 1 OR good > 0")
+    counts = written(counts, "ngrams")
+    total = counts.where("gram IS NULL").first()
+    scale = total["good"] / total["n"] if total else 0.0
+    once = float(np.float32(np.log(PRIOR / (scale + PRIOR))))
+    value = F.log((F.col("good") + PRIOR) / (F.col("n") * F.lit(scale) + PRIOR)).cast("float")
+    counts = counts.where("gram IS NOT NULL")
+    # Binary digits of a count: one row per power of two.
+    sizes = counts.groupBy(F.length(F.bin("n")).alias("digits")).count().collect()
+    cut, left = None, held
+    for digits, rows in sorted(((r["digits"], r["count"]) for r in sizes), reverse=True):
+        if rows > left:
+            cut = 1 << digits
+            break
+        left -= rows
+    common = counts if cut is None else counts.where(F.col("n") >= cut)
+    found = common.select("gram", value.alias("value")).toArrow()
+    grams, values = (found.column(c).to_numpy() for c in ("gram", "value"))
+    order = np.argsort(grams)
+    ratios = Ratios(grams[order], values[order], once)
+    if cut is None:
+        return ratios, None
+    more = value.cast("double") - F.lit(once)
+    return ratios, counts.where(F.col("n") < cut).select("gram", more.alias("more"))
 
 
 def repeated_words(words: np.ndarray) -> int:
@@ -126,46 +172,93 @@ def duplicate_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def quality_scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+def quality_scores(docs: DataFrame, trusted: DataFrame, held: int = HELD) -> DataFrame:
     """SCORES of every row of `docs` (doc_id, text); `llr` is the mean log ratio per word
-    and word pair, 0 for texts without words.
+    and word pair, 0 for texts without words, on a grid of nine decimals. `held` bounds
+    what is broadcast and does not change a result.
 
     A null text has no words. Null and repeated ids keep a row each. Other columns are
     ignored. An empty table gives an empty one; without trusted documents every ratio is 0
     or less.
     """
-    ratio = docs.sparkSession.sparkContext.broadcast(log_ratio(docs, trusted))
+    ratios, rare = log_ratio(docs, trusted, held)
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), as_bytes().alias("text"))
+    return scores_by(source, ratios, rare)
+
+
+def scores_by(source: DataFrame, ratios: Ratios, rare: DataFrame | None) -> DataFrame:
+    """SCORES of every row of `source` (doc_id, text as bytes)."""
+    shared = source.sparkSession.sparkContext.broadcast(ratios)
+    source = source.select("doc_id", "text", F.xxhash64("text").alias("uid"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = scored(batch.column("text").to_pylist(), ratio.value)
+            rows = scored(batch.column("text").to_pylist(), shared.value)
             types = [pa.int64()] * 5 + [pa.float64()]
             columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))],
-                [c.split()[0] for c in SCORES.split(", ")],
+                [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types)), batch.column("uid")],
+                [*(c.split()[0] for c in SCORES.split(", ")), "uid"],
             )
 
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), as_bytes().alias("text"))
-    return source.mapInArrow(score, SCORES)
-
-
-def scored(texts: list[bytes], ratios: np.ndarray) -> list[tuple]:
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = word_hashes()
+        for batch in batches:
+            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist()):
+                grams, n = np.unique(ngrams(hashed_words(text.split(), known)), return_counts=True)
+                left = ~shared.value.of(grams)[1]
+                uids = np.full(int(left.sum()), uid, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(uids), pa.array(grams[left]), pa.array(n[left] / max(n.sum(), 1))],
+                    ["uid", "gram", "share"],
+                )
+
+    scores = source.mapInArrow(score, SCORES + ", uid BIGINT")
+    if rare is None:
+        return scores.withColumn("llr", F.round("llr", 9)).drop("uid")
+    scores = written(scores, "scores")
+    asked = source.mapInArrow(others, "uid BIGINT, gram BIGINT, share DOUBLE")
+    more = asked.join(rare, "gram").groupBy("uid").agg(F.sum(F.col("share") * F.col("more")).alias("more"))
+    # Copies of a text have asked once each.
+    more = more.join(scores.groupBy("uid").agg(F.count(F.lit(1)).alias("copies")), "uid")
+    more = written(more.select("uid", (F.col("more") / F.col("copies")).alias("more")), "more")
+    llr = F.round(F.col("llr") + F.coalesce("more", F.lit(0.0)), 9)
+    return scores.join(more, "uid", "left").withColumn("llr", llr).drop("uid", "more")
+
+
+def mean_ratios(hashes: list[np.ndarray], ratios: Ratios) -> list[float]:
+    """The mean log ratio of texts, given by the hashes of their words."""
+    means, parts, size = [], [], 0
+    for i, words in enumerate(hashes):
+        parts.append(ngrams(words))
+        size += len(parts[-1])
+        if i + 1 < len(hashes) and size < LOOKED_UP:
+            continue
+        sizes = np.array([len(p) for p in parts])
+        grams = np.concatenate(parts)
+        order = np.argsort(grams)
+        values = ratios.of(grams[order])[0]
+        sums = np.bincount(np.repeat(np.arange(len(parts)), sizes)[order], values, len(parts))
+        means += (sums / np.maximum(sizes, 1)).tolist()
+        parts, size = [], 0
+    return means
+
+
+def scored(texts: list[bytes], ratios: Ratios) -> list[tuple]:
     """SCORES of texts, but for the id."""
     known = word_hashes()
     symbol, inner = re.compile(b"[" + re.escape(SYMBOLS) + b"]"), re.compile(rb"[\x80-\xbf]+")
-    rows = []
+    rows, all_hashes = [], []
     for text in texts:
         words = text.split()
         hashes = hashed_words(words, known)
-        at = buckets(hashes)
+        all_hashes.append(hashes)
         inside = 0 if text.isascii() else sum(map(len, inner.findall(text)))
         rows.append((
             len(words), sum(map(len, words)) - inside, len(symbol.findall(text)),
             duplicate_lines(text), repeated_words(hashes),
-            float(ratios[at].sum(dtype=np.float64) / len(at)) if len(at) else 0.0,
         ))
-    return rows
+    return [(*row, mean) for row, mean in zip(rows, mean_ratios(all_hashes, ratios))]
 
 
 def base_fails(n_words, n_repeat_words):
@@ -173,16 +266,26 @@ def base_fails(n_words, n_repeat_words):
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > 50 * n_words)
 
 
-def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(
+    docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, held: int = HELD
+) -> DataFrame:
     """The rows of `docs` (doc_id, text, ...) that the rules and the ratio keep, with all
     their columns; see quality_scores for odd rows."""
-    ratio = docs.sparkSession.sparkContext.broadcast(log_ratio(docs, trusted))
+    ratios, rare = log_ratio(docs, trusted, held)
+    if rare is not None:
+        marked = docs.withColumn("_uid", F.xxhash64(as_bytes()))
+        source = marked.select(F.col("_uid").alias("doc_id"), as_bytes().alias("text"))
+        judged = verdicts(scores_by(source, ratios, rare), threshold)
+        bad = written(judged.where(~F.col("kept")).select("doc_id").distinct(), "bad")
+        return bloom.without(marked, bad, "_uid").select(*docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
             kept = [
-                not base_fails(r[0], r[4]) and r[5] >= threshold for r in scored(texts, ratio.value)
+                not base_fails(r[0], r[4]) and round(r[5], 9) >= threshold
+                for r in scored(texts, shared.value)
             ]
             yield batch.filter(pa.array(kept, pa.bool_()))
 

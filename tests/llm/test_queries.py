@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterwise.llm import queries
 
@@ -79,6 +80,30 @@ def test_quality_figures_and_verdicts(spark, sf_dir):
     assert kept.where("quality = 0 and kept").count() <= 0.2 * kept.where("quality = 0").count()
 
 
+def test_quality_does_not_fade_as_ngrams_grow(spark, sf_dir):
+    """16 corpora with words of their own are judged as one of them alone, also where
+    most ratios are joined."""
+    from meterwise.llm import quality
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    one = {r["doc_id"]: r for r in quality.quality_scores(docs, quality.trusted_sample(labels)).collect()}
+    times = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("copy")
+    number = (F.col("doc_id") * 16 + F.col("copy")).alias("doc_id")
+    tail = F.concat(F.lit("$1"), F.substring(F.lit("abcdefghijklmnop"), F.col("copy") + 1, 1))
+    many = docs.select("doc_id", "text", times).select(number, F.regexp_replace("text", F.lit(r"([^\x20\x09-\x0D]+)"), tail).alias("text"))
+    trusted = quality.trusted_sample(labels.select("doc_id", "quality", times).select(number, "quality"))
+    bad = {r[0] for r in labels.where("quality = 0").collect()}
+    for held in (quality.HELD, 5000):
+        got = quality.verdicts(quality.quality_scores(many, trusted, held)).collect()
+        assert len(got) == 16 * len(one)
+        assert max(abs(r["llr"] - one[r["doc_id"] // 16]["llr"]) for r in got) < 1e-6
+        whole = [r for r in got if r["doc_id"] // 16 in bad and not r["base_failed"]]
+        assert whole and sum(r["kept"] for r in whole) <= 0.05 * len(whole)
+    kept = {r[0] for r in quality.keep_good(many, trusted, held=5000).select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in got if r["kept"]}
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf_dir = "/root/testdata/sf0.1"
     scores = queries.registered()["op10_toxicity"](spark, sf_dir)
