@@ -27,10 +27,11 @@ from meterwise.llm.components import components
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 THRESHOLD = 2
-# Shorter lines neither repeat others nor are repeats.
+# Shorter lines are compared by equality only, if at all.
 MIN_CHARS = 20
 # Lines that a task has seen lately and need not be keyed again.
 SEEN = 1_000_000
+BLANKS = " \t\n\v\f\r"
 
 
 def line_id(line: str) -> int:
@@ -136,10 +137,15 @@ def _lines(batch: pa.RecordBatch, shortest: int) -> Iterator[tuple[int, int, str
                 yield row, n, line
 
 
-def line_rows(source: DataFrame, shortest: int) -> DataFrame:
+def line_rows(source: DataFrame, shortest: int, equal_from: int) -> DataFrame:
+    """(doc_id, uid, n, line) of the lines that take part: shorter ones need a word."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(row, n, line_id(line)) for row, n, line in _lines(batch, shortest)]
+            found = [
+                (row, n, line_id(line)) for row, n, line in _lines(batch, min(shortest, equal_from))
+                if len(line) >= shortest or line.strip(BLANKS)
+            ]
             at, n, ids = (np.array(c, np.int64) for c in (zip(*found) if found else ((), (), ())))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -247,13 +253,15 @@ def near_lines(
 
 
 def dedup_lines(
-    docs: DataFrame, shortest: int = MIN_CHARS, threshold: int = THRESHOLD
+    docs: DataFrame, shortest: int = MIN_CHARS, threshold: int = THRESHOLD, equal_from: int | None = None
 ) -> DataFrame:
     """The rows of `docs` (doc_id, text, ...) without repeated lines, and the number of
     lines taken out as `removed_lines`.
 
     Lines (parted by \\n) of at least `shortest` characters are of one class if steps of
-    at most `threshold` edits lead from one to the other. Of every class the first line
+    at most `threshold` edits lead from one to the other. Shorter lines of at least
+    `equal_from` characters, one of them not blank, form classes by equality; without
+    `equal_from` they all stay. Of every class the first line
     stays, in the order of ids and places; other columns pass through, and every row stays,
     even without text.
 
@@ -263,7 +271,8 @@ def dedup_lines(
     number = F.col("doc_id").cast("bigint")
     marked = docs.withColumn("_uid", F.xxhash64(number, F.col("text").cast("string")))
     source = marked.select(number.alias("doc_id"), F.col("text").cast("string").alias("text"), "_uid")
-    rows = written(line_rows(source, shortest), "lines")
+    rows = line_rows(source, shortest, shortest if equal_from is None else equal_from)
+    rows = written(rows, "lines")
     place = F.struct("doc_id", "uid", "n")
     firsts = rows.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
     found = components(near_lines(source, shortest, threshold)).withColumnRenamed("node", "line")
