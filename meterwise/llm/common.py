@@ -42,11 +42,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{os.urandom(8).hex()}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """`df` as a Parquet table in the shared folder: lineage ends there, and a lost
     executor costs only its running tasks."""
     path = shared_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.llm import (
-    chat, decontamination, lines, minhash, packing, quality, repeats, sharding, token_files,
-    toxicity,
+    chat, decontamination, fill_middle, filter_audit, interpolation, lines, minhash, packing,
+    quality, repeats, sharding, token_files, toxicity,
 )
 from meterwise.llm.common import shared_folder, table, tuned
 
@@ -275,3 +275,115 @@ def op10_toxicity(spark, sf_dir):
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+# --- 11: fill-in-the-middle -------------------------------------------------------
+
+
+@query
+def op11_fill_in_middle(spark, sf_dir):
+    outputs = fill_middle.restore(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+    return outputs.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+_ORACLE["op11_fill_in_middle"] = r"""
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+    FROM documents
+), drawn AS (
+    SELECT *, len(units)::BIGINT AS n,
+           ('0x' || h[1:8])::BIGINT % (len(units) + 1) AS one,
+           ('0x' || h[9:16])::BIGINT % (len(units) + 1) AS two,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                     OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+                WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM hashed
+), cut AS (
+    SELECT *, array_to_string(units[1:least(one, two)], '') AS prefix,
+           array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+           array_to_string(units[greatest(one, two) + 1:], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
+# --- 12: language-model scores ----------------------------------------------------
+
+
+@query
+def op12_interpolated_scores(spark, sf_dir):
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7))
+    docs = table(spark, sf_dir, "documents")
+    return interpolation.interpolated_scores(docs, held_out=remainder == 2, deleted=remainder == 3)
+
+
+# --- 13: filter interactions ------------------------------------------------------
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_ORACLE["op13_filter_audit"] = r"""
+WITH found AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), failures AS (
+    SELECT f.doc_id, part, map {
+        'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+        'C': 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+        'D': regexp_matches(text, '[#$%&*|]'),
+        'E': doc_id > min(doc_id) OVER (PARTITION BY text)
+    } AS fails
+    FROM found f
+), marked AS (
+    SELECT part, fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+    FROM failures f LEFT JOIN (
+        SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+    ) l ON l.doc_id = f.doc_id
+), cells AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM marked GROUP BY part, fails
+), letter AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+    SELECT filter_order, s::INTEGER AS step, filter_order[s] AS own,
+           string_split(filter_order[1:s - 1], '') AS before, string_split(filter_order, '') AS every
+    FROM orders, range(1, 6) r(s)
+), asked AS (
+    SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS own_fails,
+           list_bool_or(list_transform(before, lambda x: x <> '' AND fails[x])) AS fell_before,
+           list_sum(list_transform(every, lambda x: fails[x]::INTEGER)) AS failed
+    FROM cells, steps
+), counted AS (
+    SELECT part, filter_order, step, own,
+           coalesce(sum(n) FILTER (NOT coalesce(fell_before, false) AND NOT own_fails), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (NOT coalesce(fell_before, false) AND own_fails), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (coalesce(fell_before, false) AND own_fails), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (own_fails AND failed = 1), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (NOT coalesce(fell_before, false) AND own_fails), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (NOT coalesce(fell_before, false) AND own_fails), 0)::BIGINT AS toxic_lost
+    FROM asked GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""

@@ -17,7 +17,7 @@ def test_query_matches_its_sql(spark, sf_dir, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.registered())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_shards_are_contiguous_balanced_and_whole(spark, sf_dir):
