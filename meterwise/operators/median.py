@@ -1,20 +1,21 @@
-"""Exact medians of groups of any size, by closing brackets around the middle rank.
-
-Spark's `median` keeps every distinct value of a group in one buffer. Here all medians of
-a set of keys share their passes, each a map-side combined aggregate without unpivot:
-
-1. count the values of every group,
-2. while a group's bracket holds more than GATHER values, take two quantiles close to the
-   middle rank from mergeable sketches of the values in it, and count the values below,
-   at, between and above them; the part that holds the rank is the new bracket, or the
-   quantile is the value itself. Every round leaves a small fraction of the values,
-3. gather the values of the brackets, at most GATHER per group, and read off the rank,
-4. for an even count, find the next larger value.
-
-The counts decide, so the result is exact whatever the sketches say, and every value,
-infinities included, takes part by comparison alone. One row per group goes from round to
-round. The input is read once per pass: give a table, not a plan that is expensive to
-repeat.
+"""Exact medians of groups of any size, from mergeable sketches and counts.
+
+Spark's `median` keeps every distinct value of a group in one buffer. Here a family of
+groupings, such as zone and hour, borough and hour, and borough, shares its passes:
+
+1. one aggregate by the finest keys makes KLL sketches of all columns; merged, they speak
+   for the coarser groupings without another read. A sketch of SKETCH values or fewer
+   holds them all, so small groups are done,
+2. for the others the sketch names two values close to the middle rank. One aggregate by
+   the finest keys counts what lies below, at and between them, for all groupings at once,
+   and gathers what lies between, at most about `gather` values per group. The counts say
+   where the middle rank is.
+
+Only where more than `gather` values would lie between, a pass makes sketches of these
+instead, and another follows: each leaves a few hundredths of the values. So two reads of
+the input are enough up to some hundred thousand values a group, three up to tens of
+millions. The counts decide, so the result is exact whatever the sketches say; infinities
+are ordinary values. Give a table, not a plan that is expensive to repeat.
 """
 
 from __future__ import annotations
@@ -29,13 +30,15 @@ from pyspark.sql import functions as F
 from meterwise.operators.joins import same_keys_join
 from meterwise.sources.scratch import written
 
-# Values of one group that a buffer may hold.
+# Values between two brackets of one group that a buffer may hold.
 GATHER = 20_000
-# The sketches err by one in so many ranks.
-ACCURACY = 1000
-GRID = 64
-
-_ALL = "_all"
+# Values that a sketch holds before it thins them out: by groups, and of a whole table.
+SKETCH, SKETCH_WHOLE = 1024, 4096
+# A grid of shares has a cell per so many values, and a bracket MARGIN cells on either side
+# of the rank, which is more than a sketch errs by.
+CELL, MARGIN = 4, 2
+# Added to one half it asks for the next rank of a sketch that holds all its values.
+NEXT = 1e-5
 
 
 @dataclass(frozen=True)
@@ -52,160 +55,230 @@ def exact_medians(df: DataFrame, wanted: Sequence[Median], gather: int | None =
     median is not grouped by is null in its rows. Nulls and NaN are skipped, a null key is
     a group, a group without values is absent. `gather` bounds the values of a group that
     one buffer holds; results do not depend on it."""
-    gather = GATHER if gather is None else gather
     keys = list(dict.fromkeys(k for m in wanted for k in m.keys))
-    by_keys: dict[tuple[str, ...], list[Median]] = {}
-    for m in wanted:
-        by_keys.setdefault(m.keys, []).append(m)
     types = {f.name: f.dataType for f in df.schema.fields}
     parts = []
-    for group, medians in by_keys.items():
-        wide = _medians_by(df, group, list(dict.fromkeys(m.column for m in medians)), gather)
-        place = {c: i for i, c in enumerate(dict.fromkeys(m.column for m in medians))}
-        rows = F.explode(
-            F.array(*[
-                F.struct(F.lit(m.name).alias("name"), F.col(f"_median{place[m.column]}").alias("median"))
-                for m in medians
-            ])
-        ).alias("row")
-        shown = [
-            (F.col(k) if k in group else F.lit(None)).cast(types[k]).alias(k) for k in keys
-        ]
-        parts.append(
-            wide.select(*shown, rows).where(F.col("row.median").isNotNull())
-            .select("row.name", *keys, "row.median")
-        )
+    for finest in _finest({m.keys for m in wanted}):
+        members = [m for m in wanted if _family(m.keys, [finest]) == finest]
+        family = _Family(df, finest, members, GATHER if gather is None else gather)
+        for by in family.groupings:
+            rows = F.explode(F.array(*[
+                F.struct(F.lit(m.name).alias("name"), F.col(f"_median{family.columns.index(m.column)}").alias("median"))
+                for m in members if m.keys == by
+            ])).alias("row")
+            shown = [(F.col(f"_k{family.keys.index(k)}") if k in by else F.lit(None)).cast(types[k]).alias(k) for k in keys]
+            found = family.medians(by).select(*shown, rows).where(F.col("row.median").isNotNull())
+            parts.append(found.select("row.name", *keys, "row.median"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _medians_by(df: DataFrame, keys: Sequence[str], columns: list[str], gather: int) -> DataFrame:
-    """One row per group: its keys and `_median0`, `_median1`, ..."""
-    ids = range(len(columns))
-    value = lambda c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))
-    # Adding zero turns -0.0 into 0.0, one value with it.
-    rows = df.select(*keys, *[(value(c) + F.lit(0.0)).alias(f"_x{i}") for i, c in enumerate(columns)])
-    group = list(keys) or [_ALL]
-    if not keys:
-        rows = rows.withColumn(_ALL, F.lit(1))
-    none = F.lit(None).cast("double")
-    # Of each column: its count, the open bracket (null: no bound), the values before and
-    # in the bracket, and the median's lower half once it is known.
-    state = rows.groupBy(*group).agg(*[F.count(f"_x{i}").alias(f"_n{i}") for i in ids]).select(
-        *group,
-        *[c for i in ids for c in (
-            F.col(f"_n{i}"), none.alias(f"_from{i}"), none.alias(f"_to{i}"),
-            F.lit(0).cast("bigint").alias(f"_before{i}"), F.col(f"_n{i}").alias(f"_in{i}"), none.alias(f"_low{i}"),
-        )],
-    )
-    state = written(state, "medians")
-    while not state.where(reduce(lambda a, b: a | b, [_wide(i, gather) for i in ids])).isEmpty():
-        state = written(_narrowed(rows, state, group, ids, gather), "medians")
-    state = written(_read_off(rows, state, group, ids), "medians")
-    return _upper_halves(rows, state, group, ids).select(*keys, *[f"_median{i}" for i in ids])
-
-
-def _wide(i: int, gather: int) -> Column:
-    return F.col(f"_low{i}").isNull() & (F.col(f"_in{i}") > gather)
-
-
-def _rank(i: int) -> Column:
-    """The lower of the two middle ranks, from 1."""
-    return F.floor((F.col(f"_n{i}") + 1) / 2)
-
-
-def _inside(i: int) -> Column:
-    x, low, high = F.col(f"_x{i}"), F.col(f"_from{i}"), F.col(f"_to{i}")
-    return (low.isNull() | (x > low)) & (high.isNull() | (x < high))
-
-
-def _narrowed(rows: DataFrame, state: DataFrame, group: list[str], ids: range, gather: int) -> DataFrame:
-    fields = [c for c in state.columns if c not in group]
-    joined = same_keys_join(rows, state, group)
-    # Where in the bracket the rank is. The sketches take fixed shares, so each gets a grid
-    # to pick from, and two shares close to the middle for brackets that are still whole.
-    share = [
-        (_rank(i) - F.col(f"_before{i}")) / F.greatest(F.col(f"_in{i}"), F.lit(1)) for i in ids
-    ]
-    shares = [k / GRID for k in range(GRID + 1)] + [0.5 - 2 / ACCURACY, 0.5 + 2 / ACCURACY]
-    sketch = joined.groupBy(*group).agg(*[
-        F.percentile_approx(
-            F.when(_wide(i, gather) & _inside(i), F.col(f"_x{i}")), shares, ACCURACY
-        ).alias(f"_q{i}")
-        for i in ids
-    ])
-
-    def pick(i: int, upper: bool) -> Column:
-        on_grid = F.floor(share[i] * GRID).cast("int") + (2 if upper else -1)
-        on_grid = F.greatest(F.lit(0), F.least(F.lit(GRID), on_grid))
-        whole = F.col(f"_in{i}") == F.col(f"_n{i}")
-        return F.get(F.col(f"_q{i}"), F.when(whole, GRID + 1 + upper).otherwise(on_grid))
-
-    picked = same_keys_join(state, sketch, group).select(
-        *group, *fields,
-        *[c for i in ids for c in (pick(i, False).alias(f"_a{i}"), pick(i, True).alias(f"_b{i}"))],
-    )
-    joined = same_keys_join(rows, picked, group)
-    counts = []
-    for i in ids:
-        x, a, b = (F.col(f"_{c}{i}") for c in "xab")
-        here = _wide(i, gather) & _inside(i)
-        counts += [
-            F.count_if(here & (x < a)).alias(f"_below{i}"), F.count_if(here & (x == a)).alias(f"_at_a{i}"),
-            F.count_if(here & (x > a) & (x < b)).alias(f"_between{i}"),
-            F.count_if(here & (x == b) & (b > a)).alias(f"_at_b{i}"),
-        ]
-    counted = same_keys_join(picked, joined.groupBy(*group).agg(*counts), group)
-    out = []
-    for i in ids:
-        get = lambda c: F.col(f"_{c}{i}")
-        k = _rank(i) - get("before")
-        to_a = get("below")
-        at_a = to_a + get("at_a")
-        to_b = at_a + get("between")
-        at_b = to_b + get("at_b")
-        wide = _wide(i, gather)
-        case = lambda below, is_a, between, is_b, above, keep: (
-            F.when(~wide, keep).when(k <= to_a, below).when(k <= at_a, is_a).when(k <= to_b, between)
-            .when(k <= at_b, is_b).otherwise(above)
+def _finest(groupings: set[tuple[str, ...]]) -> list[tuple[str, ...]]:
+    """The groupings that none of the others refines."""
+    return sorted(g for g in groupings if not any(set(g) < set(o) for o in groupings))
+
+
+def _family(keys: tuple[str, ...], finest: list[tuple[str, ...]]) -> tuple[str, ...] | None:
+    return next((f for f in finest if set(keys) <= set(f)), None)
+
+
+def _value(column: str) -> Column:
+    """Adding zero turns -0.0 into 0.0, one value with it."""
+    return F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None).cast("double")) + F.lit(0.0)
+
+
+class _Family:
+    """Groupings by subsets of the finest keys, and the state of their medians.
+
+    A state is a table per grouping: its keys `_k*`, and for column i the count `_n`, the
+    bracket's ends `_from` and `_to`, values of the group themselves, an estimate of the
+    values between them `_in`, and the two middle values `_low`, `_up` once they are known.
+    """
+
+    def __init__(self, df: DataFrame, finest: tuple[str, ...], members: Sequence[Median], gather: int):
+        self.columns = list(dict.fromkeys(m.column for m in members))
+        self.groupings = list(dict.fromkeys(m.keys for m in members))
+        self.keys, self.gather = list(finest), gather
+        self.size = SKETCH if finest else SKETCH_WHOLE
+        self.grid = max(1, self.size // CELL)
+        self.wanted = {by: [self.columns.index(m.column) for m in members if m.keys == by] for by in self.groupings}
+        self.rows = df.select(
+            *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(self.keys)],
+            *[_value(c).alias(f"_x{i}") for i, c in enumerate(self.columns)],
+        )
+        sketched = self.rows.groupBy(*self.names(finest)).agg(*[
+            c for i in range(len(self.columns))
+            for c in (F.count(f"_x{i}").alias(f"_n{i}"), self.sketch(F.col(f"_x{i}")).alias(f"_q{i}"))
+        ])
+        self.sketches = written(sketched, "sketches")
+        self.states = {by: written(self.first(by), "medians") for by in self.groupings}
+        while open_ := self.open():
+            self.narrow(open_)
+
+    def names(self, by: Sequence[str]) -> list[str]:
+        return [f"_k{self.keys.index(k)}" for k in by]
+
+    def sketch(self, value: Column) -> Column:
+        return F.kll_sketch_agg_double(value, F.lit(self.size))
+
+    def shares(self, sketch: Column, n: Column) -> Column:
+        """The values at every share of the grid, and the two middle values."""
+        grid = [k / self.grid for k in range(self.grid + 1)] + [0.5, 0.5 + NEXT]
+        return F.when(n > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*map(F.lit, grid))))
+
+    def merged(self, table: DataFrame, by: Sequence[str], columns: Sequence[Column]) -> DataFrame:
+        return table.groupBy(*self.names(by)).agg(*columns)
+
+    def first(self, by: tuple[str, ...]) -> DataFrame:
+        """The state of a grouping from the sketches alone."""
+        ids = self.wanted[by]
+        rolled = self.merged(self.sketches, by, [
+            c for i in ids for c in (
+                F.sum(f"_n{i}").alias(f"_n{i}"),
+                F.kll_merge_agg_double(F.when(F.col(f"_n{i}") > 0, F.col(f"_q{i}")), F.lit(self.size)).alias(f"_q{i}"),
+            )
+        ])
+        shared = rolled.select(
+            *self.names(by), *[F.coalesce(f"_n{i}", F.lit(0)).alias(f"_n{i}") for i in ids],
+            *[self.shares(F.col(f"_q{i}"), F.col(f"_n{i}")).alias(f"_g{i}") for i in ids],
         )
         none = F.lit(None).cast("double")
-        low, high, a, b = get("from"), get("to"), get("a"), get("b")
-        before, inside = get("before"), get("in")
-        out += [
-            get("n"),
-            case(low, low, a, low, b, low).alias(f"_from{i}"),
-            case(a, high, b, high, high, high).alias(f"_to{i}"),
-            case(before, before, before + at_a, before, before + at_b, before).alias(f"_before{i}"),
-            case(to_a, inside, get("between"), inside, inside - at_b, inside).alias(f"_in{i}"),
-            case(none, a, none, b, none, get("low")).alias(f"_low{i}"),
+        out = []
+        for i in ids:
+            n, grid = F.col(f"_n{i}"), F.col(f"_g{i}")
+            whole = n <= self.size
+            ends = [F.when(~whole, end) for end in self.around(i, F.lit(0), n, grid)]
+            out += [
+                n, ends[0].alias(f"_from{i}"), ends[1].alias(f"_to{i}"),
+                F.when(whole, 0).otherwise(self.between(n)).cast("bigint").alias(f"_in{i}"),
+                *[F.when(whole, F.get(grid, F.lit(self.grid + 1 + k))).otherwise(none).alias(f"_{c}{i}")
+                  for k, c in enumerate(("low", "up"))],
+            ]
+        return shared.select(*self.names(by), *out)
+
+    def rank(self, i: int, upper: bool) -> Column:
+        """One of the two middle ranks, from 1."""
+        n = F.col(f"_n{i}")
+        return F.floor(n / 2) + 1 if upper else F.floor((n + 1) / 2)
+
+    def around(self, i: int, before: Column, inside: Column, grid: Column) -> list[Column]:
+        """The values of the grid on either side of the middle ranks, among `inside` values
+        after `before` others."""
+        share = lambda upper: (self.rank(i, upper) - before) / F.greatest(inside, F.lit(1)) * self.grid
+        low = F.greatest(F.lit(0), F.floor(share(False)) - MARGIN)
+        high = F.least(F.lit(self.grid), F.ceil(share(True)) + MARGIN)
+        clipped = lambda at: F.greatest(F.lit(0), F.least(F.lit(self.grid), at)).cast("int")
+        return [F.get(grid, clipped(low)), F.get(grid, clipped(high))]
+
+    def between(self, inside: Column) -> Column:
+        """Values between two ends that `around` finds, at most, but for a sketch that errs."""
+        return F.ceil(inside * min(1.0, 3 * MARGIN / self.grid))
+
+    def open(self) -> dict[tuple[str, ...], dict[int, bool]]:
+        """Of every grouping, the columns whose medians are not all known yet, and whether
+        what lies between their brackets may be gathered."""
+        found = {}
+        for by, state in self.states.items():
+            ids = self.wanted[by]
+            left = [F.col(f"_low{i}").isNull() & (F.col(f"_n{i}") > 0) for i in ids]
+            sizes = state.agg(*[F.max(F.when(x, F.col(f"_in{i}"))) for i, x in zip(ids, left)]).first()
+            columns = {i: size <= self.gather for i, size in zip(ids, sizes) if size is not None}
+            if columns:
+                found[by] = columns
+        return found
+
+    def narrow(self, open_: dict[tuple[str, ...], dict[int, bool]]) -> None:
+        """One read of the input for all that is open."""
+        names = self.names(self.keys)
+        brackets, aggregates = self.sketches.select(*names), []
+        for g, (by, columns) in enumerate(open_.items()):
+            ends = {f"_{e}{g}_{i}": F.when(F.col(f"_low{i}").isNull(), F.col(f"_{e}{i}")) for i in columns for e in ("from", "to")}
+            mine = self.states[by].select(*self.names(by), *[c.alias(n) for n, c in ends.items()])
+            if by:
+                brackets = same_keys_join(brackets, mine, self.names(by))
+                ends = {n: F.col(n) for n in ends}
+            else:
+                ends = {n: F.lit(v).cast("double") for n, v in mine.first().asDict().items()}
+            for i, gathered in columns.items():
+                x, low, high = F.col(f"_x{i}"), ends[f"_from{g}_{i}"], ends[f"_to{g}_{i}"]
+                inner = F.when((x > low) & (x < high), x)
+                held = F.collect_list(inner) if gathered else self.sketch(inner)
+                aggregates += [
+                    F.count_if(x < low).alias(f"_below{g}_{i}"), F.count_if(x == low).alias(f"_at{g}_{i}"),
+                    F.count_if((x == high) & (high > low)).alias(f"_end{g}_{i}"),
+                    F.count(inner).alias(f"_inner{g}_{i}"), held.alias(f"_held{g}_{i}"),
+                ]
+        joined = same_keys_join(self.rows, brackets, names) if names else self.rows
+        counted = written(joined.groupBy(*names).agg(*aggregates), "counted")
+        for g, (by, columns) in enumerate(open_.items()):
+            self.states[by] = written(self.closer(counted, g, by, columns), "medians")
+
+    def closer(self, counted: DataFrame, g: int, by: tuple[str, ...], columns: dict[int, bool]) -> DataFrame:
+        """The state of a grouping after the counts."""
+        rolled = []
+        for i, gathered in columns.items():
+            held, inner = F.col(f"_held{g}_{i}"), F.col(f"_inner{g}_{i}")
+            rolled += [F.sum(f"_{c}{g}_{i}").alias(f"_{c}{i}") for c in ("below", "at", "end", "inner")]
+            rolled.append(
+                (F.sort_array(F.flatten(F.collect_list(held))) if gathered
+                 else F.kll_merge_agg_double(F.when(inner > 0, held), F.lit(self.size))).alias(f"_held{i}")
+            )
+        state = self.states[by]
+        counts = self.merged(counted, by, rolled)
+        counts = counts.select(*self.names(by), *[
+            c for i, gathered in columns.items() for c in (
+                *[F.col(f"_{c}{i}") for c in ("below", "at", "end", "inner")],
+                F.col(f"_held{i}") if gathered else self.shares(F.col(f"_held{i}"), F.col(f"_inner{i}")).alias(f"_held{i}"),
+            )
+        ])
+        if by:
+            both = same_keys_join(state, counts, self.names(by))
+        else:
+            types = {f.name: f.dataType for f in state.schema.fields}
+            known = state.first().asDict()
+            both = counts.select("*", *[F.lit(v).cast(types[c]).alias(c) for c, v in known.items()])
+        out = []
+        for i in self.wanted[by]:
+            fields = [f"_{c}{i}" for c in ("n", "from", "to", "in", "low", "up")]
+            out += self.settled(i, columns[i]) if i in columns else [F.col(c) for c in fields]
+        return both.select(*self.names(by), *out)
+
+    def settled(self, i: int, gathered: bool) -> list[Column]:
+        get = lambda c: F.col(f"_{c}{i}")
+        n, low, high, held = get("n"), get("from"), get("to"), get("held")
+        to_low = get("below") + get("at")
+        to_inner = to_low + get("inner")
+        to_high = to_inner + get("end")
+        first, second = self.rank(i, False), self.rank(i, True)
+        known = get("low").isNotNull() | (n == 0)
+        under, over = first <= get("below"), second > to_high
+
+        def middle(k: Column) -> Column:
+            """The value of a rank that lies from `low` to `high`, if it is known."""
+            inner = F.get(held, (k - to_low - 1).cast("int")) if gathered else F.lit(None).cast("double")
+            return F.when(k <= to_low, low).when(k <= to_inner, inner).otherwise(high)
+
+        found = [middle(k) for k in (first, second)]
+        done = ~under & ~over & found[0].isNotNull() & found[1].isNotNull()
+        ends, inside = [low, high], get("in")
+        if not gathered:
+            # A rank at an end keeps it; the others move to the grid around them.
+            near = self.around(i, to_low, get("inner"), held)
+            ends = [F.when(first <= to_low, low).otherwise(near[0]), F.when(second > to_inner, high).otherwise(near[1])]
+            inside = self.between(get("inner"))
+        infinite = F.lit(float("inf"))
+        moved = [
+            F.when(under, -infinite).when(over, high).otherwise(ends[0]),
+            F.when(under, low).when(over, infinite).otherwise(ends[1]),
+        ]
+        left = F.when(under, get("below")).when(over, n - to_high).otherwise(inside).cast("bigint")
+        keep = lambda new, c: F.when(known, get(c)).otherwise(new).alias(f"_{c}{i}")
+        return [
+            n, keep(moved[0], "from"), keep(moved[1], "to"), keep(left, "in"),
+            *[keep(F.when(done, v), c) for v, c in zip(found, ("low", "up"))],
         ]
-    return counted.select(*group, *out)
-
-
-def _read_off(rows: DataFrame, state: DataFrame, group: list[str], ids: range) -> DataFrame:
-    """The state with `_low` of every column, from the values left in the brackets."""
-    fields = [c for c in state.columns if c not in group]
-    joined = same_keys_join(rows, state, group)
-    held = joined.groupBy(*group).agg(*[
-        F.sort_array(F.collect_list(F.when(F.col(f"_low{i}").isNull() & _inside(i), F.col(f"_x{i}")))).alias(f"_v{i}")
-        for i in ids
-    ])
-    both = same_keys_join(state, held, group)
-    value = lambda i: F.get(F.col(f"_v{i}"), (_rank(i) - F.col(f"_before{i}") - 1).cast("int"))
-    found = {f"_low{i}": F.coalesce(F.col(f"_low{i}"), value(i)) for i in ids}
-    return both.select(*group, *[found.get(c, F.col(c)).alias(c) for c in fields])
-
-
-def _upper_halves(rows: DataFrame, state: DataFrame, group: list[str], ids: range) -> DataFrame:
-    joined = same_keys_join(rows, state, group)
-    low = lambda i: F.col(f"_low{i}")
-    counts = joined.groupBy(*group).agg(*[c for i in ids for c in (
-        F.count_if(F.col(f"_x{i}") <= low(i)).alias(f"_upto{i}"),
-        F.min(F.when(F.col(f"_x{i}") > low(i), F.col(f"_x{i}"))).alias(f"_next{i}"),
-    )])
-    both = same_keys_join(state, counts, group)
-    return both.select(*group, *[
-        F.when(F.floor(F.col(f"_n{i}") / 2) + 1 <= F.col(f"_upto{i}"), low(i))
-        .otherwise((low(i) + F.col(f"_next{i}")) / 2).alias(f"_median{i}")
-        for i in ids
-    ])
+
+    def medians(self, by: tuple[str, ...]) -> DataFrame:
+        middle = lambda i: F.when(F.col(f"_low{i}") == F.col(f"_up{i}"), F.col(f"_low{i}")).otherwise(
+            (F.col(f"_low{i}") + F.col(f"_up{i}")) / 2
+        )
+        return self.states[by].select(*self.names(by), *[middle(i).alias(f"_median{i}") for i in self.wanted[by]])

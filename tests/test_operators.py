@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterwise.errors import DuplicateKeys, EmptyInput
-from meterwise.operators import metrics, model, profile, report, rules
+from meterwise.operators import median, metrics, model, profile, report, rules
 from meterwise.operators.median import Median, exact_medians
 from meterwise.plans.derived_trips import next_time
 from meterwise.sources.guards import guard_empty
@@ -43,13 +43,24 @@ def _median_rows():
     return rows
 
 
-# Values that a buffer may hold: none but the last, some groups, all groups.
-GATHER = [1, 50, 1_000_000]
+# Values that a sketch keeps whole, and that a buffer may hold: none but the last, some
+# groups, all groups.
+SIZES = [(64, 1), (64, 50), (100, 1_000_000), (1024, 50)]
 
 
-@pytest.mark.parametrize("gather", GATHER)
+@pytest.fixture
+def sketches(monkeypatch):
+    def hold(size):
+        monkeypatch.setattr(median, "SKETCH", size)
+        monkeypatch.setattr(median, "SKETCH_WHOLE", size)
+
+    return hold
+
+
+@pytest.mark.parametrize("size, gather", SIZES)
 @pytest.mark.parametrize("keys", [["k"], ["k", "h"], []])
-def test_medians_are_exact(spark, gather, keys):
+def test_medians_are_exact(spark, sketches, size, gather, keys):
+    sketches(size)
     rows = _median_rows()
     df = spark.createDataFrame(rows, "k STRING, h INT, a DOUBLE, b DOUBLE")
     expected = _expected(rows, keys, ["a", "b"])
@@ -70,8 +81,9 @@ def _expected(rows, keys, names):
     return {group: statistics.median(xs) for group, xs in values.items()}
 
 
-@pytest.mark.parametrize("gather", GATHER)
-def test_medians_by_different_keys(spark, gather):
+@pytest.mark.parametrize("size, gather", SIZES)
+def test_medians_by_different_keys(spark, sketches, size, gather):
+    sketches(size)
     rows = _median_rows()
     df = spark.createDataFrame(rows, "k STRING, h INT, a DOUBLE, b DOUBLE")
     sets = {"kh": ("k", "h"), "k": ("k",), "all": ()}
@@ -83,6 +95,51 @@ def test_medians_by_different_keys(spark, gather):
     assert all(r["h"] is None for r in out if r["name"] == "k")
 
 
+def test_medians_of_unrelated_keys(spark, sketches):
+    sketches(64)
+    rows = _median_rows()
+    df = spark.createDataFrame(rows, "k STRING, h INT, a DOUBLE, b DOUBLE")
+    wanted = [Median("k", "a", ("k",)), Median("h", "b", ("h",)), Median("all", "b")]
+    out = exact_medians(df, wanted, 30).collect()
+    got = {n: {tuple(r[c] for c in keys): r["median"] for r in out if r["name"] == n} for n, keys in (("k", "k"), ("h", "h"), ("all", ""))}
+    for name, column in (("k", "a"), ("h", "b"), ("all", "b")):
+        keys = [] if name == "all" else [name]
+        assert got[name] == {key: m for (c, key), m in _expected(rows, keys, [column]).items()}
+
+
+@pytest.mark.parametrize("size", [8, 1024])
+def test_a_sketch_that_is_not_full_holds_every_value(spark, sketches, size):
+    """Up to its size a group is done after one read, merged or not."""
+    sketches(size)
+    rows = [(f"g{n}", i % 5, float(RNG.randrange(10 * n))) for n in (1, 2, size - 1, size) for i in range(n)]
+    df = spark.createDataFrame(rows, "k STRING, h INT, a DOUBLE").repartition(5)
+    out = exact_medians(df, [Median("k", "a", ("k",)), Median("kh", "a", ("k", "h"))], 1).collect()
+    for name, keys in (("k", ["k"]), ("kh", ["k", "h"])):
+        values = defaultdict(list)
+        for k, h, a in rows:
+            values[tuple({"k": k, "h": h}[c] for c in keys)].append(a)
+        got = {tuple(r[c] for c in keys): r["median"] for r in out if r["name"] == name}
+        assert got == {key: statistics.median(v) for key, v in values.items()}
+
+
+def test_reads_of_the_input_for_medians(spark, tmp_path, monkeypatch):
+    """One read where groups fit their sketches, two where what a sketch leaves may be
+    gathered, whatever the number of groupings."""
+    rows = spark.range(40_000).select(
+        (F.col("id") % 7).alias("k"), (F.col("id") % 3).alias("h"), F.rand(3).alias("a"), F.randn(4).alias("b")
+    )
+    rows.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    reads = []
+    narrow = median._Family.narrow
+    monkeypatch.setattr(median._Family, "narrow", lambda self, open_: (reads.append(open_), narrow(self, open_)))
+    wanted = [Median(f"{c}{len(by)}", c, by) for c in "ab" for by in (("k", "h"), ("k",), ())]
+    exact_medians(table.limit(800), wanted)
+    assert len(reads) == 0
+    exact_medians(table, wanted)
+    assert len(reads) == 1
+
+
 def test_medians_of_nothing(spark):
     empty = spark.createDataFrame([], "k STRING, a DOUBLE")
     assert exact_medians(empty, [Median("a", "a", ("k",))]).collect() == []
