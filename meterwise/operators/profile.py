@@ -91,7 +91,7 @@ def _statistics(columns: _Columns, names: Sequence[str]) -> dict[str, list[Colum
 
 def _ranges(columns: _Columns, names: Sequence[str]) -> dict[str, list[Column]]:
     def text(c: str, aggregate) -> Column:
-        return timestamp_text(columns.add(aggregate(F.col(f"`{c}`").cast("timestamp_ntz"))))
+        return columns.add(timestamp_text(aggregate(F.col(f"`{c}`").cast("timestamp_ntz"))))
 
     return {
         c: [text(c, F.min).alias("min_text"), text(c, F.max).alias("max_text")] for c in names
@@ -151,36 +151,58 @@ def value_counts(df: DataFrame, columns: Sequence[str], top: int = TOP) -> DataF
     return counts.withColumn("_rank", rank).where(F.col("_rank") <= top).drop("_rank")
 
 
+class OnePass:
+    """What a profile takes from a single pass: counts, statistics and ranges of all
+    columns. The aggregates can be computed on their own, or be observed on a table while
+    it is written."""
+
+    def __init__(self, df: DataFrame) -> None:
+        columns = _Columns()
+        counts = _counts(columns, df.columns)
+        statistics = _statistics(columns, numeric_columns(df))
+        ranges = _ranges(columns, temporal_columns(df))
+        no_statistics = [F.lit(None).cast("double").alias(s) for s in STATISTICS]
+        no_range = [F.lit(None).cast("string").alias(c) for c in ("min_text", "max_text")]
+        self.aggregates = columns.aggregates
+        self.measured = list(statistics)
+        self._source = df
+        self._shown = {
+            f.name: [
+                F.lit(i).alias("position"),
+                F.lit(f.dataType.simpleString()).alias("dtype"),
+                *counts[f.name],
+                *statistics.get(f.name, no_statistics),
+                *ranges.get(f.name, no_range),
+            ]
+            for i, f in enumerate(df.schema.fields, 1)
+        }
+
+    def tall(self, observed: dict | None = None) -> DataFrame:
+        """One row per column, from a pass of its own or from observed values."""
+        wide = nan_to_null(self._source).agg(*self.aggregates)
+        if observed is not None:
+            row = tuple(observed[c] for c in wide.columns)
+            wide = wide.sparkSession.createDataFrame([row], wide.schema)
+        rows = [F.struct(F.lit(c).alias("column_name"), *cells) for c, cells in self._shown.items()]
+        return _tall(wide, rows)
+
+
 def column_profile(
     df: DataFrame,
     categories: Sequence[str] = TRIP_CATEGORIES,
     top: int = TOP,
+    observed: dict | None = None,
 ) -> DataFrame:
     """The whole profile, one row per column in table order. Statistics that do not
     apply to a column are null; `value_counts` is a map, most frequent first.
 
-    Counts, statistics and ranges of all columns are one aggregate over one scan.
+    Counts, statistics and ranges of all columns are one aggregate over one scan, or come
+    from `observed`, the values of the aggregates of `OnePass(df)`.
     """
-    columns = _Columns()
-    counts = _counts(columns, df.columns)
-    statistics = _statistics(columns, numeric_columns(df))
-    ranges = _ranges(columns, temporal_columns(df))
-    no_statistics = [F.lit(None).cast("double").alias(s) for s in STATISTICS]
-    no_range = [F.lit(None).cast("string").alias(c) for c in ("min_text", "max_text")]
-    shown = {
-        f.name: [
-            F.lit(i).alias("position"),
-            F.lit(f.dataType.simpleString()).alias("dtype"),
-            *counts[f.name],
-            *statistics.get(f.name, no_statistics),
-            *ranges.get(f.name, no_range),
-        ]
-        for i, f in enumerate(df.schema.fields, 1)
-    }
-    tall = _show(nan_to_null(df), columns, shown)
-    if statistics:
-        medians = _medians(df, list(statistics))
-        tall = tall.join(medians, "column_name", "left")
+    one_pass = OnePass(df)
+    tall = one_pass.tall(observed)
+    if one_pass.measured:
+        tall = tall.join(_medians(df, one_pass.measured), "column_name", "left")
     else:
         tall = tall.withColumn("median", F.lit(None).cast("double"))
     categories = [c for c in categories if c in df.columns]

@@ -14,13 +14,18 @@ from meterwise.operators.rules import HARD, SOFT, TRIP_RULES, Limits, Rule, any_
 def tally(flagged: DataFrame, rules: Sequence[Rule] = TRIP_RULES) -> DataFrame:
     """One row: rows in, rows with a hard flag, rows with soft flags only, and one count
     per flag. Everything else in the report derives from it without touching rows."""
+    return flagged.agg(*tally_columns(rules))
+
+
+def tally_columns(rules: Sequence[Rule] = TRIP_RULES) -> list[Column]:
+    """The aggregates of the tally over flagged rows, which a write can observe."""
     hard = any_flag(rules, HARD)
-    return flagged.agg(
+    return [
         F.count(F.lit(1)).alias("rows_in_raw"),
         F.count_if(hard).alias("rows_hard_flagged"),
         F.count_if(any_flag(rules, SOFT) & ~hard).alias("rows_soft_only_flagged"),
         *[F.count_if(F.col(r.column)).alias(f"n_{r.name}") for r in rules],
-    )
+    ]
 
 
 def tally_written(trips: DataFrame, rules: Sequence[Rule] = TRIP_RULES) -> DataFrame:

@@ -21,7 +21,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.errors import EmptyInput
@@ -73,6 +73,10 @@ class Outputs:
     def _monthly(self, name: str) -> str:
         return f"{self.root}/{name}/{self.month}"
 
+    @property
+    def tally(self) -> str:
+        return self._monthly("tally")
+
     def built_from(self, step: str) -> str:
         return self._monthly(f"built_from/{step}")
 
@@ -198,7 +202,8 @@ def validate(
     limits: rules.Limits = rules.Limits(),
 ) -> None:
     """Flag every row of the files in the manifest once and publish valid and excluded
-    rows in one write; then profile the raw rows and write the report."""
+    rows in one write, which also counts them and takes the one-pass part of the profile;
+    then find medians and top values of the raw rows and write the report."""
     guard_inputs(spark, {"trips": trips_path, "zones": out.published["zones"]})
     started = time.time()
     # A list of files, as Spark itself keeps one on the driver.
@@ -210,10 +215,17 @@ def validate(
     flagged = rules.flag_rows(trips, dim, month, rule_set, limits)
     valid = ~rules.any_flag(rule_set, rules.HARD)
     marked = flagged.withColumn("valid", valid)
+    # Observed above the last shuffle, in the tasks that write: a task counts once.
+    seen = Observation("written")
+    counts = report.tally_columns(rule_set)
+    marked = marked.observe(seen, *counts, *profile.OnePass(trips).aggregates)
     sinks.write_month(rules.drop_working_columns(marked), out.trips, ["valid"])
 
-    totals = report.tally_written(spark.read.parquet(out.trips), rule_set)
-    columns = profile.column_profile(trips)
+    names = ["rows_in_raw", "rows_hard_flagged", "rows_soft_only_flagged", *[f"n_{r.name}" for r in rule_set]]
+    row = tuple(seen.get[c] for c in names)
+    totals = spark.createDataFrame([row], ", ".join(f"{c} BIGINT" for c in names))
+    sinks.write_table(totals, out.tally)
+    columns = profile.column_profile(trips, observed=seen.get)
     document = report.report_json(
         totals, columns, month, round(time.time() - started, 1), rule_set, limits
     )
@@ -225,7 +237,9 @@ def register_model(
 ) -> tuple[DataFrame, int]:
     """Create the views dim_zones, fact_trips and fact_trips_enriched for a published
     month; return the last one and the number of trips."""
-    guard_inputs(spark, {"validated trips": out.trips, "zones": out.published["zones"]})
+    guard_inputs(
+        spark, {"validated trips": out.trips, "zones": out.published["zones"], "tally": out.tally}
+    )
     if not path_exists(spark, out.trips_of(True)):
         raise EmptyInput(f"no trip of {out.month} is valid")
     dim = spark.read.parquet(out.published["zones"])
@@ -250,7 +264,7 @@ def publish_metrics(
     unmatched = enriched.where(F.col("pu_borough").isNull()).count()
     if unmatched:
         log.warning("%d trips have no pickup borough and leave the borough metrics", unmatched)
-    totals = report.tally_written(spark.read.parquet(out.trips), rule_set)
+    totals = spark.read.parquet(out.tally)
     # One row per group, shown in three tables: computed once.
     sinks.write_table(metrics.group_statistics(enriched), out.published["statistics"])
     statistics = spark.read.parquet(out.published["statistics"])

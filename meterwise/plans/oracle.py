@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from meterwise.operators.metrics import SCALAR_KPIS
 from meterwise.operators.report import annotation_texts
 from meterwise.operators.rules import HARD, SOFT, TRIP_RULES, Rule
 from meterwise.plans.derived_trips import EVENT_LIMITS, ORDER_RULES
@@ -173,20 +172,27 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# Name, component, unit, value and text of the scalar KPIs.
+_SCALAR_KPIS = (
+    ("data_reliability_pct", "M1_reliability", "%", "round(100.0::DOUBLE * (raw - hard_n) / raw, 3)",
+     "Share of the raw rows that no hard rule excludes"),
+    ("valid_trip_count", "M1_reliability", "trips", "raw - hard_n", "Rows that the KPI tables are made of"),
+    ("raw_trip_count", "M1_reliability", "trips", "raw", "Rows of the landed files, before any rule"),
+    ("anomaly_rate_pct", "M5_anomaly", "%", "round(100.0::DOUBLE * (hard_n + soft_n) / raw, 3)",
+     "Share of the raw rows with a flag, hard or soft"),
+    ("hard_flagged_count", "M5_anomaly", "trips", "hard_n",
+     "Rows that a hard rule keeps out of the KPI tables"),
+    ("soft_only_flagged_count", "M5_anomaly", "trips", "soft_n",
+     "Rows that are kept although a soft rule marks them"),
+)
+
+
 def _scalar_kpis(component: str | None = None) -> str:
-    values = {
-        "data_reliability_pct": "round(100.0::DOUBLE * (raw - hard_n) / raw, 3)",
-        "valid_trip_count": "raw - hard_n",
-        "raw_trip_count": "raw",
-        "anomaly_rate_pct": "round(100.0::DOUBLE * (hard_n + soft_n) / raw, 3)",
-        "hard_flagged_count": "hard_n",
-        "soft_only_flagged_count": "soft_n",
-    }
     return "\nUNION ALL ".join(
         f"SELECT '{name}' AS metric_name, '{kpi}' AS kpi_component, 'MONTH' AS \"group\", "
-        f"CAST({values[name]} AS DOUBLE) AS value, '{unit}' AS unit, "
+        f"CAST({value} AS DOUBLE) AS value, '{unit}' AS unit, "
         f"{_quoted(text)} AS description FROM (SELECT {_COUNTS} FROM flags)"
-        for name, kpi, unit, text in SCALAR_KPIS
+        for name, kpi, unit, value, text in _SCALAR_KPIS
         if component in (None, kpi)
     )
 
