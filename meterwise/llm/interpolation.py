@@ -33,9 +33,9 @@ from meterwise.llm.common import as_bytes, chained, written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Words of a chunk; a longer document is a chunk of its own.
-CHUNK = 1 << 19
+CHUNK = 1 << 20
 # Chunks of one file, which a reader may hold at once.
-PER_FILE = 8
+PER_FILE = 4
 # Occurrences whose requests make up a range.
 RANGE = 1 << 22
 # Cells of the grid per factor of e between two estimates; ratios beyond LIMIT cells share one.
