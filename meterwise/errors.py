@@ -27,3 +27,7 @@ class RejectedInput(MeterwiseError, RuntimeError):
 
 class DuplicateKeys(MeterwiseError, ValueError):
     """A dimension repeats a key and would multiply fact rows."""
+
+
+class ConflictingCommit(MeterwiseError):
+    """Another writer has committed since the caller last read."""

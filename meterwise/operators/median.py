@@ -50,17 +50,31 @@ class Median:
     keys: tuple[str, ...] = ()
 
 
-def exact_medians(df: DataFrame, wanted: Sequence[Median], gather: int | None = None) -> DataFrame:
+def sketch_columns(columns: Sequence[str]) -> list[Column]:
+    """Aggregates `<column>__count` and `<column>__kll` that a table of states may keep."""
+    return [
+        c for name in columns for c in (
+            F.count(_value(name)).alias(f"{name}__count"),
+            F.kll_sketch_agg_double(_value(name), F.lit(SKETCH)).alias(f"{name}__kll"),
+        )
+    ]
+
+
+def exact_medians(
+    df: DataFrame, wanted: Sequence[Median], gather: int | None = None, states: DataFrame | None = None
+) -> DataFrame:
     """Interpolated medians in tall form: `name`, all keys that occur, `median`. A key a
     median is not grouped by is null in its rows. Nulls and NaN are skipped, a null key is
     a group, a group without values is absent. `gather` bounds the values of a group that
-    one buffer holds; results do not depend on it."""
+    one buffer holds; results do not depend on it. `states`, rows with the finest keys and
+    the aggregates of `sketch_columns`, any number per group, stand for the first read: `df`
+    is then read only where a group has more values than its sketch."""
     keys = list(dict.fromkeys(k for m in wanted for k in m.keys))
     types = {f.name: f.dataType for f in df.schema.fields}
     parts = []
     for finest in _finest({m.keys for m in wanted}):
         members = [m for m in wanted if _family(m.keys, [finest]) == finest]
-        family = _Family(df, finest, members, GATHER if gather is None else gather)
+        family = _Family(df, finest, members, GATHER if gather is None else gather, states)
         for by in family.groupings:
             rows = F.explode(F.array(*[
                 F.struct(F.lit(m.name).alias("name"), F.col(f"_median{family.columns.index(m.column)}").alias("median"))
@@ -94,21 +108,30 @@ class _Family:
     values between them `_in`, and the two middle values `_low`, `_up` once they are known.
     """
 
-    def __init__(self, df: DataFrame, finest: tuple[str, ...], members: Sequence[Median], gather: int):
+    def __init__(
+        self, df: DataFrame, finest: tuple[str, ...], members: Sequence[Median], gather: int,
+        states: DataFrame | None,
+    ):
         self.columns = list(dict.fromkeys(m.column for m in members))
         self.groupings = list(dict.fromkeys(m.keys for m in members))
         self.keys, self.gather = list(finest), gather
-        self.size = SKETCH if finest else SKETCH_WHOLE
+        self.size = SKETCH if finest or states is not None else SKETCH_WHOLE
         self.grid = max(1, self.size // CELL)
         self.wanted = {by: [self.columns.index(m.column) for m in members if m.keys == by] for by in self.groupings}
         self.rows = df.select(
             *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(self.keys)],
             *[_value(c).alias(f"_x{i}") for i, c in enumerate(self.columns)],
         )
-        sketched = self.rows.groupBy(*self.names(finest)).agg(*[
-            c for i in range(len(self.columns))
-            for c in (F.count(f"_x{i}").alias(f"_n{i}"), self.sketch(F.col(f"_x{i}")).alias(f"_q{i}"))
-        ])
+        ids = range(len(self.columns))
+        if states is None:
+            source, made = self.rows, [(F.count(f"_x{i}"), self.sketch(F.col(f"_x{i}"))) for i in ids]
+        else:
+            source = states.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(self.keys)})
+            parts = [(F.col(f"{c}__count"), F.col(f"{c}__kll")) for c in self.columns]
+            made = [(F.sum(n), self.joined(n, q)) for n, q in parts]
+        sketched = source.groupBy(*self.names(finest)).agg(
+            *[c for i, (n, q) in enumerate(made) for c in (n.alias(f"_n{i}"), q.alias(f"_q{i}"))]
+        )
         self.sketches = written(sketched, "sketches")
         self.states = {by: written(self.first(by), "medians") for by in self.groupings}
         while open_ := self.open():
@@ -120,6 +143,10 @@ class _Family:
     def sketch(self, value: Column) -> Column:
         return F.kll_sketch_agg_double(value, F.lit(self.size))
 
+    def joined(self, n: Column, sketch: Column) -> Column:
+        """One sketch of those that hold values."""
+        return F.kll_merge_agg_double(F.when(n > 0, sketch), F.lit(self.size))
+
     def shares(self, sketch: Column, n: Column) -> Column:
         """The values at every share of the grid, and the two middle values."""
         grid = [k / self.grid for k in range(self.grid + 1)] + [0.5, 0.5 + NEXT]
@@ -134,7 +161,7 @@ class _Family:
         rolled = self.merged(self.sketches, by, [
             c for i in ids for c in (
                 F.sum(f"_n{i}").alias(f"_n{i}"),
-                F.kll_merge_agg_double(F.when(F.col(f"_n{i}") > 0, F.col(f"_q{i}")), F.lit(self.size)).alias(f"_q{i}"),
+                self.joined(F.col(f"_n{i}"), F.col(f"_q{i}")).alias(f"_q{i}"),
             )
         ])
         shared = rolled.select(
@@ -220,7 +247,7 @@ class _Family:
             rolled += [F.sum(f"_{c}{g}_{i}").alias(f"_{c}{i}") for c in ("below", "at", "end", "inner")]
             rolled.append(
                 (F.sort_array(F.flatten(F.collect_list(held))) if gathered
-                 else F.kll_merge_agg_double(F.when(inner > 0, held), F.lit(self.size))).alias(f"_held{i}")
+                 else self.joined(inner, held)).alias(f"_held{i}")
             )
         state = self.states[by]
         counts = self.merged(counted, by, rolled)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterwise.functions.exprs import minutes_between, ratio
 from meterwise.operators.joins import check_unique
 from meterwise.operators.rules import DROPOFF, FLAGS, PICKUP
+from meterwise.sources.guards import path_exists
 
 # Columns passed through when the input has them, with their name in the fact.
 _OPTIONAL = {
@@ -27,9 +28,6 @@ _OPTIONAL = {
 
 ROLES = ("pu", "do")
 
-# File offsets (a path and a number) are broadcast up to this many files.
-BROADCAST_FILES = 200_000
-
 
 def fact_trips(valid: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Validated trips under model names, with the derived measures. Columns named in
@@ -97,24 +95,57 @@ def unmatched_zones(fact: DataFrame, zones: DataFrame, role: str) -> DataFrame:
     return ids.join(zones.select("location_id").distinct(), "location_id", "left_anti")
 
 
+def write_ordered(table: DataFrame, path: str, order: Sequence[str]) -> None:
+    """Write a table so that its rows are numbered in this order: ranges of it go to tasks,
+    each of which sorts its range and writes one file."""
+    ranges = table.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges.write.option("maxRecordsPerFile", 0).parquet(path)
+    number_files(table.sparkSession, path)
+
+
+def _ordinal() -> Column:
+    """The number of a file in its write, from the name that Spark gave it: the task's
+    number, then the task's count of files."""
+    found = lambda pattern: F.nullif(F.regexp_extract("_metadata.file_name", pattern, 1), F.lit("")).cast("bigint")
+    return found(r"^part-(\d+)-") * (1 << 20) + found(r"[-.]c(\d+)\.")
+
+
+def _offsets(spark: SparkSession, path: str) -> DataFrame:
+    """(_ordinal, _ahead): the rows of earlier files, for every file of one write. The
+    running sum covers one row per file."""
+    sizes = spark.read.parquet(path).groupBy(_ordinal().alias("_ordinal")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_metadata.file_path").alias("_one"),
+        F.max("_metadata.file_path").alias("_other"),
+    )
+    earlier = Window.orderBy("_ordinal").rowsBetween(Window.unboundedPreceding, -1)
+    mixed = F.raise_error(F.concat(F.lit("files of several writes, or not by Spark: "), F.col("_other")))
+    told_apart = F.col("_ordinal").isNotNull() & (F.col("_one") == F.col("_other"))
+    ahead = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    return sizes.select("_ordinal", F.when(told_apart, ahead).otherwise(mixed.cast("bigint")).alias("_ahead"))
+
+
+def number_files(spark: SparkSession, path: str) -> None:
+    """Publish the offsets of a table's files beside them, for `read_numbered`."""
+    _offsets(spark, path).write.mode("overwrite").parquet(f"{path}/_offsets")
+
+
 def read_numbered(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A Parquet table with dense ids 1..n by position in its files, without moving any
-    row: the id is the number of rows in earlier files plus the row's place in its file.
-    Needs no key, so full copies of a row are no problem. The per-file counts come from
-    the footers; their running sum covers one row per file, and they are broadcast up to
-    BROADCAST_FILES. A query that does not read the id does not pay for it: Spark drops an
+    """A Parquet table of one write with dense ids 1..n by position in its files, without
+    moving any row: the id is the number of rows in earlier files plus the row's place in
+    its file. Needs no key, so full copies of a row are no problem. The files' offsets were
+    published by `number_files` or are counted now; they are joined by the number in the
+    file's name. A query that does not read the id does not pay for it: Spark drops an
     outer join whose columns are unused."""
     table = spark.read.parquet(path)
     place = table.select(
-        "*", F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_place"),
+        "*", _ordinal().alias("_file"), F.col("_metadata.row_index").alias("_place")
     )
-    sizes = table.groupBy(F.col("_metadata.file_path").alias("_file")).count()
-    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_ahead")
-    offsets = sizes.select("_file", ahead)
-    if len(table.inputFiles()) <= BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
+    published = f"{path}/_offsets"
+    if path_exists(spark, f"{published}/_SUCCESS"):
+        offsets = spark.read.schema("_ordinal BIGINT, _ahead BIGINT").parquet(published)
+    else:
+        offsets = _offsets(spark, path)
+    offsets = offsets.groupBy(F.col("_ordinal").alias("_file")).agg(F.max("_ahead").alias("_ahead"))
     numbered = place.join(offsets, "_file", "left")
     return numbered.select(
         (F.col("_ahead") + F.col("_place") + 1).cast("bigint").alias(name), *table.columns

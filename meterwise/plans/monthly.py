@@ -220,6 +220,8 @@ def validate(
     counts = report.tally_columns(rule_set)
     marked = marked.observe(seen, *counts, *profile.OnePass(trips).aggregates)
     sinks.write_month(rules.drop_working_columns(marked), out.trips, ["valid"])
+    if path_exists(spark, out.trips_of(True)):
+        model.number_files(spark, out.trips_of(True))
 
     names = ["rows_in_raw", "rows_hard_flagged", "rows_soft_only_flagged", *[f"n_{r.name}" for r in rule_set]]
     row = tuple(seen.get[c] for c in names)

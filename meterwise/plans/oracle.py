@@ -375,8 +375,10 @@ SELECT *, CASE WHEN event_id % 2 = 1 THEN event_id * CAST(0.25 AS DOUBLE) END AS
         + ", ".join(
             f"('{t}', 'unchanged')" for t in _TABLES if t not in ("events", "region", "orders")
         ) + ") d(entry, decision)",
-        "rejected_files": "SELECT 'good' AS folder, FALSE AS rejected, count(*) AS row_count "
-        "FROM region UNION ALL SELECT 'bad', TRUE, 0",
+        "rejected_files": "SELECT 'broken.parquet' AS entry, TRUE AS rejected, CAST(0 AS BIGINT) "
+        "AS row_count" + "".join(
+            f" UNION ALL SELECT '{t}.parquet', FALSE, count(*) FROM {t}" for t in _TABLES
+        ),
         "output_inventory": "SELECT output, output <> 'absent.parquet' AS present, "
         "CASE WHEN output <> 'absent.parquet' THEN TRUE END AS has_bytes FROM (VALUES "
         + ", ".join(f"('{t}.parquet')" for t in (*_TABLES, "absent")) + ") o(output)",
@@ -482,7 +484,8 @@ SELECT PULocationID AS location_id, count(*) AS trips, 'pu' AS role FROM flags
 WHERE PULocationID NOT IN (SELECT location_id FROM zones) GROUP BY ALL
 UNION ALL SELECT DOLocationID, count(*), 'do' FROM flags
 WHERE DOLocationID NOT IN (SELECT location_id FROM zones) GROUP BY ALL""",
-        "surrogate_key": MODEL + "SELECT row_number() OVER () AS trip_id FROM fact",
+        "surrogate_key": MODEL
+        + "SELECT row_number() OVER (ORDER BY event_id) AS trip_id, event_id FROM fact",
         "table_counts": MODEL + """
 SELECT 'dim_zones' AS table_name, count(*) AS "rows" FROM zones
 UNION ALL SELECT 'fact_trips', count(*) FROM fact""",
@@ -517,6 +520,17 @@ UNION ALL
         ).replace("pu_borough, pickup_hour", "ALL"),
         "order_fare_consistency": ORDER_MODEL + _FARE,
     }
+    out["incremental_counts"] = out["report_counts"]
+    out["incremental_duration_speed"] = out["duration_speed_by_zone_hour"]
+    out["incremental_fare_consistency"] = out["fare_consistency"]
+    out["versioned_trips"] = FLAG + """
+SELECT event_id, 'newest' AS version FROM flags WHERE NOT hard
+UNION ALL SELECT event_id, 'first' FROM flags WHERE hard"""
+    out["manifest_log"] = "\nUNION ALL ".join(
+        f"SELECT '{t}.parquet' AS entry, count(*) AS row_count, "
+        f"CAST({-1 if t == 'nation' else 10} AS DOUBLE) AS elapsed_seconds FROM {t}"
+        for t in _TABLES if t != "region"
+    )
     out["monthly_kpi_summary"] = out["kpi_summary"]
     out["monthly_duration_speed"] = out["duration_speed_by_zone_hour"]
     out["landed_trips"] = out["validated_trips"]

@@ -13,8 +13,9 @@ from meterwise.operators import metrics, model, profile, report, rules
 from meterwise.operators.joins import repeated_keys
 from meterwise.plans import derived_trips as src
 from meterwise.plans import monthly
+from meterwise.plans.incremental import KpiStore
 from meterwise.session import apply_settings
-from meterwise.sources import files, sinks, trips, zones
+from meterwise.sources import commits, files, sinks, trips, zones
 from meterwise.sources.scratch import scratch_folder, written
 from meterwise.streaming.landing import validate_landed
 
@@ -108,18 +109,16 @@ def incremental_files(spark, sf_dir):
 
 @query
 def rejected_files(spark, sf_dir):
-    """The region table, landed beside a file that is no Parquet."""
+    """All given files, beside one that is no Parquet."""
     path = scratch_folder(spark, "landed")
-    src.table(spark, sf_dir, "region").coalesce(1).write.parquet(f"{path}/good")
-    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bad/broken.parquet")
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/broken.parquet")
     stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
     stream.write(bytearray(b"no Parquet"))
     stream.close()
-    facts = files.inspect_files(spark, path)
+    facts = files.inspect_files(spark, sf_dir).unionByName(files.inspect_files(spark, path))
     bad = F.col("error").isNotNull()
     return facts.select(
-        F.substring_index("entry", "/", 1).alias("folder"), bad.alias("rejected"),
-        F.coalesce("row_count", F.lit(0)).alias("row_count"),
+        "entry", bad.alias("rejected"), F.coalesce("row_count", F.lit(0)).alias("row_count")
     )
 
 
@@ -394,9 +393,9 @@ def unmatched_zones(spark, sf_dir):
 @query
 def surrogate_key(spark, sf_dir):
     path = scratch_folder(spark, "validated")
-    rules.valid_rows(src.flagged_events(spark, sf_dir)).write.parquet(path)
+    model.write_ordered(rules.valid_rows(src.flagged_events(spark, sf_dir)), path, ["event_id"])
     numbered = model.read_numbered(spark, path, "trip_id")
-    return model.fact_trips(numbered, carry=["trip_id"]).select("trip_id")
+    return model.fact_trips(numbered, carry=["trip_id", "event_id"]).select("trip_id", "event_id")
 
 
 @query
@@ -523,6 +522,69 @@ def landed_trips(spark, sf_dir):
     return trips_table.where(F.col("valid") == "true").drop("month", "valid")
 
 
+def _grown_store(spark: SparkSession, sf_dir: str) -> KpiStore:
+    """Three landed files, of which one held other rows when the states were made first,
+    and one more that is gone since."""
+    landing, rows = scratch_folder(spark, "landing"), written(src.event_trips(spark, sf_dir), "trips")
+    file = lambda k: rows.where(F.col("event_id") % 3 == k).coalesce(1)
+    for name, part in (("a", file(0)), ("b", file(1)), ("c", file(2).where("event_id % 2 = 0")), ("d", file(0))):
+        part.write.parquet(f"{landing}/{name}")
+    dim = written(src.nation_zones(spark, sf_dir), "zones")
+    store = KpiStore(spark, scratch_folder(spark, "store"), landing, dim, src.MONTH, limits=src.EVENT_LIMITS)
+    store.update()
+    file(2).write.mode("overwrite").parquet(f"{landing}/c")
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/d")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    store.update()
+    return store
+
+
+@query
+def incremental_counts(spark, sf_dir):
+    return report.report_counts(_grown_store(spark, sf_dir).totals())
+
+
+@query
+def incremental_duration_speed(spark, sf_dir):
+    statistics = _grown_store(spark, sf_dir).statistics()
+    return metrics.show_duration_speed(statistics, metrics.ZONE_HOUR)
+
+
+@query
+def incremental_fare_consistency(spark, sf_dir):
+    return metrics.show_fare_consistency(_grown_store(spark, sf_dir).statistics())
+
+
+@query
+def versioned_trips(spark, sf_dir):
+    """The newest of several versions of the validated trips; a reader of the first one
+    may go on."""
+    path = scratch_folder(spark, "versions")
+    flagged = written(src.flagged_events(spark, sf_dir), "flagged")
+    commits.publish_version(rules.excluded_rows(flagged), path)
+    before = commits.read_version(spark, path)
+    commits.publish_version(rules.valid_rows(flagged), path, after=1)
+    both = [("newest", commits.read_version(spark, path)), ("first", before)]
+    shown = [t.select("event_id", F.lit(name).alias("version")) for name, t in both]
+    return shown[0].unionByName(shown[1])
+
+
+@query
+def manifest_log(spark, sf_dir):
+    """The manifest after many commits: every table's file recorded many times with other
+    sizes, two files gone, one come back."""
+    path = scratch_folder(spark, "manifest")
+    facts = written(files.inspect_files(spark, sf_dir, TIME_COLUMNS, checksum=False), "facts")
+    entries = files.manifest_rows(facts.withColumn("sha256", F.lit("x")), "S1", "bulk_parquet", "driver tables", "2024-01")
+    for k in range(11):
+        files.record(entries.withColumn("elapsed_seconds", F.lit(float(k))), path)
+    gone = entries.where("entry IN ('region.parquet', 'nation.parquet')").select("source", "entry")
+    files.forget(gone, path, "2024-01")
+    files.record(entries.where("entry = 'nation.parquet'"), path)
+    newest = files.read_manifest(spark, path)
+    return newest.select("entry", "row_count", F.coalesce("elapsed_seconds", F.lit(-1.0)).alias("elapsed_seconds"))
+
+
 # --- the same operators on line items -----------------------------------------
 
 

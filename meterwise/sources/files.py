@@ -13,10 +13,11 @@ from urllib.parse import quote
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.errors import EmptyInput, RejectedInput
+from meterwise.sources.commits import CommitLog
 from meterwise.sources.guards import path_exists
 
 # The functions below travel with the job: executors need not have this package.
@@ -41,19 +42,23 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
         .option("recursiveFileLookup", True)
         .load(path)
     )
-    name = F.element_at(F.split("path", "/"), -1)
-    inside = F.regexp_extract("path", r"^(?:[A-Za-z0-9]+:/*)?/?(.*)$", 1)
-    root = path.split(":", 1)[-1].strip("/") + "/"
-    entry = F.when(F.contains(inside, F.lit(root)), F.substring_index(inside, root, -1)).otherwise(name)
     return files.select(
         F.col("path").alias("file_path"),
-        entry.alias("entry"),
-        name.alias("file_name"),
+        entry_of(F.col("path"), path).alias("entry"),
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length").alias("file_size_bytes"),
         F.col("modificationTime").alias("modified_at"),
     )
 
 
+def entry_of(file_path: Column, path: str) -> Column:
+    """A file's path relative to the folder that was listed or read."""
+    name = F.element_at(F.split(file_path, "/"), -1)
+    inside = F.regexp_extract(file_path, r"^(?:[A-Za-z0-9]+:/*)?/?(.*)$", 1)
+    root = path.split(":", 1)[-1].strip("/") + "/"
+    return F.when(F.contains(inside, F.lit(root)), F.substring_index(inside, root, -1)).otherwise(name)
+
+
 def _open(path: str):
     from pyarrow import fs
 
@@ -213,13 +218,19 @@ MANIFEST = (
 )
 
 
-def record(rows: DataFrame, path: str) -> None:
-    """Add entries to the manifest. It only ever grows; each write commits as a whole."""
-    rows.write.mode("append").json(path)
+def manifest_log(spark: SparkSession, path: str) -> CommitLog:
+    """A file is known by month, source and its path below the landing folder."""
+    return CommitLog(spark, path, MANIFEST, ("month", "source", "entry"))
+
+
+def record(rows: DataFrame, path: str, after: int | None = None) -> int:
+    """Commit entries to the manifest and return the commit's number. With `after`, the
+    last number that the caller has read, a commit in between is a conflict."""
+    return manifest_log(rows.sparkSession, path).commit(rows, after)
 
 
-def forget(gone: DataFrame, path: str, month: str | None = None) -> None:
-    """Add an entry without a checksum for each (source, entry) that is gone."""
+def forget(gone: DataFrame, path: str, month: str | None = None) -> int:
+    """Commit an entry without a checksum for each (source, entry) that is gone."""
     schema = [c.split() for c in MANIFEST.split(", ")]
     known = {
         "entry": F.col("entry"),
@@ -228,18 +239,14 @@ def forget(gone: DataFrame, path: str, month: str | None = None) -> None:
         "month": F.lit(month),
         "downloaded_at": F.current_timestamp(),
     }
-    record(
+    return record(
         gone.select(*[known.get(c, F.lit(None)).cast(t).alias(c) for c, t in schema]), path
     )
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest entry of every file of every month that is not gone. A file is known by
-    month, source and its path below the landing folder."""
-    log = spark.read.schema(MANIFEST).json(path)
-    newest = F.max_by(F.struct(*log.columns), "downloaded_at").alias("m")
-    entries = log.groupBy("month", "source", "entry").agg(newest)
-    return entries.select("m.*").where(F.col("sha256").isNotNull())
+    """The newest entry, by commit number, of every file of every month that is not gone."""
+    return manifest_log(spark, path).read().where(F.col("sha256").isNotNull())
 
 
 def decide_loads(current: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import threading
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -9,11 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterwise.errors import (
-    BadMonth, DuplicateKeys, EmptyInput, MissingInput, RejectedInput, SchemaDrift,
+    BadMonth, ConflictingCommit, DuplicateKeys, EmptyInput, MissingInput, RejectedInput, SchemaDrift,
 )
-from meterwise.operators import rules
+from meterwise.operators import metrics, model, report, rules
 from meterwise.plans import monthly
-from meterwise.sources import files, sinks, trips, zones
+from meterwise.plans.incremental import KpiStore
+from meterwise.sources import commits, files, sinks, trips, zones
 from meterwise.sources.guards import guard_inputs, outputs_done
 from meterwise.streaming.landing import validate_landed
 from trip_rows import at, frame, trip
@@ -384,3 +386,122 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     land_trips(spark, landing, [trip(pickup=at("2025-02-03 00:00:00"))], 1)
     take()
     assert spark.read.parquet(table).count() == 46
+
+
+def manifest_entry(spark, name, size):
+    row = {"month": "2025-01", "source": "S1", "entry": name, "row_count": size, "sha256": "x"}
+    return spark.createDataFrame([row], files.MANIFEST)
+
+
+def test_manifest_is_compacted_and_ordered_by_number(spark, tmp_path, monkeypatch):
+    """After many commits a reader needs one folder; clocks play no part."""
+    monkeypatch.setattr(commits, "EVERY", 4)
+    path = str(tmp_path / "manifest")
+    sizes = {}
+    for k in range(17):
+        name = f"f{k % 5}.parquet"
+        sizes[name] = k
+        assert files.record(manifest_entry(spark, name, k), path) == k + 1
+        log = files.manifest_log(spark, path)
+        assert len(log.folders()[1]) <= 4 and log.last() == k + 1
+    assert len(files.manifest_log(spark, path).folders()[1]) == 2
+    assert len(list((tmp_path / "manifest").glob("commit=*"))) <= 2 * 4
+    got = {r["entry"]: r["row_count"] for r in files.read_manifest(spark, path).collect()}
+    assert got == sizes
+
+
+def test_manifest_refuses_a_commit_that_came_between(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    assert files.record(manifest_entry(spark, "a", 1), path, after=0) == 1
+    with pytest.raises(ConflictingCommit):
+        files.record(manifest_entry(spark, "a", 2), path, after=0)
+    # A writer that died after taking a number leaves a gap.
+    (tmp_path / "manifest" / "_claims" / "0000000002").touch()
+    assert files.record(manifest_entry(spark, "a", 3), path) == 3
+    assert [r["row_count"] for r in files.read_manifest(spark, path).collect()] == [3]
+    assert not list((tmp_path / "manifest").glob("_new-*"))
+
+
+def test_readers_see_whole_versions_while_others_are_published(spark, tmp_path):
+    path = str(tmp_path / "table")
+    version = lambda k: spark.range(100 * k, 100 * k + 100).withColumn("k", F.lit(k))
+    commits.publish_version(version(0), path)
+    done, seen, failed = threading.Event(), set(), []
+
+    def read():
+        while not done.is_set():
+            try:
+                rows = commits.read_version(spark, path).collect()
+                seen.add((len(rows), *{r["k"] for r in rows}))
+            except Exception as error:  # any failure of a reader is what is tested
+                failed.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for k in range(1, 8):
+        assert commits.publish_version(version(k), path) == k + 1
+    done.set()
+    reader.join()
+    assert not failed and len(seen) > 1 and all(n == 100 and len(ks) == 1 for n, *ks in seen)
+    assert len(list((tmp_path / "table").glob("data-*"))) == 3
+    assert commits.read_version(spark, path, 7).head()["k"] == 6
+    with pytest.raises(MissingInput):
+        commits.read_version(spark, path, 2)
+    with pytest.raises(ConflictingCommit):
+        commits.publish_version(version(9), path, after=3)
+    broken = spark.range(3).select((F.lit(1) / F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        commits.publish_version(broken, path)
+    assert commits.read_version(spark, path).count() == 100
+
+
+def test_store_reads_changed_files_alone(spark, tmp_path):
+    landing, dim = tmp_path / "in", zones.read_zones_json(spark, land_zones(tmp_path))
+    landing.mkdir()
+    rows = some_rows()
+    parts = {f"{n} +.parquet": rows[k::3] for k, n in enumerate("abc")}
+
+    def land(name, part):
+        path = str(tmp_path / "one")
+        frame(spark, part).drop("id").coalesce(1).write.mode("overwrite").parquet(path)
+        next((tmp_path / "one").glob("*.parquet")).replace(landing / name)
+
+    for name, part in parts.items():
+        land(name, part)
+
+    def check(store, rows):
+        # Against the plain operators over all rows.
+        flagged = rules.flag_rows(frame(spark, rows), dim, "2025-01", limits=store.limits)
+        assert store.totals().head() == report.tally(flagged).head()
+        enriched = model.enrich(model.fact_trips(rules.valid_rows(flagged)), dim, ("pu",)).cache()
+        shown = lambda s: sorted(map(str, metrics.show_duration_speed(s, metrics.ZONE_HOUR).collect())) + sorted(
+            map(str, metrics.show_fare_consistency(s).collect()))
+        assert shown(store.statistics()) == shown(metrics.group_statistics(enriched))
+
+    store = KpiStore(spark, str(tmp_path / "store"), str(landing), dim, "2025-01")
+    assert store.update() == sorted(parts)
+    assert store.update() == []
+    check(store, rows)
+    changed = [*parts["b +.parquet"], trip(fare=33.0, pu=79), trip(miles=0.0)]
+    land("b +.parquet", changed)
+    assert store.update() == ["b +.parquet"]
+    check(store, parts["a +.parquet"] + changed + parts["c +.parquet"])
+    (landing / "a +.parquet").rename(tmp_path / "a.parquet")
+    assert store.update() == []
+    check(store, changed + parts["c +.parquet"])
+    stricter = KpiStore(spark, store.root, str(landing), dim, "2025-01", limits=rules.Limits(max_fare=30.0))
+    assert stricter.update() == ["b +.parquet", "c +.parquet"]
+    check(stricter, changed + parts["c +.parquet"])
+
+
+def test_rows_are_numbered_in_their_order(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("k"))
+    model.write_ordered(rows.repartition(5), path, ["k"])
+    out = model.read_numbered(spark, path, "n")
+    assert all(r["n"] == r["k"] + 1 for r in out.collect()) and out.count() == 1000
+    # Files of two writes cannot be told apart by their numbers.
+    rows.coalesce(1).write.mode("append").parquet(path)
+    (tmp_path / "t" / "_offsets").rename(tmp_path / "offsets")
+    with pytest.raises(Exception, match="several writes"):
+        model.read_numbered(spark, path, "n").collect()
