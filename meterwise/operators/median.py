@@ -100,12 +100,21 @@ def _value(column: str) -> Column:
     return F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None).cast("double")) + F.lit(0.0)
 
 
+def _number(value: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if value is None else f"CAST('{value!r}' AS DOUBLE)"
+
+
+def _aggregated(table: DataFrame, by: Sequence[str], expressions: Sequence[str]) -> DataFrame:
+    return table.groupBy(*by).agg(*map(F.expr, expressions))
+
+
 class _Family:
     """Groupings by subsets of the finest keys, and the state of their medians.
 
     A state is a table per grouping: its keys `_k*`, and for column i the count `_n`, the
     bracket's ends `_from` and `_to`, values of the group themselves, an estimate of the
     values between them `_in`, and the two middle values `_low`, `_up` once they are known.
+    Expressions are written as SQL: a call to the JVM each, whatever their size.
     """
 
     def __init__(
@@ -124,13 +133,13 @@ class _Family:
         )
         ids = range(len(self.columns))
         if states is None:
-            source, made = self.rows, [(F.count(f"_x{i}"), self.sketch(F.col(f"_x{i}"))) for i in ids]
+            source, made = self.rows, [(f"count(_x{i})", self.sketch(f"_x{i}")) for i in ids]
         else:
             source = states.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(self.keys)})
-            parts = [(F.col(f"{c}__count"), F.col(f"{c}__kll")) for c in self.columns]
-            made = [(F.sum(n), self.joined(n, q)) for n, q in parts]
-        sketched = source.groupBy(*self.names(finest)).agg(
-            *[c for i, (n, q) in enumerate(made) for c in (n.alias(f"_n{i}"), q.alias(f"_q{i}"))]
+            parts = [(f"`{c}__count`", f"`{c}__kll`") for c in self.columns]
+            made = [(f"sum({n})", self.joined(n, q)) for n, q in parts]
+        sketched = _aggregated(
+            source, self.names(finest), [x for i, (n, q) in enumerate(made) for x in (f"{n} AS _n{i}", f"{q} AS _q{i}")]
         )
         self.sketches = written(sketched, "sketches")
         self.states = {by: written(self.first(by), "medians") for by in self.groupings}
@@ -140,65 +149,55 @@ class _Family:
     def names(self, by: Sequence[str]) -> list[str]:
         return [f"_k{self.keys.index(k)}" for k in by]
 
-    def sketch(self, value: Column) -> Column:
-        return F.kll_sketch_agg_double(value, F.lit(self.size))
+    def sketch(self, value: str) -> str:
+        return f"kll_sketch_agg_double({value}, {self.size})"
 
-    def joined(self, n: Column, sketch: Column) -> Column:
+    def joined(self, n: str, sketch: str) -> str:
         """One sketch of those that hold values."""
-        return F.kll_merge_agg_double(F.when(n > 0, sketch), F.lit(self.size))
+        return f"kll_merge_agg_double(CASE WHEN {n} > 0 THEN {sketch} END, {self.size})"
 
-    def shares(self, sketch: Column, n: Column) -> Column:
+    def shares(self, sketch: str, n: str) -> str:
         """The values at every share of the grid, and the two middle values."""
-        grid = [k / self.grid for k in range(self.grid + 1)] + [0.5, 0.5 + NEXT]
-        return F.when(n > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*map(F.lit, grid))))
-
-    def merged(self, table: DataFrame, by: Sequence[str], columns: Sequence[Column]) -> DataFrame:
-        return table.groupBy(*self.names(by)).agg(*columns)
+        at = [k / self.grid for k in range(self.grid + 1)] + [0.5, 0.5 + NEXT]
+        grid = ", ".join(f"{x!r}D" for x in at)
+        return f"CASE WHEN {n} > 0 THEN kll_sketch_get_quantile_double({sketch}, array({grid})) END"
 
     def first(self, by: tuple[str, ...]) -> DataFrame:
         """The state of a grouping from the sketches alone."""
-        ids = self.wanted[by]
-        rolled = self.merged(self.sketches, by, [
-            c for i in ids for c in (
-                F.sum(f"_n{i}").alias(f"_n{i}"),
-                self.joined(F.col(f"_n{i}"), F.col(f"_q{i}")).alias(f"_q{i}"),
-            )
+        ids, names = self.wanted[by], self.names(by)
+        rolled = _aggregated(self.sketches, names, [
+            x for i in ids for x in (f"coalesce(sum(_n{i}), 0L) AS _n{i}", f"{self.joined(f'_n{i}', f'_q{i}')} AS _q{i}")
         ])
-        shared = rolled.select(
-            *self.names(by), *[F.coalesce(f"_n{i}", F.lit(0)).alias(f"_n{i}") for i in ids],
-            *[self.shares(F.col(f"_q{i}"), F.col(f"_n{i}")).alias(f"_g{i}") for i in ids],
+        shared = rolled.selectExpr(
+            *names, *[f"_n{i}" for i in ids], *[f"{self.shares(f'_q{i}', f'_n{i}')} AS _g{i}" for i in ids]
         )
-        none = F.lit(None).cast("double")
-        out = []
+        out = list(names)
         for i in ids:
-            n, grid = F.col(f"_n{i}"), F.col(f"_g{i}")
-            whole = n <= self.size
-            ends = [F.when(~whole, end) for end in self.around(i, F.lit(0), n, grid)]
+            whole = f"_n{i} <= {self.size}"
+            low, high = self.around(i, "0", f"_n{i}", f"_g{i}")
             out += [
-                n, ends[0].alias(f"_from{i}"), ends[1].alias(f"_to{i}"),
-                F.when(whole, 0).otherwise(self.between(n)).cast("bigint").alias(f"_in{i}"),
-                *[F.when(whole, F.get(grid, F.lit(self.grid + 1 + k))).otherwise(none).alias(f"_{c}{i}")
-                  for k, c in enumerate(("low", "up"))],
+                f"_n{i}", f"CASE WHEN NOT {whole} THEN {low} END AS _from{i}",
+                f"CASE WHEN NOT {whole} THEN {high} END AS _to{i}",
+                f"CAST(CASE WHEN {whole} THEN 0 ELSE {self.between(f'_n{i}')} END AS BIGINT) AS _in{i}",
+                f"CASE WHEN {whole} THEN get(_g{i}, {self.grid + 1}) END AS _low{i}",
+                f"CASE WHEN {whole} THEN get(_g{i}, {self.grid + 2}) END AS _up{i}",
             ]
-        return shared.select(*self.names(by), *out)
+        return shared.selectExpr(*out)
 
-    def rank(self, i: int, upper: bool) -> Column:
+    def rank(self, i: int, upper: bool) -> str:
         """One of the two middle ranks, from 1."""
-        n = F.col(f"_n{i}")
-        return F.floor(n / 2) + 1 if upper else F.floor((n + 1) / 2)
+        return f"(_n{i} div 2 + 1)" if upper else f"((_n{i} + 1) div 2)"
 
-    def around(self, i: int, before: Column, inside: Column, grid: Column) -> list[Column]:
+    def around(self, i: int, before: str, inside: str, grid: str) -> list[str]:
         """The values of the grid on either side of the middle ranks, among `inside` values
         after `before` others."""
-        share = lambda upper: (self.rank(i, upper) - before) / F.greatest(inside, F.lit(1)) * self.grid
-        low = F.greatest(F.lit(0), F.floor(share(False)) - MARGIN)
-        high = F.least(F.lit(self.grid), F.ceil(share(True)) + MARGIN)
-        clipped = lambda at: F.greatest(F.lit(0), F.least(F.lit(self.grid), at)).cast("int")
-        return [F.get(grid, clipped(low)), F.get(grid, clipped(high))]
+        share = lambda upper: f"(({self.rank(i, upper)} - {before}) / greatest({inside}, 1L) * {self.grid})"
+        at = [f"floor({share(False)}) - {MARGIN}", f"ceil({share(True)}) + {MARGIN}"]
+        return [f"get({grid}, CAST(greatest(0, least({self.grid}, {x})) AS INT))" for x in at]
 
-    def between(self, inside: Column) -> Column:
+    def between(self, inside: str) -> str:
         """Values between two ends that `around` finds, at most, but for a sketch that errs."""
-        return F.ceil(inside * min(1.0, 3 * MARGIN / self.grid))
+        return f"ceil({inside} * {min(1.0, 3 * MARGIN / self.grid)!r}D)"
 
     def open(self) -> dict[tuple[str, ...], dict[int, bool]]:
         """Of every grouping, the columns whose medians are not all known yet, and whether
@@ -206,8 +205,8 @@ class _Family:
         found = {}
         for by, state in self.states.items():
             ids = self.wanted[by]
-            left = [F.col(f"_low{i}").isNull() & (F.col(f"_n{i}") > 0) for i in ids]
-            sizes = state.agg(*[F.max(F.when(x, F.col(f"_in{i}"))) for i, x in zip(ids, left)]).first()
+            left = [f"max(CASE WHEN _low{i} IS NULL AND _n{i} > 0 THEN _in{i} END)" for i in ids]
+            sizes = _aggregated(state, (), left).first()
             columns = {i: size <= self.gather for i, size in zip(ids, sizes) if size is not None}
             if columns:
                 found[by] = columns
@@ -218,94 +217,90 @@ class _Family:
         names = self.names(self.keys)
         brackets, aggregates = self.sketches.select(*names), []
         for g, (by, columns) in enumerate(open_.items()):
-            ends = {f"_{e}{g}_{i}": F.when(F.col(f"_low{i}").isNull(), F.col(f"_{e}{i}")) for i in columns for e in ("from", "to")}
-            mine = self.states[by].select(*self.names(by), *[c.alias(n) for n, c in ends.items()])
+            ends = [(f"_{e}{i}", f"_{e}{g}_{i}", i) for i in columns for e in ("from", "to")]
+            mine = self.states[by].selectExpr(
+                *self.names(by), *[f"CASE WHEN _low{i} IS NULL THEN {c} END AS {name}" for c, name, i in ends]
+            )
             if by:
                 brackets = same_keys_join(brackets, mine, self.names(by))
-                ends = {n: F.col(n) for n in ends}
+                at = {name: name for _, name, _ in ends}
             else:
-                ends = {n: F.lit(v).cast("double") for n, v in mine.first().asDict().items()}
+                at = {name: _number(v) for name, v in mine.first().asDict().items()}
             for i, gathered in columns.items():
-                x, low, high = F.col(f"_x{i}"), ends[f"_from{g}_{i}"], ends[f"_to{g}_{i}"]
-                inner = F.when((x > low) & (x < high), x)
-                held = F.collect_list(inner) if gathered else self.sketch(inner)
+                x, low, high = f"_x{i}", at[f"_from{g}_{i}"], at[f"_to{g}_{i}"]
+                inner = f"CASE WHEN {x} > {low} AND {x} < {high} THEN {x} END"
+                held = f"collect_list({inner})" if gathered else self.sketch(inner)
                 aggregates += [
-                    F.count_if(x < low).alias(f"_below{g}_{i}"), F.count_if(x == low).alias(f"_at{g}_{i}"),
-                    F.count_if((x == high) & (high > low)).alias(f"_end{g}_{i}"),
-                    F.count(inner).alias(f"_inner{g}_{i}"), held.alias(f"_held{g}_{i}"),
+                    f"count_if({x} < {low}) AS _below{g}_{i}", f"count_if({x} = {low}) AS _at{g}_{i}",
+                    f"count_if({x} = {high} AND {high} > {low}) AS _end{g}_{i}",
+                    f"count({inner}) AS _inner{g}_{i}", f"{held} AS _held{g}_{i}",
                 ]
         joined = same_keys_join(self.rows, brackets, names) if names else self.rows
-        counted = written(joined.groupBy(*names).agg(*aggregates), "counted")
+        counted = written(_aggregated(joined, names, aggregates), "counted")
         for g, (by, columns) in enumerate(open_.items()):
             self.states[by] = written(self.closer(counted, g, by, columns), "medians")
 
     def closer(self, counted: DataFrame, g: int, by: tuple[str, ...], columns: dict[int, bool]) -> DataFrame:
         """The state of a grouping after the counts."""
+        names, state = self.names(by), self.states[by]
         rolled = []
         for i, gathered in columns.items():
-            held, inner = F.col(f"_held{g}_{i}"), F.col(f"_inner{g}_{i}")
-            rolled += [F.sum(f"_{c}{g}_{i}").alias(f"_{c}{i}") for c in ("below", "at", "end", "inner")]
-            rolled.append(
-                (F.sort_array(F.flatten(F.collect_list(held))) if gathered
-                 else self.joined(inner, held)).alias(f"_held{i}")
-            )
-        state = self.states[by]
-        counts = self.merged(counted, by, rolled)
-        counts = counts.select(*self.names(by), *[
-            c for i, gathered in columns.items() for c in (
-                *[F.col(f"_{c}{i}") for c in ("below", "at", "end", "inner")],
-                F.col(f"_held{i}") if gathered else self.shares(F.col(f"_held{i}"), F.col(f"_inner{i}")).alias(f"_held{i}"),
+            held = f"_held{g}_{i}"
+            rolled += [f"sum(_{c}{g}_{i}) AS _{c}{i}" for c in ("below", "at", "end", "inner")]
+            whole = f"sort_array(flatten(collect_list({held})))" if gathered else self.joined(f"_inner{g}_{i}", held)
+            rolled.append(f"{whole} AS _held{i}")
+        counts = _aggregated(counted, names, rolled).selectExpr(*names, *[
+            x for i, gathered in columns.items() for x in (
+                *[f"_{c}{i}" for c in ("below", "at", "end", "inner")],
+                f"{f'_held{i}' if gathered else self.shares(f'_held{i}', f'_inner{i}')} AS _held{i}",
             )
         ])
         if by:
-            both = same_keys_join(state, counts, self.names(by))
+            both = same_keys_join(state, counts, names)
         else:
-            types = {f.name: f.dataType for f in state.schema.fields}
-            known = state.first().asDict()
-            both = counts.select("*", *[F.lit(v).cast(types[c]).alias(c) for c, v in known.items()])
-        out = []
+            whole = [c for c in state.columns if c.startswith(("_n", "_in"))]
+            row = state.first().asDict()
+            both = counts.selectExpr("*", *[
+                f"{f'{row[c]}L' if c in whole else _number(row[c])} AS {c}" for c in state.columns
+            ])
+        out = list(names)
         for i in self.wanted[by]:
             fields = [f"_{c}{i}" for c in ("n", "from", "to", "in", "low", "up")]
-            out += self.settled(i, columns[i]) if i in columns else [F.col(c) for c in fields]
-        return both.select(*self.names(by), *out)
-
-    def settled(self, i: int, gathered: bool) -> list[Column]:
-        get = lambda c: F.col(f"_{c}{i}")
-        n, low, high, held = get("n"), get("from"), get("to"), get("held")
-        to_low = get("below") + get("at")
-        to_inner = to_low + get("inner")
-        to_high = to_inner + get("end")
+            out += self.settled(i, columns[i]) if i in columns else fields
+        return both.selectExpr(*out)
+
+    def settled(self, i: int, gathered: bool) -> list[str]:
+        low, high, held, inside = f"_from{i}", f"_to{i}", f"_held{i}", f"_in{i}"
+        to_low = f"(_below{i} + _at{i})"
+        to_inner = f"({to_low} + _inner{i})"
+        to_high = f"({to_inner} + _end{i})"
         first, second = self.rank(i, False), self.rank(i, True)
-        known = get("low").isNotNull() | (n == 0)
-        under, over = first <= get("below"), second > to_high
+        known = f"(_low{i} IS NOT NULL OR _n{i} = 0)"
+        under, over = f"{first} <= _below{i}", f"{second} > {to_high}"
 
-        def middle(k: Column) -> Column:
+        def middle(k: str) -> str:
             """The value of a rank that lies from `low` to `high`, if it is known."""
-            inner = F.get(held, (k - to_low - 1).cast("int")) if gathered else F.lit(None).cast("double")
-            return F.when(k <= to_low, low).when(k <= to_inner, inner).otherwise(high)
+            inner = f"get({held}, CAST({k} - {to_low} - 1 AS INT))" if gathered else _number(None)
+            return f"CASE WHEN {k} <= {to_low} THEN {low} WHEN {k} <= {to_inner} THEN {inner} ELSE {high} END"
 
-        found = [middle(k) for k in (first, second)]
-        done = ~under & ~over & found[0].isNotNull() & found[1].isNotNull()
-        ends, inside = [low, high], get("in")
+        found = [middle(first), middle(second)]
+        done = f"NOT {under} AND NOT {over} AND {found[0]} IS NOT NULL AND {found[1]} IS NOT NULL"
+        ends = [low, high]
         if not gathered:
             # A rank at an end keeps it; the others move to the grid around them.
-            near = self.around(i, to_low, get("inner"), held)
-            ends = [F.when(first <= to_low, low).otherwise(near[0]), F.when(second > to_inner, high).otherwise(near[1])]
-            inside = self.between(get("inner"))
-        infinite = F.lit(float("inf"))
-        moved = [
-            F.when(under, -infinite).when(over, high).otherwise(ends[0]),
-            F.when(under, low).when(over, infinite).otherwise(ends[1]),
-        ]
-        left = F.when(under, get("below")).when(over, n - to_high).otherwise(inside).cast("bigint")
-        keep = lambda new, c: F.when(known, get(c)).otherwise(new).alias(f"_{c}{i}")
-        return [
-            n, keep(moved[0], "from"), keep(moved[1], "to"), keep(left, "in"),
-            *[keep(F.when(done, v), c) for v, c in zip(found, ("low", "up"))],
-        ]
+            near = self.around(i, to_low, f"_inner{i}", held)
+            ends = [f"CASE WHEN {first} <= {to_low} THEN {low} ELSE {near[0]} END",
+                    f"CASE WHEN {second} > {to_inner} THEN {high} ELSE {near[1]} END"]
+            inside = self.between(f"_inner{i}")
+        moved = {
+            "from": f"CASE WHEN {under} THEN double('-Infinity') WHEN {over} THEN {high} ELSE {ends[0]} END",
+            "to": f"CASE WHEN {under} THEN {low} WHEN {over} THEN double('Infinity') ELSE {ends[1]} END",
+            "in": f"CAST(CASE WHEN {under} THEN _below{i} WHEN {over} THEN _n{i} - {to_high} ELSE {inside} END AS BIGINT)",
+            "low": f"CASE WHEN {done} THEN {found[0]} END", "up": f"CASE WHEN {done} THEN {found[1]} END",
+        }
+        kept = [f"CASE WHEN {known} THEN _{c}{i} ELSE {new} END AS _{c}{i}" for c, new in moved.items()]
+        return [f"_n{i}", *kept]
 
     def medians(self, by: tuple[str, ...]) -> DataFrame:
-        middle = lambda i: F.when(F.col(f"_low{i}") == F.col(f"_up{i}"), F.col(f"_low{i}")).otherwise(
-            (F.col(f"_low{i}") + F.col(f"_up{i}")) / 2
-        )
-        return self.states[by].select(*self.names(by), *[middle(i).alias(f"_median{i}") for i in self.wanted[by]])
+        middle = lambda i: f"CASE WHEN _low{i} = _up{i} THEN _low{i} ELSE (_low{i} + _up{i}) / 2 END AS _median{i}"
+        return self.states[by].selectExpr(*self.names(by), *map(middle, self.wanted[by]))

@@ -34,6 +34,9 @@ def local_session(app: str = "meterwise", cores: str | None = None) -> SparkSess
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Noting the caller's line costs several calls to the JVM for every column
+        # expression, and a month builds thousands.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # A month compiles more stages than the default cache of 100 holds.
         .config("spark.sql.codegen.cache.maxEntries", "1000")
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
