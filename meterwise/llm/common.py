@@ -54,6 +54,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that the table does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def as_bytes(text: str = "text") -> Column:
     """UTF-8 bytes of a text column; null is empty."""
     return F.coalesce(F.col(text).cast("string").cast("binary"), F.lit(b"").cast("binary"))

@@ -4,9 +4,10 @@ A line of length l is cut into threshold + 1 even segments. Of two lines within
 threshold, one holds a segment of the other unchanged, at a place that the difference of
 their lengths bounds. So every line indexes its segments, keyed by length, number and
 content, and probes the indexes of lines as long or a little shorter with the substrings
-that may match. Pairs that meet are compared by counts of their letters inside the join,
+that may match. Lines that meet are compared by counts of their letters inside the join,
 so that a segment that very many lines have makes no pairs by itself, and then verified by
-banded bit-parallel edit distance on the texts. Equal lines are one line throughout.
+banded bit-parallel edit distance on the texts: first with a few owners of the segment, then
+those that this has not joined yet. Equal lines are one line throughout.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.llm import bloom
-from meterwise.llm.common import written
+from meterwise.llm.common import unused, written
 from meterwise.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 THRESHOLD = 2
 # Shorter lines are compared by equality only, if at all.
 MIN_CHARS = 20
+# Owners of a segment that all lines with it are compared with first.
+LEADERS = 8
 # Lines that a task has seen lately and need not be keyed again.
 SEEN = 1_000_000
 BLANKS = " \t\n\v\f\r"
@@ -219,24 +222,58 @@ def texts_of(source: DataFrame, ids: DataFrame, shortest: int) -> DataFrame:
     return lines.join(ids, "line", "left_semi").groupBy("line").agg(F.first("text").alias("text"))
 
 
+def meetings(source: DataFrame, shortest: int, threshold: int) -> DataFrame:
+    """(key, line, letters, own) of the segments and probes that some other line has too.
+    Probes whose key no line has as a segment end where they are made."""
+    index = written(keys(source, shortest, threshold, False).dropDuplicates(["key", "line"]), "segments")
+    probes = bloom.passing(keys(source, shortest, threshold, True), bloom.bloom(index.select("key")), "key")
+    rows = index.withColumn("own", F.lit(True)).unionByName(
+        probes.dropDuplicates(["key", "line"]).withColumn("own", F.lit(False))
+    )
+    rows = written(rows, "keyed")
+    several = rows.groupBy("key").agg(
+        F.min("line").alias("low"), F.max("line").alias("high"), F.max("own").alias("any_own")
+    ).where("low <> high AND any_own").select("key")
+    return written(rows.join(several, "key"), "meetings")
+
+
 def near_lines(
     source: DataFrame, shortest: int = MIN_CHARS, threshold: int = THRESHOLD
 ) -> DataFrame:
-    """(a, b): the ids of all pairs of different lines within `threshold` edits."""
-    index = written(keys(source, shortest, threshold, False).dropDuplicates(["key", "line"]), "segments")
-    probes = keys(source, shortest, threshold, True).withColumn("own", F.lit(False))
+    """(a, b): ids of different lines within `threshold` edits: enough pairs to join all
+    that such pairs join.
+
+    Of every key the lines are first held against LEADERS of its owners, which is linear in
+    the key's lines; a pair is tried in the second round only if the first has not joined it.
+    """
+    met = meetings(source, shortest, threshold)
+    texts = written(texts_of(source, met.select("line").distinct(), shortest), "texts")
+    bucket = F.pmod(F.xxhash64("line"), F.lit(LEADERS))
+    leaders = met.where("own").groupBy("key", bucket.alias("bucket")).agg(
+        F.min(F.struct("line", "letters")).alias("leader")
+    )
+    led = met.join(leaders, "key").where(
+        (F.col("line") != F.col("leader.line"))
+        & counts_near(F.col("letters"), F.col("leader.letters"), threshold)
+    )
+    led = led.select("line", F.col("leader.line").alias("other"))
+    first = written(near_pairs(led, texts, threshold), "links")
+    found = components(first).withColumnRenamed("node", "line")
+    placed = met.join(found, "line", "left").withColumn("class", F.coalesce("component", "line"))
+    placed = written(placed.drop("component"), "placed")
     side = lambda df, s: df.select(*[F.col(c).alias(c + s) for c in df.columns])
-    other = side(index.withColumn("own", F.lit(True)).unionByName(probes), "_b")
-    met = side(index, "_a").join(other, F.col("key_a") == F.col("key_b")).where(
-        (F.col("line_a") != F.col("line_b"))
+    both = side(placed.where("own"), "_a").join(side(placed, "_b"), F.col("key_a") == F.col("key_b")).where(
+        (F.col("class_a") != F.col("class_b"))
         # Lines of one length meet on both sides of the index.
         & (~F.col("own_b") | (F.col("line_a") < F.col("line_b")))
         & counts_near(F.col("letters_a"), F.col("letters_b"), threshold)
     )
-    a, b = F.col("line_a"), F.col("line_b")
-    pairs = written(met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    texts = written(texts_of(source, ids, shortest), "texts")
+    apart = both.select(F.col("line_a").alias("line"), F.col("line_b").alias("other"))
+    return first.unionByName(written(near_pairs(apart, texts, threshold), "links"))
+
+
+def near_pairs(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) of the pairs (line, other) that are within `threshold` edits."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,10 +283,12 @@ def near_lines(
             ]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("x")), "a").join(
-        texts.select(F.col("line").alias("b"), F.col("text").alias("y")), "b"
+    a, b = F.col("line"), F.col("other")
+    pairs = pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    both = pairs.join(texts.select(a.alias("a"), F.col("text").alias("x")), "a").join(
+        texts.select(a.alias("b"), F.col("text").alias("y")), "b"
     )
-    return written(both.select("a", "b", "x", "y").mapInArrow(verify, "a BIGINT, b BIGINT"), "links")
+    return both.select("a", "b", "x", "y").mapInArrow(verify, "a BIGINT, b BIGINT")
 
 
 def dedup_lines(
@@ -269,8 +308,11 @@ def dedup_lines(
     document. An empty table gives an empty one. A column `removed_lines` is replaced.
     """
     number = F.col("doc_id").cast("bigint")
-    marked = docs.withColumn("_uid", F.xxhash64(number, F.col("text").cast("string")))
-    source = marked.select(number.alias("doc_id"), F.col("text").cast("string").alias("text"), "_uid")
+    uid, out = unused(docs, "_uid"), unused(docs, "_gone")
+    marked = docs.withColumn(uid, F.xxhash64(number, F.col("text").cast("string")))
+    source = marked.select(
+        number.alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(uid).alias("_uid")
+    )
     rows = line_rows(source, shortest, shortest if equal_from is None else equal_from)
     rows = written(rows, "lines")
     place = F.struct("doc_id", "uid", "n")
@@ -284,17 +326,17 @@ def dedup_lines(
     keep = classes.select("class", "line").join(repeated, "class").select("line", "first")
     # An identical copy of a row has the same place.
     gone = rows.join(keep, "line").where(~place.eqNullSafe(F.col("first")))
-    gone = gone.groupBy(F.col("uid").alias("_uid")).agg(F.collect_set("n").alias("_gone"))
+    gone = gone.groupBy(F.col("uid").alias(uid)).agg(F.collect_set("n").alias(out))
     gone = written(gone, "gone")
-    touched, whole = bloom.split(marked, bloom.bloom(gone.select("_uid")), "_uid")
-    joined = touched.join(gone, "_uid", "left")
+    touched, whole = bloom.split(marked, bloom.bloom(gone.select(uid)), uid)
+    joined = touched.join(gone, uid, "left")
 
     def strike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, out in zip(batch.column("text").to_pylist(), batch.column("_gone").to_pylist()):
-                if out:
-                    left = set(out)
+            for text, struck in zip(batch.column("text").to_pylist(), batch.column(out).to_pylist()):
+                if struck:
+                    left = set(struck)
                     text = "\n".join(t for n, t in enumerate(text.split("\n")) if n not in left)
                 texts.append(text)
             at = batch.schema.get_field_index("text")
@@ -302,7 +344,7 @@ def dedup_lines(
 
     struck = joined.mapInArrow(strike, joined.schema)
     columns = [c for c in docs.columns if c != "removed_lines"]
-    count = F.coalesce(F.size("_gone"), F.lit(0))
+    count = F.coalesce(F.size(out), F.lit(0))
     return struck.select(*columns, F.greatest(count, F.lit(0)).cast("bigint").alias("removed_lines")).unionByName(
         whole.select(*columns, F.lit(0).cast("bigint").alias("removed_lines"))
     )

@@ -257,7 +257,7 @@ def op8_quality_rules(spark, sf_dir):
 def op9_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return lines.dedup_lines(docs).select(
+    return lines.dedup_lines(docs, equal_from=1).select(
         "doc_id", "removed_lines", F.octet_length(kept).cast("bigint").alias("n_bytes"),
         F.sha2(kept, 256).alias("kept_sha256"),
     )

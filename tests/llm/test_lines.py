@@ -119,6 +119,29 @@ def odd_docs_column():
     return F.lit("mine")
 
 
+def test_columns_named_like_the_operators_own(spark):
+    data = corpus(2)
+    names = ("_uid", "_GONE", "_gone_", "uid", "n", "line", "first")
+    docs = odd_docs.docs(spark, data)
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, odd_docs_column() if k % 2 else (docs["doc_id"] * 0 + k))
+    df = lines.dedup_lines(docs, 10, 2)
+    assert result(df) == brute_force(data, 10, 2)
+    rows = df.select(*names).distinct().collect()
+    assert [tuple(r) for r in rows] == [tuple("mine" if k % 2 else k for k in range(len(names)))]
+
+
+def test_links_of_many_similar_lines_are_few(spark):
+    """Lines that all are within two edits of each other are joined without all pairs."""
+    texts = [f"the same words with one number {i:03d} in them" for i in range(120)]
+    texts = [t for t in texts if t[31] in "01"]
+    data = list(enumerate(texts))
+    source = spark.createDataFrame(data, "doc_id BIGINT, text STRING").selectExpr("doc_id", "text", "doc_id AS _uid")
+    links = lines.near_lines(source, 20, 2)
+    assert links.count() < 12 * len(texts)
+    assert result(lines.dedup_lines(odd_docs.docs(spark, data))) == brute_force(data, 20, 2)
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     line = "a line that is long enough to count"
     docs = odd_docs.docs(spark, [(None, line), (3, line), (3, line), (2, line + "\nx"), (4, None)])
@@ -155,7 +178,10 @@ def brute_force_by_counts(data):
             if (bags[y] - bags[x]).total() <= 2 and distance(rows[x], rows[y]) <= 2:
                 root[find(y)] = find(x)
     of = {r: find(k) for k, r in enumerate(rows)}
-    first: dict[int, tuple] = {}
+    # Shorter lines with a word are classes by equality.
+    short = {x for _, t in data for x in (t or "").split("\n") if len(x) < 20 and x.strip(" \t\n\v\f\r")}
+    of.update({x: x for x in short})
+    first: dict = {}
     places = [(i, k, x) for i, t in sorted(data) for k, x in enumerate((t or "").split("\n")) if x in of]
     for i, k, x in places:
         first.setdefault(of[x], (i, k))
