@@ -3,10 +3,12 @@
 How much likelier are a document's words under a trusted target than under the raw
 corpus? Words and word pairs are counted by 64-bit hashes in a Spark table that grows with
 them. The raw counts cover every document; the target counts cover a bounded sample of
-trusted ids. A task counts what it has read before it sends it, so a common word is one
-row per few million n-grams. N-grams seen once, and not in the target, share one ratio and
-need no row. The commonest others, as many as a worker may hold, are broadcast; what the
-documents hold of the rest, which is rare and so even, is joined.
+trusted ids. A task counts a few million n-grams before it sends them, sorted and packed by
+ranges of hashes, so that a common word is one entry and a rare one takes six bytes; a task
+per range adds up. N-grams seen once, and not in the target, share one ratio and need no
+row. The commonest others, as many as a worker may hold, are read by every worker from
+their table in the shared folder, without a way through the driver; what the documents hold
+of the rest, which is rare and so even, is joined.
 """
 
 from __future__ import annotations
@@ -23,14 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.llm import bloom
-from meterwise.llm.common import as_bytes, chained, hashed_words, word_hashes, written
+from meterwise.llm.common import (
+    as_bytes, chained, hashed_words, shared_folder, unused, word_hashes, worker_latest, written,
+)
+from meterwise.llm.interpolation import packed, parts_of, unpacked
+from meterwise.llm.token_files import file_system
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# N-grams whose ratios are broadcast at most; the others are joined.
+# N-grams whose ratios a worker holds at most; the others are joined.
 HELD = 1 << 23
 # N-grams that a task counts, or looks up, at a time.
-COUNTED = 1 << 22
+COUNTED = 1 << 23
 LOOKED_UP = 1 << 20
 # Trusted ids that the target is counted over; they are broadcast.
 MAX_TRUSTED = 20_000
@@ -78,22 +84,60 @@ class Ratios(NamedTuple):
         return np.where(held, self.values[at], self.once), held
 
 
+class Held(NamedTuple):
+    """The n-grams that occur `cut` times or more in a table of ngram_counts, which a
+    worker reads once, and what their ratios are made with."""
+
+    path: str
+    scale: float
+    once: float
+    cut: int
+
+    def load(self) -> Ratios:
+        return worker_latest("ratios", self.path, self._read)
+
+    def _read(self) -> Ratios:
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        system, folder = file_system(self.path)
+        files = [f.path for f in system.get_file_info(fs.FileSelector(folder)) if f.path.endswith(".parquet")]
+        grams, values = [np.empty(0, np.int64)], [np.empty(0, np.float32)]
+        for file in sorted(files):
+            part = pq.read_table(file, filesystem=system)
+            part = part.filter(pc.and_(pc.is_valid(part["gram"]), pc.greater_equal(part["n"], self.cut)))
+            n, good = (part.column(c).to_numpy() for c in ("n", "good"))
+            grams.append(part.column("gram").to_numpy())
+            values.append(log_ratios(n, good, self.scale).astype(np.float32))
+        order = np.argsort(whole := np.concatenate(grams))
+        return Ratios(whole[order], np.concatenate(values)[order], self.once)
+
+
+def log_ratios(n, good, scale: float):
+    return np.log((good + PRIOR) / (n * scale + PRIOR))
+
+
 def ngram_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(gram, n, good): occurrences in all documents and in trusted ones; the null n-gram
-    has the totals. `trusted` must be small: see trusted_sample."""
+    """(gram, n, good): occurrences in all documents and in trusted ones, of n-grams that
+    occur twice or in a trusted document; null n-grams have the totals of all, by parts.
+    `trusted` must be small: see trusted_sample."""
 
-    def counted(parts: list[np.ndarray], good_parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def counted(parts: list[np.ndarray], good_parts: list[np.ndarray]) -> pa.RecordBatch:
         grams, n = np.unique(np.concatenate(parts), return_counts=True)
         good = np.zeros(len(grams), np.int64)
         if good_parts:
             found, times = np.unique(np.concatenate(good_parts), return_counts=True)
             good[np.searchsorted(grams, found)] = times
-        columns = [pa.array(c.astype(np.int64)) for c in (grams, n, good)]
-        whole = pa.RecordBatch.from_arrays(columns, ["gram", "n", "good"])
-        for low in range(0, len(whole), 1 << 16):
-            yield whole.slice(low, 1 << 16)
-        columns = [pa.array([x], pa.int64()) for x in (None, int(n.sum()), int(good.sum()))]
-        yield pa.RecordBatch.from_arrays(columns, ["gram", "n", "good"])
+        at = parts_of(grams, ranges)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1, [len(at)]]).tolist()
+        rows = [
+            (int(at[a]), packed(grams[a:b]), packed(n[a:b]), packed(good[a:b]))
+            for a, b in zip(cuts[:-1], cuts[1:])
+        ]
+        types = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+        return pa.RecordBatch.from_arrays(columns, ["part", "grams", "n", "good"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
@@ -101,35 +145,56 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         for batch in batches:
             pairs = zip(batch.column("text").to_pylist(), batch.column("trusted").to_pylist())
             for text, good in pairs:
-                grams = ngrams(hashed_words(text.split(), known))
+                grams = ngrams(hashed_words(text.split(), known)).view(np.uint64)
+                if not len(grams):
+                    continue
                 parts.append(grams)
                 if good:
                     good_parts.append(grams)
                 size += len(grams)
                 if size >= COUNTED:
-                    yield from counted(parts, good_parts)
+                    yield counted(parts, good_parts)
                     parts, good_parts, size = [], [], 0
         if size:
-            yield from counted(parts, good_parts)
+            yield counted(parts, good_parts)
+
+    def add_up(group: pa.Table) -> pa.Table:
+        grams, n, good = (
+            np.concatenate([unpacked(b, kind) for b in group.column(c).to_pylist()])
+            for c, kind in (("grams", np.uint64), ("n", np.int64), ("good", np.int64))
+        )
+        order = np.argsort(grams)
+        grams = grams[order]
+        starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        total, trusted = (np.add.reduceat(x[order], starts) for x in (n, good))
+        told = (total > 1) | (trusted > 0)
+        columns = [
+            pa.array([*grams[starts][told].view(np.int64).tolist(), None], pa.int64()),
+            pa.array(np.append(total[told], total.sum())), pa.array(np.append(trusted[told], trusted.sum())),
+        ]
+        return pa.Table.from_arrays(columns, ["gram", "n", "good"])
 
     marked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), as_bytes().alias("text"))
+    # N-grams are about a third as many as bytes; a range is as large whatever the table.
+    size = marked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(64, size // 3 // COUNTED)
     marked = marked.join(F.broadcast(trusted), "doc_id", "left").select(
         "text", F.coalesce("trusted", F.lit(False)).alias("trusted")
     )
-    partial = marked.mapInArrow(count, "gram BIGINT, n BIGINT, good BIGINT")
-    return partial.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    partial = marked.mapInArrow(count, "part INT, grams BINARY, n BINARY, good BINARY")
+    return partial.groupBy("part").applyInArrow(add_up, "gram BIGINT, n BIGINT, good BIGINT")
 
 
-def log_ratio(docs: DataFrame, trusted: DataFrame, held: int = HELD) -> tuple[Ratios, DataFrame | None]:
+def log_ratio(docs: DataFrame, trusted: DataFrame, held: int = HELD) -> tuple[Held, DataFrame | None]:
     """Per n-gram, the log of target over raw probability, drawn to 0 where little was
     seen: of the `held` commonest n-grams at most, and (gram, more) of the others, by how
     much their ratio is above that of an n-gram seen once; None if there are no others."""
-    counts = ngram_counts(docs, trusted).where("gram IS NULL OR n > 1 OR good > 0")
-    counts = written(counts, "ngrams")
-    total = counts.where("gram IS NULL").first()
-    scale = total["good"] / total["n"] if total else 0.0
-    once = float(np.float32(np.log(PRIOR / (scale + PRIOR))))
-    value = F.log((F.col("good") + PRIOR) / (F.col("n") * F.lit(scale) + PRIOR)).cast("float")
+    path = shared_folder(docs.sparkSession, "ngrams")
+    ngram_counts(docs, trusted).write.option("compression", "zstd").parquet(path)
+    counts = docs.sparkSession.read.schema("gram BIGINT, n BIGINT, good BIGINT").parquet(path)
+    total = counts.where("gram IS NULL").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
+    scale = total["good"] / total["n"] if total["n"] else 0.0
+    once = float(np.float32(log_ratios(1, 0, scale)))
     counts = counts.where("gram IS NOT NULL")
     # Binary digits of a count: one row per power of two.
     sizes = counts.groupBy(F.length(F.bin("n")).alias("digits")).count().collect()
@@ -139,14 +204,11 @@ def log_ratio(docs: DataFrame, trusted: DataFrame, held: int = HELD) -> tuple[Ra
             cut = 1 << digits
             break
         left -= rows
-    common = counts if cut is None else counts.where(F.col("n") >= cut)
-    found = common.select("gram", value.alias("value")).toArrow()
-    grams, values = (found.column(c).to_numpy() for c in ("gram", "value"))
-    order = np.argsort(grams)
-    ratios = Ratios(grams[order], values[order], once)
+    ratios = Held(path, scale, once, cut or 0)
     if cut is None:
         return ratios, None
-    more = value.cast("double") - F.lit(once)
+    value = F.log((F.col("good") + PRIOR) / (F.col("n") * F.lit(scale) + PRIOR))
+    more = value.cast("float").cast("double") - F.lit(once)
     return ratios, counts.where(F.col("n") < cut).select("gram", more.alias("more"))
 
 
@@ -175,7 +237,7 @@ def duplicate_lines(text: bytes) -> int:
 def quality_scores(docs: DataFrame, trusted: DataFrame, held: int = HELD) -> DataFrame:
     """SCORES of every row of `docs` (doc_id, text); `llr` is the mean log ratio per word
     and word pair, 0 for texts without words, on a grid of nine decimals. `held` bounds
-    what is broadcast and does not change a result.
+    what a worker holds and does not change a result.
 
     A null text has no words. Null and repeated ids keep a row each. Other columns are
     ignored. An empty table gives an empty one; without trusted documents every ratio is 0
@@ -186,14 +248,13 @@ def quality_scores(docs: DataFrame, trusted: DataFrame, held: int = HELD) -> Dat
     return scores_by(source, ratios, rare)
 
 
-def scores_by(source: DataFrame, ratios: Ratios, rare: DataFrame | None) -> DataFrame:
+def scores_by(source: DataFrame, ratios: Held, rare: DataFrame | None) -> DataFrame:
     """SCORES of every row of `source` (doc_id, text as bytes)."""
-    shared = source.sparkSession.sparkContext.broadcast(ratios)
     source = source.select("doc_id", "text", F.xxhash64("text").alias("uid"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = scored(batch.column("text").to_pylist(), shared.value)
+            rows = scored(batch.column("text").to_pylist(), ratios.load())
             types = [pa.int64()] * 5 + [pa.float64()]
             columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
@@ -206,7 +267,7 @@ def scores_by(source: DataFrame, ratios: Ratios, rare: DataFrame | None) -> Data
         for batch in batches:
             for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist()):
                 grams, n = np.unique(ngrams(hashed_words(text.split(), known)), return_counts=True)
-                left = ~shared.value.of(grams)[1]
+                left = ~ratios.load().of(grams)[1]
                 uids = np.full(int(left.sum()), uid, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(uids), pa.array(grams[left]), pa.array(n[left] / max(n.sum(), 1))],
@@ -273,19 +334,19 @@ def keep_good(
     their columns; see quality_scores for odd rows."""
     ratios, rare = log_ratio(docs, trusted, held)
     if rare is not None:
-        marked = docs.withColumn("_uid", F.xxhash64(as_bytes()))
-        source = marked.select(F.col("_uid").alias("doc_id"), as_bytes().alias("text"))
+        uid = unused(docs, "_uid")
+        marked = docs.withColumn(uid, F.xxhash64(as_bytes()))
+        source = marked.select(F.col(uid).alias("doc_id"), as_bytes().alias("text"))
         judged = verdicts(scores_by(source, ratios, rare), threshold)
         bad = written(judged.where(~F.col("kept")).select("doc_id").distinct(), "bad")
-        return bloom.without(marked, bad, "_uid").select(*docs.columns)
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+        return bloom.without(marked, bad, uid).select(*docs.columns)
 
     def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
             kept = [
                 not base_fails(r[0], r[4]) and round(r[5], 9) >= threshold
-                for r in scored(texts, shared.value)
+                for r in scored(texts, ratios.load())
             ]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
