@@ -1,7 +1,8 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 All queries run twice to warm up and are then timed in full (all rows, all columns, into
-the no-op sink). `rows_per_sec` divides the rows of the query's main input by its time.
+the no-op sink). `rows_per_sec` divides the rows of the query's main input by its time,
+`month` has the steps of the monthly job; it is not in the total.
 """
 
 from __future__ import annotations
@@ -13,8 +14,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from meterwise.plans.queries import registered  # noqa: E402
+from meterwise.plans import monthly  # noqa: E402
+from meterwise.plans.derived_trips import EVENT_LIMITS, MONTH  # noqa: E402
+from meterwise.plans.queries import _landed, _zones_csv, registered  # noqa: E402
 from meterwise.session import local_session  # noqa: E402
+from meterwise.sources.scratch import scratch_folder  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -42,6 +46,25 @@ HEADLINE = {
 }
 
 
+def month_seconds(spark) -> dict[str, float]:
+    """The monthly job over trips from events: its steps when forced, the second time, and
+    the whole when all is up to date."""
+    landed, zones_csv = _landed(spark, SF_DIR), _zones_csv(spark, SF_DIR)
+    root, seconds = scratch_folder(spark, "month"), {}
+
+    def run(**options) -> float:
+        start = time.perf_counter()
+        sources = [("csv_fallback", "csv", zones_csv)]
+        monthly.run_month(spark, MONTH, landed, sources, root, limits=EVENT_LIMITS, **options)
+        return round(time.perf_counter() - start, 3)
+
+    run()
+    for step in monthly.STEPS:
+        seconds[step] = run(step=step, force=True)
+    seconds["up_to_date"] = run()
+    return seconds
+
+
 def main() -> None:
     spark = local_session("bench", CPUS)
     rows = {
@@ -54,6 +77,7 @@ def main() -> None:
             registered()[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
     rate = {n: round(rows[t] / seconds[n]) for n, t in HEADLINE.items()}
+    month = month_seconds(spark)
     print(
         json.dumps(
             {
@@ -62,6 +86,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "rows_per_sec": rate,
+                "month": month,
                 "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1],
                 "cpus": CPUS,
             }

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from meterwise.operators.report import annotation_texts
 from meterwise.operators.rules import HARD, SOFT, TRIP_RULES, Rule
-from meterwise.plans.derived_trips import EVENT_LIMITS, ORDER_RULES
+from meterwise.plans.derived_trips import ORDER_RULES
 
 _RULES = [r.name for r in TRIP_RULES]
 _TRIP_COLUMNS = (
@@ -206,9 +205,48 @@ def _flag_kpis() -> str:
     )
 
 
+# What the annotations must read under those limits; %s is the count of the flag.
+_ANNOTATIONS = (
+    ("KNOWN", "out_of_month",
+     "Monthly files hold some trips picked up in a neighbouring month, because the"
+     " publisher cuts batches late. %s rows are marked out_of_month; they leave "
+     "the metrics but stay in these counts."),
+    ("KNOWN", None,
+     "passenger_count may be null: vendors need not fill it. A null is counted in "
+     "the profile and breaks no rule."),
+    ("KNOWN", "location_unknown",
+     "Zone ids 25 and 26 are documented placeholders without a lookup entry. They "
+     "are marked location_unknown (%s rows), apart from location_invalid, which "
+     "means an id nobody documents."),
+    ('ASSUMPTION', None,
+     "A trip takes at most 360 minutes. No published limit exists; longer ones are"
+     " most likely meters left running."),
+    ('ASSUMPTION', None,
+     "A trip covers at most 100 miles. No published limit exists; the metered "
+     "service area fits well inside it."),
+    ('ASSUMPTION', None,
+     "A fare is at most 500 dollars: the metered rate over the longest allowed "
+     "distance plus tolls stays below. No published limit exists."),
+    ('ASSUMPTION', None,
+     "A plausible fare per mile lies in 1.5 to 50 dollars. Set from the rate card,"
+     " not from a model of the data; recalibrate with more months."),
+    ('UNKNOWN', None,
+     "Negative fares may be refunds, disputes or corruption; the data dictionary "
+     "does not say. All are marked fare_invalid and excluded."),
+    ('UNKNOWN', None,
+     "Published files may be corrected later. The manifest keeps load time and "
+     "SHA-256 of each file, so a silent change shows."),
+    ('LIMITATION', None,
+     "Trips carry zone ids, no coordinates. Nothing below a zone can be observed."),
+    ('LIMITATION', None,
+     "tip_amount holds card tips only. Fare consistency therefore uses "
+     "fare_amount, not total_amount."),
+)
+
+
 def _annotations() -> str:
     rows = []
-    for i, (category, flag, text) in enumerate(annotation_texts(EVENT_LIMITS), 1):
+    for i, (category, flag, text) in enumerate(_ANNOTATIONS, 1):
         entry = _quoted(text)
         if flag is not None:
             entry = f"replace({entry}, '%s', CAST(count(*) FILTER (flag_{flag}) AS VARCHAR))"
@@ -465,7 +503,7 @@ FROM ({_flag_counts()}) WHERE n > 0""",
                 "CAST(count(*) - count(passenger_count) AS DOUBLE) "
                 "AS profile_passenger_count_null_count",
                 "round(median(fare_amount), 4) AS profile_fare_amount_median",
-                f"CAST({len(annotation_texts())} AS BIGINT) AS annotations",
+                f"CAST({len(_ANNOTATIONS)} AS BIGINT) AS annotations",
             ]
         ) + " FROM flags",
         "fact_trips": MODEL + _fact_columns(),
