@@ -36,6 +36,56 @@ def tally_written(trips: DataFrame, rules: Sequence[Rule] = TRIP_RULES) -> DataF
     return tally(trips.select(*[m.alias(c) for c, m in marks.items()]), rules)
 
 
+def flag_mask(rules: Sequence[Rule] = TRIP_RULES) -> Column:
+    """The flags of a row as one integer: bit i is the i-th rule of the registry."""
+    bits = [F.col(r.column).cast("int") * (1 << i) for i, r in enumerate(rules)]
+    return sum(bits[1:], bits[0]).cast("int")
+
+
+def mask_counts(flagged: DataFrame, rules: Sequence[Rule] = TRIP_RULES) -> DataFrame:
+    """(mask, n): rows by the combination of their flags, at most 2 to the number of rules
+    whatever the size of the table. Every count of the report and every overlap of flags
+    derives from it."""
+    return flagged.groupBy(flag_mask(rules).alias("mask")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rows_with(bits: int, without: int = 0, every: bool = False) -> Column:
+    """Rows of a mask table with one of the bits, or all, and none of the others."""
+    held = F.col("mask").bitwiseAND(bits)
+    fits = (held == bits if every else held != 0) & (F.col("mask").bitwiseAND(without) == 0)
+    return F.coalesce(F.sum(F.when(fits, F.col("n"))), F.lit(0))
+
+
+def tally_masks(masks: DataFrame, rules: Sequence[Rule] = TRIP_RULES) -> DataFrame:
+    """The one-row tally from a table of masks."""
+    bits = {s: sum(1 << i for i, r in enumerate(rules) if r.severity == s) for s in (HARD, SOFT)}
+    return masks.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in_raw"),
+        _rows_with(bits[HARD]).alias("rows_hard_flagged"),
+        _rows_with(bits[SOFT], bits[HARD]).alias("rows_soft_only_flagged"),
+        *[_rows_with(1 << i).alias(f"n_{r.name}") for i, r in enumerate(rules)],
+    )
+
+
+def flag_overlaps(masks: DataFrame, rules: Sequence[Rule] = TRIP_RULES) -> DataFrame:
+    """(flag, other, n, only): rows with both flags, for every pair of rules in registry
+    order, and rows with these two alone."""
+    pairs = [(i, j) for i in range(len(rules)) for j in range(i + 1, len(rules))]
+    both = lambda i, j: 1 << i | 1 << j
+    totals = masks.agg(*[
+        c for i, j in pairs for c in (
+            _rows_with(both(i, j), every=True).alias(f"n_{i}_{j}"),
+            _rows_with(both(i, j), ((1 << len(rules)) - 1) & ~both(i, j), every=True).alias(f"only_{i}_{j}"),
+        )
+    ])
+    rows = [
+        F.struct(F.lit(rules[i].name).alias("flag"), F.lit(rules[j].name).alias("other"),
+                 F.col(f"n_{i}_{j}").alias("n"), F.col(f"only_{i}_{j}").alias("only"))
+        for i, j in pairs
+    ]
+    return totals.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+
+
 def _counts() -> list[Column]:
     raw, hard = F.col("rows_in_raw"), F.col("rows_hard_flagged")
     soft = F.col("rows_soft_only_flagged")

@@ -558,6 +558,15 @@ UNION ALL
         ).replace("pu_borough, pickup_hour", "ALL"),
         "order_fare_consistency": ORDER_MODEL + _FARE,
     }
+    mask = " + ".join(f"flag_{r}::INTEGER * {1 << i}" for i, r in enumerate(_RULES))
+    out["flag_masks"] = FLAG + f"SELECT CAST({mask} AS INTEGER) AS mask, count(*) AS n FROM flags GROUP BY 1"
+    raised = " + ".join(f"flag_{r}::INTEGER" for r in _RULES)
+    out["flag_overlaps"] = FLAG + "\nUNION ALL ".join(
+        f"SELECT '{a}' AS flag, '{b}' AS other, count(*) FILTER (flag_{a} AND flag_{b}) AS n, "
+        f"count(*) FILTER (flag_{a} AND flag_{b} AND {raised} = 2) AS \"only\" FROM flags"
+        for i, a in enumerate(_RULES) for b in _RULES[i + 1:]
+    )
+    out["mask_kpi_summary"] = out["kpi_summary"]
     out["incremental_counts"] = out["report_counts"]
     out["incremental_duration_speed"] = out["duration_speed_by_zone_hour"]
     out["incremental_fare_consistency"] = out["fare_consistency"]

@@ -303,6 +303,25 @@ def flag_summary(spark, sf_dir):
     return report.flag_summary(_tally(spark, sf_dir))
 
 
+def _masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.mask_counts(src.flagged_events(spark, sf_dir))
+
+
+@query
+def flag_masks(spark, sf_dir):
+    return _masks(spark, sf_dir)
+
+
+@query
+def flag_overlaps(spark, sf_dir):
+    return report.flag_overlaps(_masks(spark, sf_dir))
+
+
+@query
+def mask_kpi_summary(spark, sf_dir):
+    return metrics.kpi_summary(report.tally_masks(_masks(spark, sf_dir)), limits=src.EVENT_LIMITS)
+
+
 @query
 def rule_annotations(spark, sf_dir):
     return report.rule_annotations(_tally(spark, sf_dir), src.EVENT_LIMITS)

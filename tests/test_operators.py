@@ -409,3 +409,17 @@ def test_guard_empty(spark):
     with pytest.raises(EmptyInput, match="trips"):
         guard_empty(spark.range(0), "trips")
     assert guard_empty(spark.range(1), "trips").count() == 1
+
+
+def test_masks_say_what_the_tally_says(spark, some_trips):
+    flagged = rules.flag_rows(frame(spark, some_trips), zones(spark), "2025-01").cache()
+    masks = report.mask_counts(flagged)
+    assert report.tally_masks(masks).head() == report.tally(flagged).head()
+    assert report.tally_masks(masks.limit(0)).head()["rows_in_raw"] == 0
+    names = [r.name for r in rules.TRIP_RULES]
+    rows = [[n for n in names if r[f"flag_{n}"]] for r in flagged.collect()]
+    got = {(r["flag"], r["other"]): (r["n"], r["only"]) for r in report.flag_overlaps(masks).collect()}
+    assert len(got) == 45 and got == {
+        (a, b): (sum(a in r and b in r for r in rows), sum(r == [a, b] for r in rows))
+        for i, a in enumerate(names) for b in names[i + 1:]
+    }
