@@ -47,12 +47,19 @@ def bloom(ids: DataFrame):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices: dict[int, np.ndarray] = {}
         for batch in batches:
-            for at in places(batch.column(0).to_numpy(zero_copy_only=False)):
-                at = at.astype(np.int64)
-                for s in np.unique(at // (8 * SLICE_BYTES)).tolist():
-                    bits = slices.setdefault(s, np.zeros(SLICE_BYTES, np.uint8))
-                    here = at[at // (8 * SLICE_BYTES) == s] - s * 8 * SLICE_BYTES
-                    np.bitwise_or.at(bits, here >> 3, (1 << (here & 7)).astype(np.uint8))
+            at = np.unique(np.concatenate(places(batch.column(0).to_numpy(zero_copy_only=False))).astype(np.int64))
+            if not len(at):
+                continue
+            # The bits of each byte, then the bytes of each slice.
+            byte = at >> 3
+            first = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]]))
+            value = np.bitwise_or.reduceat((1 << (at & 7)).astype(np.uint8), first)
+            byte = byte[first]
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(byte // SLICE_BYTES)) + 1, [len(byte)]]).tolist()
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                s = int(byte[low]) // SLICE_BYTES
+                bits = slices.setdefault(s, np.zeros(SLICE_BYTES, np.uint8))
+                bits[byte[low:high] - s * SLICE_BYTES] |= value[low:high]
         yield sent(slices)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -184,10 +184,14 @@ def keys(source: DataFrame, shortest: int, threshold: int, probes: bool) -> Data
                     cuts[n] = substrings(n, threshold) if probes else [
                         (n, i, p, size) for i, (p, size) in enumerate(segments(n, threshold))
                     ]
-                out_keys += [
-                    digest(line[p : p + size].encode("utf-8", "surrogatepass"), of * 16 + i)
-                    for of, i, p, size in cuts[n]
-                ]
+                if line.isascii():
+                    data = line.encode()
+                    out_keys += [digest(data[p : p + size], of * 16 + i) for of, i, p, size in cuts[n]]
+                else:
+                    out_keys += [
+                        digest(line[p : p + size].encode("utf-8", "surrogatepass"), of * 16 + i)
+                        for of, i, p, size in cuts[n]
+                    ]
                 out_lines.append(this)
                 out_letters.append(letters(line))
                 counts.append(len(cuts[n]))
