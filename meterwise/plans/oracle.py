@@ -566,6 +566,10 @@ UNION ALL
         f"count(*) FILTER (flag_{a} AND flag_{b} AND {raised} = 2) AS \"only\" FROM flags"
         for i, a in enumerate(_RULES) for b in _RULES[i + 1:]
     )
+    out["checksums_of_written_files"] = """
+SELECT event_type, CAST(length(ids) AS BIGINT) AS file_size_bytes, sha256(ids) AS sha256 FROM (
+  SELECT event_type, string_agg(CAST(event_id AS VARCHAR), chr(10) ORDER BY event_id) || chr(10) AS ids
+  FROM events GROUP BY event_type)"""
     out["mask_kpi_summary"] = out["kpi_summary"]
     out["incremental_counts"] = out["report_counts"]
     out["incremental_duration_speed"] = out["duration_speed_by_zone_hour"]

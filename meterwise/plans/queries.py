@@ -91,6 +91,17 @@ def file_checksums(spark, sf_dir):
     return files.file_checksums(spark, sf_dir, "*.parquet")
 
 
+@query
+def checksums_of_written_files(spark, sf_dir):
+    """The ids of the events of each type, a line each, as files whose bytes are known."""
+    path, lines = scratch_folder(spark, "ids"), F.col("event_id").cast("string").alias("value")
+    ids = src.table(spark, sf_dir, "events").select("event_type", "event_id").repartition("event_type")
+    ids = ids.sortWithinPartitions("event_type", "event_id").select("event_type", lines)
+    ids.write.partitionBy("event_type").text(path)
+    kind = F.regexp_extract("entry", "event_type=([^/]+)/", 1).alias("event_type")
+    return files.file_checksums(spark, path, "part-*").select(kind, "file_size_bytes", "sha256")
+
+
 @query
 def incremental_files(spark, sf_dir):
     """Against a manifest that lacks events, has an older orders file and one file
