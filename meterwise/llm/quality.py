@@ -267,7 +267,9 @@ def scores_by(source: DataFrame, ratios: Held, rare: DataFrame | None) -> DataFr
         for batch in batches:
             for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist()):
                 grams, n = np.unique(ngrams(hashed_words(text.split(), known)), return_counts=True)
+                # N-grams seen once are in no table and are not asked for.
                 left = ~ratios.load().of(grams)[1]
+                left[left] = bloom.maybe(listed.value, grams[left])
                 uids = np.full(int(left.sum()), uid, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(uids), pa.array(grams[left]), pa.array(n[left] / max(n.sum(), 1))],
@@ -278,6 +280,7 @@ def scores_by(source: DataFrame, ratios: Held, rare: DataFrame | None) -> DataFr
     if rare is None:
         return scores.withColumn("llr", F.round("llr", 9)).drop("uid")
     scores = written(scores, "scores")
+    listed = bloom.bloom(rare.select("gram"))
     asked = source.mapInArrow(others, "uid BIGINT, gram BIGINT, share DOUBLE")
     more = asked.join(rare, "gram").groupBy("uid").agg(F.sum(F.col("share") * F.col("more")).alias("more"))
     # Copies of a text have asked once each.
