@@ -1,8 +1,8 @@
-"""A Bloom filter of fixed size over 64-bit ids, built by Spark and broadcast.
+"""A Bloom filter over 64-bit ids, built by Spark and broadcast.
 
 It thins out a scan before a join by id, so that the join shuffles little more than its
-result. It never loses an id; when a table holds more ids than it was made for, it only
-lets more of the others pass, and the join drops those.
+result. It has sixteen bits for every id, up to a fixed size. It never loses an id; beyond
+that size it only lets more of the others pass, and the join drops those.
 """
 
 from __future__ import annotations
@@ -20,22 +20,23 @@ from meterwise.llm.common import mixed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# 16 MB, whatever the table.
-BITS = 1 << 27
-SLICE_BYTES = 1 << 18
+# 8 KB at least, 16 MB at most.
+LEAST, MOST = 1 << 16, 1 << 27
+BITS_PER_ID = 16
+SLICE_BYTES = 1 << 13
 FORM = "slice INT, bits BINARY"
 
 
-def places(ids: np.ndarray) -> list[np.ndarray]:
-    """Bit numbers of every id, one array per hash."""
+def places(ids: np.ndarray, size: int) -> list[np.ndarray]:
+    """Bit numbers of every id in a filter of `size` bits, one array per hash."""
     h = mixed(ids.astype(np.int64).view(np.uint64))
-    return [(h >> np.uint64(s)) % np.uint64(BITS) for s in (0, 18, 36)]
+    return [(h >> np.uint64(s)) % np.uint64(size) for s in (0, 18, 36)]
 
 
 def maybe(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Which ids may be in the filter."""
     passed = np.ones(len(ids), bool)
-    for at in places(ids):
+    for at in places(ids, 8 * len(bits)):
         passed &= (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
     return passed
 
@@ -43,11 +44,14 @@ def maybe(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
 def bloom(ids: DataFrame):
     """A broadcast of the bits for the ids (one column of integers, not null)."""
     name = ids.columns[0]
+    size = min(MOST, max(LEAST, 1 << (BITS_PER_ID * ids.count()).bit_length()))
+    # As many slices whatever the size, so that a task sends few rows.
+    piece = max(SLICE_BYTES, size // 8 // 64)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices: dict[int, np.ndarray] = {}
         for batch in batches:
-            at = np.unique(np.concatenate(places(batch.column(0).to_numpy(zero_copy_only=False))).astype(np.int64))
+            at = np.unique(np.concatenate(places(batch.column(0).to_numpy(zero_copy_only=False), size)).astype(np.int64))
             if not len(at):
                 continue
             # The bits of each byte, then the bytes of each slice.
@@ -55,18 +59,18 @@ def bloom(ids: DataFrame):
             first = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]]))
             value = np.bitwise_or.reduceat((1 << (at & 7)).astype(np.uint8), first)
             byte = byte[first]
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(byte // SLICE_BYTES)) + 1, [len(byte)]]).tolist()
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(byte // piece)) + 1, [len(byte)]]).tolist()
             for low, high in zip(cuts[:-1], cuts[1:]):
-                s = int(byte[low]) // SLICE_BYTES
-                bits = slices.setdefault(s, np.zeros(SLICE_BYTES, np.uint8))
-                bits[byte[low:high] - s * SLICE_BYTES] |= value[low:high]
+                s = int(byte[low]) // piece
+                bits = slices.setdefault(s, np.zeros(piece, np.uint8))
+                bits[byte[low:high] - s * piece] |= value[low:high]
         yield sent(slices)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices: dict[int, np.ndarray] = {}
         for batch in batches:
             for s, part in zip(*(batch.column(c).to_pylist() for c in ("slice", "bits"))):
-                bits = slices.setdefault(s, np.zeros(SLICE_BYTES, np.uint8))
+                bits = slices.setdefault(s, np.zeros(piece, np.uint8))
                 bits |= np.frombuffer(part, np.uint8)
         yield sent(slices)
 
@@ -77,10 +81,10 @@ def bloom(ids: DataFrame):
         )
 
     parts = ids.select(F.col(name).cast("bigint")).distinct().mapInArrow(add, FORM)
-    whole = np.zeros(BITS // 8, np.uint8)
+    whole = np.zeros(size // 8, np.uint8)
     for row in parts.repartition("slice").mapInArrow(merge, FORM).collect():
-        low = row["slice"] * SLICE_BYTES
-        whole[low : low + SLICE_BYTES] = np.frombuffer(row["bits"], np.uint8)
+        low = row["slice"] * piece
+        whole[low : low + piece] = np.frombuffer(row["bits"], np.uint8)
     return ids.sparkSession.sparkContext.broadcast(whole)
 
 
