@@ -88,6 +88,12 @@ def worker_latest(name: str, version: str, make):
     return kept[version]
 
 
+def worker_large(version: str, make):
+    """The worker's one large object, which makes way for the next stage's: a worker goes
+    through many stages, and its memory must hold each alone."""
+    return worker_latest("large", version, make)
+
+
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 

@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.llm.common import as_bytes, worker_latest
+from meterwise.llm.common import as_bytes, worker_large
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -173,7 +173,7 @@ def find_matches(
         sent, version = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            suffixes = worker_latest("suffixes", version, lambda: Suffixes(sent.value, window))
+            suffixes = worker_large(version, lambda: Suffixes(sent.value, window))
             number = suffixes.number.get
             for batch in batches:
                 ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()

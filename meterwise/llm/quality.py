@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from meterwise.llm import bloom
 from meterwise.llm.common import (
-    as_bytes, chained, hashed_words, shared_folder, unused, word_hashes, worker_latest, written,
+    as_bytes, chained, hashed_words, shared_folder, unused, word_hashes, worker_large, written,
 )
 from meterwise.llm.interpolation import packed, parts_of, unpacked
 from meterwise.llm.token_files import file_system
@@ -94,7 +94,7 @@ class Held(NamedTuple):
     cut: int
 
     def load(self) -> Ratios:
-        return worker_latest("ratios", self.path, self._read)
+        return worker_large(self.path, self._read)
 
     def _read(self) -> Ratios:
         import pyarrow.compute as pc

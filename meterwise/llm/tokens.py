@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
 
-from meterwise.llm.common import worker_state
+from meterwise.llm.common import worker_large
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -123,4 +123,4 @@ def blocks(texts: list[str], size: int) -> Iterator[list[str]]:
 
 def encoder(path: str, spaced: bool) -> Callable[[list[str]], list[bytes]]:
     """Encode texts to the bytes of their ids. `spaced`: blanks are part of tokens."""
-    return worker_state(("ids", path, spaced), lambda: PieceIds(path, spaced)).of
+    return worker_large(f"ids {path} {spaced}", lambda: PieceIds(path, spaced)).of
