@@ -56,9 +56,9 @@ SKETCHES = "node BIGINT, n BIGINT, digest BINARY, sketch ARRAY<BIGINT>, z BINARY
 
 
 def shingle_set(text: bytes, size: int, known) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a text: runs of `size` words, or all
-    words where there are fewer."""
-    words = hashed_words(text.split(), known)
+    """Sorted hashes of the distinct shingles of a text, A-Z lower-cased: runs of `size`
+    words, or all words where there are fewer."""
+    words = hashed_words(text.lower().split(), known)
     steps = tuple(range(min(size, len(words))))
     return np.unique(chained(words, steps).view(np.int64)) if steps else np.empty(0, np.int64)
 
@@ -363,7 +363,8 @@ def near_duplicates(
     their union; `component_id` is the smallest id that links reach, `links` counts the
     confirmed links of the document's class that the search needed.
 
-    Null and empty texts and texts without words have the empty set and no links. Rows
+    A-Z are lower-cased before words are taken, other letters stay as they are. Null and
+    empty texts and texts without words have the empty set and no links. Rows
     with a null id get a null component and no links. Rows that repeat an id are one
     document: what any of their texts is similar to is linked. Other columns are ignored.
     An empty table gives an empty one.

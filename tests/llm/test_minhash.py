@@ -99,6 +99,22 @@ def test_ids_with_several_texts_lose_no_link(spark):
     assert got == sorted((i, 5 if t in (x, y) else 3) for i, t in data)
 
 
+def test_only_ascii_letters_lose_their_case(spark):
+    data = [
+        (1, "One two THREE four Five six"), (2, "ONE TWO three FOUR five SIX"), (3, "a B c d A b C D"),
+        (4, "\u00c9t\u00e9 two three four"), (5, "\u00e9t\u00e9 two three four"),
+    ]
+    got = result(minhash.near_duplicates(odd_docs.docs(spark, data), 4))
+    assert got == [(1, 3, 1), (2, 3, 1), (3, 4, 3), (4, 1, 4), (5, 1, 5)]
+
+
+def test_query_lowers_case(spark, tmp_path):
+    data = [(7, "Some Words that DIFFER in case"), (8, "some words that differ in CASE")]
+    folder = odd_docs.table_folder(tmp_path, spark, documents=odd_docs.docs(spark, data))
+    got = queries.registered()["op5_minhash_dedup"](spark, folder).select("doc_id", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == [(7, 7, True), (8, 7, False)]
+
+
 def test_components_of_a_long_path(spark):
     links = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5)]
     random.Random(2).shuffle(links)
