@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.llm import bloom, decontamination, lines, minhash, packing, quality
-from meterwise.llm.common import shared_folder, table, tuned, unused, written
+from meterwise.llm.common import shared_folder, table, tuned, unused, write_parquet, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -87,7 +87,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = shared_folder(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        write_parquet(stage(spark, docs, sf_dir), path)
         docs = spark.read.parquet(path)
         if before is not None:
             folder = spark._jvm.org.apache.hadoop.fs.Path(before)

@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.llm.common import mixed
+from meterwise.llm.common import freed_shuffles, mixed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -82,7 +82,9 @@ def bloom(ids: DataFrame):
 
     parts = ids.select(F.col(name).cast("bigint")).distinct().mapInArrow(add, FORM)
     whole = np.zeros(size // 8, np.uint8)
-    for row in parts.repartition("slice").mapInArrow(merge, FORM).collect():
+    with freed_shuffles(ids.sparkSession):
+        merged = parts.repartition("slice").mapInArrow(merge, FORM).collect()
+    for row in merged:
         low = row["slice"] * piece
         whole[low : low + piece] = np.frombuffer(row["bits"], np.uint8)
     return ids.sparkSession.sparkContext.broadcast(whole)

@@ -3,9 +3,13 @@ per Python worker, and hashing of words."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import sys
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +46,31 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{os.urandom(8).hex()}"
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is written in here deletes its shuffle files as it ends. A write has a plan and
+    shuffles of its own, so nothing can ask for them again."""
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
+def write_parquet(df: DataFrame, path: str, **options) -> None:
+    with freed_shuffles(df.sparkSession):
+        df.write.options(**options).parquet(path)
+
+
 def written(df: DataFrame, name: str, **options) -> DataFrame:
     """`df` as a Parquet table in the shared folder: lineage ends there, and a lost
     executor costs only its running tasks."""
     path = shared_folder(df.sparkSession, name)
-    df.write.options(compression="zstd", **options).parquet(path)
+    write_parquet(df, path, compression="zstd", **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -79,19 +103,27 @@ def worker_state(key: object, make):
     return store[key]
 
 
-def worker_latest(name: str, version: str, make):
-    """The worker's object of that name, made anew when the version is another."""
-    kept = worker_state(name, dict)
-    if version not in kept:
-        kept.clear()
-        kept[version] = make()
-    return kept[version]
-
-
 def worker_large(version: str, make):
-    """The worker's one large object, which makes way for the next stage's: a worker goes
-    through many stages, and its memory must hold each alone."""
-    return worker_latest("large", version, make)
+    """The worker's one large object, which makes way for the next stage's with all else
+    that the worker holds: it goes through many stages, and its memory must hold each alone."""
+    store = worker_state("large", dict)
+    if version not in store:
+        sys.__dict__["_llm_worker_state"].clear()
+        store.clear()
+        give_back()
+        worker_state("large", lambda: store)[version] = make()
+        give_back()
+    return store[version]
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which allocators else keep for the process."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass  # not the GNU C library
 
 
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from meterwise.llm import bloom
 from meterwise.llm.common import (
-    as_bytes, chained, hashed_words, shared_folder, unused, word_hashes, worker_large, written,
+    as_bytes, chained, hashed_words, shared_folder, unused, word_hashes, worker_large, write_parquet,
+    written,
 )
 from meterwise.llm.interpolation import packed, parts_of, unpacked
 from meterwise.llm.token_files import file_system
@@ -190,7 +191,7 @@ def log_ratio(docs: DataFrame, trusted: DataFrame, held: int = HELD) -> tuple[He
     seen: of the `held` commonest n-grams at most, and (gram, more) of the others, by how
     much their ratio is above that of an n-gram seen once; None if there are no others."""
     path = shared_folder(docs.sparkSession, "ngrams")
-    ngram_counts(docs, trusted).write.option("compression", "zstd").parquet(path)
+    write_parquet(ngram_counts(docs, trusted), path, compression="zstd")
     counts = docs.sparkSession.read.schema("gram BIGINT, n BIGINT, good BIGINT").parquet(path)
     total = counts.where("gram IS NULL").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
     scale = total["good"] / total["n"] if total["n"] else 0.0
@@ -265,14 +266,23 @@ def scores_by(source: DataFrame, ratios: Held, rare: DataFrame | None) -> DataFr
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
         for batch in batches:
-            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist()):
-                grams, n = np.unique(ngrams(hashed_words(text.split(), known)), return_counts=True)
+            uids = batch.column("uid").to_numpy()
+            hashes = [hashed_words(t.split(), known) for t in batch.column("text").to_pylist()]
+            for first, sizes, grams, owner in sorted_ngrams(hashes):
                 # N-grams seen once are in no table and are not asked for.
                 left = ~ratios.load().of(grams)[1]
                 left[left] = bloom.maybe(listed.value, grams[left])
-                uids = np.full(int(left.sum()), uid, np.int64)
+                grams, owner = grams[left], owner[left]
+                # One text's rows follow each other, which makes them smaller on disk.
+                order = np.lexsort((grams, owner))
+                grams, owner = grams[order], owner[order]
+                new = np.ones(len(grams), bool)
+                new[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+                at = np.flatnonzero(new)
+                n = np.diff(np.append(at, len(grams)))
+                grams, owner = grams[at], owner[at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(uids), pa.array(grams[left]), pa.array(n[left] / max(n.sum(), 1))],
+                    [pa.array(uids[first + owner]), pa.array(grams), pa.array(n / sizes[owner])],
                     ["uid", "gram", "share"],
                 )
 
@@ -290,21 +300,32 @@ def scores_by(source: DataFrame, ratios: Held, rare: DataFrame | None) -> DataFr
     return scores.join(more, "uid", "left").withColumn("llr", llr).drop("uid", "more")
 
 
-def mean_ratios(hashes: list[np.ndarray], ratios: Ratios) -> list[float]:
-    """The mean log ratio of texts, given by the hashes of their words."""
-    means, parts, size = [], [], 0
+def sorted_ngrams(hashes: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """The n-grams of texts, given by the hashes of their words, some LOOKED_UP at a time:
+    (first text, n-grams of each text, n-grams in ascending order, the text of each, from 0)."""
+    first, size = 0, 0
     for i, words in enumerate(hashes):
-        parts.append(ngrams(words))
-        size += len(parts[-1])
+        size += max(0, 2 * len(words) - 1)
         if i + 1 < len(hashes) and size < LOOKED_UP:
             continue
-        sizes = np.array([len(p) for p in parts])
-        grams = np.concatenate(parts)
+        lengths = np.array([len(h) for h in hashes[first : i + 1]])
+        joined = np.concatenate(hashes[first : i + 1])
+        texts = np.repeat(np.arange(len(lengths)), lengths)
+        # Pairs across the end of a text are none.
+        inside = texts[1:] == texts[:-1]
+        grams = np.concatenate([chained(joined, (0,)), chained(joined, (0, 1))[inside]]).view(np.int64)
+        owner = np.concatenate([texts, texts[1:][inside]])
         order = np.argsort(grams)
-        values = ratios.of(grams[order])[0]
-        sums = np.bincount(np.repeat(np.arange(len(parts)), sizes)[order], values, len(parts))
+        yield first, np.maximum(2 * lengths - 1, 0), grams[order], owner[order]
+        first, size = i + 1, 0
+
+
+def mean_ratios(hashes: list[np.ndarray], ratios: Ratios) -> list[float]:
+    """The mean log ratio of texts, given by the hashes of their words."""
+    means = []
+    for _, sizes, grams, owner in sorted_ngrams(hashes):
+        sums = np.bincount(owner, ratios.of(grams)[0], len(sizes))
         means += (sums / np.maximum(sizes, 1)).tolist()
-        parts, size = [], 0
     return means
 
 

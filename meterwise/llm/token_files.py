@@ -23,6 +23,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from meterwise.llm.common import write_parquet
 from meterwise.llm.tokens import encoder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -188,7 +189,7 @@ def write_token_files(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
+    write_parquet(ordered.mapInArrow(write, MANIFEST), f"{path}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
 
