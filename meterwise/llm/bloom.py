@@ -44,7 +44,9 @@ def maybe(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
 def bloom(ids: DataFrame):
     """A broadcast of the bits for the ids (one column of integers, not null)."""
     name = ids.columns[0]
-    size = min(MOST, max(LEAST, 1 << (BITS_PER_ID * ids.count()).bit_length()))
+    with freed_shuffles(ids.sparkSession):
+        number = ids.count()
+    size = min(MOST, max(LEAST, 1 << (BITS_PER_ID * number).bit_length()))
     # As many slices whatever the size, so that a task sends few rows.
     piece = max(SLICE_BYTES, size // 8 // 64)
 
@@ -92,12 +94,12 @@ def bloom(ids: DataFrame):
 
 def passing(table: DataFrame, ids, column: str) -> DataFrame:
     """The rows of `table` whose `column`, an integer, may be in the filter `ids`."""
-    return table.mapInArrow(_sieve(ids, column, True), table.schema)
+    return table.mapInArrow(sieve(ids, column, True), table.schema)
 
 
 def split(table: DataFrame, ids, column: str) -> tuple[DataFrame, DataFrame]:
     """(rows that may be in the filter, rows that are not). Null is in no filter."""
-    return passing(table, ids, column), table.mapInArrow(_sieve(ids, column, False), table.schema)
+    return passing(table, ids, column), table.mapInArrow(sieve(ids, column, False), table.schema)
 
 
 def without(table: DataFrame, ids: DataFrame, column: str) -> DataFrame:
@@ -108,12 +110,14 @@ def without(table: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return maybe.join(gone, column, "left_anti").select(*table.columns).unionByName(clear)
 
 
-def _sieve(ids, column: str, wanted: bool) -> Callable:
-    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sieve(ids, column: str, wanted: bool) -> Callable:
+    """Batches with the rows whose `column` may be, or is not, in the filter."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.column(column)
             known = at.fill_null(0).to_numpy(zero_copy_only=False)
             found = maybe(ids.value, known) & ~at.is_null().to_numpy(zero_copy_only=False)
             yield batch.filter(pa.array(found == wanted))
 
-    return sieve
+    return kept

@@ -116,6 +116,11 @@ def worker_large(version: str, make):
     return store[version]
 
 
+def worker_alone(stage: str) -> None:
+    """Let go of what the worker holds of other stages."""
+    worker_large(stage, lambda: None)
+
+
 def give_back() -> None:
     """Return freed memory to the system, which allocators else keep for the process."""
     gc.collect()

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.llm import bloom
-from meterwise.llm.common import unused, written
+from meterwise.llm.common import unused, worker_alone, written
 from meterwise.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -161,12 +161,14 @@ def line_rows(source: DataFrame, shortest: int, equal_from: int) -> DataFrame:
     return source.mapInArrow(rows, "doc_id BIGINT, uid BIGINT, n INT, line BIGINT")
 
 
-def keys(source: DataFrame, shortest: int, threshold: int, probes: bool) -> DataFrame:
-    """(key, line, letters) of the segments, or of the substrings that look for them."""
+def keys(source: DataFrame, shortest: int, threshold: int, probes: bool, among=None) -> DataFrame:
+    """(key, line, letters) of the segments, or of the substrings that look for them, whose
+    key may be in the filter `among`; the others never leave the worker."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        worker_alone("lines")
         digest = xxhash.xxh3_64_intdigest
         seen: set[int] = set()
         cuts: dict[int, list[tuple[int, int, int, int]]] = {}
@@ -195,12 +197,14 @@ def keys(source: DataFrame, shortest: int, threshold: int, probes: bool) -> Data
                 out_lines.append(this)
                 out_letters.append(letters(line))
                 counts.append(len(cuts[n]))
-            spread = lambda values: pa.array(np.repeat(np.array(values, np.int64), counts))
+            found = np.array(out_keys, np.uint64).view(np.int64)
+            at = np.repeat(np.arange(len(counts)), np.array(counts, np.int64))
+            if among is not None:
+                kept = bloom.maybe(among.value, found)
+                found, at = found[kept], at[kept]
+            spread = lambda values: pa.array(np.array(values, np.int64)[at])
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.array(out_keys, np.uint64).view(np.int64)),
-                    spread(out_lines), spread(out_letters),
-                ],
+                [pa.array(found), spread(out_lines), spread(out_letters)],
                 ["key", "line", "letters"],
             )
 
@@ -230,7 +234,7 @@ def meetings(source: DataFrame, shortest: int, threshold: int) -> DataFrame:
     """(key, line, letters, own) of the segments and probes that some other line has too.
     Probes whose key no line has as a segment end where they are made."""
     index = written(keys(source, shortest, threshold, False).dropDuplicates(["key", "line"]), "segments")
-    probes = bloom.passing(keys(source, shortest, threshold, True), bloom.bloom(index.select("key")), "key")
+    probes = keys(source, shortest, threshold, True, bloom.bloom(index.select("key")))
     rows = index.withColumn("own", F.lit(True)).unionByName(
         probes.dropDuplicates(["key", "line"]).withColumn("own", F.lit(False))
     )

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.llm import bloom
-from meterwise.llm.common import as_bytes, chained, hashed_words, word_hashes, written
+from meterwise.llm.common import as_bytes, chained, hashed_words, word_hashes, worker_alone, written
 from meterwise.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -73,6 +73,7 @@ def heads(source: DataFrame, shingle: int) -> DataFrame:
     """HEADS of all documents."""
 
     def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_alone("shingles")
         known = word_hashes()
         for batch in batches:
             sets = [shingle_set(t, shingle, known) for t in batch.column("text").to_pylist()]
@@ -88,14 +89,15 @@ def heads(source: DataFrame, shingle: int) -> DataFrame:
     return source.mapInArrow(head, HEADS)
 
 
-def sketches(source: DataFrame, shingle: int, k: int) -> DataFrame:
-    """SKETCHES, with the compressed text."""
+def sketches(source: DataFrame, shingle: int, k: int, among) -> DataFrame:
+    """SKETCHES, with the compressed text, of the documents whose id may be in the filter
+    `among`."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         known, squeeze = word_hashes(), zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
+        for batch in bloom.sieve(among, "doc_id", True)(batches):
             texts = batch.column("text").to_pylist()
             sets = [shingle_set(t, shingle, known) for t in texts]
             yield pa.RecordBatch.from_arrays(
@@ -381,8 +383,8 @@ def near_duplicates(
     node = F.when(F.col("digest") == F.col("keeper"), F.col("at")).otherwise(F.xxhash64("digest"))
     classes = written(classes.join(one, "at").withColumn("node", node).drop("keeper"), "classes")
     wanted = written(with_partners(classes, threshold), "wanted")
-    passed = bloom.passing(source, bloom.bloom(wanted.select("at")), "doc_id")
-    found = sketches(passed, shingle, k).withColumnRenamed("node", "at").join(wanted, ["at", "digest"])
+    found = sketches(source, shingle, k, bloom.bloom(wanted.select("at")))
+    found = found.withColumnRenamed("node", "at").join(wanted, ["at", "digest"])
     # Rows may be repeated whole.
     reps = found.dropDuplicates(["node"]).select("node", "n", "sketch", "z")
     reps = written(reps, "sketches")

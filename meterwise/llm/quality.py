@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from meterwise.llm import bloom
 from meterwise.llm.common import (
-    as_bytes, chained, hashed_words, shared_folder, unused, word_hashes, worker_large, write_parquet,
-    written,
+    as_bytes, chained, hashed_words, shared_folder, unused, word_hashes, worker_alone, worker_large,
+    write_parquet, written,
 )
 from meterwise.llm.interpolation import packed, parts_of, unpacked
 from meterwise.llm.token_files import file_system
@@ -111,8 +111,10 @@ class Held(NamedTuple):
             n, good = (part.column(c).to_numpy() for c in ("n", "good"))
             grams.append(part.column("gram").to_numpy())
             values.append(log_ratios(n, good, self.scale).astype(np.float32))
-        order = np.argsort(whole := np.concatenate(grams))
-        return Ratios(whole[order], np.concatenate(values)[order], self.once)
+        grams, values = np.concatenate(grams), np.concatenate(values)
+        order = np.argsort(grams)
+        grams = grams[order]
+        return Ratios(grams, values[order], self.once)
 
 
 def log_ratios(n, good, scale: float):
@@ -125,7 +127,17 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     `trusted` must be small: see trusted_sample."""
 
     def counted(parts: list[np.ndarray], good_parts: list[np.ndarray]) -> pa.RecordBatch:
-        grams, n = np.unique(np.concatenate(parts), return_counts=True)
+        # In place and piece by piece: a worker's memory holds these arrays a few times only.
+        whole = np.concatenate(parts)
+        parts.clear()
+        whole.sort()
+        new = np.ones(len(whole), bool)
+        np.not_equal(whole[1:], whole[:-1], out=new[1:])
+        starts = np.flatnonzero(new)
+        grams, size = whole[starts], len(whole)
+        del whole, new
+        n = np.diff(starts, append=size)
+        del starts
         good = np.zeros(len(grams), np.int64)
         if good_parts:
             found, times = np.unique(np.concatenate(good_parts), return_counts=True)
@@ -141,6 +153,7 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, ["part", "grams", "n", "good"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_alone("n-gram counts")
         known = word_hashes()
         parts, good_parts, size = [], [], 0
         for batch in batches:

@@ -34,6 +34,8 @@ def test_a_large_object_makes_way_with_all_else(monkeypatch):
     assert common.worker_large("second", lambda: [3]) == [3]
     assert common.word_hashes() is not known and not common.word_hashes()
     assert common.worker_large("first", lambda: [4]) == [4]
+    common.worker_alone("a stage")
+    assert common.worker_state("large", dict) == {"a stage": None}
 
 
 def test_ngrams_of_many_texts_are_those_of_each(monkeypatch):
