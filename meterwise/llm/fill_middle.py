@@ -35,8 +35,9 @@ FORMS = np.array(["plain", "psm", "spm"])
 RATE, SPM_RATE = 50, 80
 SEED = 42
 
-# Bytes of texts that are worked on at once; a longer text is a run of its own.
-RUN = 1 << 22
+# Bytes of texts that are worked on at once; a longer text is a run of its own. What a worker
+# holds is some fifteen times this, and an executor has a worker per core and step.
+RUN = 1 << 18
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -93,10 +94,17 @@ def holding(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def shifts(size: int, at: np.ndarray, value: np.ndarray) -> np.ndarray:
     """The shift of every byte: from each place in `at` on, the `value` beside it. Places
-    do not go down; of equal ones the last counts."""
-    change = np.zeros(size + 1, np.int64)
-    np.add.at(change, at, np.diff(value, prepend=0))
-    return np.cumsum(change[:size])
+    do not go down; of equal ones the last counts. Offsets in an Arrow array of bytes have
+    32 bits, and so have shifts; what a sum carries beyond them comes back."""
+    change = np.zeros(size + 1, np.int32)
+    np.add.at(change, at, np.diff(value, prepend=0).astype(np.int32))
+    return np.cumsum(change[:size], dtype=np.int32, out=change[:size])
+
+
+def moved_by(shift: np.ndarray) -> np.ndarray:
+    """Where every byte goes, or comes from; in place."""
+    shift += np.arange(len(shift), dtype=np.int32)
+    return shift
 
 
 def layout(lengths: np.ndarray, form: np.ndarray) -> np.ndarray:
@@ -136,15 +144,16 @@ def transformed(data: np.ndarray, starts: np.ndarray, ids: list, recipe: Recipe)
     out_starts = np.concatenate([[0], np.cumsum(places[:, 3])])
     shift = displacement(bounds[:, :3], places[:, :3], out_starts[:-1], len(data))
     output = np.empty(out_starts[-1], np.uint8)
-    output[np.arange(len(data)) + shift] = data
+    output[moved_by(shift)] = data
     moved = form != PLAIN
     for part, mark in enumerate((PREFIX, MIDDLE, SUFFIX)):
         at = out_starts[:-1][moved] + places[moved, part] - MARK
         for k in range(MARK):
             output[at + k] = mark[k]
     # Code points: bytes that do not continue one.
-    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    chars = np.diff(points[bounds], axis=1)[:, :2]
+    points = np.zeros(len(data) + 1, np.int32)
+    np.cumsum((data & 0xC0) != 0x80, dtype=np.int32, out=points[1:])
+    chars = np.diff(points[bounds].astype(np.int64), axis=1)[:, :2]
     return n, form, chars, output, out_starts
 
 
@@ -174,7 +183,7 @@ def restored(data: np.ndarray, starts: np.ndarray, form: np.ndarray) -> tuple[np
         text_starts[-1], (text_starts[:-1, None] + places).ravel(),
         (begin - text_starts[:-1, None] - places).ravel(),
     )
-    return data[np.arange(text_starts[-1]) + back], text_starts
+    return data[moved_by(back)], text_starts
 
 
 def runs(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

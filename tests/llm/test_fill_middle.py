@@ -66,3 +66,29 @@ def test_runs_of_any_size_give_the_same(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert run(odd_docs.docs(spark, ODD).limit(0)) == []
+
+
+def test_a_worker_holds_little_beside_a_batch():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [b"some words of a text, \xc3\xa9 \n" * 100] * 1600
+    batch = pa.array(texts, pa.binary())
+
+    def peak(low, high):
+        tracemalloc.start()
+        for first, last, data, starts in fill_middle.runs(batch.slice(low, high - low)):
+            n, form, chars, output, at = fill_middle.transformed(
+                data, starts, list(range(first, last)), fill_middle.Recipe()
+            )
+            back, _ = fill_middle.restored(output, at, form)
+            assert np.array_equal(back, data)
+            del n, chars, output, at, back
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    whole = sum(map(len, texts))
+    assert whole > 4_000_000 and peak(0, len(texts)) < 2 * whole
