@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 from pyspark import cloudpickle
 
@@ -24,16 +25,22 @@ SPACE = "\t-\r \x85\xa0  -     　"
 SPACED = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 # Where str.split() parts words, and the patterns do not.
 UNLIKE_SPLIT = re.compile("[\x1c-\x1f]")
-# White space other than lone blanks and line ends; line ends before a blank.
-ODD_SPACE = re.compile(f"[\0\t\v-\r\x85\xa0{SPACE[8:]}]|[ \n] ")
-# Characters that are split into words before the new ones are encoded together.
-BLOCK = 2_000_000
+# White space other than lone blanks and line ends; runs of it; line ends at the end.
+ODD_SPACE = re.compile(f"[\0\t\v-\r\x85\xa0{SPACE[6:]}]|[ \n][ \n]|\n$")
+# Characters that are split into words before the new ones are encoded together; few, so that
+# a core still has the words at hand.
+BLOCK = 250_000
+# New pieces that are encoded as one text.
+TOGETHER = 500
+# Marks that are one pretoken after letters, however many; an apostrophe may open a word.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Words alone, for tokenizers that drop white space.
 BARE = re.compile(f"[^{SPACE}]+")
 
 
-class PieceIds(dict):
-    """Little-endian unsigned 32-bit ids of pieces of text."""
+class PieceIds:
+    """Little-endian unsigned 32-bit ids of pieces of text, in two generations: what has not
+    been met since the older one was filled goes, frequent pieces stay."""
 
     LIMIT = 1_000_000
 
@@ -47,52 +54,90 @@ class PieceIds(dict):
         self.spaced = spaced
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content for t in added]
-        self[""] = b""
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        # A pretoken between pieces that are encoded together, and its id: if it has one
+        # id, that is in no piece without its character.
+        self.between = "\n" if spaced else " \x01 "
+        own = self.tokenizer.encode(self.between, add_special_tokens=False).ids
+        self.between_id = own[0] if len(own) == 1 else None
+
+    def whole(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
-    def parts(self, piece: str) -> tuple[str, ...]:
-        """Pieces that give the same ids: letters and one mark after them are two
-        pretokens, and ASCII letters are lower-cased where white space is dropped."""
-        head, mark = piece[:-1], piece[-1]
-        if mark in ".,!?;:" and (head.lstrip(" ") if self.spaced else head.lower()).isalpha():
-            return (*self.parts(head), mark)
-        if not self.spaced and piece.isascii() and piece.isalpha():
-            return (piece.lower(),)
-        return (piece,)
-
-    def learn(self, pieces: set[str]) -> None:
-        if len(self) + len(pieces) > self.LIMIT:
-            self.clear()
-            self[""] = b""
-        parts = {p: self.parts(p) for p in pieces}
-        plain = [x for x in {x for xs in parts.values() for x in xs} if x not in self]
-        self.update(zip(plain, self.encoded(plain)))
-        for piece, xs in parts.items():
-            if piece not in self:
-                self[piece] = b"".join([self[x] for x in xs])
+    def encoded(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces, words some hundred at a time."""
+        import numpy as np
+
+        mark = self.between.strip(" ")
+        joint = [
+            i for i, x in enumerate(pieces) if mark not in x and not x.isspace()
+        ] if self.between_id is not None else []
+        out: list[bytes | None] = [None] * len(pieces)
+        for low in range(0, len(joint), TOGETHER):
+            at = joint[low : low + TOGETHER]
+            text = self.between.join([pieces[i] for i in at])
+            ids = np.asarray(
+                self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4"
+            )
+            ends = np.flatnonzero(ids == self.between_id)
+            if len(ends) != len(at) - 1:
+                continue  # they are encoded one by one
+            starts = [0, *(4 * ends + 4).tolist()]
+            ends = [*(4 * ends).tolist(), 4 * len(ids)]
+            flat = ids.tobytes()
+            for i, a, b in zip(at, starts, ends):
+                out[i] = flat[a:b]
+        alone = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(alone, self.whole([pieces[i] for i in alone])):
+            out[i] = ids
+        return out
+
+    def parts(self, piece: str) -> tuple[str, str] | None:
+        """Pieces that give the same ids: letters and marks after them are two pretokens."""
+        head = piece.rstrip(MARKS)
+        if len(head) < len(piece) and (head.lstrip(" ") if self.spaced else head.lower()).isalpha():
+            return head, piece[len(head) :]
+        return None
+
+    def learn(self, pieces: list[str]) -> None:
+        """Have the ids of all `pieces`, which are not in the young generation, in it."""
+        young, old = self.young, self.old
+        known = list(map(old.get, pieces))
+        young.update((x, ids) for x, ids in zip(pieces, known) if ids is not None)
+        new = [x for x, ids in zip(pieces, known) if ids is None]
+        parts = list(map(self.parts, new))
+        needed = dict.fromkeys(chain.from_iterable(p or (x,) for x, p in zip(new, parts)))
+        plain = [x for x in needed if x not in young]
+        young.update(zip(plain, self.encoded(plain)))
+        young.update((x, young[p[0]] + young[p[1]]) for x, p in zip(new, parts) if p)
 
     def pieces(self, text: str) -> list[str] | None:
         """The text cut where no pretoken crosses; None if special tokens forbid it."""
         if "<|" in text and any(s in text for s in self.special):
             return None
         if not self.spaced:
+            # ASCII letters are lower-cased where white space is dropped.
+            if text.isascii():
+                text = text.lower()
             return BARE.findall(text) if UNLIKE_SPLIT.search(text) else text.split()
-        # A blank opens a piece, unless white space precedes it.
+        # A blank opens a piece, unless white space precedes it; a line end is one.
         if ODD_SPACE.search(text):
             return SPACED.findall(text)
-        return text.replace(" ", "\0 ").split("\0")
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         out: list[bytes] = []
         for block in blocks(texts, BLOCK):
+            if len(self.young) > self.LIMIT // 2:
+                self.old, self.young = self.young, {"": b""}
+            get = self.young.get
             rows = [self.pieces(t) for t in block]
-            found = [None if r is None else list(map(self.get, r)) for r in rows]
+            found = [None if r is None else list(map(get, r)) for r in rows]
             # What the cache lacks, with its places.
             gaps = [
                 [i for i, ids in enumerate(f) if ids is None] if f and None in f else ()
@@ -100,11 +145,11 @@ class PieceIds(dict):
             ]
             new = {r[i] for r, at in zip(rows, gaps) for i in at}
             if new:
-                self.learn(new)
+                self.learn(list(new))
             for text, row, ids, at in zip(block, rows, found, gaps):
                 for i in at:
-                    ids[i] = self[row[i]]
-                out.append(self.encoded([text])[0] if row is None else b"".join(ids))
+                    ids[i] = self.young[row[i]]
+                out.append(self.whole([text])[0] if row is None else b"".join(ids))
         return out
 
 

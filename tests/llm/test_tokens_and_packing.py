@@ -39,6 +39,46 @@ def test_cached_pieces_give_the_ids_of_whole_texts(path, spaced):
     assert pieces.of(texts) == want
 
 
+@pytest.mark.parametrize("path, spaced", [(WORD, False), (BYTE, True)])
+def test_words_with_marks_are_encoded_together_and_few_times(path, spaced):
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFéßñÀ"
+    import random
+
+    rng = random.Random(5)
+    words = ["".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(2000)]
+    ends = ["", ".", ",", "&&&", "$", "...", "'s", "-x", "\x01", "0", "%)", "’", "?!,", "<|", "́", "\n", "\nx", "\n\n"]
+    texts = [" ".join(w + e for w in words[i : i + 100] for e in ends) for i in range(0, 2000, 100)]
+    pieces = PieceIds(path, spaced)
+    calls, whole_texts = [], pieces.tokenizer
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(whole_texts, name)
+
+        def encode_batch_fast(self, batch, **options):
+            calls.append(len(batch))
+            return whole_texts.encode_batch_fast(batch, **options)
+
+    pieces.tokenizer = Counting()
+    assert pieces.of(texts) == [np.asarray(plain_ids(path, t), "<u4").tobytes() for t in texts]
+    # Each word once, each kind of end once, and most of them together.
+    assert sum(calls) < 4000
+
+
+@pytest.mark.parametrize("path, spaced", [(WORD, False), (BYTE, True)])
+def test_frequent_pieces_outlive_rare_ones(path, spaced):
+    pieces = PieceIds(path, spaced)
+    pieces.LIMIT = 40
+    learned = []
+    learn = pieces.encoded
+    pieces.encoded = lambda new: learned.extend(new) or learn(new)
+    for i in range(200):
+        text = f"always here {chr(97 + i % 26) * (i // 26 + 2)} w{i}"
+        assert pieces.of([text]) == [np.asarray(plain_ids(path, text), "<u4").tobytes()]
+    assert sum(x.strip() == "here" for x in learned) == 1
+    assert len(pieces.young) + len(pieces.old) < 60
+
+
 def crc(ids) -> int:
     return zlib.crc32(np.asarray(ids, "<u4").tobytes())
 
