@@ -31,7 +31,7 @@ ODD_SPACE = re.compile(f"[\0\t\v-\r\x85\xa0{SPACE[6:]}]|[ \n][ \n]|\n$")
 # a core still has the words at hand.
 BLOCK = 250_000
 # New pieces that are encoded as one text.
-TOGETHER = 500
+TOGETHER = 50
 # Marks that are one pretoken after letters, however many; an apostrophe may open a word.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Words alone, for tokenizers that drop white space.
@@ -69,7 +69,7 @@ class PieceIds:
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
     def encoded(self, pieces: list[str]) -> list[bytes]:
-        """The ids of pieces, words some hundred at a time."""
+        """The ids of pieces, words some at a time."""
         import numpy as np
 
         mark = self.between.strip(" ")
@@ -77,12 +77,11 @@ class PieceIds:
             i for i, x in enumerate(pieces) if mark not in x and not x.isspace()
         ] if self.between_id is not None else []
         out: list[bytes | None] = [None] * len(pieces)
-        for low in range(0, len(joint), TOGETHER):
-            at = joint[low : low + TOGETHER]
-            text = self.between.join([pieces[i] for i in at])
-            ids = np.asarray(
-                self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4"
-            )
+        groups = [joint[low : low + TOGETHER] for low in range(0, len(joint), TOGETHER)]
+        texts = [self.between.join([pieces[i] for i in at]) for at in groups]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for at, one in zip(groups, found):
+            ids = np.asarray(one.ids, "<u4")
             ends = np.flatnonzero(ids == self.between_id)
             if len(ends) != len(at) - 1:
                 continue  # they are encoded one by one
