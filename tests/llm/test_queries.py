@@ -104,6 +104,56 @@ def test_quality_does_not_fade_as_ngrams_grow(spark, sf_dir):
     assert kept == {r["doc_id"] for r in got if r["kept"]}
 
 
+@pytest.mark.parametrize("held", [10, 1000, 10**7])
+def test_quality_ratios_against_plain_counts(spark, held):
+    """Every n-gram is counted over the whole corpus, whatever a chunk holds; rare ones need
+    no shuffle of documents' n-grams."""
+    import math
+    from collections import Counter
+
+    import odd_docs
+
+    from meterwise.llm import quality
+
+    data = odd_docs.rows(3) + [(None, "a b a b c"), (4, "the same id"), (None, None)]
+    trusted = {i for i, _ in data if i is not None and i % 3 == 0}
+    marks = spark.createDataFrame([(i, True) for i in trusted], "doc_id BIGINT, trusted BOOLEAN")
+    grams = lambda t: (w := (t or "").encode().split()) + list(zip(w, w[1:]))
+    n, good = Counter(), Counter()
+    for i, t in data:
+        n.update(grams(t))
+        good.update(grams(t) if i in trusted else ())
+    scale = sum(good.values()) / sum(n.values())
+    ratio = lambda g: math.log((good[g] + quality.PRIOR) / (n[g] * scale + quality.PRIOR))
+    mean = lambda t: sum(map(ratio, grams(t))) / max(1, len(grams(t)))
+    got = quality.quality_scores(odd_docs.docs(spark, data), marks, held).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    want = sorted(((i, mean(t)) for i, t in data), key=key)
+    found = sorted(((r["doc_id"], r["llr"]) for r in got), key=key)
+    assert [i for i, _ in found] == [i for i, _ in want]
+    assert max(abs(a - b) for (_, a), (_, b) in zip(found, want)) < 1e-6
+
+
+def test_quality_requests_are_few_and_small(spark, sf_dir):
+    """A chunk asks once for each of its n-grams, in a few bytes, and the waves part them."""
+    import numpy as np
+
+    from meterwise.llm import quality
+    from meterwise.llm.common import as_bytes
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    source = docs.select("doc_id", as_bytes().alias("text"), F.lit(True).alias("trusted"))
+    chunks = quality.chunked(source.coalesce(1), quality.HELD)
+    assert chunks.count() == 1
+    sent = [quality.requests(chunks, 4, quality.BITS, wave).collect() for wave in range(quality.WAVES)]
+    assert {r["part"] for r in sent[0]} == {0, 1} and {r["part"] for r in sent[1]} == {2, 3}
+    texts = [r["text"] for r in source.collect()]
+    distinct = {g for t in texts for w in [t.split()] for g in [*w, *zip(w, w[1:])]}
+    rows = sent[0] + sent[1]
+    assert sum(len(quality.unpacked(r["n"], np.int64)) for r in rows) == len(distinct)
+    assert sum(len(r["grams"]) + len(r["n"]) + len(r["good"]) for r in rows) < 6 * len(distinct)
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf_dir = "/root/testdata/sf0.1"
     scores = queries.registered()["op10_toxicity"](spark, sf_dir)
