@@ -77,6 +77,20 @@ def letters(line: str) -> int:
     return packed - (1 << 64) if packed >> 63 else packed
 
 
+def letters_of(lines: list[str], at_a_time: int = 2048) -> np.ndarray:
+    """`letters` of every line."""
+    out = np.empty(len(lines), np.int64)
+    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    for low in range(0, len(lines), at_a_time):
+        some = lines[low : low + at_a_time]
+        kinds = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32) * np.uint32(0x9E3779B1)
+        sizes = np.fromiter(map(len, some), np.int64, len(some))
+        cells = np.repeat(np.arange(len(some)) * 16, sizes) + (kinds >> np.uint32(28))
+        counts = np.bincount(cells, minlength=16 * len(some)).reshape(-1, 16) & 15
+        out[low : low + len(some)] = (counts.astype(np.uint64) << shifts).sum(axis=1, dtype=np.uint64).view(np.int64)
+    return out
+
+
 def counts_near(x: Column, y: Column, threshold: int) -> Column:
     """Whether counts by `letters` differ in no more kinds than the threshold allows: an
     edit changes two at most."""
@@ -173,7 +187,7 @@ def keys(source: DataFrame, shortest: int, threshold: int, probes: bool, among=N
         seen: set[int] = set()
         cuts: dict[int, list[tuple[int, int, int, int]]] = {}
         for batch in batches:
-            out_keys, out_lines, out_letters, counts = [], [], [], []
+            out_keys, out_lines, texts, counts = [], [], [], []
             for _, _, line in _lines(batch, shortest):
                 this = line_id(line)
                 if this in seen:
@@ -195,16 +209,18 @@ def keys(source: DataFrame, shortest: int, threshold: int, probes: bool, among=N
                         for of, i, p, size in cuts[n]
                     ]
                 out_lines.append(this)
-                out_letters.append(letters(line))
+                texts.append(line)
                 counts.append(len(cuts[n]))
             found = np.array(out_keys, np.uint64).view(np.int64)
             at = np.repeat(np.arange(len(counts)), np.array(counts, np.int64))
             if among is not None:
                 kept = bloom.maybe(among.value, found)
                 found, at = found[kept], at[kept]
-            spread = lambda values: pa.array(np.array(values, np.int64)[at])
+            # Letters of the lines that still have a key.
+            kept, at = np.unique(at, return_inverse=True)
+            kinds = letters_of([texts[i] for i in kept.tolist()])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found), spread(out_lines), spread(out_letters)],
+                [pa.array(found), pa.array(np.array(out_lines, np.int64)[kept][at]), pa.array(kinds[at])],
                 ["key", "line", "letters"],
             )
 

@@ -200,3 +200,29 @@ def brute_force_by_counts(data):
         kept = "\n".join(x for k, x in enumerate((t or "").split("\n")) if (i, k) not in gone)
         out.append((i, sum(d == i for d, _ in gone), hashlib.sha256(kept.encode()).hexdigest()))
     return sorted(out)
+
+
+def test_letters_of_many_lines_are_those_of_each():
+    rng = random.Random(4)
+    texts = ["", "a", "é" * 40, "😀x", *("".join(rng.choices("abcdeé \t😀", k=rng.randint(0, 60))) for _ in range(300))]
+    for at_a_time in (1, 7, 10_000):
+        assert lines.letters_of(texts, at_a_time).tolist() == [lines.letters(t) for t in texts]
+    assert len(lines.letters_of([])) == 0
+
+
+def test_components_that_are_stars_need_no_round(spark, monkeypatch):
+    """Links that lead to the smallest node already are done after one look; others are
+    joined whatever their shape."""
+    from meterwise.llm import components as found
+
+    tables = []
+    monkeypatch.setattr(found, "written", lambda df, name, **options: tables.append(name) or written(df, name, **options))
+    written = lines.written
+    links = lambda pairs: spark.createDataFrame(pairs, "a BIGINT, b BIGINT")
+    star = [(1, 5), (6, 1), (1, 7), (2, 9), (3, 3)]
+    got = {tuple(r) for r in found.components(links(star)).collect()}
+    assert got == {(5, 1), (6, 1), (7, 1), (9, 2)} and len(tables) == 1
+    path = [(i, i + 1) for i in range(10, 40)] + [(50, 52), (51, 52), (51, 53)]
+    got = {tuple(r) for r in found.components(links(star + path)).collect()}
+    assert got == {(5, 1), (6, 1), (7, 1), (9, 2), *((i, 10) for i in range(11, 41)), (51, 50), (52, 50), (53, 50)}
+    assert found.components(links([])).count() == 0
