@@ -235,7 +235,9 @@ class _Family:
                     f"count_if({x} = {high} AND {high} > {low}) AS _end{g}_{i}",
                     f"count({inner}) AS _inner{g}_{i}", f"{held} AS _held{g}_{i}",
                 ]
-        joined = same_keys_join(self.rows, brackets, names) if names else self.rows
+        # Written, a row per group is known to be small; as joins of joins it would seem larger
+        # than the rows, which Spark would broadcast instead.
+        joined = same_keys_join(self.rows, written(brackets, "brackets"), names) if names else self.rows
         counted = written(_aggregated(joined, names, aggregates), "counted")
         for g, (by, columns) in enumerate(open_.items()):
             self.states[by] = written(self.closer(counted, g, by, columns), "medians")

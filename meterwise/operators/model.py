@@ -103,19 +103,21 @@ def write_ordered(table: DataFrame, path: str, order: Sequence[str]) -> None:
     number_files(table.sparkSession, path)
 
 
-def _ordinal() -> Column:
+def _ordinal(name: str = "_metadata.file_name") -> Column:
     """The number of a file in its write, from the name that Spark gave it: the task's
     number, then the task's count of files."""
-    found = lambda pattern: F.nullif(F.regexp_extract("_metadata.file_name", pattern, 1), F.lit("")).cast("bigint")
+    found = lambda pattern: F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")).cast("bigint")
     return found(r"^part-(\d+)-") * (1 << 20) + found(r"[-.]c(\d+)\.")
 
 
 def _offsets(spark: SparkSession, path: str) -> DataFrame:
     """(_ordinal, _ahead): the rows of earlier files, for every file of one write. The
     running sum covers one row per file."""
-    sizes = spark.read.parquet(path).groupBy(_ordinal().alias("_ordinal")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_metadata.file_path").alias("_one"),
-        F.max("_metadata.file_path").alias("_other"),
+    files = spark.read.parquet(path).groupBy(
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name")
+    ).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = files.groupBy(_ordinal("_name").alias("_ordinal")).agg(
+        F.sum("_rows").alias("_rows"), F.min("_path").alias("_one"), F.max("_path").alias("_other")
     )
     earlier = Window.orderBy("_ordinal").rowsBetween(Window.unboundedPreceding, -1)
     mixed = F.raise_error(F.concat(F.lit("files of several writes, or not by Spark: "), F.col("_other")))

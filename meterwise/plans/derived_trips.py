@@ -23,27 +23,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def next_time(df: DataFrame, key: str, time: str, tie: str, name: str, every: str = "hour") -> DataFrame:
+# Rows of one key that a task may sort in a window.
+HOT = 100_000
+
+
+def next_time(
+    df: DataFrame, key: str, time: str, tie: str, name: str, every: str = "hour", hot: int = HOT
+) -> DataFrame:
     """Add the `time` of the following row of the same key, null on its last row. Rows
     without a time come first, null keys are one key.
 
     A key may hold a third of all rows, and a window by key would sort it in one task. So
-    windows cover a key's rows of one hour, whatever the size of the table, and the last
-    row of an hour takes the first time of the key's next hour; the window that finds that
-    has one row per hour.
+    keys of more than `hot` rows are cut into hours, and a mark at the end of each hour
+    carries the first time of the key's next one, found by a window with one row per hour.
+    Other keys are windows whole. Rows are shuffled once; the keys that are cut are at most
+    one per `hot` rows of the table, so they are broadcast.
     """
-    cut = df.withColumn("_slice", F.date_trunc(every, F.col(time)).cast("timestamp_ntz"))
-    starts = cut.groupBy(key, "_slice").agg(F.min(time).alias("_start"))
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    cut_keys = F.broadcast(counts.where(F.col("_rows") > hot).select("_key", F.lit(True).alias("_cut")))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    hour = F.date_trunc(every, F.col(time)).cast("timestamp_ntz")
+    rows = df.join(cut_keys, same, "left").select(
+        *df.columns, F.when(F.col("_cut"), hour).alias("_slice"), F.lit(False).alias("_mark")
+    )
+    starts = (
+        df.select(key, time).join(cut_keys, same).groupBy(key, hour.alias("_slice")).agg(F.min(time).alias("_start"))
+    )
     following = F.lead("_start").over(Window.partitionBy(key).orderBy("_slice"))
-    follow = starts.select(
-        F.col(key).alias("_key"), F.col("_slice").alias("_of"), following.alias("_follow")
+    marks = starts.select(
+        key, "_slice", following.alias(time), F.lit(True).alias("_mark")
     )
-    ahead = F.lead(time).over(Window.partitionBy(key, "_slice").orderBy(time, tie))
-    last = F.lead(F.lit(True)).over(Window.partitionBy(key, "_slice").orderBy(time, tie)).isNull()
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_slice").eqNullSafe(F.col("_of"))
-    joined = cut.withColumn("_ahead", ahead).withColumn("_last", last).join(follow, same, "left")
-    value = F.when(F.col("_last"), F.col("_follow")).otherwise(F.col("_ahead"))
-    return joined.select(*df.columns, value.alias(name))
+    ahead = F.lead(time).over(Window.partitionBy(key, "_slice").orderBy("_mark", time, tie))
+    both = rows.unionByName(marks, allowMissingColumns=True).withColumn(name, ahead)
+    return both.where(~F.col("_mark")).select(*df.columns, name)
 
 
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -202,8 +202,9 @@ def validate(
     limits: rules.Limits = rules.Limits(),
 ) -> None:
     """Flag every row of the files in the manifest once and publish valid and excluded
-    rows in one write, which also counts them and takes the one-pass part of the profile;
-    then find medians and top values of the raw rows and write the report."""
+    rows in one write, which also counts them; then profile the raw rows and write the
+    report. Observed by the write, the profile's many aggregates cost more than a pass of
+    their own."""
     guard_inputs(spark, {"trips": trips_path, "zones": out.published["zones"]})
     started = time.time()
     # A list of files, as Spark itself keeps one on the driver.
@@ -218,7 +219,7 @@ def validate(
     # Observed above the last shuffle, in the tasks that write: a task counts once.
     seen = Observation("written")
     counts = report.tally_columns(rule_set)
-    marked = marked.observe(seen, *counts, *profile.OnePass(trips).aggregates)
+    marked = marked.observe(seen, *counts)
     sinks.write_month(rules.drop_working_columns(marked), out.trips, ["valid"])
     if path_exists(spark, out.trips_of(True)):
         model.number_files(spark, out.trips_of(True))
@@ -227,7 +228,7 @@ def validate(
     row = tuple(seen.get[c] for c in names)
     totals = spark.createDataFrame([row], ", ".join(f"{c} BIGINT" for c in names))
     sinks.write_table(totals, out.tally)
-    columns = profile.column_profile(trips, observed=seen.get)
+    columns = profile.column_profile(trips)
     document = report.report_json(
         totals, columns, month, round(time.time() - started, 1), rule_set, limits
     )

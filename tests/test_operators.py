@@ -169,6 +169,43 @@ def test_next_time_with_a_hot_key(spark, every):
     assert len(out) == len(rows)
 
 
+@pytest.mark.parametrize("hot", [0, 3, 40, 10**6])
+def test_next_time_cuts_hot_keys_only(spark, hot):
+    start = datetime(2024, 1, 1)
+    rows = [(i, i % 9 if i % 2 else 0, start + timedelta(minutes=RNG.randrange(900))) for i in range(400)]
+    rows += [(500 + i, k, None) for i, k in enumerate([0, 0, 1, None])]
+    rows += [(600 + i, None, start + timedelta(minutes=RNG.randrange(900))) for i in range(60)]
+    rows += [(700, None, None), (701, 77, None), (702, 78, start), (703, 79, start)]
+    rows += rows[:50]  # copies
+    df = spark.createDataFrame(rows, "id INT, key INT, t TIMESTAMP_NTZ")
+    groups, expected = defaultdict(list), []
+    for i, key, t in rows:
+        groups[key].append((t or datetime.min, i))
+    for key, group in groups.items():
+        group.sort()
+        for (t, i), (after, _) in zip(group, [*group[1:], (None, None)]):
+            none = lambda x: None if x == datetime.min else x
+            expected.append((i, key, none(t), none(after)))
+    out = next_time(df, "key", "t", "id", "next", hot=hot)
+    assert out.columns == ["id", "key", "t", "next"]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, expected))
+
+
+def test_narrowing_joins_rows_with_a_written_table_of_brackets(spark, monkeypatch):
+    """Spark takes the smaller side of a join for broadcast by its estimates."""
+    seen, join = [], median.same_keys_join
+
+    def watched(left, right, keys, *more):
+        if "_x0" in left.columns:
+            seen.append(right._jdf.queryExecution().optimizedPlan().toString())
+        return join(left, right, keys, *more)
+
+    monkeypatch.setattr(median, "same_keys_join", watched)
+    df = spark.range(20_000).select((F.col("id") % 3).alias("k"), (F.col("id") % 4).alias("h"), F.rand(3).alias("a"))
+    exact_medians(df, [Median("a", "a", ("k", "h")), Median("b", "a", ("k",))]).collect()
+    assert seen and not any("Join" in plan for plan in seen)
+
+
 def test_read_numbered_counts_copies(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).select((F.col("id") * 0).alias("v")).repartition(7).write.parquet(path)
