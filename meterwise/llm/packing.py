@@ -27,6 +27,9 @@ PACKED = (
     "sequence_id BIGINT, offset BIGINT"
 )
 
+# Documents that are packed at a time.
+ROWS = 512
+
 
 class OpenBins:
     """At most `limit` open bins of `size` places. `place(n)` gives (bin, offset)."""
@@ -71,6 +74,13 @@ def cuts(n: int, size: int) -> list[tuple[int, int]]:
     return [(0, min(first, n))] + [(s, size) for s in range(first, n, size)]
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of batches: texts, ids and pieces of one are held at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, ROWS):
+            yield batch.slice(low, ROWS)
+
+
 def best_fit_pack(
     docs: DataFrame,
     tokenizer: str,
@@ -78,6 +88,7 @@ def best_fit_pack(
     end_id: int = 2,
     size: int = 1024,
     open_bins: int = 1024,
+    cached: int | None = None,
 ) -> DataFrame:
     """PACKED, one row per piece of `docs` (doc_id, text): `ids` are the piece's token ids
     as little-endian unsigned 32-bit integers, found in the sequence `sequence_id` from
@@ -85,15 +96,16 @@ def best_fit_pack(
     document.
 
     A null or empty text is a piece that holds the end id alone. Null and repeated ids
-    pass through. Other columns are ignored. An empty table gives an empty one.
+    pass through. Other columns are ignored. An empty table gives an empty one. `cached`
+    bounds the words whose ids a worker keeps; results do not depend on it.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = OpenBins(size, open_bins)
         base = TaskContext.get().partitionId() << 40
-        encode = encoder(tokenizer, spaced)
+        encode = encoder(tokenizer, spaced, cached)
         end = np.asarray([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             rows: list[tuple] = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(texts)):

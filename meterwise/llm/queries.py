@@ -53,7 +53,8 @@ def op1_token_files(spark, sf_dir):
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    return packing.best_fit_pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    # A worker that does nothing else has the memory for twice the words.
+    return packing.best_fit_pack(docs, public_tokenizers.path("byte_bpe_50k.json"), cached=2_000_000)
 
 
 @query

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from meterwise.llm import packing, queries, token_files
+from meterwise.llm import packing, queries, token_files, tokens
 from meterwise.llm.tokens import PieceIds
 
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -83,6 +83,25 @@ def crc(ids) -> int:
     return zlib.crc32(np.asarray(ids, "<u4").tobytes())
 
 
+def test_odd_white_space_is_found():
+    plain = ["", "a", "a b\nc", " a", "\na", "a ", "é ü\n中 x", "\x1c", "\x00"[1:]]
+    odd = ["a  b", "a\n\nb", "a \nb", "a\n b", "a\n", "\n", "a\tb", "a\rb", "\0", "a\x0bb", "a\x0cb"]
+    odd += [f"é{x}b" for x in "\x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000"]
+    assert [t for t in plain if tokens.odd_space(t)] == []
+    assert [t for t in odd if not tokens.odd_space(t)] == []
+
+
+def test_a_worker_keeps_as_many_words_as_asked_for():
+    ids = {}
+    texts = [f"w{i} v{i % 7}" for i in range(300)]
+    for limit in (10, None):
+        encode = tokens.encoder(BYTE, True, limit)
+        ids[limit] = [b for t in texts for b in encode([t])]
+        held = encode.__self__
+        assert (len(held.young) + len(held.old) < 40) == (limit == 10)
+    assert ids[10] == ids[None] == tokens.PieceIds(BYTE, True).whole(texts)
+
+
 def test_token_files_round_trip(spark, tmp_path):
     data = odd_docs.rows()
     path = f"file:{tmp_path}/tokens"
